@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reports this library reproduces are batch jobs run for a report date
+(monthly KPIs, a daily catalogue refresh, ad-hoc studies). None of them
+uses a stream, watermark, streaming window or state, so there is no
+Structured Streaming operator to build. A scheduled batch run with
+``as_of`` set is the equivalent of the original scheduling.
+"""
