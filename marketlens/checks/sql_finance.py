@@ -104,7 +104,7 @@ where {OWN_DONE} and {LAST_MONTH} and is_protection = false""", LR),
     "r14_web_app_aov": with_views(
         """select case when client_type = 0 then 'web' when client_type in (1, 2, 3) then 'app' end platform,
   count(distinct receipt_id) total_transactions, round(sum(amount), 2) gross_sales,
-  round(sum(amount) / nullif(count(distinct receipt_id), 0), 2) aov
+  cast(round(cast(sum(amount) / nullif(count(distinct receipt_id), 0) as decimal(38, 6)), 2) as double) aov
 from b_receipt where amount > 0 and receipt_type in (0, 1, 2) and approved = true and channel is null
   and transaction_date >= date '1996-06-01' and transaction_date < date '1996-07-01'
 group by 1 order by 2 desc"""),

@@ -147,9 +147,18 @@ def customer_type(first: Column | str, last: Column | str) -> Column:
     return F.when(col(last) <= col(first), "New Customer").otherwise("Returning Customer")
 
 
+def money_round(x: Column | str, digits: int = 2) -> Column:
+    """S3: half-up rounding of a money value as written in decimal.
+
+    The double is first fixed to 6 decimals, so 138905.205 (stored as
+    138905.20499999...) rounds to 138905.21 on every engine.
+    """
+    return F.round(col(x).cast("decimal(38,6)"), digits).cast("double")
+
+
 def safe_ratio(num: Column | str, den: Column | str, digits: int = 2) -> Column:
     """round(num / den, digits); NULL when den is 0 or NULL."""
-    return F.round(F.try_divide(col(num), col(den)), digits)
+    return money_round(F.try_divide(col(num), col(den)), digits)
 
 
 def cond_sum(pred: Column, x: Column | str, empty: str = "null") -> Column:

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.functions import expressions as X
 from marketlens.functions.expressions import col
 
 
@@ -39,7 +40,7 @@ def order_value_by(df: DataFrame, key: Column, key_name: str, receipt: str = "re
                    F.sum(F.col(amount)).alias("__gross"))
               .select(key_name, "total_transactions",
                       F.round("__gross", 2).alias("gross_sales"),
-                      F.round(F.try_divide(F.col("__gross"), F.col("total_transactions")), 2).alias("aov")))
+                      X.safe_ratio("__gross", "total_transactions").alias("aov")))
 
 
 def first_event_in(df: DataFrame, key: str, date_col: str, receipt: str, window: Column,

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketlens.plans import cohort as coh
 from marketlens.plans import finance as fin
 from marketlens.sources.tables import Tables
 
@@ -41,17 +42,31 @@ REPORTS: dict[str, QueryFn] = {
     "r14_web_app_aov": _report(fin.web_app_aov),
     "r15_profit_margin": _report(fin.profit_margin),
     "r16_sales_by_state": _report(fin.sales_by_state),
+    "r20_study_channel1": _report(coh.study_channel1),
+    "r21_study_channel2": _report(coh.study_channel2),
+    "r22_study_channel3": _report(coh.study_channel3),
+    "r23_category_study_channel1": _report(coh.category_study_channel1),
+    "r24_category_study_channel3": _report(coh.category_study_channel3),
+    "r25_category_study_channel2": _report(coh.category_study_channel2),
+    "r26_product_study_channel1": _report(coh.product_study_channel1),
+}
+
+OPERATORS: dict[str, QueryFn] = {
+    "w06_running_totals": _report(coh.running_basket_totals),
+    "w09_top_product_per_brand": _report(coh.top_products_by_brand),
 }
 
 
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(REPORTS)
+    out.update(OPERATORS)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    from marketlens.checks import sql_finance
+    from marketlens.checks import sql_cohort, sql_finance
     out: dict[str, str] = {}
     out.update(sql_finance.SQL)
+    out.update(sql_cohort.SQL)
     return out
