@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.plans import cohort as coh
 from marketlens.plans import finance as fin
+from marketlens.plans import merch as mer
 from marketlens.sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,9 @@ REPORTS: dict[str, QueryFn] = {
     "r14_web_app_aov": _report(fin.web_app_aov),
     "r15_profit_margin": _report(fin.profit_margin),
     "r16_sales_by_state": _report(fin.sales_by_state),
+    "r17_catalogue_master_a": _report(mer.catalogue_master_a),
+    "r18_catalogue_master_b": _report(mer.catalogue_master_b),
+    "r19_promo_compliance": _report(mer.promo_compliance),
     "r20_study_channel1": _report(coh.study_channel1),
     "r21_study_channel2": _report(coh.study_channel2),
     "r22_study_channel3": _report(coh.study_channel3),
@@ -65,8 +69,9 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from marketlens.checks import sql_cohort, sql_finance
+    from marketlens.checks import sql_cohort, sql_finance, sql_merch
     out: dict[str, str] = {}
     out.update(sql_finance.SQL)
     out.update(sql_cohort.SQL)
+    out.update(sql_merch.SQL)
     return out
