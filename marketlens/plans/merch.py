@@ -102,24 +102,27 @@ def live_promotions(t: Tables, today: dt.date, with_secondary: bool = True) -> D
     return O.union_typed([primary, inherited])
 
 
-def catalogue_master_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL_A,
-                       prefilter_weeks: int | None = 5) -> DataFrame:
-    """Marketplace catalogue master of channel A.
+SALES_A = ("chan_gmv_tw", "chan_gmv_l4w", "chan_gmv_ytd", "all_gmv_l12m",
+           "chan_units_tw", "chan_units_l4w", "chan_units_ytd", "all_units_l12m")
 
-    ``prefilter_weeks=5`` reproduces the original, whose outer WHERE keeps
-    only 5 weeks of sales, so the year-to-date and 12-month columns see 5
-    weeks and this-week is cut at yesterday; ``None`` gives the true windows.
-    """
-    win = cal.local_windows(today)
+
+def catalogue_a(t: Tables, channel: str = CHANNEL_A) -> DataFrame:
+    """Channel-A catalogue with parent ids (*_mod) and the latest marketplace price."""
     mps = subscription_status(t, channel)
     cat = with_parents(catalogue(t, mps), t.secondary)
     cat = (cat.withColumn("product_id_mod", F.coalesce("parent_product_id", "product_id"))
               .withColumn("variant_id_mod", F.coalesce("parent_variant_id", "variant_id")))
     snap = latest_snapshot(t.snapshot, "last_updated_date").select(
         "product_id", "variant_id", F.col("price").alias("marketplace_price"))
-    cat = J.null_safe_join(cat, snap, ["product_id"], ["variant_id"])
+    return J.null_safe_join(cat, snap, ["product_id"], ["variant_id"])
 
-    # windowed sales of catalogue products and of their parents
+
+def windowed_sales_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL_A,
+                     prefilter_weeks: int | None = 5, cat: DataFrame | None = None) -> DataFrame:
+    """A14 + J8 + J9: 4 windows x {value, units} per (product, variant, seller),
+    for catalogue products and their parents, with the parent's sales rolled in."""
+    win = cal.local_windows(today)
+    cat = cat if cat is not None else catalogue_a(t, channel)
     lines = t.lines
     if prefilter_weeks is not None:
         lo = today - dt.timedelta(weeks=prefilter_weeks)
@@ -145,10 +148,24 @@ def catalogue_master_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
     }
     base_sales = (sales.groupBy("product_id", "parent_product_id", "variant_id", "parent_variant_id", "company_id")
                   .agg(*[F.sum(F.when(p, v)).alias(n) for n, (p, v) in measures.items()]))
-    consolidated = J.add_parent_metrics(base_sales, "product_id", "variant_id", "parent_product_id",
-                                        "parent_variant_id", list(measures),
-                                        keep=["product_id", "variant_id", "company_id"])
+    return J.add_parent_metrics(base_sales, "product_id", "variant_id", "parent_product_id",
+                                "parent_variant_id", list(measures),
+                                keep=["product_id", "variant_id", "company_id"])
 
+
+def catalogue_master_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL_A,
+                       prefilter_weeks: int | None = 5) -> DataFrame:
+    """Marketplace catalogue master of channel A.
+
+    ``prefilter_weeks=5`` reproduces the original, whose outer WHERE keeps
+    only 5 weeks of sales, so the year-to-date and 12-month columns see 5
+    weeks and this-week is cut at yesterday; ``None`` gives the true windows.
+    """
+    win = cal.local_windows(today)
+    mps = subscription_status(t, channel)
+    cat = catalogue_a(t, channel)
+    consolidated = windowed_sales_a(t, today, channel, prefilter_weeks, cat)
+    measures = SALES_A
     promos = live_promotions(t, today, with_secondary=True)
     out = J.null_safe_join(cat, promos, ["product_id", "seller_id"], ["variant_id"])
     out = J.null_safe_join(out, consolidated.withColumnRenamed("company_id", "seller_id"),

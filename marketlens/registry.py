@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens.plans import cohort as coh
 from marketlens.plans import finance as fin
 from marketlens.plans import merch as mer
+from marketlens.plans import operators as ops
 from marketlens.sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,19 @@ REPORTS: dict[str, QueryFn] = {
 }
 
 OPERATORS: dict[str, QueryFn] = {
+    "k02_publish_roundtrip": _report(ops.k2_publish_roundtrip),
+    "k04_latest_snapshot": _report(ops.k4_latest_snapshot),
+    "j03_null_safe_join": _report(ops.j03_null_safe_join),
+    "j08_semi_any": _report(ops.j08_semi_any),
+    "j10_lookback": _report(ops.j10_lookback),
+    "w01_dedupe_latest": _report(ops.w01_dedupe_latest),
+    "w04_previous_price": _report(ops.w04_previous_price),
+    "w05_first_by": _report(ops.w05_first_by),
+    "p04_order_type_mix": _report(ops.p04_order_type_mix),
+    "p05_state_buckets": _report(ops.p05_state_buckets),
+    "a14_windowed_sales": _report(ops.a14_windowed_sales),
+    "o04_live_promotions": _report(ops.o04_live_promotions),
+    "f03_local_windows": _report(ops.f03_local_windows),
     "w06_running_totals": _report(coh.running_basket_totals),
     "w09_top_product_per_brand": _report(coh.top_products_by_brand),
 }
@@ -69,9 +83,10 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from marketlens.checks import sql_cohort, sql_finance, sql_merch
+    from marketlens.checks import sql_cohort, sql_finance, sql_merch, sql_operators
     out: dict[str, str] = {}
     out.update(sql_finance.SQL)
     out.update(sql_cohort.SQL)
     out.update(sql_merch.SQL)
+    out.update(sql_operators.SQL)
     return out

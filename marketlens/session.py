@@ -62,6 +62,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    base = base.removeprefix("file:")
-    return os.path.join(base, "tables", f"{name}-{os.getpid()}-{os.urandom(4).hex()}")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{name}-{os.getpid()}-{os.urandom(4).hex()}"
