@@ -18,10 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cols(cs):
-    return [F.col(c) if isinstance(c, str) else c for c in cs]
-
-
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep the first row per key under ``order`` (QUALIFY row_number() = 1).
 
@@ -57,11 +53,40 @@ def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFram
     return df.join(r, cond, "left").drop(*[f"__jb_{k}" for k in keys])
 
 
-def with_previous(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column],
+def with_previous(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
                   cols: Mapping[str, str]) -> DataFrame:
-    """LAG(col, 1) for each ``cols`` item (source -> output name)."""
-    w = Window.partitionBy(*_cols(keys)).orderBy(*order)
-    return df.select("*", *[F.lag(F.col(src), 1).over(w).alias(dst) for src, dst in cols.items()])
+    """LAG(col, 1) over (partition by keys order by bucket, *order), per ``cols`` (source -> output).
+
+    ``bucket`` is the coarse leading order key (a date). The lag is split in
+    two so that no window is partitioned by ``keys`` alone over raw rows:
+      * inside one (keys, bucket) group, the previous row is a plain lag;
+      * the first row of a group takes the last value of the key's previous
+        bucket, from a window over one pre-aggregated row per (keys, bucket).
+    The result equals the single window exactly; a hot key is spread over
+    its buckets. ``order`` columns (ascending) must make rows unique.
+    """
+    w_in = Window.partitionBy(*keys, bucket).orderBy(*order)
+    rows = df.select("*", F.row_number().over(w_in).alias("__pos"),
+                     *[F.lag(F.col(src), 1).over(w_in).alias(f"__in_{src}") for src in cols])
+    ordering = F.struct(*order)
+    last = df.groupBy(*keys, bucket).agg(
+        *[F.max_by(F.col(src), ordering).alias(f"__last_{src}") for src in cols if src != bucket])
+    w_b = Window.partitionBy(*keys).orderBy(bucket)
+    prev_bucket = last.select(*keys, bucket, *[
+        F.lag(F.col(bucket if src == bucket else f"__last_{src}"), 1).over(w_b).alias(f"__pb_{src}")
+        for src in cols])
+    j = _join_back(rows, prev_bucket, [*keys, bucket])
+    out = j.select("*", *[F.when(F.col("__pos") == 1, F.col(f"__pb_{src}")).otherwise(F.col(f"__in_{src}")).alias(dst)
+                          for src, dst in cols.items()])
+    return out.drop("__pos", *[f"__in_{src}" for src in cols], *[f"__pb_{src}" for src in cols])
+
+
+def last_change(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: str,
+                out: str) -> DataFrame:
+    """W4 + F13 + W2: latest ``bucket`` at which ``value`` differs from the previous observation."""
+    prev = with_previous(df, keys, bucket, order, {value: "__prev"})
+    ch = prev.filter(F.col("__prev").isNotNull() & (F.abs(F.col(value) - F.col("__prev")) > 0))
+    return ch.groupBy(*keys).agg(F.max(bucket).alias(out))
 
 
 def first_by(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str) -> DataFrame:

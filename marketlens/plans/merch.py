@@ -72,10 +72,8 @@ def last_price_change(t: Tables) -> DataFrame:
     original order key, the rest make ties deterministic.
     """
     h = t.price_history.withColumn("date", F.to_date("ts"))
-    prev = W.with_previous(h, ["product_id", "variant_id"], [F.col("date"), F.col("ts"), F.col("event_id")],
-                           {"price": "pre_sell_price", "date": "pre_sell_price_date"})
-    ch = prev.filter(Fl.changed("price", "pre_sell_price"))
-    return ch.groupBy("product_id", "variant_id").agg(F.max("date").alias("last_price_change_date"))
+    return W.last_change(h, ["product_id", "variant_id"], "date", ["ts", "event_id"], "price",
+                         "last_price_change_date")
 
 
 def last_stock_out(t: Tables) -> DataFrame:

@@ -165,3 +165,28 @@ def test_missing_lead_gen_month_gives_null_profit(tables_small):
     rows = {r.sale_month: r for r in profit_margin(tables_small, lead_gen=months).collect()}
     assert rows["March-1996"].other_incomes is None and rows["March-1996"].gross_profit is None
     assert rows["April-1996"].gross_profit is not None
+
+
+def test_split_lag_equals_plain_window(spark):
+    import random
+
+    from pyspark.sql import Window
+    rnd = random.Random(7)
+    rows = []
+    for eid in range(400):
+        k = rnd.randint(0, 3)
+        v = None if k == 0 else rnd.randint(0, 1)
+        day = D(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 5))
+        price = None if rnd.random() < 0.1 else float(rnd.randint(1, 3))
+        rows.append((k, v, day, eid, price))
+    df = spark.createDataFrame(rows, "k long, v long, d date, eid long, price double")
+    split = W.with_previous(df, ["k", "v"], "d", ["eid"], {"price": "prev", "d": "prev_d"})
+    w = Window.partitionBy("k", "v").orderBy("d", "eid")
+    plain = df.select("eid", F.lag("price").over(w).alias("prev"), F.lag("d").over(w).alias("prev_d"))
+    a = sorted((r.eid, r.prev, r.prev_d) for r in split.select("eid", "prev", "prev_d").collect())
+    b = sorted((r.eid, r.prev, r.prev_d) for r in plain.collect())
+    assert a == b
+    lc = W.last_change(df, ["k", "v"], "d", ["eid"], "price", "lc")
+    ch = plain.join(df, "eid").filter(F.col("prev").isNotNull() & (F.abs(F.col("price") - F.col("prev")) > 0))
+    want = {(r.k, r.v): r.lc for r in ch.groupBy("k", "v").agg(F.max("d").alias("lc")).collect()}
+    assert {(r.k, r.v): r.lc for r in lc.collect()} == want
