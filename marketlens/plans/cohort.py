@@ -13,9 +13,13 @@ Plan, per customer c, receipt r, date d (order-product grain rows):
      window partitioned by customer, so a hot customer never lands in one task.
   3. flags (W8): contains_1p = first-date row of a receipt whose first-date
      mix has a 1P line; 1p_only = first-date row whose mix has no 3P line.
-  4. one aggregation per customer gives the all-orders (cl_) and the
-     repeat-orders (rp_, rows not flagged contains_1p) statistics (A15, A17,
-     A5, A6, A12); customers without a contains_1p row are dropped (J5).
+  4. all-orders (cl_) and repeat-orders (rp_, rows not flagged contains_1p)
+     statistics (A15, A17, A5, A6, A12) as two-level aggregations: per
+     (customer, receipt) for receipt counts and sums, per (customer, product)
+     for product counts, then per customer; customers without a contains_1p
+     row are dropped (J5).
+The order-product relation is read by several branches, so it is
+materialized once (``sources.publish.materialize``).
   5. join the customer span back and derive type (P12) and averages (P14).
 """
 
@@ -33,6 +37,7 @@ from marketlens.operators import filters as Fl
 from marketlens.operators import joins as J
 from marketlens.operators import windows as W
 from marketlens.params import FIRST_SINCE, HOUSE_SELLERS, TRACKED_CATEGORIES, TRACKED_PRODUCTS
+from marketlens.sources.publish import materialize
 from marketlens.sources.tables import Tables
 
 GRAIN = ["customer_id", "receipt_id", "transaction_date", "product_id", "seller_key"]
@@ -113,6 +118,7 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     ``fix_rp_3p_aov`` divides repeat 3P revenue (instead of all repeat
     revenue, as the original does) by repeat transactions.
     """
+    op = materialize(op)  # read by the span, the basket mix and the statistics
     span = A.customer_span(op, "customer_id", "transaction_date")
     if first_since is not None:
         span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
@@ -122,34 +128,40 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     rev, rc, pid = F.col("product_revenue"), F.col("receipt_id"), F.col("product_id")
     rp = F.col("first_transaction_contains_1p") != 1
     only = F.col("first_transaction_1p_only") == 1
-
-    def rsum(cond):
-        return F.round(F.sum(F.when(cond, rev)), 2)
-
-    aggs = [
-        F.max(F.col("first_transaction_contains_1p")).alias("__new1p"),
-        F.max(F.when(rp, 1).otherwise(0)).alias("__has_rp"),
-        F.count_distinct(rc).alias("cl_transactions"),
-        F.round(F.sum(rev), 2).alias("cl_product_revenue"),
-        rsum(h).alias("cl_1p_product_revenue"),
-        rsum(~h).alias("cl_3p_product_revenue"),
-        F.count_distinct(pid).alias("cl_unique_products"),
-        X.cond_distinct(h, pid).alias("cl_1p_unique_products"),
-        X.cond_distinct(~h, pid).alias("cl_3p_unique_products"),
-        X.cond_distinct(only, rc).alias("cl_transactions_1p_only"),
-        rsum(h & only).alias("cl_1p_product_revenue_1p_only"),
-        X.cond_distinct(rp, rc).alias("rp_transactions"),
-        rsum(rp).alias("rp_product_revenue"),
-        rsum(rp & h).alias("rp_1p_product_revenue"),
-        rsum(rp & ~h).alias("rp_3p_product_revenue"),
-        X.cond_distinct(rp & h, pid).alias("rp_1p_unique_products"),
-        X.cond_distinct(rp & ~h, pid).alias("rp_3p_unique_products"),
-    ]
     wide = dict(wide or {})
+
+    # Distinct counts as explicit two-level aggregations (no Expand of every
+    # row per distinct expression): receipts per (customer, receipt), which
+    # also carries every revenue sum, and products per (customer, product).
+    sums = {"cl_product_revenue": F.lit(True), "cl_1p_product_revenue": h, "cl_3p_product_revenue": ~h,
+            "cl_1p_product_revenue_1p_only": h & only, "rp_product_revenue": rp,
+            "rp_1p_product_revenue": rp & h, "rp_3p_product_revenue": rp & ~h}
     for suffix, pred in wide.items():
-        aggs.append(rsum(pred).alias(f"cl_product_revenue_{suffix}"))
-        aggs.append(rsum(rp & pred).alias(f"rp_product_revenue_{suffix}"))
-    stats = rows.groupBy("customer_id").agg(*aggs).filter(F.col("__new1p") == 1)
+        sums[f"cl_product_revenue_{suffix}"] = pred
+        sums[f"rp_product_revenue_{suffix}"] = rp & pred
+    per_receipt = rows.groupBy("customer_id", "receipt_id").agg(
+        F.max(F.col("first_transaction_contains_1p")).alias("__c1p"),
+        F.max(F.when(rp, 1).otherwise(0)).alias("__rp"),
+        F.max(F.when(only, 1).otherwise(0)).alias("__only"),
+        *[F.sum(F.when(pred, rev)).alias(name) for name, pred in sums.items()])
+    has_receipt = rc.isNotNull()
+    by_receipt = per_receipt.groupBy("customer_id").agg(
+        F.max("__c1p").alias("__new1p"), F.max("__rp").alias("__has_rp"),
+        F.count(rc).alias("cl_transactions"),
+        F.count(F.when(has_receipt & (F.col("__only") == 1), 1)).alias("cl_transactions_1p_only"),
+        F.count(F.when(has_receipt & (F.col("__rp") == 1), 1)).alias("rp_transactions"),
+        *[F.round(F.sum(name), 2).alias(name) for name in sums])
+    per_product = rows.groupBy("customer_id", "product_id").agg(
+        F.max(F.when(h, 1).otherwise(0)).alias("__p1"), F.max(F.when(~h, 1).otherwise(0)).alias("__p3"),
+        F.max(F.when(rp & h, 1).otherwise(0)).alias("__rp1"),
+        F.max(F.when(rp & ~h, 1).otherwise(0)).alias("__rp3"))
+    has_product = pid.isNotNull()
+    by_product = per_product.groupBy("customer_id").agg(
+        F.count(pid).alias("cl_unique_products"),
+        *[F.count(F.when(has_product & (F.col(f"__{k}") == 1), 1)).alias(n) for k, n in
+          (("p1", "cl_1p_unique_products"), ("p3", "cl_3p_unique_products"),
+           ("rp1", "rp_1p_unique_products"), ("rp3", "rp_3p_unique_products"))])
+    stats = by_receipt.filter(F.col("__new1p") == 1).join(by_product, "customer_id", "inner")
 
     has_rp = F.col("__has_rp") == 1
 
@@ -231,7 +243,7 @@ def product_study_channel1(t: Tables, first_since: dt.date | None = FIRST_SINCE)
 
 def top_products_by_brand(t: Tables, first_since: dt.date | None = FIRST_SINCE, k: int = 10) -> DataFrame:
     """Best-selling product of each brand among first-basket-1P rows, top ``k`` by revenue."""
-    op = channel1_order_products(t, ["brand", "product_name"])
+    op = materialize(channel1_order_products(t, ["brand", "product_name"]))
     span = A.customer_span(op, "customer_id", "transaction_date")
     if first_since is not None:
         span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
@@ -242,7 +254,7 @@ def top_products_by_brand(t: Tables, first_since: dt.date | None = FIRST_SINCE,
 
 def running_basket_totals(t: Tables, first_since: dt.date | None = FIRST_SINCE) -> DataFrame:
     """W6 (computed but unused by R20): per-receipt and lifetime running totals, RANGE frame."""
-    op = channel1_order_products(t)
+    op = materialize(channel1_order_products(t))
     span = A.customer_span(op, "customer_id", "transaction_date")
     if first_since is not None:
         span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))

@@ -30,6 +30,7 @@ from marketlens.operators import setops as O
 from marketlens.operators import windows as W
 from marketlens.params import AS_OF, CHANNEL_A, CHANNEL_B, URL_PREFIX
 from marketlens.sources.literal import latest_snapshot
+from marketlens.sources.publish import materialize
 from marketlens.sources.tables import Tables
 
 
@@ -161,7 +162,7 @@ def catalogue_master_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
     """
     win = cal.local_windows(today)
     mps = subscription_status(t, channel)
-    cat = catalogue_a(t, channel)
+    cat = materialize(catalogue_a(t, channel))  # read by the sales filter and the final assembly
     consolidated = windowed_sales_a(t, today, channel, prefilter_weeks, cat)
     measures = SALES_A
     promos = live_promotions(t, today, with_secondary=True)

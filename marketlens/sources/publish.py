@@ -31,3 +31,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     staged = df.persist()
     staged.createOrReplaceTempView(name)
     return staged
+
+
+def materialize(df: DataFrame, how: str | None = None) -> DataFrame:
+    """Compute a relation that several branches of one plan read, once.
+
+    Column pruning gives each consumer a slightly different projection, so
+    Spark cannot reuse the shared exchanges by itself and would recompute
+    the whole subtree per consumer.
+
+    how="checkpoint": eager reliable checkpoint into the shared
+    ``spark.checkpoint.dir`` (lineage cut; survives executor loss without
+    recomputation). how="persist": memory-and-disk cache (lost blocks are
+    recomputed from lineage). Default: ``spark.marketlens.materialize``
+    session setting, else "checkpoint".
+    """
+    how = how or df.sparkSession.conf.get("spark.marketlens.materialize", "checkpoint")
+    if how == "checkpoint":
+        from marketlens.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "persist":
+        return df.persist()
+    if how == "none":
+        return df
+    raise ValueError(how)
