@@ -43,17 +43,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     The right-side key columns are dropped from the output.
     """
     right_keys = right_keys or {}
-    renamed = {}
-    r = right
-    for k in list(keys) + list(nullable_keys):
-        rk = right_keys.get(k, k)
-        tmp = f"__r_{k}"
-        r = r.withColumnRenamed(rk, tmp)
-        renamed[k] = tmp
-    conds = [left[k] == r[renamed[k]] for k in keys]
-    conds += [left[k].eqNullSafe(r[renamed[k]]) for k in nullable_keys]
+    all_keys = [*keys, *nullable_keys]
+    renamed = {right_keys.get(k, k): f"__r_{k}" for k in all_keys}
+    r = right.select(*[F.col(c).alias(renamed[c]) if c in renamed else F.col(c) for c in right.columns])
+    conds = [left[k] == r[f"__r_{k}"] for k in keys]
+    conds += [left[k].eqNullSafe(r[f"__r_{k}"]) for k in nullable_keys]
     out = left.join(r, reduce(lambda a, b: a & b, conds), how)
-    return out.drop(*renamed.values()) if how not in ("left_semi", "left_anti", "semi", "anti") else out
+    if how in ("left_semi", "left_anti", "semi", "anti"):
+        return out
+    return out.select(*[F.col(c) for c in out.columns if c not in renamed.values()])
 
 
 def cast_join(left: DataFrame, right: DataFrame, on: dict[str, str], as_type: str = "string",
@@ -124,17 +122,15 @@ def lookback(base: DataFrame, snap: DataFrame, date_col: str, days: Sequence[int
     ``snap`` must be unique on its keys; ``key_cast`` casts the base key to
     the snapshot key's type (J4).
     """
-    out_df = base
-    for d in days:
-        lb = lookback_col.format(d=d)
-        out_df = out_df.withColumn(lb, F.date_sub(F.col(date_col), d))
-    for d in days:
-        lb = lookback_col.format(d=d)
+    lbs = {d: lookback_col.format(d=d) for d in days}
+    out_df = base.select("*", *[F.date_sub(F.col(date_col), d).alias(lb) for d, lb in lbs.items()])
+    for d, lb in lbs.items():
         s = snap.select(F.col(snap_date).alias("__d"), F.col(snap_key).alias("__k"),
                         F.col(snap_nullable_key).alias("__v"), F.col(value).alias(out.format(d=d)))
         bk = out_df[key].cast(key_cast) if key_cast else out_df[key]
         cond = (out_df[lb] == s["__d"]) & (bk == s["__k"]) & out_df[nullable_key].eqNullSafe(s["__v"])
-        out_df = out_df.join(s, cond, "left").drop("__d", "__k", "__v")
+        joined = out_df.join(s, cond, "left")
+        out_df = joined.select(*[F.col(c) for c in joined.columns if c not in ("__d", "__k", "__v")])
     return out_df
 
 

@@ -43,14 +43,13 @@ def with_transaction_rank(df: DataFrame, part: Sequence[str], date_col: str,
 
 
 def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = small
-    for k in keys:
-        r = r.withColumnRenamed(k, f"__jb_{k}")
+    r = small.select(*[F.col(c).alias(f"__jb_{c}") if c in keys else F.col(c) for c in small.columns])
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(r[f"__jb_{k}"])
         cond = c if cond is None else cond & c
-    return df.join(r, cond, "left").drop(*[f"__jb_{k}" for k in keys])
+    j = df.join(r, cond, "left")
+    return j.select(*[F.col(c) for c in j.columns if not c.startswith("__jb_")])
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],

@@ -102,11 +102,11 @@ def basket_flags(op: DataFrame, span: DataFrame, house: Sequence[int] = HOUSE_SE
                .groupBy("customer_id", "receipt_id")
                .agg(F.max(F.when(h, 1).otherwise(0)).alias("__has1p"),
                     F.max(F.when(h, 0).otherwise(1)).alias("__has3p")))
-    m = mix.withColumnRenamed("customer_id", "__c").withColumnRenamed("receipt_id", "__r")
+    m = mix.select(F.col("customer_id").alias("__c"), F.col("receipt_id").alias("__r"), "__has1p", "__has3p")
     j = rows.join(m, (rows.customer_id == m["__c"]) & rows.receipt_id.eqNullSafe(m["__r"]), "left")
-    return (j.withColumn("first_transaction_contains_1p", F.when(first & (F.col("__has1p") == 1), 1).otherwise(0))
-             .withColumn("first_transaction_1p_only", F.when(first & (F.col("__has3p") == 0), 1).otherwise(0))
-             .drop("__c", "__r", "__has1p", "__has3p"))
+    return j.select(*[F.col(c) for c in rows.columns],
+                    F.when(first & (F.col("__has1p") == 1), 1).otherwise(0).alias("first_transaction_contains_1p"),
+                    F.when(first & (F.col("__has3p") == 0), 1).otherwise(0).alias("first_transaction_1p_only"))
 
 
 def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first_since: dt.date | None = None,

@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # PySpark call-site capture costs several JVM round trips per DataFrame call
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # remove checkpoint files once the checkpointed DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

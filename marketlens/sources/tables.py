@@ -18,15 +18,29 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """K1: read one named table; optional explicit column pruning."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """K1: read one named table; optional explicit column pruning.
+
+    The schema is inferred from the Parquet footers once per path and then
+    passed explicitly, so repeated reads skip footer inference on the driver.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
     return df.select(*columns) if columns else df
 
 
@@ -45,9 +59,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return load(self.spark, self.sf_dir, name)
+        """The driver table ``name`` (one DataFrame per table and instance)."""
+        if name not in self._raw:
+            self._raw[name] = load(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     # ---- sellers and catalogue -------------------------------------------------
     @cached_property
