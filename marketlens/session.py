@@ -47,6 +47,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the bytes the reports scan.
+
+    Shuffle partitions start at ~one per ``partition_bytes`` of input (at
+    least 2 per core) and adaptive execution coalesces them to about 128 MB
+    each; scan splits are ``partition_bytes``; a partition 5x the median and
+    over 512 MB is split by the skew-join handling.
+    """
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
