@@ -253,7 +253,14 @@ def top_products_by_brand(t: Tables, first_since: dt.date | None = FIRST_SINCE,
 
 
 def running_basket_totals(t: Tables, first_since: dt.date | None = FIRST_SINCE) -> DataFrame:
-    """W6 (computed but unused by R20): per-receipt and lifetime running totals, RANGE frame."""
+    """W3 + W6 + W7 + W8: the per-row customer base of the channel-1 study.
+
+    Running totals per receipt and per customer (RANGE frame), dense rank of
+    the date, the running party mix of the receipt (as 1P / 3P containment)
+    and the first-basket flags derived from rank and mix, as the original
+    defines them. The studies compute the same flags with aggregates
+    (``basket_flags``); this query checks that shortcut.
+    """
     op = materialize(channel1_order_products(t))
     span = A.customer_span(op, "customer_id", "transaction_date")
     if first_since is not None:
@@ -268,16 +275,23 @@ def running_basket_totals(t: Tables, first_since: dt.date | None = FIRST_SINCE)
         "transaction_3p_products": ("count", F.when(~h, F.col("product_id"))),
         "transaction_revenue_1p_products": ("sum", F.when(h, rev)),
         "transaction_revenue_3p_products": ("sum", F.when(~h, rev)),
+        "mix_has_1p": ("max", F.when(h, 1).otherwise(0)),
+        "mix_has_3p": ("max", F.when(h, 0).otherwise(1)),
     })
     lifetime = W.running_totals(per_receipt, ["customer_id"], "transaction_date", {
         "customer_lifetime_revenue": ("sum", rev),
         "customer_lifetime_transactions": ("count", F.col("receipt_id")),
     })
     ranked = W.with_transaction_rank(lifetime, ["customer_id"], "transaction_date")
+    first = F.col("transaction_rank") == 1
     return ranked.select(*GRAIN, "transaction_rank",
                          F.round("transaction_revenue", 2).alias("transaction_revenue"),
                          "transaction_products", "transaction_1p_products", "transaction_3p_products",
                          F.round("transaction_revenue_1p_products", 2).alias("transaction_revenue_1p_products"),
                          F.round("transaction_revenue_3p_products", 2).alias("transaction_revenue_3p_products"),
                          F.round("customer_lifetime_revenue", 2).alias("customer_lifetime_revenue"),
-                         "customer_lifetime_transactions")
+                         "customer_lifetime_transactions", "mix_has_1p", "mix_has_3p",
+                         F.when(first & (F.col("mix_has_1p") == 1), 1).otherwise(0)
+                          .alias("first_transaction_contains_1p"),
+                         F.when(first & (F.col("mix_has_3p") == 0), 1).otherwise(0)
+                          .alias("first_transaction_1p_only"))

@@ -58,3 +58,17 @@ def test_true_windows_see_more_than_prefiltered(t):
     pre = merch.windowed_sales_a(t).agg(F.sum("all_gmv_l12m")).collect()[0][0] or 0
     full = merch.windowed_sales_a(t, prefilter_weeks=None).agg(F.sum("all_gmv_l12m")).collect()[0][0]
     assert full > pre  # Q2: the 5-week pre-filter truncates the 12-month column
+
+
+def test_basket_flag_shortcut_equals_running_mix(t):
+    from marketlens.operators import aggregates as A
+    from marketlens.params import FIRST_SINCE
+    literal = cohort.running_basket_totals(t).select(
+        *cohort.GRAIN, "first_transaction_contains_1p", "first_transaction_1p_only")
+    op = cohort.channel1_order_products(t)
+    span = A.customer_span(op, "customer_id", "transaction_date").filter(
+        F.col("first_transaction_date") >= F.lit(FIRST_SINCE))
+    shortcut = cohort.basket_flags(op, span).select(
+        *cohort.GRAIN, "first_transaction_contains_1p", "first_transaction_1p_only")
+    assert literal.count() == shortcut.count()
+    assert literal.exceptAll(shortcut).count() == 0
