@@ -2,9 +2,13 @@
 
 from marketlens.checks import sql_merch as SM
 from marketlens.checks.oracle import with_views
+from marketlens.checks.sql_finance import TYPE_TEXT
 
 LATEST = "select * from b_snapshot where last_updated_date = (select max(last_updated_date) from b_snapshot)"
 
+TRAIL_12 = "accepted_date >= date '1995-07-01' and accepted_date < date '1996-07-01'"
+TRAIL_13_1 = "accepted_date >= date '1995-06-01' and accepted_date < date '1996-06-01'"
+
 SQL = {
     "k02_publish_roundtrip": SM.R18,
     "k04_latest_snapshot": with_views(LATEST),
@@ -82,4 +86,30 @@ from (select total_amount / 1.1 s,
 from b_line where status in (3, 4) and total_amount > 0
   and accepted_date between {SM.TODAY} - interval 12 month and {SM.TODAY}
 group by accepted_date"""),
+    "j01_with_receipt": with_views("""select bd.line_id, ri.receipt_id, bd.product_id, bd.total_amount, p.channel
+from b_line bd left join b_bridge ri on bd.line_id = ri.line_id
+left join (select receipt_id, channel from b_receipt group by 1, 2) p on ri.receipt_id = p.receipt_id"""),
+    "j06_churned_ids": with_views(f"""select distinct bd.customer_id from b_line bd
+left join (select distinct customer_id cid from b_line where {TRAIL_12} and status in (3, 4) and total_amount > 0) c
+  on bd.customer_id = c.cid
+where {TRAIL_13_1} and status in (3, 4) and total_amount > 0 and c.cid is null and bd.customer_id is not null"""),
+    "a07_first_receipts": with_views("""select customer_id, min(receipt_id) first_receipt, min(transaction_date) first_date
+from b_receipt where receipt_type in (0, 1, 2) and approved = true and amount > 0 and channel is null group by 1"""),
+    "a08_customer_span": with_views("""select customer_id, min(accepted_date) first_transaction_date,
+  max(accepted_date) latest_transaction_date from lr
+where status in (3, 4) and channel is null and total_amount > 0 and is_freight = false and is_protection = false
+group by all""", {"lr": SM.LINE_RECEIPT}),
+    "a13_order_products": with_views("""select customer_id, receipt_id, accepted_date transaction_date, product_id,
+  company_id seller_key, round(sum(total_amount), 2) product_revenue from lr
+where status in (3, 4) and channel is null and total_amount > 0 and is_freight = false and is_protection = false
+group by all""", {"lr": SM.LINE_RECEIPT}),
+    "p03_catalogue": with_views("select * from ma_stats", SM.A_EXTRA),
+    "p08_line_economics": with_views("""select line_id, product_id, order_type, type_text,
+  cast(round(cast(total_amount / 1.1 as decimal(38, 6)), 4) as double) total_ex_tax,
+  cast(round(cast(n as decimal(38, 6)), 4) as double) net_ex_tax,
+  cast(round(cast(commission_fee as decimal(38, 6)), 4) as double) commission_fee
+from (select bd.*, case when c.gst_registered = true or order_type in (9, 10, 11) then company_pay_price * qty / 1.1
+       else company_pay_price * qty end n, (customer_price - company_pay_price) * qty commission_fee,
+  """ + TYPE_TEXT + """ type_text
+  from b_line bd left join b_company c on bd.company_id = c.company_id) x"""),
 }

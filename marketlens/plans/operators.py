@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import calendar as cal
 from marketlens.functions import expressions as X
+from marketlens.operators import aggregates as A
 from marketlens.operators import filters as Fl
 from marketlens.operators import joins as J
 from marketlens.operators import windows as W
@@ -121,3 +122,50 @@ def f03_local_windows(t: Tables, today: dt.date = AS_OF) -> DataFrame:
                  .select("accepted_date", "amount",
                          *[cal.between(d, win[k]).alias(f"in_{k}") for k in
                            ("this_week", "last_4w", "ytd", "last_12m", "prefilter")]))
+
+
+def j01_with_receipt(t: Tables) -> DataFrame:
+    """Every order line with its receipt and the receipt's channel(s)."""
+    return J.with_receipt(t.lines.select("line_id", "product_id", "total_amount"), t.bridge, t.receipts)
+
+
+def j06_churned_ids(t: Tables, as_of: dt.date = AS_OF) -> DataFrame:
+    """Customers active in the year to last month but not in the trailing year (anti-join)."""
+    done = Fl.completed_sales(t.lines)
+    prev = done.filter(cal.in_months("accepted_date", as_of, 13, 1)).select("customer_id")
+    cur = done.filter(cal.in_months("accepted_date", as_of, 12, 0)).select("customer_id")
+    return J.anti(prev.filter(F.col("customer_id").isNotNull()).distinct(), cur, "customer_id")
+
+
+def a07_first_receipts(t: Tables) -> DataFrame:
+    """A7 (before the window filter): first approved own-site receipt and date per customer."""
+    r = Fl.own_channel(Fl.approved_receipts(t.receipts, positive=True))
+    return r.groupBy("customer_id").agg(F.min("receipt_id").alias("first_receipt"),
+                                        F.min("transaction_date").alias("first_date"))
+
+
+def a08_customer_span(t: Tables) -> DataFrame:
+    """First and latest completed own-site product purchase per customer."""
+    lines = Fl.product_lines(Fl.completed_sales(t.lines))
+    df = Fl.own_channel(J.with_receipt(lines, t.bridge, t.receipts))
+    return A.customer_span(df, "customer_id", "accepted_date")
+
+
+def a13_order_products(t: Tables) -> DataFrame:
+    """Channel-1 revenue per (customer, receipt, date, product, seller)."""
+    from marketlens.plans.cohort import channel1_order_products
+    op = channel1_order_products(t)
+    return op.select(*[c for c in op.columns if c != "product_revenue"],
+                     F.round("product_revenue", 2).alias("product_revenue"))
+
+
+def p03_catalogue(t: Tables) -> DataFrame:
+    """P3 + J2 + J5 + F12 + P9: channel-A subscribed catalogue with variant-else-parent fields."""
+    return M.catalogue(t, M.subscription_status(t, CHANNEL_A))
+
+
+def p08_line_economics(t: Tables) -> DataFrame:
+    """Ex-tax amount, net payable and commission of every line, with its type label."""
+    e = X.line_economics(t.lines.join(t.company.select("company_id", "gst_registered"), "company_id", "left"))
+    return e.select("line_id", "product_id", "order_type", X.classify_order_type().alias("type_text"),
+                    *[X.money_round(c, 4).alias(c) for c in ("total_ex_tax", "net_ex_tax", "commission_fee")])

@@ -70,6 +70,13 @@ OPERATORS: dict[str, QueryFn] = {
     "a14_windowed_sales": _report(ops.a14_windowed_sales),
     "o04_live_promotions": _report(ops.o04_live_promotions),
     "f03_local_windows": _report(ops.f03_local_windows),
+    "j01_with_receipt": _report(ops.j01_with_receipt),
+    "j06_churned_ids": _report(ops.j06_churned_ids),
+    "a07_first_receipts": _report(ops.a07_first_receipts),
+    "a08_customer_span": _report(ops.a08_customer_span),
+    "a13_order_products": _report(ops.a13_order_products),
+    "p03_catalogue": _report(ops.p03_catalogue),
+    "p08_line_economics": _report(ops.p08_line_economics),
     "w06_running_totals": _report(coh.running_basket_totals),
     "w09_top_product_per_brand": _report(coh.top_products_by_brand),
 }
