@@ -30,7 +30,7 @@ from marketlens.operators import setops as O
 from marketlens.operators import windows as W
 from marketlens.params import AS_OF, CHANNEL_A, CHANNEL_B, URL_PREFIX
 from marketlens.sources.literal import latest_snapshot
-from marketlens.sources.publish import materialize
+from marketlens.sources.publish import materialize, stage
 from marketlens.sources.tables import Tables
 
 
@@ -258,7 +258,7 @@ def promo_compliance(t: Tables, strict: bool = False) -> DataFrame:
                        F.col("promo_price").alias("promotional_price"),
                        F.col("start_date").alias("promotion_start_date"),
                        "last_price_change_date", "last_stock_oos_date")
-    snap = daily_sell_price(t)
+    snap = stage(daily_sell_price(t), "sell_price")  # K5: read by the three lookback joins
     j = J.lookback(base, snap, "promotion_start_date", LOOKBACKS, "product_id", "variant_id",
                    "run_date", "product_id", "variant_key", "product_sell_price",
                    out="sell_price_lb{d}", lookback_col="lookback_{d}days", key_cast="string")

@@ -21,14 +21,13 @@ def publish(df: DataFrame, path: str, partition_col: str, cluster_col: str, mode
        .write.mode(mode).partitionBy(partition_col).parquet(path))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """K5: a named intermediate that is read several times.
+def stage(df: DataFrame, name: str, how: str | None = None) -> DataFrame:
+    """K5: a named intermediate read several times (a script's temp table).
 
-    Registered as a temp view for SQL use and persisted (memory, spilling to
-    disk) so the lookback joins reuse one computation; the cache is rebuilt
-    from lineage if an executor is lost.
+    Materialized once (see ``materialize``) and registered as a temp view
+    for SQL use.
     """
-    staged = df.persist()
+    staged = materialize(df, how)
     staged.createOrReplaceTempView(name)
     return staged
 
