@@ -77,15 +77,6 @@ def pivot_sums(df: DataFrame, index: Sequence[str], pivot_col: str, values: Sequ
     return df.groupBy(*index).agg(*aggs)
 
 
-def wide_sums(preds: Mapping[str, Column], x: Column | str, digits: int | None = 2) -> list[Column]:
-    """One ROUND(SUM(CASE WHEN pred THEN x END), digits) per output name."""
-    out = []
-    for name, p in preds.items():
-        s = F.sum(F.when(p, col(x)))
-        out.append((F.round(s, digits) if digits is not None else s).alias(name))
-    return out
-
-
 def order_product_grain(df: DataFrame, keys: Sequence[str], amount: str = "total_amount",
                         out: str = "product_revenue") -> DataFrame:
     """SUM(amount) per (customer, receipt, date, product, seller, ...)."""
@@ -94,4 +85,4 @@ def order_product_grain(df: DataFrame, keys: Sequence[str], amount: str = "total
 
 def windowed_metrics(df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """Many (predicate, value) conditional sums in one pass per key."""
-    return df.groupBy(*keys).agg(*[F.sum(F.when(p, v)).alias(n) for n, (p, v) in measures.items()])
+    return df.groupBy(*keys).agg(*[X.cond_sum(p, v).alias(n) for n, (p, v) in measures.items()])

@@ -63,10 +63,9 @@ def channel2_order_products(t: Tables, extra: Sequence[str] = ()) -> DataFrame:
                      F.col("order_date").alias("transaction_date"), "product_id", "external_product_id",
                      F.col("l_suppkey").alias("seller_id"))
             .agg(F.sum("gmv").alias("product_revenue")))
-    cols = ["company_id", *extra]
-    prod = t.product.select(F.col("product_id").cast("string").alias("__ext"), *cols)
-    op = op.join(prod, op.external_product_id == prod["__ext"], "left").drop("__ext")
-    return op.withColumnRenamed("company_id", "seller_key")
+    prod = t.product.select(F.col("product_id").alias("__pid"), F.col("company_id").alias("seller_key"), *extra)
+    op = J.cast_join(op, prod, {"external_product_id": "__pid"}, "string")
+    return op.drop("__pid")
 
 
 def channel3_order_products(t: Tables, extra: Sequence[str] = ()) -> DataFrame:
@@ -80,8 +79,8 @@ def channel3_order_products(t: Tables, extra: Sequence[str] = ()) -> DataFrame:
             .agg(F.sum("line_total").alias("product_revenue")))
     if not extra:
         return op
-    prod = t.product.select(F.col("product_id").cast("string").alias("__ext"), *extra)
-    return op.join(prod, op.product_id.cast("string") == prod["__ext"], "left").drop("__ext")
+    prod = t.product.select(F.col("product_id").alias("__pid"), *extra)
+    return J.cast_join(op, prod, {"product_id": "__pid"}, "string").drop("__pid")
 
 
 def _with_product_attrs(t: Tables, op: DataFrame, extra: Sequence[str], key: str) -> DataFrame:

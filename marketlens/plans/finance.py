@@ -224,7 +224,7 @@ def profit_margin(t: Tables, end: dt.date = ROLLING_END, tax: float = TAX,
     gp = F.try_subtract(F.try_add(F.col("ttv_commission"), F.col("other_incomes")), F.col("other_deductions"))
     return (m.select("*", gp.alias("gross_profit"),
                      F.try_divide(gp, F.try_add(F.col("gtv_exgst"), F.col("other_incomes"))).alias("profit_margin"))
-             .orderBy(F.right(F.col("sale_month"), F.lit(4)), "sale_month_counter"))
+             .transform(lambda d: O.order_months(d, "sale_month", "sale_month_counter")))
 
 
 # ---- R16: sales by state -----------------------------------------------------------
@@ -243,11 +243,15 @@ def sales_by_state(t: Tables, end: dt.date = ROLLING_END, tax: float = TAX) -> D
                          "total_amount", "qty", "is_protection", "is_freight")
     not_prot = F.col("is_protection") == F.lit(False)
     not_freight = F.col("is_freight") == F.lit(False)
-    aggs = []
+    amt = F.col("total_amount")
+    wide = A.pivot_sums(df, ["month_year"], "state", X.STATE_PIVOT, {
+        "gmv_exgst": F.when(not_prot, amt), "gtv_exgst": amt,
+        "units_sold": F.when(not_prot & not_freight, F.col("qty"))},
+        name=lambda m, v: f"__{m}_{v.replace(' ', '_')}")
+    out = ["month_year"]
     for st in X.STATE_PIVOT:
-        here = F.col("state") == F.lit(st)
-        suffix = st.replace(" ", "_")
-        aggs += [F.round(F.sum(F.when(here & not_prot, F.col("total_amount"))) / F.lit(tax), 2).alias(f"gmv_exgst_{suffix}"),
-                 F.round(F.sum(F.when(here, F.col("total_amount"))) / F.lit(tax), 2).alias(f"gtv_exgst_{suffix}"),
-                 F.sum(F.when(here & not_prot & not_freight, F.col("qty"))).alias(f"units_sold_{suffix}")]
-    return df.groupBy("month_year").agg(*aggs)
+        sfx = st.replace(" ", "_")
+        out += [F.round(F.col(f"__gmv_exgst_{sfx}") / F.lit(tax), 2).alias(f"gmv_exgst_{sfx}"),
+                F.round(F.col(f"__gtv_exgst_{sfx}") / F.lit(tax), 2).alias(f"gtv_exgst_{sfx}"),
+                F.col(f"__units_sold_{sfx}").alias(f"units_sold_{sfx}")]
+    return wide.select(*out)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import calendar as cal
 from marketlens.functions import compliance as C
 from marketlens.functions import expressions as X
+from marketlens.operators import aggregates as A
 from marketlens.operators import filters as Fl
 from marketlens.operators import joins as J
 from marketlens.operators import setops as O
@@ -48,12 +49,12 @@ def catalogue(t: Tables, subscribed: DataFrame) -> DataFrame:
                          F.col("sell_price").alias("v_sell_price"))
     sellers = Fl.active_sellers(t.company).select("company_id", F.col("description").alias("seller_name"))
     j = p.join(v, "product_id", "left").join(sellers, "company_id", "inner")
+    j = X.fallback(j, {"product_sku": ("v_sku", "sku"), "product_sell_price": ("v_sell_price", "sell_price")})
     return j.select(
         F.col("company_id").alias("seller_id"), "seller_name", "product_id", "product_name",
         F.concat(F.lit(URL_PREFIX), F.col("sku")).alias("product_url"),
         "variant_id", F.col("brand").alias("brand_name"), F.col("level1").alias("category"),
-        F.coalesce("v_sku", "sku").alias("product_sku"),
-        F.coalesce("v_sell_price", "sell_price").alias("product_sell_price"),
+        "product_sku", "product_sell_price",
         F.col("rrp").alias("product_retail_price"), F.col("stock").alias("product_stock_level"),
         F.col("created").alias("product_created_date"))
 
@@ -145,8 +146,8 @@ def windowed_sales_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL_A
         "chan_units_ytd": (in_chan & cal.between(d, win["ytd"]) & unit_ok, qty),
         "all_units_l12m": (cal.between(d, win["last_12m"]) & unit_ok, qty),
     }
-    base_sales = (sales.groupBy("product_id", "parent_product_id", "variant_id", "parent_variant_id", "company_id")
-                  .agg(*[F.sum(F.when(p, v)).alias(n) for n, (p, v) in measures.items()]))
+    base_sales = A.windowed_metrics(
+        sales, ["product_id", "parent_product_id", "variant_id", "parent_variant_id", "company_id"], measures)
     return J.add_parent_metrics(base_sales, "product_id", "variant_id", "parent_product_id",
                                 "parent_variant_id", list(measures),
                                 keep=["product_id", "variant_id", "company_id"])
@@ -165,13 +166,13 @@ def catalogue_master_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
     cat = materialize(catalogue_a(t, channel))  # read by the sales filter and the final assembly
     consolidated = windowed_sales_a(t, today, channel, prefilter_weeks, cat)
     measures = SALES_A
-    promos = live_promotions(t, today, with_secondary=True)
-    out = J.null_safe_join(cat, promos, ["product_id", "seller_id"], ["variant_id"])
-    out = J.null_safe_join(out, consolidated.withColumnRenamed("company_id", "seller_id"),
-                           ["product_id", "seller_id"], ["variant_id"])
-    out = J.null_safe_join(out, last_price_change(t), ["product_id"], ["variant_id"])
-    out = J.null_safe_join(out, last_stock_out(t), ["product_id"], ["variant_id"])
-    out = out.join(mps, "product_id", "left")
+    out = J.assemble(cat, [
+        (live_promotions(t, today, with_secondary=True), ["product_id", "seller_id"], ["variant_id"]),
+        (consolidated.withColumnRenamed("company_id", "seller_id"), ["product_id", "seller_id"], ["variant_id"]),
+        (last_price_change(t), ["product_id"], ["variant_id"]),
+        (last_stock_out(t), ["product_id"], ["variant_id"]),
+        (mps, ["product_id"], []),
+    ])
     g = [F.round(n, 3).alias(n) for n in measures if "gmv" in n]
     u = [F.col(n) for n in measures if "units" in n]
     return out.select(
