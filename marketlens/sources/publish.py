@@ -21,6 +21,22 @@ def publish(df: DataFrame, path: str, partition_col: str, cluster_col: str, mode
        .write.mode(mode).partitionBy(partition_col).parquet(path))
 
 
+def publish_table(df: DataFrame, table: str, path: str, partition_col: str, cluster_col: str,
+                  buckets: int, mode: str = "overwrite") -> DataFrame:
+    """K2 as a catalog table: partitioned by ``partition_col`` and bucketed +
+    sorted by ``cluster_col`` (Spark's form of CLUSTER BY).
+
+    Readers that join or aggregate on ``cluster_col`` with the same bucket
+    count skip the shuffle of this side. Data files live under ``path``
+    (a shared folder); the table is registered in the session catalog.
+    """
+    (df.write.mode(mode).option("path", path)
+       .partitionBy(partition_col)
+       .bucketBy(buckets, cluster_col).sortBy(cluster_col)
+       .saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def stage(df: DataFrame, name: str, how: str | None = None) -> DataFrame:
     """K5: a named intermediate read several times (a script's temp table).
 

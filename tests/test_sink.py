@@ -20,3 +20,25 @@ def test_publish_roundtrip(spark, tables_small):
     # re-publishing the same run date replaces that partition only
     publish(df, path, "report_run_date", "product_id")
     assert spark.read.parquet(path).count() == df.count()
+
+
+def test_bucketed_publish_joins_without_shuffle(spark, tables_small):
+    from pyspark.sql import functions as F
+
+    from marketlens.sources.publish import publish_table
+    df = merch.catalogue_master_b(tables_small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = publish_table(df, "cat_b_bucketed_a", scratch_path(spark, "bucketed-a"), "report_run_date",
+                          "product_id", 8)
+        b = publish_table(df.select("report_run_date", "product_id", F.col("chan_gmv_l4w").alias("g")),
+                          "cat_b_bucketed_b", scratch_path(spark, "bucketed-b"), "report_run_date", "product_id", 8)
+        assert a.count() == df.count()
+        j = a.join(b.select("product_id", "g"), "product_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, plan
+        assert j.count() == df.join(df.select("product_id"), "product_id").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table if exists cat_b_bucketed_a")
+        spark.sql("drop table if exists cat_b_bucketed_b")
