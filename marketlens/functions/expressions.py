@@ -141,6 +141,38 @@ def line_economics(df: DataFrame, tax: float = TAX, gst_col: str = "gst_register
     )
 
 
+# ---- P10 ------------------------------------------------------------------------
+def stamp(today, window: tuple) -> list[Column]:
+    """P10: report run date and sales window bounds, the same on every row."""
+    return [F.lit(today).alias("report_run_date"), F.lit(window[0]).alias("sales_start_date"),
+            F.lit(window[1]).alias("sales_end_date")]
+
+
+# ---- P13 ------------------------------------------------------------------------
+def profit_metrics(df: DataFrame) -> DataFrame:
+    """Margin, other incomes and deductions, gross profit and profit margin
+    from the rounded monthly sums (rounding first, as the original does).
+
+    A NULL lead-generation revenue leaves other_incomes, gross_profit and
+    profit_margin NULL.
+    """
+    other_inc = F.round(F.col("revenue") + F.col("freightprotection_exgst")
+                        + F.col("transaction_fee_based_commission_exgst")
+                        + F.col("subscription_fee_based_commission_exgst")
+                        + F.col("refund_fee_based_commission_exgst"), 2)
+    m = df.select(
+        "sale_month", "sale_month_counter", "ttv_commission", "gtv_exgst",
+        (F.round(F.try_divide(F.col("ttv_commission"), F.col("gtv_exgst")), 3) * 100).alias("margin"),
+        other_inc.alias("other_incomes"),
+        F.round(F.try_add(F.abs("refund_exgst"), F.abs("coupon_sales_exgst")), 2).alias("other_deductions"),
+        "transaction_fee_based_commission_exgst", "subscription_fee_based_commission_exgst",
+        "refund_fee_based_commission_exgst", "refund_exgst", "freightprotection_exgst",
+        "coupon_sales_exgst", "gmv_exgst", F.col("revenue").alias("lead_gen_revenue"))
+    gp = F.try_subtract(F.try_add(F.col("ttv_commission"), F.col("other_incomes")), F.col("other_deductions"))
+    return m.select("*", gp.alias("gross_profit"),
+                    F.try_divide(gp, F.try_add(F.col("gtv_exgst"), F.col("other_incomes"))).alias("profit_margin"))
+
+
 # ---- P12 / P14 ------------------------------------------------------------------
 def customer_type(first: Column | str, last: Column | str) -> Column:
     """P12: 'New Customer' when last <= first, else (also with NULLs) 'Returning Customer'."""

@@ -126,6 +126,16 @@ def running_totals(df: DataFrame, part: Sequence[str], order: str,
     return _join_back(df, per, [*part, order])
 
 
+def party_mix(df: DataFrame, part: Sequence[str], order: str, is_house: Column) -> DataFrame:
+    """Running party mix of ``part`` ordered by ``order`` (RANGE frame), as
+    containment flags mix_has_1p / mix_has_3p (the original's '1P,3P' list is only
+    ever tested with LIKE). NULL ``is_house`` counts as 3P."""
+    return running_totals(df, part, order, {
+        "mix_has_1p": ("max", F.when(is_house, 1).otherwise(0)),
+        "mix_has_3p": ("max", F.when(is_house, 0).otherwise(1)),
+    })
+
+
 def top_per_group(df: DataFrame, group: str, measure: str, tiebreak: Sequence[str], k: int) -> DataFrame:
     """Best row of each group by ``measure`` desc, then the ``k`` best groups."""
     w = Window.partitionBy(group).orderBy(F.desc(measure), *tiebreak)

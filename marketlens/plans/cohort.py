@@ -274,9 +274,8 @@ def running_basket_totals(t: Tables, first_since: dt.date | None = FIRST_SINCE)
         "transaction_3p_products": ("count", F.when(~h, F.col("product_id"))),
         "transaction_revenue_1p_products": ("sum", F.when(h, rev)),
         "transaction_revenue_3p_products": ("sum", F.when(~h, rev)),
-        "mix_has_1p": ("max", F.when(h, 1).otherwise(0)),
-        "mix_has_3p": ("max", F.when(h, 0).otherwise(1)),
     })
+    per_receipt = W.party_mix(per_receipt, ["customer_id", "receipt_id"], "transaction_date", h)
     lifetime = W.running_totals(per_receipt, ["customer_id"], "transaction_date", {
         "customer_lifetime_revenue": ("sum", rev),
         "customer_lifetime_transactions": ("count", F.col("receipt_id")),

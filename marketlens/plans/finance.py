@@ -209,22 +209,7 @@ def profit_margin(t: Tables, end: dt.date = ROLLING_END, tax: float = TAX,
     lg = literal_table(spark, lead_gen if lead_gen is not None else lead_gen_months(),
                        "month_year string, revenue double")
     j = J.broadcast_lookup(base, lg, base.sale_month == lg.month_year)
-    other_inc = F.round(F.col("revenue") + F.col("freightprotection_exgst")
-                        + F.col("transaction_fee_based_commission_exgst")
-                        + F.col("subscription_fee_based_commission_exgst")
-                        + F.col("refund_fee_based_commission_exgst"), 2)
-    m = j.select(
-        "sale_month", "sale_month_counter", "ttv_commission", "gtv_exgst",
-        (F.round(F.try_divide(F.col("ttv_commission"), F.col("gtv_exgst")), 3) * 100).alias("margin"),
-        other_inc.alias("other_incomes"),
-        F.round(F.try_add(F.abs("refund_exgst"), F.abs("coupon_sales_exgst")), 2).alias("other_deductions"),
-        "transaction_fee_based_commission_exgst", "subscription_fee_based_commission_exgst",
-        "refund_fee_based_commission_exgst", "refund_exgst", "freightprotection_exgst",
-        "coupon_sales_exgst", "gmv_exgst", F.col("revenue").alias("lead_gen_revenue"))
-    gp = F.try_subtract(F.try_add(F.col("ttv_commission"), F.col("other_incomes")), F.col("other_deductions"))
-    return (m.select("*", gp.alias("gross_profit"),
-                     F.try_divide(gp, F.try_add(F.col("gtv_exgst"), F.col("other_incomes"))).alias("profit_margin"))
-             .transform(lambda d: O.order_months(d, "sale_month", "sale_month_counter")))
+    return O.order_months(X.profit_metrics(j), "sale_month", "sale_month_counter")
 
 
 # ---- R16: sales by state -----------------------------------------------------------

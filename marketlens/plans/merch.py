@@ -176,8 +176,7 @@ def catalogue_master_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
     g = [F.round(n, 3).alias(n) for n in measures if "gmv" in n]
     u = [F.col(n) for n in measures if "units" in n]
     return out.select(
-        F.lit(today).alias("report_run_date"), F.lit(win["last_4w"][0]).alias("sales_start_date"),
-        F.lit(win["last_4w"][1]).alias("sales_end_date"),
+        *X.stamp(today, win["last_4w"]),
         "seller_id", "seller_name", "product_id", "product_name", "product_url", "variant_id", "brand_name",
         "category", "product_sku", "product_sell_price", "product_retail_price", "product_stock_level",
         "product_created_date", "parent_product_id", "parent_variant_id", "product_id_mod", "variant_id_mod",
@@ -225,8 +224,7 @@ def catalogue_master_b(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
         "listing_published", "listing_seller_name", "promotional_price", "commission_percentage",
         "promotion_start_date", "promotion_end_date",
         *[F.round(c, 3).alias(c) for c in ("chan_gmv_l4w", "chan_units_l4w", "all_gmv_l4w", "all_units_l4w")],
-        F.lit(today).alias("report_run_date"), F.lit(win["last_4w"][0]).alias("sales_start_date"),
-        F.lit(win["last_4w"][1]).alias("sales_end_date"))
+        *X.stamp(today, win["last_4w"]))
 
 
 # ---- R19: promotion price compliance -------------------------------------------
