@@ -38,7 +38,7 @@ def with_transaction_rank(df: DataFrame, part: Sequence[str], date_col: str,
     one row per distinct date in the window.
     """
     days = df.select(*part, date_col).distinct()
-    ranked = days.withColumn(out, F.dense_rank().over(Window.partitionBy(*part).orderBy(date_col)))
+    ranked = days.withColumn(out, F.dense_rank().over(Window.partitionBy(*part).orderBy(date_col)).cast("long"))
     return _join_back(df, ranked, [*part, date_col])
 
 

@@ -196,7 +196,7 @@ def profit_margin(t: Tables, end: dt.date = ROLLING_END, tax: float = TAX,
         return F.sum(F.when(cond, z).otherwise(x) if neg else F.when(cond, x).otherwise(z))
 
     base = (e.groupBy(cal.month_label("accepted_date", "long").alias("sale_month"),
-                      F.month("accepted_date").alias("sale_month_counter"))
+                      F.month("accepted_date").cast("long").alias("sale_month_counter"))
              .agg(F.round(zs(s > 0, s) - zs((s < 0) | ot.isin(*X.FEE_TYPES), n, neg=True), 2).alias("ttv_commission"),
                   F.round(zs(ot == 9, comm), 2).alias("transaction_fee_based_commission_exgst"),
                   F.round(zs(ot == 10, comm), 2).alias("subscription_fee_based_commission_exgst"),

@@ -30,3 +30,12 @@ def test_entry_smoke(spark):
     rows = entry(spark).collect()
     assert [r["Period"] for r in rows] == ["This Month", "Last Month"]
     assert all(r["active_users"] >= 0 for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, con, name):
+    from tools.type_check import SPARK_TO_DUCK
+    df = QUERIES[name](spark, SF_SMALL)
+    st = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType)) for f in df.schema.fields}
+    rel = con.sql(SQL[name])
+    assert st == {n: str(t) for n, t in zip(rel.columns, rel.types)}
