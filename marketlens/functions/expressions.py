@@ -66,9 +66,9 @@ STATE_PIVOT = ["Victoria", "Western Australia", "Australian Capital Territory",
 # FIXED VALUES: client type -> platform (P6); other codes give NULL.
 PLATFORM_RULES = [([0], "web"), ([1, 2, 3], "app")]
 
-# Order types whose amounts are fees rather than goods.
+# FIXED VALUES: order types whose amounts are fees rather than goods.
 FEE_TYPES = (9, 10, 11)
-# Order types excluded from "product" GTV/NTV besides freight protection.
+# FIXED VALUES: order types excluded from "product" GTV/NTV besides freight protection.
 NON_PRODUCT_TYPES = (9, 10, 11, 5, 4)
 
 

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# FIXED VALUES: completed order-line statuses and countable receipt types.
 COMPLETED_STATUSES = (3, 4)
 RECEIPT_TYPES = (0, 1, 2)
 
