@@ -47,13 +47,16 @@ def active_customers(t: Tables, as_of: dt.date = AS_OF) -> DataFrame:
 def active_this_vs_last(t: Tables, as_of: dt.date = AS_OF) -> DataFrame:
     """Active customers for the trailing year ('This Month') and the one a month earlier.
 
-    One scan over the union window (13, 0) and two conditional distinct
-    counts, unpivoted to two labelled rows.
+    One scan over the union window (13, 0), one partially aggregated pass
+    per customer flagging the two windows (no Expand of the rows for two
+    DISTINCT counts), two counts, unpivoted to two labelled rows.
     """
     df = _own_sales(t, cal.in_months("accepted_date", as_of, 13, 0))
-    wide = df.agg(
-        X.cond_distinct(cal.in_months("accepted_date", as_of, 12, 0), "customer_id").alias("this_month"),
-        X.cond_distinct(cal.in_months("accepted_date", as_of, 13, 1), "customer_id").alias("last_month"))
+    per = (df.filter(F.col("customer_id").isNotNull()).groupBy("customer_id")
+             .agg(F.max(cal.in_months("accepted_date", as_of, 12, 0).cast("int")).alias("cur"),
+                  F.max(cal.in_months("accepted_date", as_of, 13, 1).cast("int")).alias("prev")))
+    wide = per.agg(F.count(F.when(F.col("cur") == 1, 1)).alias("this_month"),
+                   F.count(F.when(F.col("prev") == 1, 1)).alias("last_month"))
     return O.stack_periods(wide, {"This Month": "this_month", "Last Month": "last_month"},
                            label="Period", value="active_users")
 
