@@ -190,3 +190,20 @@ def test_split_lag_equals_plain_window(spark):
     ch = plain.join(df, "eid").filter(F.col("prev").isNotNull() & (F.abs(F.col("price") - F.col("prev")) > 0))
     want = {(r.k, r.v): r.lc for r in ch.groupBy("k", "v").agg(F.max("d").alias("lc")).collect()}
     assert {(r.k, r.v): r.lc for r in lc.collect()} == want
+
+
+def test_empty_window_counts_zero(tables_small):
+    from marketlens.plans import finance
+    assert finance.active_customers(tables_small, as_of=D(2031, 1, 15)).collect()[0][0] == 0
+    assert [r.active_users for r in finance.active_this_vs_last(tables_small, as_of=D(2031, 1, 15)).collect()] == [0, 0]
+
+
+def test_pivot_keeps_month_with_only_unknown_state(spark):
+    from marketlens.operators import aggregates as A
+    df = spark.createDataFrame([("May-1996", "Unknown", 5.0), ("June-1996", "Victoria", 2.0)],
+                               "month_year string, state string, amount double")
+    out = {r.month_year: r for r in A.pivot_sums(df, ["month_year"], "state", X.STATE_PIVOT,
+                                                 {"gtv": F.col("amount")}).collect()}
+    assert set(out) == {"May-1996", "June-1996"}  # Q14: the month row stays
+    assert out["May-1996"]["gtv_Victoria"] is None and out["June-1996"]["gtv_Victoria"] == 2.0
+    assert "gtv_Unknown" not in out["May-1996"].asDict()
