@@ -67,22 +67,23 @@ where first_date >= date '1996-06-01' and first_date < date '1996-07-01'"""),
   where approved = true and receipt_type in (0, 1, 2) and channel is null group by customer_id) a
 where first_date >= date '1996-06-01' and first_date < date '1996-07-01'"""),
     "r07_category_month": with_views(
-        """select level1 "Level1", strftime(sale_date, '%b %Y') "SalesMonth", round(sum(revenue), 2) revenue,
-  round(sum(margin), 2) margin from b_performance
+        """select level1 "Level1", strftime(sale_date, '%b %Y') "SalesMonth",
+  cast(round(sum(cast(revenue as decimal(38, 6))), 2) as double) revenue,
+  cast(round(sum(cast(margin as decimal(38, 6))), 2) as double) margin from b_performance
 where sale_date >= date '1996-06-01' and sale_date < date '1996-07-01' group by all order by 3 desc"""),
     "r08_seller_ledger": with_views(
         f"""select strftime(date_trunc('month', accepted_date), '%b %Y') "SalesMonth", c_id "CompanyId", company_name "CompanyName",
-  round(sum(case when s > 0 then s else 0 end), 2) "GTV",
-  round(sum(case when s > 0 then (case when order_type in (9, 10, 11, 5, 4) or type_text = 'FreightProtection' then 0 else s end) else 0 end), 2) "ProductGTV",
-  round(sum(case when s <> 0 then s else 0 end), 2) "NTV",
-  round(sum(case when s <> 0 then (case when order_type in (9, 10, 11, 5, 4) or type_text = 'FreightProtection' then 0 else s end) else 0 end), 2) "ProductNTV",
-  round(sum(case when s < 0 or order_type in (9, 10, 11) then 0 else n end), 2) "NetAmountExGSTGTV",
-  round(sum(case when order_type in (9, 10, 11, 5, 4) or type_text = 'FreightProtection' or s < 0 or order_type in (9, 10, 11) then 0 else n end), 2) "ProductNetAmountExGSTGTV",
-  round(sum(case when order_type in (9, 10, 11) then 0 else n end), 2) "NetAmountExGSTNTV",
-  round(sum(case when order_type in (9, 10, 11, 5, 4) or type_text = 'FreightProtection' then 0 else n end), 2) "ProductNetAmountExGSTNTV",
-  round(sum(case when order_type = 9 then commission_fee / 1.1 else 0 end), 2) "TransactionFeeBasedCommissionExGST",
-  round(sum(case when order_type = 10 then commission_fee / 1.1 else 0 end), 2) "SubscriptionFeeBasedCommissionExGST",
-  round(sum(case when order_type = 11 then commission_fee / 1.1 else 0 end), 2) "RefundFeeBasedCommissionExGST"
+  cast(round(sum(cast(case when s > 0 then s else 0 end as decimal(38, 6))), 2) as double) "GTV",
+  cast(round(sum(cast(case when s > 0 then (case when order_type in (9, 10, 11, 5, 4) or type_text = 'FreightProtection' then 0 else s end) else 0 end as decimal(38, 6))), 2) as double) "ProductGTV",
+  cast(round(sum(cast(case when s <> 0 then s else 0 end as decimal(38, 6))), 2) as double) "NTV",
+  cast(round(sum(cast(case when s <> 0 then (case when order_type in (9, 10, 11, 5, 4) or type_text = 'FreightProtection' then 0 else s end) else 0 end as decimal(38, 6))), 2) as double) "ProductNTV",
+  cast(round(sum(cast(case when s < 0 or order_type in (9, 10, 11) then 0 else n end as decimal(38, 6))), 2) as double) "NetAmountExGSTGTV",
+  cast(round(sum(cast(case when order_type in (9, 10, 11, 5, 4) or type_text = 'FreightProtection' or s < 0 or order_type in (9, 10, 11) then 0 else n end as decimal(38, 6))), 2) as double) "ProductNetAmountExGSTGTV",
+  cast(round(sum(cast(case when order_type in (9, 10, 11) then 0 else n end as decimal(38, 6))), 2) as double) "NetAmountExGSTNTV",
+  cast(round(sum(cast(case when order_type in (9, 10, 11, 5, 4) or type_text = 'FreightProtection' then 0 else n end as decimal(38, 6))), 2) as double) "ProductNetAmountExGSTNTV",
+  cast(round(sum(cast(case when order_type = 9 then commission_fee / 1.1 else 0 end as decimal(38, 6))), 2) as double) "TransactionFeeBasedCommissionExGST",
+  cast(round(sum(cast(case when order_type = 10 then commission_fee / 1.1 else 0 end as decimal(38, 6))), 2) as double) "SubscriptionFeeBasedCommissionExGST",
+  cast(round(sum(cast(case when order_type = 11 then commission_fee / 1.1 else 0 end as decimal(38, 6))), 2) as double) "RefundFeeBasedCommissionExGST"
 from (select bd.*, c.company_id c_id, c.description company_name, {ECON}, {TYPE_TEXT} type_text
       from b_line bd left join b_company c on bd.company_id = c.company_id
       where {LAST_MONTH} and status in (3, 4)) x
@@ -122,15 +123,15 @@ from (
    revenue lead_gen_revenue
  from (
   select strftime(accepted_date, '%B-%Y') sale_month, month(accepted_date) sale_month_counter,
-    round(sum(case when s > 0 then s else 0 end) - sum(case when s < 0 or order_type in (9, 10, 11) then 0 else n end), 2) ttv_commission,
-    round(sum(case when order_type = 9 then commission_fee / 1.1 else 0 end), 2) transaction_fee_based_commission_exgst,
-    round(sum(case when order_type = 10 then commission_fee / 1.1 else 0 end), 2) subscription_fee_based_commission_exgst,
-    round(sum(case when order_type = 11 then commission_fee / 1.1 else 0 end), 2) refund_fee_based_commission_exgst,
-    round(sum(case when type_text = 'RefundMoney' then commission_fee / 1.1 else 0 end), 2) refund_exgst,
-    round(sum(case when type_text = 'FreightProtection' then commission_fee / 1.1 else 0 end), 2) freightprotection_exgst,
-    round(sum(case when type_text = 'CouponApplied' then s else 0 end), 2) coupon_sales_exgst,
-    round(sum(case when s > 0 and type_text <> 'FreightProtection' then s else 0 end), 2) gmv_exgst,
-    round(sum(case when s > 0 then s else 0 end), 2) gtv_exgst
+    cast(round(sum(cast(case when s > 0 then s else 0 end as decimal(38, 6))) - sum(cast(case when s < 0 or order_type in (9, 10, 11) then 0 else n end as decimal(38, 6))), 2) as double) ttv_commission,
+    cast(round(sum(cast(case when order_type = 9 then commission_fee / 1.1 else 0 end as decimal(38, 6))), 2) as double) transaction_fee_based_commission_exgst,
+    cast(round(sum(cast(case when order_type = 10 then commission_fee / 1.1 else 0 end as decimal(38, 6))), 2) as double) subscription_fee_based_commission_exgst,
+    cast(round(sum(cast(case when order_type = 11 then commission_fee / 1.1 else 0 end as decimal(38, 6))), 2) as double) refund_fee_based_commission_exgst,
+    cast(round(sum(cast(case when type_text = 'RefundMoney' then commission_fee / 1.1 else 0 end as decimal(38, 6))), 2) as double) refund_exgst,
+    cast(round(sum(cast(case when type_text = 'FreightProtection' then commission_fee / 1.1 else 0 end as decimal(38, 6))), 2) as double) freightprotection_exgst,
+    cast(round(sum(cast(case when type_text = 'CouponApplied' then s else 0 end as decimal(38, 6))), 2) as double) coupon_sales_exgst,
+    cast(round(sum(cast(case when s > 0 and type_text <> 'FreightProtection' then s else 0 end as decimal(38, 6))), 2) as double) gmv_exgst,
+    cast(round(sum(cast(case when s > 0 then s else 0 end as decimal(38, 6))), 2) as double) gtv_exgst
   from (select x.*, {ECON}, {TYPE_TEXT} type_text from lr x left join b_company c on x.company_id = c.company_id
         where {ROLL_52} and status in (3, 4) and channel is null) ab
   group by all) base

@@ -41,7 +41,8 @@ left join mc_sp sp3 on sp3.run_date = cast(b.start_date - interval 3 day as date
     "w05_first_by": with_views("""select event_id, cast(ts as date) run_date, product_id, variant_id, price,
   first_value(price) over (partition by cast(ts as date), product_id, variant_id order by ts, event_id) first_price
 from b_price_history"""),
-    "p04_order_type_mix": with_views("""select type_text, count(*) lines, round(sum(s), 2) total_ex_tax, round(sum(n), 2) net_ex_tax
+    "p04_order_type_mix": with_views("""select type_text, count(*) lines, cast(round(sum(cast(s as decimal(38, 6))), 2) as double) total_ex_tax,
+  cast(round(sum(cast(n as decimal(38, 6))), 2) as double) net_ex_tax
 from (select total_amount / 1.1 s,
   case when c.gst_registered = true or order_type in (9, 10, 11) then company_pay_price * qty / 1.1
        else company_pay_price * qty end n,

@@ -188,6 +188,21 @@ def money_round(x: Column | str, digits: int = 2) -> Column:
     return F.round(col(x).cast("decimal(38,6)"), digits).cast("double")
 
 
+def money_total(x: Column | str) -> Column:
+    """A5/S3: exact, order-independent sum of a money expression.
+
+    Each value is fixed to 6 decimals and summed as DECIMAL, so the total
+    does not depend on the order in which partitions are combined (a double
+    sum can land on either side of a half cent). Result: decimal(38,6).
+    """
+    return F.sum(col(x).cast("decimal(38,6)"))
+
+
+def money_sum(x: Column | str, digits: int = 2) -> Column:
+    """ROUND(SUM(x), digits) computed exactly (see ``money_total``), as a double."""
+    return F.round(money_total(x), digits).cast("double")
+
+
 def safe_ratio(num: Column | str, den: Column | str, digits: int = 2) -> Column:
     """round(num / den, digits); NULL when den is 0 or NULL."""
     return money_round(F.try_divide(col(num), col(den)), digits)

@@ -136,7 +136,7 @@ def category_month(t: Tables, as_of: dt.date = AS_OF) -> DataFrame:
     """Revenue and margin per category and 'Mon yyyy', by revenue desc."""
     p = t.performance.filter(cal.in_months("sale_date", as_of, 1, 0))
     return (p.groupBy(F.col("level1").alias("Level1"), cal.month_label("sale_date", "short").alias("SalesMonth"))
-             .agg(F.round(F.sum("revenue"), 2).alias("revenue"), F.round(F.sum("margin"), 2).alias("margin"))
+             .agg(X.money_sum("revenue").alias("revenue"), X.money_sum("margin").alias("margin"))
              .orderBy(F.desc("revenue")))
 
 
@@ -154,7 +154,7 @@ def seller_ledger(t: Tables, as_of: dt.date = AS_OF, tax: float = TAX) -> DataFr
     fee = ot.isin(*X.FEE_TYPES)
 
     def zsum(x):
-        return F.round(F.sum(x), 2)
+        return X.money_sum(x)
 
     z = F.lit(0.0)
     comm = F.col("commission_fee") / F.lit(tax)
@@ -194,21 +194,24 @@ def profit_margin(t: Tables, end: dt.date = ROLLING_END, tax: float = TAX,
     comm = F.col("commission_fee") / F.lit(tax)
 
     def zs(cond, x, neg=False):
-        # SUM(IF(cond, x, 0)), or SUM(IF(cond, 0, x)) with neg=True
+        # exact SUM(IF(cond, x, 0)), or SUM(IF(cond, 0, x)) with neg=True, as decimal(38,6)
         z = F.lit(0.0)
-        return F.sum(F.when(cond, z).otherwise(x) if neg else F.when(cond, x).otherwise(z))
+        return X.money_total(F.when(cond, z).otherwise(x) if neg else F.when(cond, x).otherwise(z))
+
+    def r2(total):
+        return F.round(total, 2).cast("double")
 
     base = (e.groupBy(cal.month_label("accepted_date", "long").alias("sale_month"),
                       F.month("accepted_date").cast("long").alias("sale_month_counter"))
-             .agg(F.round(zs(s > 0, s) - zs((s < 0) | ot.isin(*X.FEE_TYPES), n, neg=True), 2).alias("ttv_commission"),
-                  F.round(zs(ot == 9, comm), 2).alias("transaction_fee_based_commission_exgst"),
-                  F.round(zs(ot == 10, comm), 2).alias("subscription_fee_based_commission_exgst"),
-                  F.round(zs(ot == 11, comm), 2).alias("refund_fee_based_commission_exgst"),
-                  F.round(zs(tt == "RefundMoney", comm), 2).alias("refund_exgst"),
-                  F.round(zs(tt == "FreightProtection", comm), 2).alias("freightprotection_exgst"),
-                  F.round(zs(tt == "CouponApplied", s), 2).alias("coupon_sales_exgst"),
-                  F.round(zs((s > 0) & (tt != "FreightProtection"), s), 2).alias("gmv_exgst"),
-                  F.round(zs(s > 0, s), 2).alias("gtv_exgst")))
+             .agg(r2(zs(s > 0, s) - zs((s < 0) | ot.isin(*X.FEE_TYPES), n, neg=True)).alias("ttv_commission"),
+                  r2(zs(ot == 9, comm)).alias("transaction_fee_based_commission_exgst"),
+                  r2(zs(ot == 10, comm)).alias("subscription_fee_based_commission_exgst"),
+                  r2(zs(ot == 11, comm)).alias("refund_fee_based_commission_exgst"),
+                  r2(zs(tt == "RefundMoney", comm)).alias("refund_exgst"),
+                  r2(zs(tt == "FreightProtection", comm)).alias("freightprotection_exgst"),
+                  r2(zs(tt == "CouponApplied", s)).alias("coupon_sales_exgst"),
+                  r2(zs((s > 0) & (tt != "FreightProtection"), s)).alias("gmv_exgst"),
+                  r2(zs(s > 0, s)).alias("gtv_exgst")))
     lg = literal_table(spark, lead_gen if lead_gen is not None else lead_gen_months(),
                        "month_year string, revenue double")
     j = J.broadcast_lookup(base, lg, base.sale_month == lg.month_year)

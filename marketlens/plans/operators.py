@@ -91,8 +91,8 @@ def p04_order_type_mix(t: Tables) -> DataFrame:
     """P4 over all lines: line count and ex-tax amount per type label."""
     e = X.line_economics(t.lines.join(t.company.select("company_id", "gst_registered"), "company_id", "left"))
     return (e.groupBy(X.classify_order_type().alias("type_text"))
-             .agg(F.count(F.lit(1)).alias("lines"), F.round(F.sum("total_ex_tax"), 2).alias("total_ex_tax"),
-                  F.round(F.sum("net_ex_tax"), 2).alias("net_ex_tax")))
+             .agg(F.count(F.lit(1)).alias("lines"), X.money_sum("total_ex_tax").alias("total_ex_tax"),
+                  X.money_sum("net_ex_tax").alias("net_ex_tax")))
 
 
 def p05_state_buckets(t: Tables) -> DataFrame:
