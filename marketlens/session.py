@@ -47,15 +47,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a cluster run sized from the bytes the reports scan.
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20,
+               shuffle_fraction: float = 0.25) -> dict[str, str]:
+    """Settings for a cluster run, sized from the bytes the reports scan.
 
-    Shuffle partitions start at ~one per ``partition_bytes`` of input (at
-    least 2 per core) and adaptive execution coalesces them to about 128 MB
-    each; scan splits are ``partition_bytes``; a partition 5x the median and
-    over 512 MB is split by the skew-join handling.
+    Shuffle partitions: one per ``partition_bytes`` of the expected largest
+    shuffle (``shuffle_fraction`` of the input: window filters, column
+    pruning and partial aggregation run before it), at least 2 and at most
+    20 per core; adaptive execution coalesces them to ~128 MB. Scan splits
+    are ``partition_bytes``; a shuffle partition 5x the median and over
+    512 MB is split by the skew-join handling. Example: 100 TB scanned on
+    4,000 cores gives 80,000 shuffle partitions.
     """
-    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    wanted = -(-int(input_bytes * shuffle_fraction) // partition_bytes)
+    parts = max(2 * cores, min(wanted, 20 * cores))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
