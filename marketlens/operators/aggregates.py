@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import expressions as X
-from marketlens.functions.expressions import col
 
 
 def kpi_distinct(df: DataFrame, c: str, name: str) -> DataFrame:

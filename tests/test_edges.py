@@ -207,3 +207,10 @@ def test_pivot_keeps_month_with_only_unknown_state(spark):
     assert set(out) == {"May-1996", "June-1996"}  # Q14: the month row stays
     assert out["May-1996"]["gtv_Victoria"] is None and out["June-1996"]["gtv_Victoria"] == 2.0
     assert "gtv_Unknown" not in out["May-1996"].asDict()
+
+
+def test_scale_conf_bounds():
+    from marketlens.session import scale_conf
+    assert scale_conf(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "80000"  # capped at 20 per core
+    assert scale_conf(10 * 2**30, 8)["spark.sql.shuffle.partitions"] == "16"  # at least 2 per core
+    assert scale_conf(1 * 2**40, 1000)["spark.sql.shuffle.partitions"] == "2000"  # ~1024 wanted, floor 2000
