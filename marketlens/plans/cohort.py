@@ -4,23 +4,22 @@ All seven scripts are one pipeline, ``first_party_study``; only the
 order-product source (A13) and the optional wide columns differ.
 
 Plan, per customer c, receipt r, date d (order-product grain rows):
-  1. customer span (A8): first/latest date per customer (partial aggregate);
-     optional HAVING first >= first_since (F9).
-  2. first-basket mix (W3 + W7): a row is rank 1 iff d = first date; its
-     running party list over (c, r) ordered by d with a RANGE frame then
-     holds exactly the parties of (c, r) rows on the first date. So the mix
-     is one aggregate per (c, r) over first-date rows, joined back -- no
-     window partitioned by customer, so a hot customer never lands in one task.
-  3. flags (W8): contains_1p = first-date row of a receipt whose first-date
-     mix has a 1P line; 1p_only = first-date row whose mix has no 3P line.
-  4. all-orders (cl_) and repeat-orders (rp_, rows not flagged contains_1p)
-     statistics (A15, A17, A5, A6, A12) as two-level aggregations: per
-     (customer, receipt) for receipt counts and sums, per (customer, product)
-     for product counts, then per customer; customers without a contains_1p
-     row are dropped (J5).
-The order-product relation is read by several branches, so it is
-materialized once (``sources.publish.materialize``).
+  1. aggregate once to one row per (c, r, d): party presence and revenue
+     sums (A13 -> daily grain).
+  2. customer span (A8) from those rows; optional HAVING first >= first_since (F9).
+  3. first-basket flags (W3 + W7 + W8): a row has rank 1 iff d = first date,
+     and its running party list over (c, r) with a RANGE frame then holds
+     exactly the parties of (c, r) on the first date -- the (c, r, first date)
+     row's party presence. So both flags are constant per (c, r, d) row and
+     come from a join with the span: no window partitioned by customer, so a
+     hot customer never lands in one task.
+  4. receipt counts and all revenue statistics (A15, A5, A6, A12): per (c, r)
+     then per customer, from the daily rows; product counts (A17): the
+     order-product rows joined once to the daily flags, per (c, product) then
+     per customer. Customers without a contains_1p row are dropped (J5).
   5. join the customer span back and derive type (P12) and averages (P14).
+The order-product relation is materialized once (``sources.publish.materialize``)
+and read twice.
 """
 
 from __future__ import annotations
@@ -117,32 +116,45 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     ``fix_rp_3p_aov`` divides repeat 3P revenue (instead of all repeat
     revenue, as the original does) by repeat transactions.
     """
-    op = materialize(op)  # read by the span, the basket mix and the statistics
-    span = A.customer_span(op, "customer_id", "transaction_date")
-    if first_since is not None:
-        span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
-    rows = basket_flags(op, span, house)
-
+    op = materialize(op)  # read twice: the daily aggregation and the product-level join
     h = X.is_house("seller_key", house)
     rev, rc, pid = F.col("product_revenue"), F.col("receipt_id"), F.col("product_id")
-    rp = F.col("first_transaction_contains_1p") != 1
-    only = F.col("first_transaction_1p_only") == 1
     wide = dict(wide or {})
 
-    # Distinct counts as explicit two-level aggregations (no Expand of every
-    # row per distinct expression): receipts per (customer, receipt), which
-    # also carries every revenue sum, and products per (customer, product).
-    sums = {"cl_product_revenue": F.lit(True), "cl_1p_product_revenue": h, "cl_3p_product_revenue": ~h,
-            "cl_1p_product_revenue_1p_only": h & only, "rp_product_revenue": rp,
-            "rp_1p_product_revenue": rp & h, "rp_3p_product_revenue": rp & ~h}
+    # 1. One row per (customer, receipt, date): party presence and revenue
+    #    sums. The first-basket flags are constant within such a group, so
+    #    span, flags and every revenue statistic come from these rows.
+    parts = {"__rev": F.lit(True), "__rev1p": h, "__rev3p": ~h}
     for suffix, pred in wide.items():
-        sums[f"cl_product_revenue_{suffix}"] = pred
-        sums[f"rp_product_revenue_{suffix}"] = rp & pred
-    per_receipt = rows.groupBy("customer_id", "receipt_id").agg(
+        parts[f"__w_{suffix}"] = pred
+    daily = op.groupBy("customer_id", "receipt_id", "transaction_date").agg(
+        F.max(F.when(h, 1).otherwise(0)).alias("__has1p"),
+        F.max(F.when(h, 0).otherwise(1)).alias("__has3p"),
+        *[F.sum(F.when(pred, rev)).alias(name) for name, pred in parts.items()])
+    span = A.customer_span(daily, "customer_id", "transaction_date")
+    if first_since is not None:
+        span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
+    first = F.col("transaction_date") == F.col("first_transaction_date")
+    days = daily.join(span, "customer_id", "inner").select(
+        "*", F.when(first & (F.col("__has1p") == 1), 1).otherwise(0).alias("first_transaction_contains_1p"),
+        F.when(first & (F.col("__has3p") == 0), 1).otherwise(0).alias("first_transaction_1p_only"))
+    rp = F.col("first_transaction_contains_1p") != 1
+    only = F.col("first_transaction_1p_only") == 1
+
+    # 2. Receipt counts and revenue: per (customer, receipt), then per customer.
+    sums = {"cl_product_revenue": F.col("__rev"), "cl_1p_product_revenue": F.col("__rev1p"),
+            "cl_3p_product_revenue": F.col("__rev3p"),
+            "cl_1p_product_revenue_1p_only": F.when(only, F.col("__rev1p")),
+            "rp_product_revenue": F.when(rp, F.col("__rev")), "rp_1p_product_revenue": F.when(rp, F.col("__rev1p")),
+            "rp_3p_product_revenue": F.when(rp, F.col("__rev3p"))}
+    for suffix in wide:
+        sums[f"cl_product_revenue_{suffix}"] = F.col(f"__w_{suffix}")
+        sums[f"rp_product_revenue_{suffix}"] = F.when(rp, F.col(f"__w_{suffix}"))
+    per_receipt = days.groupBy("customer_id", "receipt_id").agg(
         F.max(F.col("first_transaction_contains_1p")).alias("__c1p"),
         F.max(F.when(rp, 1).otherwise(0)).alias("__rp"),
         F.max(F.when(only, 1).otherwise(0)).alias("__only"),
-        *[F.sum(F.when(pred, rev)).alias(name) for name, pred in sums.items()])
+        *[F.sum(expr).alias(name) for name, expr in sums.items()])
     has_receipt = rc.isNotNull()
     by_receipt = per_receipt.groupBy("customer_id").agg(
         F.max("__c1p").alias("__new1p"), F.max("__rp").alias("__has_rp"),
@@ -150,6 +162,13 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
         F.count(F.when(has_receipt & (F.col("__only") == 1), 1)).alias("cl_transactions_1p_only"),
         F.count(F.when(has_receipt & (F.col("__rp") == 1), 1)).alias("rp_transactions"),
         *[F.round(F.sum(name), 2).alias(name) for name in sums])
+
+    # 3. Product counts need each product row's flag: one join of the rows with
+    #    the (customer, receipt, date) flags, then per (customer, product).
+    flags = days.select(F.col("customer_id").alias("__c"), F.col("receipt_id").alias("__r"),
+                        F.col("transaction_date").alias("__d"), "first_transaction_contains_1p")
+    rows = op.join(flags, (op.customer_id == flags["__c"]) & op.receipt_id.eqNullSafe(flags["__r"])
+                   & (op.transaction_date == flags["__d"]), "inner")
     per_product = rows.groupBy("customer_id", "product_id").agg(
         F.max(F.when(h, 1).otherwise(0)).alias("__p1"), F.max(F.when(~h, 1).otherwise(0)).alias("__p3"),
         F.max(F.when(rp & h, 1).otherwise(0)).alias("__rp1"),
