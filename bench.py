@@ -32,15 +32,20 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     todo = queries() if os.environ.get("BENCH_ALL") == "1" else REPORTS
     for name, fn in todo.items():
         if only and not any(p in name for p in only):
             continue
         runs = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+        except Exception as exc:  # noqa: BLE001 - one failing query must not lose the others
+            errors[name] = str(exc).splitlines()[0][:300]
+            continue
         times[name] = round(statistics.median(runs), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -52,6 +57,8 @@ def main() -> None:
         "config": {"master": f"local[{cpus}]", "shuffle_partitions": cpus * 2, "repeat": repeat,
                    "sink": "noop"},
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
