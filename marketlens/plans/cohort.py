@@ -108,13 +108,16 @@ def basket_flags(op: DataFrame, span: DataFrame, house: Sequence[int] = HOUSE_SE
 
 
 def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first_since: dt.date | None = None,
-                      wide: Mapping[str, Column] | None = None, fix_rp_3p_aov: bool = False) -> DataFrame:
+                      wide: Mapping[str, Column] | None = None, fix_rp_3p_aov: bool = False,
+                      skew_salts: int = 1) -> DataFrame:
     """R20-R26 core. ``op`` has GRAIN columns + product_revenue (+ wide inputs).
 
     ``wide`` maps a column suffix to a predicate; each adds
     cl_product_revenue_<suffix> and rp_product_revenue_<suffix>.
     ``fix_rp_3p_aov`` divides repeat 3P revenue (instead of all repeat
-    revenue, as the original does) by repeat transactions.
+    revenue, as the original does) by repeat transactions. ``skew_salts`` > 1
+    salts the join of the daily rows with the customer span (for clusters
+    without adaptive skew-join handling); 1 leaves it to adaptive execution.
     """
     op = materialize(op)  # read twice: the daily aggregation and the product-level join
     h = X.is_house("seller_key", house)
@@ -135,7 +138,10 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     if first_since is not None:
         span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
     first = F.col("transaction_date") == F.col("first_transaction_date")
-    days = daily.join(span, "customer_id", "inner").select(
+    joined = (J.salted_join(daily, span, "customer_id", skew_salts, "inner",
+                            ["receipt_id", "transaction_date"]) if skew_salts > 1
+              else daily.join(span, "customer_id", "inner"))
+    days = joined.select(
         "*", F.when(first & (F.col("__has1p") == 1), 1).otherwise(0).alias("first_transaction_contains_1p"),
         F.when(first & (F.col("__has3p") == 0), 1).otherwise(0).alias("first_transaction_1p_only"))
     rp = F.col("first_transaction_contains_1p") != 1

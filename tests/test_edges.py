@@ -214,3 +214,20 @@ def test_scale_conf_bounds():
     assert scale_conf(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "80000"  # capped at 20 per core
     assert scale_conf(10 * 2**30, 8)["spark.sql.shuffle.partitions"] == "16"  # at least 2 per core
     assert scale_conf(1 * 2**40, 1000)["spark.sql.shuffle.partitions"] == "2000"  # ~1024 wanted, floor 2000
+
+
+def test_salted_join_equals_plain_join_on_a_hot_key(spark):
+    from marketlens.operators import joins as J
+    big = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k long, v long")  # key 1 holds 2/3
+    small = spark.createDataFrame([(k, k * 10) for k in range(300)], "k long, w long")
+    salted = J.salted_join(big, small, "k", 8)
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, big.join(small, "k").collect()))
+
+
+def test_salted_study_equals_default(spark):
+    rows = [(1, 10, D(2024, 1, 1), 100, 1, 50.0), (1, 11, D(2024, 2, 1), 102, 3, 20.0),
+            (2, 20, D(2024, 1, 5), 200, 2, 10.0), (2, None, D(2024, 1, 5), 201, 9, 30.0),
+            (3, 30, D(2024, 1, 1), 300, 9, 5.0)]
+    a = cohort.first_party_study(_op(spark, rows), skew_salts=1)
+    b = cohort.first_party_study(_op(spark, rows), skew_salts=4)
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
