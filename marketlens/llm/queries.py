@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlens.llm import near_dedup, quality_rules
+from marketlens.llm import decontaminate, near_dedup, quality_rules
 from marketlens.llm.tables import read
 
 #: Words ``[^\x20\x09-\x0D]+`` of A-Z lower-cased text.
@@ -43,6 +44,39 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN comp c ON c.doc_id = d.
 """
 
 
+def op5_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "__leak.n_words", "__leak.n_hit", F.size("__leak.items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "__leak.items"), 256).alias("items_sha256"),
+        (F.col("__leak.n_hit") > 0).alias("contaminated"))
+
+
+OP5_SQL = """
+WITH lowered AS (
+  SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT 'i', CAST(item_id AS VARCHAR), translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+), w AS (SELECT kind, id, regexp_extract_all(t, '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS ws FROM lowered
+), size AS (SELECT id, least(10, len(ws)) AS k, ws FROM w WHERE kind = 'i' AND len(ws) > 0
+), item AS (
+  SELECT DISTINCT id AS item_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS gram FROM size
+), doc AS (
+  SELECT w.id, s.k, unnest(range(1, greatest(1, len(ws) - s.k + 2))) AS pos, ws
+  FROM w, (SELECT DISTINCT k FROM size) s WHERE kind = 'd'
+), hit AS (
+  SELECT d.id, d.k, d.pos, item.item_id FROM doc d JOIN item ON item.k = d.k AND item.gram = array_to_string(d.ws[d.pos:d.pos + d.k - 1], ' ')
+), words AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(pos, pos + k)) AS p FROM hit) GROUP BY id
+), items AS (SELECT id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS all_items
+             FROM (SELECT DISTINCT id, item_id FROM hit) GROUP BY id)
+SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(all_items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents d JOIN w ON w.kind = 'd' AND w.id = CAST(d.doc_id AS VARCHAR)
+LEFT JOIN words ON words.id = w.id LEFT JOIN items ON items.id = w.id
+"""
+
+
 def op8_quality_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -51,9 +85,11 @@ def op8_quality_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op5_fm_index_decontamination": op5_fm_index_decontamination,
     "op8_quality_decision_list": op8_quality_decision_list,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_minhash_near_dedup": OP2_SQL,
+    "op5_fm_index_decontamination": OP5_SQL,
 }
