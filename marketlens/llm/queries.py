@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, near_dedup, quality_rules
+from marketlens.llm import bpe, decontaminate, near_dedup, quality_rules
 from marketlens.llm.tables import read
 
 #: Words ``[^\x20\x09-\x0D]+`` of A-Z lower-cased text.
@@ -77,6 +77,12 @@ LEFT JOIN words ON words.id = w.id LEFT JOIN items ON items.id = w.id
 """
 
 
+def op6_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids"))
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest().alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_quality_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -86,6 +92,7 @@ def op8_quality_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_fm_index_decontamination": op5_fm_index_decontamination,
+    "op6_bpe_merge_replay": op6_bpe_merge_replay,
     "op8_quality_decision_list": op8_quality_decision_list,
 }
 
