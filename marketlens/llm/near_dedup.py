@@ -10,7 +10,7 @@ Bands of signature bins form buckets. A bucket of m classes gives m - 1
 candidate edges to its centre, not m * (m - 1) / 2. Every edge is confirmed
 on full shingle sets and links are closed into components. Buckets whose
 classes then still lie in several components are searched further, with
-doubling numbers of centres and only across components, until every pair of
+growing numbers of centres and only across components, until every pair of
 a bucket has either been confirmed, refuted or lies in one component: no
 candidate is dropped and there is no cap on a bucket.
 
@@ -40,6 +40,7 @@ from marketlens.llm.tables import maybe_broadcast, written
 from marketlens.llm.textbatch import NOT_SPACE, Block, blocks, mix, windows
 
 ROWS, BANDS = 5, 40
+GROWTH = 8
 
 
 def shingles(block: Block, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,13 +171,13 @@ def _pairs(edges: DataFrame, percent: int) -> DataFrame:
     return edges.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select("a", "a1", "b", "b1").distinct()
 
 
-def _label(members: DataFrame, groups: DataFrame) -> DataFrame:
+def _unsettled(members: DataFrame, groups: DataFrame) -> DataFrame:
     """The members of buckets that hold classes of several components, with their component."""
-    named = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = written(named, "labelled")
+    named = members.join(maybe_broadcast(groups), "node", "left")
+    named = written(named.withColumn("component", F.coalesce("component", "node")), "labelled")
     mixed = written(named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                     .where("x <> y").select("bucket"), "mixed")
-    return named.join(mixed, "bucket")
+    return named.join(maybe_broadcast(mixed), "bucket")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, rows: int = ROWS, bands: int = BANDS,
@@ -201,11 +202,11 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, rows: int =
     links = written(confirm(tested, named, percent, k, text), "links")
     groups = connected(links)
 
-    # buckets whose classes lie in several components: more centres, twice as many each time
+    # buckets whose classes lie in several components: more centres, GROWTH times as many each time
     place = Window.partitionBy("bucket").orderBy("node", "f1")
-    left = written(_label(members.select("bucket", "node", "f1", "n"), groups)
-                   .withColumn("place", F.row_number().over(place)), "unsettled")
-    low, high = 2, 4
+    left = _unsettled(members.select("bucket", "node", "f1", "n"), groups)
+    left = written(left.withColumn("place", F.row_number().over(place)), "unsettled")
+    low, high = 2, 1 + GROWTH
     while (largest := left.agg(F.max("place")).first()[0]) is not None and low < largest:
         centre = left.where(F.col("place").between(low, high - 1)).select(
             "bucket", F.col("node").alias("a"), F.col("f1").alias("a1"), "n",
@@ -214,13 +215,13 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, rows: int =
                             "place", "component")
         found = _pairs(centre.join(other, "bucket").where("place > at and own <> component"), percent)
         found = written(found.join(tested, ["a", "a1", "b", "b1"], "left_anti"), "pairs")
-        low, high = high, 2 * high
+        low, high = high, GROWTH * high
         if found.isEmpty():
             continue
         tested = tested.union(found)
-        links = links.union(written(confirm(found, named, percent, k, text), "links"))
-        groups = connected(links)
-        left = written(_label(left.drop("component"), groups), "unsettled")
+        links = written(confirm(found, named, percent, k, text), "links")
+        groups = connected(links.union(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        left = written(_unsettled(left.drop("component"), groups), "unsettled")
 
     own = signed.select("doc_id", F.col("n").alias("n_shingles"), *print_of)
     out = own.join(classes.withColumn("node", F.col("node").cast("bigint")), print_of, "left").join(groups, "node", "left")

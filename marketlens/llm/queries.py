@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, decontaminate, near_dedup, quality_rules
+from marketlens.llm import bpe, decontaminate, near_dedup, pii, quality_rules, secret_scan, spans, url_filter
 from marketlens.llm.tables import read
 
 #: Words ``[^\x20\x09-\x0D]+`` of A-Z lower-cased text.
@@ -44,6 +44,18 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN comp c ON c.doc_id = d.
 """
 
 
+def op3_structural_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    return _digest(found, secret_scan.BASE)
+
+
+def _digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    return found.select(
+        "doc_id", *(spans.count("spans", k).alias(f"n_{k}") for k in base),
+        F.sha2(spans.joined(spans.of_kinds("spans", base)), 256).alias("base_sha256"),
+        spans.joined(F.col("spans")).alias("spans"))
+
+
 def op5_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -83,17 +95,28 @@ def op6_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.extract(read(spark, sf_dir, "documents")), pii.BASE)
+
+
 def op8_quality_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
 
 
+def op9_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages")).drop("score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_structural_secrets": op3_structural_secrets,
     "op5_fm_index_decontamination": op5_fm_index_decontamination,
     "op6_bpe_merge_replay": op6_bpe_merge_replay,
+    "op7_bootstrapped_pii": op7_bootstrapped_pii,
     "op8_quality_decision_list": op8_quality_decision_list,
+    "op9_url_regression": op9_url_regression,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from marketlens.session import scratch_path
 
+#: Rows of two or three numbers that may be broadcast: some 16 MB.
+FEW = 1_000_000
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows once as Parquet under ``spark.checkpoint.dir`` and reads them again.
@@ -23,7 +26,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def maybe_broadcast(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+def maybe_broadcast(df: DataFrame, most_rows: int = FEW) -> DataFrame:
     """``df`` with a broadcast hint if it was counted to have few rows, else for a shuffle join."""
     return F.broadcast(df) if df.count() <= most_rows else df
 
