@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, decontaminate, near_dedup, pii, quality_rules, secret_scan, spans, url_filter
+from marketlens.llm import bpe, decontaminate, lm_score, near_dedup, pii, quality_rules, secret_scan, spans, url_filter
 from marketlens.llm.tables import read
 
 #: Words ``[^\x20\x09-\x0D]+`` of A-Z lower-cased text.
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_logistic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read(spark, sf_dir, "documents"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
@@ -110,6 +114,7 @@ def op9_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_logistic_mixing": op1_logistic_mixing,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_structural_secrets": op3_structural_secrets,
     "op5_fm_index_decontamination": op5_fm_index_decontamination,
