@@ -43,47 +43,71 @@ from marketlens.llm.tables import written
 from marketlens.llm.textbatch import NOT_SPACE, Block, blocks, mix
 
 CONTEXTS = ("last3", "last4", "word")
-SLOT_BITS = 15  # contexts of each kind
-SLOTS = 1 << SLOT_BITS
+SLOT_BITS = (15, 17, 18)  # contexts of each kind
+SYMBOLS = 64  # the 63 most frequent bytes of the training texts, and one for all others
 _SALT = [np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64)) for n in range(5)]
-SEGMENT = 64  # contexts of one row of the model
+SEGMENT = 256  # contexts of one row of the model
 STEP = 128
-RATE, START, SCALE = 0.004, 0.33, 16
+RATE, START, SCALE = 0.006, 0.4, 16
 SHARD_TOKENS = 4 << 20
 END = np.uint64(0x5851F42D4C957F2D)  # the end token's hash
 
 
 class Code:
-    """A Huffman code of bytes: for each byte, the tree nodes on its way and the bits taken there."""
+    """A Huffman code of bytes: for each byte, the tree nodes on its way and the bits taken there.
+
+    The ``SYMBOLS - 1`` most frequent bytes and one symbol for all others form
+    the tree that contexts predict; below that symbol, the others have a tree
+    of their own whose bits no context predicts (they read the last column,
+    which is 0).
+    """
 
     def __init__(self, counts: np.ndarray):
-        heap = [(int(n) + 1, b) for b, n in enumerate(counts)]  # bytes never seen have a code too
+        weight = counts.astype(np.int64) + 1  # bytes never seen have a code too
+        order = np.argsort(-weight, kind="stable")
+        often, rare = order[:SYMBOLS - 1].tolist(), order[SYMBOLS - 1:].tolist()
+        self.symbol = np.full(256, SYMBOLS - 1, dtype=np.int64)
+        self.symbol[often] = np.arange(SYMBOLS - 1)
+        top, self.children = self._tree([*(int(weight[b]) for b in often), int(weight[rare].sum())])
+        below, _ = self._tree([int(weight[b]) for b in rare])
+        ways = [[]] * 256
+        for symbol, b in enumerate(often):
+            ways[b] = top[symbol]
+        for symbol, b in enumerate(rare):
+            ways[b] = [*top[SYMBOLS - 1], *((SYMBOLS - 1, bit) for _, bit in below[symbol])]
+        self.at = np.cumsum([0, *map(len, ways)])
+        self.node = np.array([n for way in ways for n, _ in way], dtype=np.int64)
+        self.sign = np.array([1 - 2 * b for way in ways for _, b in way], dtype=np.int8)  # 1 for a bit 0
+
+    @staticmethod
+    def _tree(weights: list[int]) -> tuple[list[list[tuple[int, int]]], list[tuple[int, int]]]:
+        """Each symbol's way, as (node, bit), and each node's children: symbols, then n + node."""
+        n = len(weights)
+        heap = [(w, s) for s, w in enumerate(weights)]
         heapq.heapify(heap)
-        self.children = np.zeros((255, 2), dtype=np.int64)  # below 256: a byte; else 256 + a node
-        for node in range(255):
-            (n, low), (m, high) = heapq.heappop(heap), heapq.heappop(heap)
-            self.children[node] = low, high
-            heapq.heappush(heap, (n + m, 256 + node))
-        ways: list[list[tuple[int, int]]] = [[] for _ in range(256)]
-        todo: list[tuple[int, list[tuple[int, int]]]] = [(254, [])]
+        children = []
+        while len(heap) > 1:
+            (w, low), (v, high) = heapq.heappop(heap), heapq.heappop(heap)
+            heapq.heappush(heap, (w + v, n + len(children)))
+            children.append((low, high))
+        ways: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        todo: list[tuple[int, list[tuple[int, int]]]] = [(len(children) - 1, [])]
         while todo:
             node, way = todo.pop()
-            for bit, child in enumerate(self.children[node].tolist()):
-                if child < 256:
+            for bit, child in enumerate(children[node]):
+                if child < n:
                     ways[child] = [*way, (node, bit)]
                 else:
-                    todo.append((child - 256, [*way, (node, bit)]))
-        self.at = np.cumsum([0, *map(len, ways)])
-        self.node = np.array([n for way in ways for n, _ in way], dtype=np.int64)
-        self.sign = np.array([1 - 2 * b for way in ways for _, b in way], dtype=np.int8)  # 1 for a bit 0
+                    todo.append((child - n, [*way, (node, bit)]))
+        return ways, children
 
     def stretch(self, counts: np.ndarray) -> np.ndarray:
-        """Scaled log-odds of bit 1 at each node (columns) from the byte counts of each context (rows)."""
-        total = np.zeros((len(counts), 511))
-        total[:, :256] = counts
-        out = np.zeros((len(counts), 256), dtype=np.int8)
+        """Scaled log-odds of bit 1 at each node (columns) from the symbol counts of each context (rows)."""
+        total = np.zeros((len(counts), 2 * SYMBOLS - 1))
+        total[:, :SYMBOLS] = counts
+        out = np.zeros((len(counts), SYMBOLS), dtype=np.int8)
         for node, (zero, one) in enumerate(self.children):
-            total[:, 256 + node] = total[:, zero] + total[:, one]
+            total[:, SYMBOLS + node] = total[:, zero] + total[:, one]
             odds = np.log((total[:, one] + 0.4) / (total[:, zero] + 0.4))
             out[:, node] = np.clip(np.rint(odds * SCALE), -127, 127)
         return out
@@ -110,7 +134,7 @@ def context_slots(flat: np.ndarray) -> list[np.ndarray]:
     for n in range(1, 5):
         packed[n:] |= wide[:-n] << np.uint64(8 * (n - 1))
         if n > 2:
-            out.append((mix(packed + _SALT[n]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
+            out.append((mix(packed + _SALT[n]) >> np.uint64(64 - SLOT_BITS[n - 3])).astype(np.int64))
     # the word so far: a hash of the bytes since the last space or text start
     inside = NOT_SPACE[flat] & (flat != 0)
     place = np.arange(len(flat))
@@ -123,7 +147,7 @@ def context_slots(flat: np.ndarray) -> list[np.ndarray]:
     first = np.zeros(len(flat), dtype=np.int64)  # start of the word that the place before belongs to
     first[1:] = since[:-1] + 1
     word = (total[place] - total[first]) * back[first] + (place - first).astype(np.uint64)
-    out.append((mix(word) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
+    out.append((mix(word) >> np.uint64(64 - SLOT_BITS[2])).astype(np.int64))
     return out
 
 
@@ -132,18 +156,38 @@ def _coded(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
-def count_contexts(docs: DataFrame, text: str) -> DataFrame:
-    """(kind, at, n): how often a byte follows a context; at = slot * 256 + byte. Summed in each task first."""
+def count_bytes(docs: DataFrame, text: str) -> np.ndarray:
+    """How often each byte is coded; 256 numbers, whatever the corpus."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(256, dtype=np.int64)
+        for block in blocks(batches, text, lower=True):
+            total += np.bincount(block.buf, minlength=256)
+            total[0] += block.n
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
+
+    out = np.zeros(256, dtype=np.int64)
+    for row in docs.select(text).mapInArrow(run, "byte bigint, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).collect():
+        out[row["byte"]] = row["n"]
+    return out
+
+
+def add_counts(block: Block, symbol: np.ndarray, tables: list[np.ndarray]) -> None:
+    """Adds a block's (context, next symbol) pairs to the tables; a context has ``SYMBOLS`` places."""
+    flat, begin, size = layout(block)
+    place = _coded(begin, size)
+    of = symbol[flat[place]].astype(np.uint32)
+    for table, slot in zip(tables, context_slots(flat), strict=True):
+        at = np.sort(slot[place].astype(np.uint32) * np.uint32(SYMBOLS) + of)
+        edge = np.flatnonzero(np.diff(at, prepend=at[:1] + np.uint32(1)))
+        table[at[edge]] += np.diff(edge, append=len(at)).astype(np.int32)
+
+
+def count_contexts(docs: DataFrame, text: str, symbol: np.ndarray) -> DataFrame:
+    """(kind, at, n): how often a symbol follows a context; at = slot * SYMBOLS + symbol. Summed in each task first."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros(SLOTS * 256, dtype=np.int32) for _ in CONTEXTS]
+        tables = [np.zeros(SYMBOLS << bits, dtype=np.int32) for bits in SLOT_BITS]
         for block in blocks(batches, text, lower=True):
-            flat, begin, size = layout(block)
-            place = _coded(begin, size)
-            byte = flat[place]
-            for table, slot in zip(tables, context_slots(flat), strict=True):
-                at = np.sort(slot[place].astype(np.uint32) << np.uint32(8) | byte)
-                edge = np.flatnonzero(np.diff(at, prepend=at[:1] + np.uint32(1)))
-                table[at[edge]] += np.diff(edge, append=len(at)).astype(np.int32)
+            add_counts(block, symbol, tables)
         for k, table in enumerate(tables):
             at = np.flatnonzero(table)
             for low in range(0, len(at), 1 << 17):
@@ -157,25 +201,22 @@ def count_contexts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def train(docs: DataFrame, text: str) -> tuple[Code, list[np.ndarray]]:
-    """The code, and the tables of stretched probabilities: int8, a row of 256 for each context."""
-    counted = written(count_contexts(docs, text), "contexts")
-    bytes_seen = np.zeros(256)
-    for row in counted.where("kind = 0").groupBy(F.expr("at % 256").alias("b")).agg(F.sum("n").alias("n")).collect():
-        bytes_seen[row["b"]] = row["n"]
-    code = Code(bytes_seen)
+    """The code, and the tables of stretched probabilities: int8, ``SYMBOLS`` for each context."""
+    code = Code(count_bytes(docs, text))
+    width = SEGMENT * SYMBOLS
 
     def segment(key: tuple, rows: pa.Table) -> pa.Table:
-        counts = np.zeros(SEGMENT * 256)
-        counts[rows["at"].to_numpy() % (SEGMENT * 256)] = rows["n"].to_numpy()
+        counts = np.zeros(width)
+        counts[rows["at"].to_numpy() % width] = rows["n"].to_numpy()
         return pa.table({"kind": pa.array([key[0].as_py()], pa.int32()), "segment": pa.array([key[1].as_py()], pa.int32()),
-                         "model": pa.array([code.stretch(counts.reshape(SEGMENT, 256)).tobytes()], pa.binary())})
+                         "model": pa.array([code.stretch(counts.reshape(SEGMENT, SYMBOLS)).tobytes()], pa.binary())})
 
-    parts = counted.withColumn("segment", F.expr(f"at div {SEGMENT * 256}").cast("int"))
+    parts = count_contexts(docs, text, code.symbol).withColumn("segment", F.expr(f"at div {width}").cast("int"))
     rows = parts.groupBy("kind", "segment").applyInArrow(segment, "kind int, segment int, model binary")
-    tables = [np.zeros(SLOTS * 256, dtype=np.int8) for _ in CONTEXTS]
-    for row in rows.toLocalIterator():  # at most SLOTS / SEGMENT rows of a kind
-        low = row["segment"] * SEGMENT * 256
-        tables[row["kind"]][low:low + SEGMENT * 256] = np.frombuffer(bytes(row["model"]), dtype=np.int8)
+    tables = [np.zeros(SYMBOLS << bits, dtype=np.int8) for bits in SLOT_BITS]
+    for row in written(rows, "model").toLocalIterator():  # the tables' fixed size in all
+        low = row["segment"] * width
+        tables[row["kind"]][low:low + width] = np.frombuffer(bytes(row["model"]), dtype=np.int8)
     return code, tables
 
 
@@ -208,7 +249,7 @@ def score_block(block: Block, model: tuple[Code, list[np.ndarray]], rate: float
     # eight small numbers for each bit, moved as one: the inputs, a constant, zeros and the sign
     inputs = np.zeros((len(step), 8), dtype=np.int8)
     for i, (table, slot) in enumerate(zip(tables, context_slots(flat), strict=True)):
-        inputs[:, i] = table.take(np.repeat(slot[place] << 8, bits) + node)
+        inputs[:, i] = table.take(np.repeat(slot[place] * SYMBOLS, bits) + node)
     inputs[:, k - 1] = SCALE
     inputs[:, 7] = code.sign[step]
     packed = inputs.view(np.uint64)[:, 0]
