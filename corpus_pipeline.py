@@ -7,8 +7,9 @@ gives the next stage the reread table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlens.llm import near_dedup, quality_rules
+from marketlens.llm import bpe, decontaminate, near_dedup, quality_rules, secret_scan, spans
 from marketlens.llm.tables import read, written
 
 
@@ -22,9 +23,35 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dedup.keep_one(docs, k=5, percent=80)
 
 
+def _recount(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it now is."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of benchmark windows."""
+    return _recount(decontaminate.cut(decontaminate.find(docs, read(spark, sf_dir, "benchmark"))))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by a mark."""
+    return _recount(spans.redact(secret_scan.scan(docs)))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents' token ids, and whether decoding them gives the text again."""
+    coded = bpe.decode(bpe.encode(docs))
+    same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+                        same.alias("round_trip"))
+
+
 STAGES = [
     ("quality rules", quality),
     ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("byte-pair encoding", encoding),
 ]
 
 #: Byte-pair encoding can't be written in SQL; tests compare the stages with plain Python versions.
