@@ -9,10 +9,12 @@ one class; a class is carried by its smallest document.
 Bands of signature bins form buckets. A bucket of m classes gives m - 1
 candidate edges to its centre, not m * (m - 1) / 2. Every edge is confirmed
 on full shingle sets and links are closed into components. Buckets whose
-classes then still lie in several components are searched further, with
-growing numbers of centres and only across components, until every pair of
-a bucket has either been confirmed, refuted or lies in one component: no
-candidate is dropped and there is no cap on a bucket.
+classes then still lie in several components are settled exactly: their
+classes, grouped into families that share buckets, are dealt into slices of
+bounded size by set size (only sizes that allow the similarity meet), and a
+task compares two slices by counting common shingles, giving out a spanning
+forest of the links it finds. So no candidate is dropped, there is no cap on
+a bucket, and no pairs are written out.
 
 With ``rows * bands`` = 5 * 40 a pair of similarity 0.85 misses every bucket
 with probability (1 - 0.85**5)**40 = 7e-11, at 0.8 with 1e-7.
@@ -33,14 +35,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from marketlens.llm.components import connected
+from marketlens.llm.decontaminate import expand
 from marketlens.llm.tables import maybe_broadcast, written
 from marketlens.llm.textbatch import NOT_SPACE, Block, blocks, mix, windows
 
 ROWS, BANDS = 5, 40
-GROWTH = 8
+SLICE_CLASSES, SLICE_SHINGLES = 512, 1 << 19  # what a slice holds, about
 
 
 def shingles(block: Block, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,6 +182,91 @@ def _unsettled(members: DataFrame, groups: DataFrame) -> DataFrame:
     return named.join(maybe_broadcast(mixed), "bucket")
 
 
+def common_counts(doc: np.ndarray, shingle: np.ndarray, m: int) -> np.ndarray:
+    """How many shingles each two of ``m`` sets share; (doc, shingle): all their elements."""
+    order = np.argsort(shingle)
+    doc, shingle = doc[order], shingle[order]
+    edge = np.flatnonzero(np.diff(shingle, prepend=shingle[:1] + np.uint64(1)))
+    size = np.diff(edge, append=len(shingle))
+    out = np.zeros((m, m), dtype=np.float32)
+    often = np.flatnonzero(size > max(8, m // 16))
+    for low in range(0, len(often), 4096):  # shingles of many sets: a matrix product
+        at, column = expand(edge[often[low:low + 4096]], edge[often[low:low + 4096]] + size[often[low:low + 4096]])
+        x = np.zeros((m, min(4096, len(often) - low)), dtype=np.float32)
+        x[doc[at], column] = 1
+        out += x @ x.T
+    seldom = np.flatnonzero((size > 1) & (size <= max(8, m // 16)))
+    for low in range(0, len(seldom), 1 << 14):  # others: the pairs of sets themselves
+        part = seldom[low:low + (1 << 14)]
+        at, of = expand(edge[part], edge[part] + size[part])
+        other, source = expand(at + 1, (edge[part] + size[part])[of])
+        code = doc[at[source]] * m + doc[other]
+        both = np.bincount(code, minlength=m * m).reshape(m, m)
+        out += both + both.T
+    return out
+
+
+def _forest(similar: np.ndarray) -> list[tuple[int, int]]:
+    """An edge from the first member of each component of a boolean matrix to each other member."""
+    out, new = [], np.ones(len(similar), dtype=bool)
+    for root in range(len(similar)):
+        if not new[root]:
+            continue
+        new[root] = False
+        front = np.array([root])
+        while len(front):
+            reached = similar[front].any(axis=0) & new
+            front = np.flatnonzero(reached)
+            new[front] = False
+            out += [(root, int(j)) for j in front]
+    return out
+
+
+def _settle(left: DataFrame, docs: DataFrame, percent: int, k: int, text: str) -> DataFrame:
+    """Links (a, b) among the classes of unsettled buckets: all that there are, up to the components they form."""
+    centre = left.groupBy("bucket").agg(F.min("node").alias("a"))
+    families = connected(left.join(maybe_broadcast(written(centre, "centres")), "bucket").select("a", F.col("node").alias("b")))
+    # sets of at least ``percent`` alike lie in the same class of sizes or in neighbouring ones
+    width = 1.001 * 100 / percent
+    size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(width))).cast("int")
+    member = written(left.select("node", "f1", "n").distinct().join(maybe_broadcast(families), "node")
+                     .withColumn("class", size_class), "members")
+    sizes = written(member.groupBy("component", "class").agg(F.count(F.lit(1)).alias("m"), F.greatest(
+        F.ceil(F.count(F.lit(1)) / SLICE_CLASSES), F.ceil(F.sum("n") / SLICE_SHINGLES)).alias("slices")), "sizes")
+    sizes = maybe_broadcast(sizes)
+    dealt = member.join(sizes, ["component", "class"]).withColumn("slice", F.pmod(F.xxhash64("node", "f1"), F.col("slices")))
+
+    def task(rows: DataFrame, of: str, low: object, high: object) -> DataFrame:
+        return rows.select("node", "f1", F.xxhash64("component", F.lit(of), F.col("class"), low, high).alias("task"))
+
+    partner = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))
+    same = dealt.where("m > 1").withColumn("other", partner)
+    same = task(same, "same", F.least("slice", "other"), F.greatest("slice", "other"))
+    below = sizes.select("component", (F.col("class") - 1).alias("class"), F.col("slices").alias("above"))
+    lower = dealt.join(below, ["component", "class"]).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("above") - 1)))
+    lower = task(lower, "next", F.col("slice"), F.col("other"))
+    above = sizes.select("component", (F.col("class") + 1).alias("class"), F.col("slices").alias("under"))
+    upper = dealt.join(above, ["component", "class"]).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("under") - 1))).withColumn("class", F.col("class") - 1)
+    upper = task(upper, "next", F.col("other"), F.col("slice"))
+    tasks = same.union(lower).union(upper)
+    sets = shingle_sets(docs.join(maybe_broadcast(member.select("node").distinct()), "node").select("node", text), k, text)
+    full = tasks.join(sets.dropDuplicates(["node", "f1"]), ["node", "f1"])
+
+    def compare(rows: pa.Table) -> pa.Table:
+        lists = rows["shingles"].combine_chunks()
+        n = lists.value_lengths().to_numpy().astype(np.float32)
+        node = rows["node"].to_numpy()
+        doc = np.repeat(np.arange(len(n)), n.astype(np.int64))
+        both = common_counts(doc, lists.flatten().to_numpy().view(np.uint64), len(n))
+        similar = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        links = _forest(similar)
+        return pa.table({"a": pa.array([node[i] for i, _ in links], pa.int64()), "b": pa.array([node[j] for _, j in links], pa.int64())})
+
+    return full.select("task", "node", "shingles").groupBy("task").applyInArrow(compare, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, rows: int = ROWS, bands: int = BANDS,
                     text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, class_id (smallest document with an equal set), component_id and kept, for every row."""
@@ -198,30 +285,13 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, rows: int =
     star = members.where("node <> a").select("a", F.col("node").alias("b"), F.col("f1").alias("b1"),
                                              F.col("n").alias("m")).distinct()
     named = docs.select(F.col(key).cast("bigint").alias("node"), F.col(text).alias(text))
-    tested = written(_pairs(star.join(slim, "a"), percent), "pairs")
-    links = written(confirm(tested, named, percent, k, text), "links")
-    groups = connected(links)
-
-    # buckets whose classes lie in several components: more centres, GROWTH times as many each time
-    place = Window.partitionBy("bucket").orderBy("node", "f1")
-    left = _unsettled(members.select("bucket", "node", "f1", "n"), groups)
-    left = written(left.withColumn("place", F.row_number().over(place)), "unsettled")
-    low, high = 2, 1 + GROWTH
-    while (largest := left.agg(F.max("place")).first()[0]) is not None and low < largest:
-        centre = left.where(F.col("place").between(low, high - 1)).select(
-            "bucket", F.col("node").alias("a"), F.col("f1").alias("a1"), "n",
-            F.col("place").alias("at"), F.col("component").alias("own"))
-        other = left.select("bucket", F.col("node").alias("b"), F.col("f1").alias("b1"), F.col("n").alias("m"),
-                            "place", "component")
-        found = _pairs(centre.join(other, "bucket").where("place > at and own <> component"), percent)
-        found = written(found.join(tested, ["a", "a1", "b", "b1"], "left_anti"), "pairs")
-        low, high = high, GROWTH * high
-        if found.isEmpty():
-            continue
-        tested = tested.union(found)
-        links = written(confirm(found, named, percent, k, text), "links")
-        groups = connected(links.union(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        left = written(_unsettled(left.drop("component"), groups), "unsettled")
+    pairs = written(_pairs(star.join(slim, "a"), percent), "pairs")
+    groups = connected(confirm(pairs, named, percent, k, text))
+
+    left = written(_unsettled(members.select("bucket", "node", "f1", "n"), groups), "unsettled")
+    if not left.isEmpty():
+        more = written(_settle(left, named, percent, k, text), "links")
+        groups = connected(more.union(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     own = signed.select("doc_id", F.col("n").alias("n_shingles"), *print_of)
     out = own.join(classes.withColumn("node", F.col("node").cast("bigint")), print_of, "left").join(groups, "node", "left")
