@@ -3,16 +3,16 @@
 Each text's tokens and an end mark are cut into sequences of ``stride``
 tokens. Sequences are counted by partition, which numbers them 0 to N - 1
 without a sort; a keyed Feistel permutation of the next power of four, walked
-until it falls below N, gives each its global slot. Rows then go straight to
-the partition of their shard (a range of slots), are sorted there and written
-as a file in which slot s stands at ``(s - first) * stride`` tokens, so a
-reader can begin or resume at any slot.
+until it falls below N, gives each its global slot. A task packs its sequences
+by shard (a range of slots) and each pack goes straight to its shard's
+partition, where slot s is put at ``(s - first) * stride`` tokens of the file;
+a reader can begin or resume at any slot. A task holds one shard at a time.
 
-The payload is shuffled once and never collected. A shard's file is written
+The payload is shuffled once, compressed, and never collected. A shard's file is written
 under a temporary name and renamed, so readers never see a part of one and a
 repeated task puts the same bytes in its place. Should the input's partitions
-change between the count and the write, the task that sees it fails and both
-are done again.
+change between the count and the write, the task that sees it fails, and both
+are done again on a written copy of the input.
 
 Tokens are the UTF-8 bytes of a text (one byte each; the end mark and padding
 are 255, which UTF-8 never has) or the ids of an array column (as little-endian
@@ -33,11 +33,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.errors import PythonException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.llm.tables import written
+
 STRIDE = 512
 SHARD_SEQUENCES = 1 << 15
 ROUNDS = 4
@@ -99,7 +100,7 @@ def _slices(batches: Iterable[pa.RecordBatch], column: int, width: int, limit: i
 
 def sequences(docs: DataFrame, column: str = "text", key: str = "doc_id", stride: int = STRIDE, width: int = 1,
               seed: int = 1, per_shard: int = SHARD_SEQUENCES) -> tuple[DataFrame, int]:
-    """slot, shard, doc_id, part, n_tokens and payload of every sequence, and their number."""
+    """Packs of sequences of one shard (slots, ids, parts, token counts, compressed payload), and the sequences' number."""
     source = docs.select(F.col(key).alias("doc_id"), F.col(column).alias("tokens"))
     listed = isinstance(source.schema["tokens"].dataType, T.ArrayType)
     if not listed and width != 1:
@@ -126,18 +127,29 @@ def sequences(docs: DataFrame, column: str = "text", key: str = "doc_id", stride
             payload[np.arange(len(raw)) + move] = raw
             slot = feistel(np.arange(index, index + len(row)), max(total, index + len(row)), seed)
             index += len(row)
-            ends = (np.arange(len(row) + 1, dtype=np.int32) * stride * width).astype(np.int32)
-            data = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(payload.tobytes())])
+            if not len(row):
+                continue
+            shard = slot // per_shard
+            order = np.argsort(shard, kind="stable")
+            edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
+            at = pa.array(np.append(edges, len(order)).astype(np.int32))
+            packs = payload.reshape(len(row), stride * width)[order]
+            packed = [pa.compress(packs[low:high].tobytes(), codec="zstd", asbytes=True)
+                      for low, high in zip(edges, [*edges[1:], len(order)], strict=True)]
+            row, part = row[order], part[order]
+            lists = (pa.array(slot[order]), rows.column(0).take(pa.array(row)), pa.array(part),
+                     pa.array(np.minimum(stride, counts[row] + 1 - part * stride)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array((slot // per_shard).astype(np.int32)), rows.column(0).take(pa.array(row)),
-                 pa.array(part), pa.array(np.minimum(stride, counts[row] + 1 - part * stride)), data], names=schema.names)
+                [pa.array(shard[order][edges].astype(np.int32)), *(pa.ListArray.from_arrays(at, x) for x in lists),
+                 pa.array(packed, pa.binary())], names=schema.names)
         if index != end:
             raise RuntimeError(CHANGED)
 
+    id_type = source.schema["doc_id"].dataType
     schema = T.StructType([
-        T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType()),
-        T.StructField("doc_id", source.schema["doc_id"].dataType), T.StructField("part", T.LongType()),
-        T.StructField("n_tokens", T.LongType()), T.StructField("payload", T.BinaryType())])
+        T.StructField("shard", T.IntegerType()), T.StructField("slot", T.ArrayType(T.LongType())),
+        T.StructField("doc_id", T.ArrayType(id_type)), T.StructField("part", T.ArrayType(T.LongType())),
+        T.StructField("n_tokens", T.ArrayType(T.LongType())), T.StructField("payload", T.BinaryType())])
     return source.mapInArrow(run, schema), total
 
 
@@ -148,38 +160,42 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:06d}.bin"
 
 
-def _write(rows: DataFrame, folder: str, total: int, per_shard: int, size: int) -> DataFrame:
-    """Writes sorted shards; a manifest row for each sequence."""
+def _write(packs: DataFrame, folder: str, total: int, per_shard: int, size: int) -> DataFrame:
+    """Writes each shard's file; a manifest row for each sequence, by slot."""
+    id_type = packs.schema["doc_id"].dataType.elementType
+    schema = T.StructType([
+        T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("doc_id", id_type),
+        T.StructField("part", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("offset", T.LongType())])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files: dict[int, np.ndarray] = {}  # one, as a partition is a shard
+        entries: dict[int, list[pa.Table]] = {}
+        for batch in batches:
+            for r in range(batch.num_rows):
+                shard = batch.column(0)[r].as_py()
+                first = shard * per_shard
+                if shard not in files:
+                    files[shard] = np.empty((min(per_shard, total - first), size), dtype=np.uint8)
+                    entries[shard] = []
+                slot, doc_id, part, n_tokens = (batch.column(c)[r].values for c in range(1, 5))
+                data = pa.decompress(batch.column(5)[r].as_buffer(), decompressed_size=len(slot) * size, codec="zstd")
+                files[shard][slot.to_numpy() - first] = np.frombuffer(data, dtype=np.uint8).reshape(len(slot), size)
+                entries[shard].append(pa.table([slot, doc_id, part, n_tokens], names=["slot", "doc_id", "part", "n_tokens"]))
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
-        open_shard, stream, mark = -1, None, ""
+        for shard, rows in files.items():
+            mark = f"{root}/part-{uuid.uuid4().hex}"
+            with system.open_output_stream(mark) as stream:
+                stream.write(rows)
+            system.move(mark, f"{root}/{shard_name(shard)}")
+            listed = pa.concat_tables(entries[shard]).sort_by("slot")
+            offset = (listed["slot"].to_numpy() - shard * per_shard) * size
+            whole = pa.table([listed["slot"], pa.array(np.full(len(offset), shard, dtype=np.int32)), listed["doc_id"],
+                              listed["part"], listed["n_tokens"], pa.array(offset)], names=schema.names)
+            yield from whole.combine_chunks().to_batches()
 
-        def close() -> None:
-            stream.close()
-            system.move(f"{root}/{mark}", f"{root}/{shard_name(open_shard)}")
-
-        for batch in batches:
-            shards = batch.column(1).to_numpy()
-            edges = np.flatnonzero(np.diff(shards, prepend=shards[:1] - 1)).tolist()
-            for low, high in zip(edges, [*edges[1:], len(shards)], strict=True):
-                if shards[low] != open_shard:
-                    if stream:
-                        close()
-                    open_shard, mark = int(shards[low]), f"part-{uuid.uuid4().hex}"
-                    stream = system.open_output_stream(f"{root}/{mark}")
-                cells = batch.column(5).slice(low, high - low)
-                at = np.frombuffer(cells.buffers()[1], dtype=np.int32)[cells.offset:cells.offset + len(cells) + 1]
-                stream.write(cells.buffers()[2].slice(int(at[0]), int(at[-1] - at[0])))
-            offset = (batch.column(0).to_numpy() - shards.astype(np.int64) * per_shard) * size
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(offset)], names=[*batch.schema.names[:5], "offset"])
-        if stream:
-            close()
-
-    schema = T.StructType([*rows.schema.fields[:5], T.StructField("offset", T.LongType())])
     n_shards = max(1, -(-total // per_shard))
-    placed = rows.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("slot")
-    return placed.mapInArrow(run, schema)
+    return packs.repartitionById(n_shards, F.col("shard")).mapInArrow(run, schema)
 
 
 def materialise(docs: DataFrame, folder: str, column: str = "text", key: str = "doc_id", stride: int = STRIDE,
@@ -189,18 +205,19 @@ def materialise(docs: DataFrame, folder: str, column: str = "text", key: str = "
     The manifest has slot, shard, doc_id, part, n_tokens and the byte offset in the shard's file.
     """
     spark = docs.sparkSession
-    for attempt in range(3):
+    for attempt in range(2):
         rows, total = sequences(docs, column, key, stride, width, seed, per_shard)
         manifest = _write(rows, folder, total, per_shard, stride * width)
         path = f"{folder.rstrip('/')}/manifest-{attempt}"
         try:
             manifest.write.mode("overwrite").parquet(path)
-        except PythonException as failed:
-            if CHANGED in str(failed) and attempt < 2:
-                continue
-            raise
-        return spark.read.schema(manifest.schema).parquet(path)
-    raise RuntimeError(CHANGED)
+            break
+        except Exception as failed:
+            if CHANGED not in str(failed) or attempt:
+                raise
+            # rows of a shuffle, say, whose partitions are made anew each time: a written table's stay
+            docs = written(docs.select(key, column), "sequences")
+    return spark.read.schema(manifest.schema).parquet(path)
 
 
 def read(folder: str, first: int, n: int, stride: int = STRIDE, width: int = 1, per_shard: int = SHARD_SEQUENCES) -> np.ndarray:
