@@ -7,7 +7,7 @@ The regression is fitted on the driver from a small labelled table of URLs,
 of which at most ``sample`` rows (smallest hash first) are used.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path,
-fits no rule and is judged by the bias alone; extra columns are ignored;
+fits no rule and is allowed, as is any URL with an empty host; extra columns are ignored;
 repeated rows and ties get equal results (a URL labelled both ways counts
 twice); an empty table gives an empty result; without labelled rows of both
 kinds every URL is allowed unless a rule blocks it.
@@ -77,13 +77,11 @@ def buckets(host: Column, path: Column) -> Column:
     codes = F.transform(F.split(plain, ""), lambda c: F.ascii(c).cast("bigint"))
 
     def grams(size: int) -> Column:
-        def bucket(code: Column, i: Column) -> Column:
-            total = F.lit(size).cast("bigint")
-            for j in range(size):
-                total = total + F.get(codes, i + j) * F.lit(_FACTORS[j])
-            return F.pmod(total, F.lit(BUCKETS))
-        # the last places have no whole n-gram: their sums are null
-        return F.filter(F.transform(codes, bucket), lambda b: b.isNotNull())
+        # shifted copies side by side, so that each place is visited once however long the URL is
+        shifted = F.arrays_zip(*(F.slice(codes, j + 1, F.greatest(F.size(codes) - (size - 1), F.lit(0))).alias(f"c{j}")
+                                 for j in range(size)))
+        return F.transform(shifted, lambda c: F.pmod(
+            sum((c[f"c{j}"] * F.lit(_FACTORS[j]) for j in range(size)), F.lit(size).cast("bigint")), F.lit(BUCKETS)))
 
     return F.concat(*(grams(n) for n in SIZES))
 
@@ -129,7 +127,7 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, url: str = "url",
     named = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url")).select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     scored = named.withColumn("score", score(F.col("host"), F.col("path"), bias, weights))
-    learned = F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))
+    learned = F.when((F.col("score") > 0) & (F.col("host") != ""), F.lit("block")).otherwise(F.lit("allow"))
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, learned).alias("verdict"), "score")
 
 
