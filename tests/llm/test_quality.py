@@ -31,8 +31,8 @@ def test_statistics(spark):
 
 
 def test_verdict_on_labels_not_learned_from(spark):
-    """Learned from the small table, judged on the labelled documents of a larger one."""
-    folder = "/root/testdata/sf0.01"
+    """Learned from the even documents' labels, judged on those of the odd ones."""
+    folder = "/root/testdata/sf0.1"
     bigger = spark.read.parquet(f"{folder}/documents.parquet")
     train = spark.read.parquet(f"{folder}/labels.parquet").where("doc_id % 2 = 0")
     kept = {r.doc_id: (r.kept, r.base_failed) for r in q.judge(bigger, train).collect()}
