@@ -217,7 +217,7 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.95, le
 def _precise(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray, left: np.ndarray, precision: float, least: int) -> bool:
     inside = covers(rule, x, len(bad)) & left
     p, n = int((bad & inside).sum()), int((~bad & inside).sum())
-    return p >= least and (p + 1) / (p + n + 2) >= min(precision, 1 - 1 / (p + 2))
+    return p >= least and (p + 1) / (p + n + 2) >= min(precision, 1 - 1 / (p + 2)) - 1e-9
 
 
 def verdict(rules: list[Rule]) -> Column:
