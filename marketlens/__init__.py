@@ -10,7 +10,6 @@ Layout
                aggregates, windows, set operations
 ``plans``      the reports composed from them (finance, merch,
                compliance, first-party cohort studies)
-``streaming``  nothing: the reports are batch jobs (see module doc)
 ``checks``     independent DuckDB SQL used as the correctness oracle
 """
 

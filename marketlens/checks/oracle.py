@@ -66,7 +66,7 @@ VIEWS: dict[str, str] = {
     "b_stock_out": """select cast(ts as date) oos_date, event_id, user_id product_id,
   case when user_id % 4 = 0 then null else user_id % 4 end variant_id from events where event_type = 'error'""",
     "b_promo_check": """select event_id, user_id product_id, case when user_id % 4 = 0 then null else user_id % 4 end variant_id,
-  cast(ts as date) start_date, value promo_price from events where event_type = 'purchase' and ts >= timestamp '2024-01-15'""",
+  cast(ts as date) start_date, value promo_price from events where event_type = 'purchase'""",
     "b_created": "select user_id product_id, max(cast(ts as date)) created from events where event_type = 'signup' group by 1",
     "b_channel2": """select l_orderkey order_id, l_linenumber order_line_id, o_custkey customer_id,
   cast(o_orderdate as date) order_date, l_partkey product_id, cast(l_partkey as varchar) external_product_id,

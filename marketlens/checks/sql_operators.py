@@ -1,7 +1,7 @@
 """Oracle SQL for the stand-alone operator queries."""
 
 from marketlens.checks import sql_merch as SM
-from marketlens.checks.oracle import with_views
+from marketlens.checks.oracle import LINE_RECEIPT, with_views
 from marketlens.checks.sql_finance import TYPE_TEXT
 
 LATEST = "select * from b_snapshot where last_updated_date = (select max(last_updated_date) from b_snapshot)"
@@ -14,23 +14,9 @@ SQL = {
     "k04_latest_snapshot": with_views(LATEST),
     "j03_null_safe_join": with_views(f"""select p.product_id, p.variant_id, p.promo_price, s.price
 from b_promo p left join ({LATEST}) s on p.product_id = s.product_id and p.variant_id is not distinct from s.variant_id"""),
-    "j08_semi_any": with_views(f"""select line_id, product_id, variant_id, company_id, total_amount, accepted_date
-from b_line bd where status in (3, 4) and total_amount > 0 and {SM.PRE5}
-  and (exists (select 1 from ma_cat c where c.product_id = bd.product_id and c.variant_id is not distinct from bd.variant_id)
-    or exists (select 1 from ma_cat c where c.parent_product_id = bd.product_id
-               and c.parent_variant_id is not distinct from bd.variant_id))""", SM.A_EXTRA),
-    "j10_lookback": with_views("""select b.event_id, b.product_id, b.variant_id, b.start_date,
-  cast(b.start_date - interval 14 day as date) lookback_14days, cast(b.start_date - interval 7 day as date) lookback_7days,
-  cast(b.start_date - interval 3 day as date) lookback_3days,
-  sp14.product_sell_price sell_price_lb14, sp7.product_sell_price sell_price_lb7, sp3.product_sell_price sell_price_lb3
-from b_promo_check b
-left join mc_sp sp14 on sp14.run_date = cast(b.start_date - interval 14 day as date)
-  and sp14.product_id = cast(b.product_id as varchar) and try_cast(sp14.variant_id as bigint) is not distinct from b.variant_id
-left join mc_sp sp7 on sp7.run_date = cast(b.start_date - interval 7 day as date)
-  and sp7.product_id = cast(b.product_id as varchar) and try_cast(sp7.variant_id as bigint) is not distinct from b.variant_id
-left join mc_sp sp3 on sp3.run_date = cast(b.start_date - interval 3 day as date)
-  and sp3.product_id = cast(b.product_id as varchar) and try_cast(sp3.variant_id as bigint) is not distinct from b.variant_id""",
-        SM.C_EXTRA),
+    "j08_semi_any": with_views(f"""select line_id, li.product_id, li.variant_id, company_id, total_amount, accepted_date
+from b_line li join listed on listed.product_id = li.product_id and listed.variant_id is not distinct from li.variant_id
+where {SM.KEPT_LINES}""", SM.A_TABLES),
     "w01_dedupe_latest": with_views("""select * from b_channel2 qualify row_number() over (
   partition by order_id, order_line_id order by order_date desc, l_shipdate desc, product_id, l_suppkey, gmv) = 1"""),
     "w04_previous_price": with_views("""select event_id, product_id, variant_id, date, price, pre_sell_price, pre_sell_price_date,
@@ -78,14 +64,13 @@ from (select total_amount / 1.1 s,
        else 'Unknown' end state,
   count(*) lines from b_line group by 1, 2"""),
     "a14_windowed_sales": with_views("select product_id, variant_id, company_id, " + ", ".join(
-        f"round({m}, 3) {m}" for m in ["chan_gmv_tw", "chan_gmv_l4w", "chan_gmv_ytd", "all_gmv_l12m",
-                                       "chan_units_tw", "chan_units_l4w", "chan_units_ytd", "all_units_l12m"])
-        + " from ma_sc", SM.A_EXTRA),
-    "o04_live_promotions": with_views("select * from ma_promo", SM.A_EXTRA),
+        f"round({m}, 3) {m}" for m in SM.A_NAMES) + " from total", SM.A_TABLES),
+    "o04_live_promotions": with_views("select * exclude (direct, company_id), company_id seller_id from offer", SM.A_TABLES),
     "f03_local_windows": with_views(f"""select accepted_date, round(sum(total_amount), 2) amount,
-  {SM.TW} in_this_week, {SM.L4W} in_last_4w, {SM.YTD} in_ytd, {SM.L12M} in_last_12m, {SM.PRE5} in_prefilter
+  {SM.WINDOWS["tw"]} in_this_week, {SM.WINDOWS["l4w"]} in_last_4w, {SM.WINDOWS["ytd"]} in_ytd,
+  {SM.WINDOWS["l12m"]} in_last_12m, {SM.PREFILTER} in_prefilter
 from b_line where status in (3, 4) and total_amount > 0
-  and accepted_date between {SM.TODAY} - interval 12 month and {SM.TODAY}
+  and accepted_date between date '1995-07-15' and {SM.DAY}
 group by accepted_date"""),
     "j01_with_receipt": with_views("""select bd.line_id, ri.receipt_id, bd.product_id, bd.total_amount, p.channel
 from b_line bd left join b_bridge ri on bd.line_id = ri.line_id
@@ -99,12 +84,12 @@ from b_receipt where receipt_type in (0, 1, 2) and approved = true and amount >
     "a08_customer_span": with_views("""select customer_id, min(accepted_date) first_transaction_date,
   max(accepted_date) latest_transaction_date from lr
 where status in (3, 4) and channel is null and total_amount > 0 and is_freight = false and is_protection = false
-group by all""", {"lr": SM.LINE_RECEIPT}),
+group by all""", {"lr": LINE_RECEIPT}),
     "a13_order_products": with_views("""select customer_id, receipt_id, accepted_date transaction_date, product_id,
   company_id seller_key, round(sum(total_amount), 2) product_revenue from lr
 where status in (3, 4) and channel is null and total_amount > 0 and is_freight = false and is_protection = false
-group by all""", {"lr": SM.LINE_RECEIPT}),
-    "p03_catalogue": with_views("select * from ma_stats", SM.A_EXTRA),
+group by all""", {"lr": LINE_RECEIPT}),
+    "p03_catalogue": with_views("select * from item", SM.A_TABLES),
     "p08_line_economics": with_views("""select line_id, product_id, order_type, type_text,
   cast(round(cast(total_amount / 1.1 as decimal(38, 6)), 4) as double) total_ex_tax,
   cast(round(cast(n as decimal(38, 6)), 4) as double) net_ex_tax,

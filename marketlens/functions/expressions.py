@@ -213,8 +213,3 @@ def cond_sum(pred: Column, x: Column | str, empty: str = "null") -> Column:
     if empty == "zero":
         return F.sum(F.when(pred, col(x)).otherwise(F.lit(0)))
     return F.sum(F.when(pred, col(x)))
-
-
-def cond_distinct(pred: Column, k: Column | str) -> Column:
-    """COUNT(DISTINCT CASE WHEN p THEN k END)."""
-    return F.count_distinct(F.when(pred, col(k)))

@@ -6,7 +6,8 @@ turns them into broadcast joins at run time only when the measured shuffle
 output is under ``spark.sql.autoBroadcastJoinThreshold`` (a checked size,
 with the sort-merge plan as the fallback). Explicit ``F.broadcast`` is used
 only for inputs of fixed size (literal tables, one-row aggregates).
-Hot keys on the large side are split by adaptive skew-join handling.
+Adaptive execution splits hot keys only where both sides of the join are plain
+shuffles, so per-key aggregates that meet hot keys are materialized first.
 """
 
 from __future__ import annotations
@@ -23,15 +24,17 @@ def with_receipt(lines: DataFrame, bridge: DataFrame, receipts: DataFrame,
     """Line LEFT JOIN bridge LEFT JOIN distinct receipt header columns.
 
     The header is reduced to DISTINCT (receipt_id, *cols): a receipt that
-    carries two channels fans its lines out (kept on purpose). The header is
-    hash-partitioned on receipt_id before the DISTINCT, so the same exchange
-    serves the DISTINCT and the join.
+    carries two channels fans its lines out (kept on purpose). Lines without
+    a receipt, which may be most lines, match nothing: a second key spreads
+    them by line, so they don't meet in one task. Both sides are shuffled for
+    the two keys by the join itself, so adaptive execution can split a
+    receipt with very many lines too.
     """
-    hdr = (receipts.select("receipt_id", *cols)
-           .repartition("receipt_id")
-           .distinct())
+    hdr = receipts.select("receipt_id", *cols).distinct().withColumn("__spread", F.xxhash64("receipt_id"))
     j = lines.join(bridge, "line_id", "left")
-    return j.join(hdr, "receipt_id", "left")
+    # not a constant where there is a receipt, which the optimizer would fold out of the key
+    spread = F.when(F.col("receipt_id").isNull(), F.xxhash64("line_id")).otherwise(F.xxhash64("receipt_id"))
+    return j.withColumn("__spread", spread).join(hdr, ["receipt_id", "__spread"], "left").drop("__spread")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -76,11 +79,6 @@ def anti(df: DataFrame, keys_df: DataFrame, keys: Sequence[str] | str) -> DataFr
     return df.join(keys_df.select(*([keys] if isinstance(keys, str) else keys)), keys, "left_anti")
 
 
-def matched(df: DataFrame, other: DataFrame, keys: Sequence[str] | str) -> DataFrame:
-    """LEFT JOIN ... WHERE right key IS NOT NULL, i.e. an inner join."""
-    return df.join(other, keys, "inner")
-
-
 def semi_any(df: DataFrame, key_lists: Sequence[DataFrame], key: str, nullable_key: str) -> DataFrame:
     """(key, nullable_key) in list A OR in list B.
 

@@ -27,7 +27,6 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-latest_per_key = dedupe_latest  # W2
 
 
 def with_transaction_rank(df: DataFrame, part: Sequence[str], date_col: str,

@@ -134,10 +134,17 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
         F.max(F.when(h, 1).otherwise(0)).alias("__has1p"),
         F.max(F.when(h, 0).otherwise(1)).alias("__has3p"),
         *[F.sum(F.when(pred, rev)).alias(name) for name, pred in parts.items()])
-    span = A.customer_span(daily, "customer_id", "transaction_date")
+    daily = materialize(daily)  # read for the span and for the join with it
+    undated = daily.groupBy("customer_id").agg(F.max(F.col("transaction_date").isNull()).alias("__undated"))
+    span = A.customer_span(daily, "customer_id", "transaction_date").join(undated, "customer_id")
     if first_since is not None:
         span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
-    first = F.col("transaction_date") == F.col("first_transaction_date")
+    # one row per customer, materialized so that the join's sides are plain
+    # shuffles, which adaptive execution can split at a hot customer
+    span = materialize(span)
+    # rows without a date sort first, so where there are some they are the first basket
+    first = F.when(F.col("__undated"), F.col("transaction_date").isNull()).otherwise(
+        F.col("transaction_date") == F.col("first_transaction_date"))
     joined = (J.salted_join(daily, span, "customer_id", skew_salts, "inner",
                             ["receipt_id", "transaction_date"]) if skew_salts > 1
               else daily.join(span, "customer_id", "inner"))
@@ -174,7 +181,7 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     flags = days.select(F.col("customer_id").alias("__c"), F.col("receipt_id").alias("__r"),
                         F.col("transaction_date").alias("__d"), "first_transaction_contains_1p")
     rows = op.join(flags, (op.customer_id == flags["__c"]) & op.receipt_id.eqNullSafe(flags["__r"])
-                   & (op.transaction_date == flags["__d"]), "inner")
+                   & op.transaction_date.eqNullSafe(flags["__d"]), "inner")
     per_product = rows.groupBy("customer_id", "product_id").agg(
         F.max(F.when(h, 1).otherwise(0)).alias("__p1"), F.max(F.when(~h, 1).otherwise(0)).alias("__p3"),
         F.max(F.when(rp & h, 1).otherwise(0)).alias("__rp1"),

@@ -234,23 +234,26 @@ LOOKBACKS = (14, 7, 3)
 
 
 def daily_sell_price(t: Tables) -> DataFrame:
-    """K5 staged relation: first price of each (day, product, variant).
-
-    One row per key: FIRST_VALUE over the key gives every row of a key the
-    same price, so keeping one row per key loses no value; it stops each
-    lookback join from multiplying promo rows by same-day duplicates.
-    """
+    """K5 staged relation: first price of each (day, product, variant), and how many history rows the key has."""
     h = t.price_history.select(F.to_date("ts").alias("run_date"),
                                F.col("product_id").cast("string").alias("product_id"),
                                F.col("variant_id").cast("string").alias("variant_id"),
                                "price", "ts", "event_id")
     first = h.groupBy("run_date", "product_id", "variant_id").agg(
-        F.min_by(F.col("price").cast("double"), F.struct("ts", "event_id")).alias("product_sell_price"))
+        F.struct(F.min_by(F.col("price").cast("double"), F.struct("ts", "event_id")).alias("price"),
+                 F.count(F.lit(1)).alias("copies")).alias("sell"))
     return first.withColumn("variant_key", F.expr("try_cast(variant_id as bigint)"))
 
 
-def promo_compliance(t: Tables, strict: bool = False) -> DataFrame:
-    """Per promoted product row: lookback prices, five checks per lookback, flags."""
+def promo_compliance(t: Tables, strict: bool = False, dedupe: bool = False) -> DataFrame:
+    """Per promoted product row: lookback prices, five checks per lookback, flags.
+
+    The daily price relation of the original keeps every history row of a day
+    with that day's first price, so each lookback repeats a promoted row as
+    often; ``dedupe`` gives one row for each promoted row instead. The joins
+    move one row per (day, product, variant) either way; copies are made after
+    them.
+    """
     base = t.promo_check
     base = base.join(t.created, "product_id", "left")
     base = J.null_safe_join(base, last_price_change(t), ["product_id"], ["variant_id"])
@@ -261,8 +264,14 @@ def promo_compliance(t: Tables, strict: bool = False) -> DataFrame:
                        "last_price_change_date", "last_stock_oos_date")
     snap = stage(daily_sell_price(t), "sell_price")  # K5: read by the three lookback joins
     j = J.lookback(base, snap, "promotion_start_date", LOOKBACKS, "product_id", "variant_id",
-                   "run_date", "product_id", "variant_key", "product_sell_price",
-                   out="sell_price_lb{d}", lookback_col="lookback_{d}days", key_cast="string")
+                   "run_date", "product_id", "variant_key", "sell",
+                   out="__sell{d}", lookback_col="lookback_{d}days", key_cast="string")
+    if not dedupe:
+        copies = F.lit(1).cast("bigint")
+        for d in LOOKBACKS:
+            copies = copies * F.coalesce(F.col(f"__sell{d}.copies"), F.lit(1))
+        j = j.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
+    j = j.withColumns({f"sell_price_lb{d}": F.col(f"__sell{d}.price") for d in LOOKBACKS})
     flags = []
     for d in LOOKBACKS:
         chk = C.compliance_check("promotion_start_date", f"lookback_{d}days", f"sell_price_lb{d}",

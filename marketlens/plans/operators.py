@@ -59,8 +59,9 @@ def j08_semi_any(t: Tables, today: dt.date = AS_OF) -> DataFrame:
 def j10_lookback(t: Tables) -> DataFrame:
     """Price as of 14, 7 and 3 days before each promotion start."""
     base = t.promo_check.select("event_id", "product_id", "variant_id", "start_date")
-    return J.lookback(base, M.daily_sell_price(t), "start_date", M.LOOKBACKS, "product_id", "variant_id",
-                      "run_date", "product_id", "variant_key", "product_sell_price",
+    prices = M.daily_sell_price(t).withColumn("price", F.col("sell.price"))
+    return J.lookback(base, prices, "start_date", M.LOOKBACKS, "product_id", "variant_id",
+                      "run_date", "product_id", "variant_key", "price",
                       out="sell_price_lb{d}", lookback_col="lookback_{d}days", key_cast="string")
 
 

@@ -48,19 +48,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20,
-               shuffle_fraction: float = 0.25) -> dict[str, str]:
+               shuffle_fraction: float = 0.25, most_per_core: int | None = None) -> dict[str, str]:
     """Settings for a cluster run, sized from the bytes the reports scan.
 
     Shuffle partitions: one per ``partition_bytes`` of the expected largest
     shuffle (``shuffle_fraction`` of the input: window filters, column
-    pruning and partial aggregation run before it), at least 2 and at most
-    20 per core; adaptive execution coalesces them to ~128 MB. Scan splits
-    are ``partition_bytes``; a shuffle partition 5x the median and over
-    512 MB is split by the skew-join handling. Example: 100 TB scanned on
-    4,000 cores gives 80,000 shuffle partitions.
+    pruning and partial aggregation run before it), at least 2 per core and
+    at most ``most_per_core`` if that is given; adaptive execution coalesces
+    them to ~128 MB. Scan splits are ``partition_bytes``; a shuffle partition
+    5x the median and over 512 MB is split by the skew-join handling.
+    Example: 100 TiB scanned gives 102,400 shuffle partitions.
     """
-    wanted = -(-int(input_bytes * shuffle_fraction) // partition_bytes)
-    parts = max(2 * cores, min(wanted, 20 * cores))
+    parts = max(2 * cores, -(-int(input_bytes * shuffle_fraction) // partition_bytes))
+    if most_per_core is not None:
+        parts = min(parts, most_per_core * cores)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
@@ -73,23 +74,29 @@ def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) is a private folder created.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder and is
+    used as is. Only on a ``local`` master, where the driver is the only
+    executor, is a private folder made when it is unset.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or _local_folders.get(context.applicationId)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="marketlens-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # noqa: BLE001 - some sessions reject core confs at runtime
-            pass
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+        if not is_local(context.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
+        current = _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="marketlens-ckpt-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(current)
     return current
 
 
+_local_folders: dict[str, str] = {}
+
+
+def is_local(master: str) -> bool:
+    """Whether executors run in the driver's process (local, local[n]; not local-cluster)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

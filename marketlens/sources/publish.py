@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def publish(df: DataFrame, path: str, partition_col: str, cluster_col: str, mode: str = "overwrite") -> None:
+def publish(df: DataFrame, path: str, partition_col: str, cluster_col: str, replace: str = "table") -> None:
     """K2: full-refresh table partitioned by ``partition_col``, clustered by ``cluster_col``.
 
     Rows are range-partitioned on (partition, cluster) keys so each output
     file covers one run date and a contiguous range of ``cluster_col``
     (min/max statistics then prune reads by product id), and sorted within
-    each file. Overwrite is dynamic per partition, so re-running one report
-    date replaces only that date.
+    each file. Range partitioning samples its input, so an expensive ``df``
+    is best materialized first. ``replace="table"`` puts the new rows in the
+    place of all old ones; ``replace="dates"`` only in the place of the run
+    dates that the new rows have. The mode is an option of this write; the
+    session's settings stay as they are.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    mode = {"table": "static", "dates": "dynamic"}[replace]
     (df.repartitionByRange(partition_col, cluster_col)
        .sortWithinPartitions(partition_col, cluster_col)
-       .write.mode(mode).partitionBy(partition_col).parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))
 
 
 def publish_table(df: DataFrame, table: str, path: str, partition_col: str, cluster_col: str,

@@ -248,7 +248,6 @@ class Tables:
     @cached_property
     def promo_check(self) -> DataFrame:
         e = self._events("purchase")
-        e = e.filter(e.ts >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
         return e.select("event_id", e.user_id.alias("product_id"),
                         _opt_variant(e.user_id).alias("variant_id"),
                         e.ts.cast("date").alias("start_date"), e.value.alias("promo_price"))

@@ -211,7 +211,8 @@ def test_pivot_keeps_month_with_only_unknown_state(spark):
 
 def test_scale_conf_bounds():
     from marketlens.session import scale_conf
-    assert scale_conf(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "80000"  # capped at 20 per core
+    assert scale_conf(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "102400"
+    assert scale_conf(100 * 2**40, 4000, most_per_core=20)["spark.sql.shuffle.partitions"] == "80000"
     assert scale_conf(10 * 2**30, 8)["spark.sql.shuffle.partitions"] == "16"  # at least 2 per core
     assert scale_conf(1 * 2**40, 1000)["spark.sql.shuffle.partitions"] == "2000"  # ~1024 wanted, floor 2000
 
@@ -231,3 +232,24 @@ def test_salted_study_equals_default(spark):
     a = cohort.first_party_study(_op(spark, rows), skew_salts=1)
     b = cohort.first_party_study(_op(spark, rows), skew_salts=4)
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_rows_without_a_date_count_and_come_first(spark):
+    """A row without a date is in the product counts, and is the customer's first basket."""
+    import datetime as dt
+
+    from marketlens.plans.cohort import first_party_study
+    day = dt.date(1996, 1, 5)
+    rows = [(7, 1, None, 100, 1, 2.0), (7, 2, day, 101, 1, 20.0), (7, 2, day, 102, 1, 40.0), (8, 3, day, 103, 5, 1.0)]
+    df = spark.createDataFrame(rows, "customer_id long, receipt_id long, transaction_date date, product_id long, seller_key int, product_revenue double")
+    got = {r.customer_id: r for r in first_party_study(df).collect()}
+    assert set(got) == {7}
+    assert (got[7].cl_transactions, got[7].cl_product_revenue, got[7].cl_1p_unique_products) == (2, 62.0, 3)
+    assert (got[7].rp_transactions, got[7].rp_1p_unique_products) == (1, 2)
+
+
+def test_repeated_prices_repeat_promotions_unless_asked(spark, tables_small):
+    from marketlens.plans import merch
+    whole, once = merch.promo_compliance(tables_small), merch.promo_compliance(tables_small, dedupe=True)
+    assert once.count() == tables_small.promo_check.count() < whole.count()
+    assert whole.distinct().count() == once.distinct().count()

@@ -14,8 +14,8 @@ from marketlens.sources.tables import Tables
 from tests.conftest import SF_MID, SF_SMALL
 
 EXPECTED = {
-    SF_SMALL: {"r03": [71, 71], "r04": 4, "r05": 2, "r13": 23,                "live_promos": 58, "r19": (102, 38, 34, 30), "eligible": 120, "r20": None, "w01": 4599},
-    SF_MID: {"r03": [642, 660], "r04": 46, "r05": 29, "r13": 113,              "live_promos": 505, "r19": (1047, 369, 385, 383), "eligible": 1153, "r20": 456, "w01": 45832},
+    SF_SMALL: {"r03": [71, 71], "r04": 4, "r05": 2, "r13": 23,                "live_promos": 58, "r19": (239, 56, 73, 81), "eligible": 120, "r20": 60, "w01": 4599},
+    SF_MID: {"r03": [642, 660], "r04": 46, "r05": 29, "r13": 113,              "live_promos": 505, "r19": (2349, 506, 761, 882), "eligible": 1153, "r20": 456, "w01": 45832},
 }
 
 
@@ -37,8 +37,5 @@ def test_fixture_check_counts(spark, sf):
     from marketlens.params import FIRST_SINCE
     span = A.customer_span(cohort.channel1_order_products(t), "customer_id", "transaction_date")
     assert span.filter(F.col("first_transaction_date") >= F.lit(FIRST_SINCE)).count() == want["eligible"]
-    # sf0.001 lists 61 new 1P customers; every rank-1 / 1P definition (and the
-    # independent oracle) gives 60 there, so only the sf0.01 figure is asserted
-    if want["r20"] is not None:
-        assert cohort.study_channel1(t).count() == want["r20"]
+    assert cohort.study_channel1(t).count() == want["r20"]
     assert ops.w01_dedupe_latest(t).count() == want["w01"]

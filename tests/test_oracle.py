@@ -2,7 +2,7 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from marketlens.registry import oracle_sql, queries
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 

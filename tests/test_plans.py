@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from marketlens.registry import queries
 from tests.conftest import SF_SMALL
 
 COHORT = ["r20_study_channel1", "r21_study_channel2", "r22_study_channel3", "r23_category_study_channel1",
@@ -46,3 +46,52 @@ def test_no_python_udfs_anywhere(spark):
             continue
         p = plan_text(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_lines_without_a_receipt_are_spread(spark):
+    """Nearly all lines lack a receipt: they go to many partitions, not to the NULL key's one."""
+    from pyspark.sql import functions as F
+
+    from marketlens.operators.joins import with_receipt
+    lines = spark.range(20_000).select(F.col("id").alias("line_id"))
+    bridge = spark.range(200).select(F.col("id").alias("line_id"), (F.col("id") % 7).alias("receipt_id"))
+    receipts = spark.range(7).select(F.col("id").alias("receipt_id"), F.lit("web").alias("channel"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = with_receipt(lines, bridge, receipts)
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
+        assert len(sizes) == 16 and max(sizes) < 3 * 20_000 / 16
+        assert out.where("channel = 'web'").count() == 200 and out.count() == 20_000
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_hot_customer_is_split(spark):
+    """One customer with 80 % of the rows: the join with the customers' spans is split by adaptive execution."""
+    from pyspark.sql import functions as F
+
+    from marketlens.plans.cohort import first_party_study
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 5 < 4, F.lit(1)).otherwise(F.col("id")).cast("bigint").alias("customer_id"),
+        F.col("id").alias("receipt_id"), F.expr("date_add(date'1996-01-01', int(id % 90))").alias("transaction_date"),
+        (F.col("id") % 50).alias("product_id"), (F.col("id") % 7).cast("int").alias("seller_key"),
+        F.lit(1.0).alias("product_revenue"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = first_party_study(rows)
+        assert out.count() > 1
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

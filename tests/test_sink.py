@@ -17,9 +17,29 @@ def test_publish_roundtrip(spark, tables_small):
     assert back.count() == df.count()
     cols = df.columns
     assert sorted(map(tuple, back.select(*cols).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
-    # re-publishing the same run date replaces that partition only
-    publish(df, path, "report_run_date", "product_id")
-    assert spark.read.parquet(path).count() == df.count()
+    # publishing again replaces the whole table; one date's rows only where that is asked for
+    from pyspark.sql import functions as F
+    setting = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    days = [df.withColumn("report_run_date", F.lit(d).cast("date")) for d in ("1996-07-16", "1996-07-17")]
+    publish(days[0], path, "report_run_date", "product_id")
+    assert [str(r[0]) for r in spark.read.parquet(path).select("report_run_date").distinct().collect()] == ["1996-07-16"]
+    publish(days[1], path, "report_run_date", "product_id", replace="dates")
+    publish(days[1], path, "report_run_date", "product_id", replace="dates")
+    assert spark.read.parquet(path).count() == 2 * df.count()
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == setting
+
+
+def test_no_private_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from marketlens.session import ensure_checkpoint_dir, is_local
+    assert is_local("local") and is_local("local[8]") and not is_local("local-cluster[3,2,1024]") and not is_local("yarn")
+    context = SimpleNamespace(master="yarn", applicationId="x", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
 
 
 def test_bucketed_publish_joins_without_shuffle(spark, tables_small):
