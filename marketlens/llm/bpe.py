@@ -39,8 +39,8 @@ from marketlens.llm.textbatch import blocks
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 REPLAY_BYTES = 1 << 20  # of new words, and
-SHARD_BYTES = 16 << 20  # of text: what a replay gathers at most
-CACHE_WORDS = 1_000_000
+SHARD_BYTES = 4 << 20  # of text: what a replay gathers at most
+CACHE_WORDS = 500_000
 MANY = 48  # positions of a rank that are merged as arrays
 
 

@@ -196,8 +196,8 @@ def common_counts(doc: np.ndarray, shingle: np.ndarray, m: int) -> np.ndarray:
         x[doc[at], column] = 1
         out += x @ x.T
     seldom = np.flatnonzero((size > 1) & (size <= max(8, m // 16)))
-    for low in range(0, len(seldom), 1 << 14):  # others: the pairs of sets themselves
-        part = seldom[low:low + (1 << 14)]
+    for low in range(0, len(seldom), 1 << 11):  # others: the pairs of sets themselves
+        part = seldom[low:low + (1 << 11)]
         at, of = expand(edge[part], edge[part] + size[part])
         other, source = expand(at + 1, (edge[part] + size[part])[of])
         code = doc[at[source]] * m + doc[other]
