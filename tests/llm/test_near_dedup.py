@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from marketlens.llm import near_dedup
 from marketlens.llm.components import connected
 from tests.llm.common import DOCS, docs, plain
@@ -67,3 +69,19 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3), (200, 150)]
     got = {r.node: r.component for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in [*range(100, 160), 200]}}
+
+
+def test_common_counts_of_slices():
+    rng = np.random.default_rng(0)
+    sets = [set(rng.integers(0, 300, rng.integers(1, 80)).tolist()) for _ in range(60)]
+    doc = np.repeat(np.arange(60), [len(s) for s in sets])
+    shingle = np.concatenate([sorted(s) for s in sets]).astype(np.uint64)
+    both = near_dedup.common_counts(doc, shingle, 60)
+    assert all(both[i, j] == len(sets[i] & sets[j]) for i in range(60) for j in range(60) if i != j)
+
+
+def test_forest_spans_components():
+    similar = np.eye(7, dtype=bool)
+    for a, b in ((0, 3), (3, 5), (1, 2)):
+        similar[a, b] = similar[b, a] = True
+    assert sorted(near_dedup._forest(similar)) == [(0, 3), (0, 5), (1, 2)]
