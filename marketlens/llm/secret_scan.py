@@ -14,6 +14,10 @@ their decoded form confirms them:
 * ``encoded``: a base64 or hex run whose bytes are printable text in which a
   base kind is found.
 
+A dotted token is tried whole, then as its first five and first three parts
+(a full stop or a file name may follow it). Runs on following lines, as wrapped
+base64 has them, are also tried joined.
+
 Defined cases: a null or empty text has no spans; spans of different kinds may
 overlap; repeated rows get equal results; other columns pass through (one
 called ``spans`` is replaced); an empty table gives an empty result.
@@ -25,6 +29,7 @@ import base64
 import binascii
 import json
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
@@ -39,6 +44,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # shorter runs fail as a whole, so a
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
 _DOTTED = re.compile(r"eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,4}")
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++={0,2})+")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _ARMOUR = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 _TEXT = re.compile(rb"[\x09\x0A\x0D\x20-\x7E]+")
 
@@ -146,32 +153,77 @@ def is_signed_token(token: str) -> bool:
     return len(parts) == 3 and isinstance(_json(parts[1]), dict)
 
 
+def _signed_tokens(text: str) -> Iterator[Span]:
+    m = _DOTTED.search(text)
+    while m:
+        parts = m[0].split(".")
+        heads = [m[0], *(".".join(parts[:n]) for n in (5, 3) if n < len(parts) and parts[n - 1])]
+        token = next((t for t in heads if is_signed_token(t)), None)
+        if token:
+            yield "jwt", m.start(), m.start() + len(token)
+        # a rejected token's later parts may begin one
+        m = _DOTTED.search(text, m.start() + len(token or parts[0]))
+
+
+def _decoded_kind(run: str) -> str | None:
+    """What a base64 or hex run is confirmed as."""
+    decoded = [_base64(run)]
+    if len(run) % 2 == 0:
+        try:
+            decoded.append(bytes.fromhex(run))
+        except ValueError:
+            pass
+    for data in decoded:
+        if not data:
+            continue
+        if key_kind(data):
+            return "der"
+        if len(data) >= 16 and _TEXT.fullmatch(data) and base_spans(data.decode("ascii")):
+            return "encoded"
+    return None
+
+
+def _wrapped(text: str) -> Iterator[Span]:
+    """Confirmed runs over several lines: all of one width but the first and the last, which may be shorter."""
+    for block in _LINES.finditer(text):
+        lines = list(_LINE.finditer(text, *block.span()))
+        size = [len(line[0]) for line in lines]
+        first = 0
+        while first + 1 < len(lines):
+            width, stop = max(size[first:first + 2]), first + 1
+            while stop < len(lines) and size[stop] == width and not lines[stop - 1][0].endswith("="):
+                stop += 1
+            # the shorter line after the full ones may be the run's last, or text
+            ends = [stop + 1] if stop < len(lines) and size[stop] < width and not lines[stop - 1][0].endswith("=") else []
+            for end in [*ends, *([stop] if stop > first + 1 else [])]:
+                kind = _decoded_kind("".join(line[0] for line in lines[first:end]))
+                if kind:
+                    yield kind, lines[first].start(), lines[end - 1].end()
+                    first = end
+                    break
+            else:
+                # a shorter first line may be text; lines of one width are tried once
+                first = stop if size[first] == width else first + 1
+
+
 def find(text: str) -> list[Span]:
     """All spans of a text, in order."""
-    base = base_spans(text)
-    out = set(base)
+    out = set(base_spans(text))
     if "eyJ" in text:
-        out.update(("jwt", *m.span()) for m in _DOTTED.finditer(text) if is_signed_token(m[0]))
+        out.update(_signed_tokens(text))
+    armoured = []
     if "-----BEGIN " in text:
         for m in _ARMOUR.finditer(text):
             data = _base64("".join(m[2].split()))
             if data is not None and (key_kind(data) or m[1].startswith("ENCRYPTED") and _nested(data)):
-                out.add(("pem", *m.span()))
+                armoured.append(("pem", *m.span()))
+    out.update(armoured)
     for m in _RUN.finditer(text):
-        run = m[0]
-        decoded = [_base64(run)]
-        if len(run) % 2 == 0:
-            try:
-                decoded.append(bytes.fromhex(run))
-            except ValueError:
-                pass
-        for data in decoded:
-            if not data:
-                continue
-            if key_kind(data):
-                out.add(("der", *m.span()))
-            elif len(data) >= 16 and _TEXT.fullmatch(data) and base_spans(data.decode("ascii")):
-                out.add(("encoded", *m.span()))
+        kind = _decoded_kind(m[0])
+        if kind:
+            out.add((kind, *m.span()))
+    if "\n" in text:
+        out.update(s for s in _wrapped(text) if not any(a <= s[1] and s[2] <= b for _, a, b in armoured))
     return spans.ordered(out, KINDS)
 
 

@@ -83,3 +83,32 @@ def test_redaction(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.text for r in spans.redact(secret_scan.scan(table)).collect()}
     assert got == {1: "a 😀 [REDACTED] b", 2: None, 3: "clean text"}
+
+
+def test_token_before_a_full_stop():
+    token = f"{part({'alg': 'HS256', 'typ': 'JWT'})}.{part({'sub': '1'})}.c2lnbmF0dXJl"
+    five = f"{part({'alg': 'dir', 'enc': 'A128GCM'})}..aXY.Y2lwaGVy.dGFn"
+    for end in ("", ".", ". Next", "...", ".txt", ".tar.gz", "." + token):
+        text = f"the token is {token}{end}"
+        assert ("jwt", 13, 13 + len(token)) in secret_scan.find(text), end
+        assert ("jwt", 0, len(five)) in secret_scan.find(five + end), end
+    joined = [s for s in secret_scan.find(f"eyJunk.{token}.{token}") if s[0] == "jwt"]
+    assert joined == [("jwt", 7, 7 + len(token)), ("jwt", 8 + len(token), 8 + 2 * len(token))]
+
+
+def test_wrapped_keys():
+    for key in (RSA, PKCS8, PKCS8 + b""):
+        whole = base64.b64encode(key).decode()
+        for width in (40, 64, 76):
+            for glue in ("\n", "\r\n", "\n    "):
+                lines = [whole[i:i + width] for i in range(0, len(whole), width)]
+                body = glue.join(lines)
+                for before, after in (("", ""), ("key: ", "\nThanks"), ("A line of text\n", "\n\nmore"), ("x\n", " and so on\n")):
+                    got = secret_scan.find(before + body + after)
+                    assert ("der", len(before), len(before) + len(body)) in got, (width, glue, before)
+    # a first line that is shorter by what stands before it
+    body = whole[:50] + "\n" + "\n".join(whole[50 + i:114 + i] for i in range(0, len(whole) - 50, 64))
+    assert ("der", 5, 5 + len(body)) in secret_scan.find("key: " + body + "\n")
+    # lines of other data are no key
+    other = base64.b64encode(bytes(i * 89 & 255 for i in range(600))).decode()
+    assert not kinds("\n".join(other[i:i + 64] for i in range(0, len(other), 64))) & {"der", "encoded"}
