@@ -80,7 +80,7 @@ FAULT_EVERY = 97
 def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a replica of the whole archive in which some records have one changed byte and some are lost."""
     rotten = F.when(F.col("page_id") % FAULT_EVERY == 0, F.overlay("html", F.lit("#"), F.lit(1), F.lit(1))).otherwise(F.col("html"))
-    both = warc_audit.capture(read(spark, sf_dir, "pages"), copy=rotten)
+    both = warc_audit.capture(read(spark, sf_dir, "pages"), order=warc_audit.IN_FILES, copy=rotten)
     original = both.select("page_id", "place", "record.*")
     replica = both.where(f"page_id is null or page_id % {FAULT_EVERY} <> 1").select("place", "copy.*")
     return warc_audit.audit(original, replica).select("page_id", "segment", "offset", "n_bytes", "sha256", "status")

@@ -1,15 +1,15 @@
 """Merkle fixity audit of WARC replicas.
 
-A replica is a table of records at places of an archive: ``place`` counts the
-records in capture order (with gaps between the runs of different writers);
-each run of ``SEGMENT`` places is one WARC segment, in which records follow
+A replica is a table of records at places of an archive: ``place`` numbers the
+records 0 to n - 1 in capture order; each run of ``SEGMENT`` places is one WARC segment, in which records follow
 each other by byte offset. A leaf hashes a record's bytes with its offset
 range; every further level hashes ``FAN`` neighbouring nodes, in order, with
 the offsets they span. Roots are compared first and only the children of
 mismatching nodes are read further, down to the records.
 
-Places come from the order of one written table, so no row is numbered in one
-task, and a segment is bounded whatever the keys are. All steps are grouped
+Places come from each row's number in its file or partition and the counts of
+those before (a number for each comes to the driver), so no row is numbered in
+one task, and a segment is bounded whatever the keys are. All steps are grouped
 DataFrame operations with groups of at most ``FAN`` (nodes) or ``SEGMENT``
 (offsets) rows.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from marketlens.llm.tables import written
@@ -49,15 +50,30 @@ def fingerprint(key: str, url: str, body: Column) -> Column:
     return F.struct(F.octet_length(data).cast("bigint").alias("n_bytes"), F.sha2(data, 256).alias("sha256"))
 
 
-def capture(rows: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", **copies: Column) -> DataFrame:
+#: File and row number in it, for rows that are read from files: an order that doesn't depend on how files are split.
+IN_FILES = ("_metadata.file_path", "_metadata.row_index")
+
+
+def capture(rows: DataFrame, key: str = "page_id", url: str = "url", body: str = "html",
+            order: tuple[str, str] | None = None, **copies: Column) -> DataFrame:
     """page_id, place and the fingerprint of each row's record (and of further ``copies`` of its body), written once.
 
-    The rows' order in the table becomes the capture order.
+    ``order`` names the part that a row is in and its number there, from 0 without gaps; parts follow by name.
+    Without it, the rows' order when they are written becomes the capture order.
     """
-    return written(rows.select(
-        F.col(key).alias("page_id"), F.monotonically_increasing_id().alias("place"),
+    part, number = map(F.col, order) if order else (F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    listed = written(rows.select(
+        F.col(key).alias("page_id"), part.alias("part"), number.alias("number"),
         fingerprint(key, url, F.col(body)).alias("record"),
         *(fingerprint(key, url, c).alias(name) for name, c in copies.items())), "captured")
+    first, total = [], 0
+    for name, n in sorted(tuple(r) for r in listed.groupBy("part").agg(F.count(F.lit(1))).collect()):
+        first.append((name, total))
+        total += n
+    before = listed.sparkSession.createDataFrame(first, T.StructType([
+        T.StructField("part", listed.schema["part"].dataType), T.StructField("first", T.LongType())]))
+    return listed.join(F.broadcast(before), "part").select(
+        "page_id", (F.col("first") + F.col("number")).alias("place"), "record", *copies)
 
 
 def with_offsets(records: DataFrame) -> DataFrame:

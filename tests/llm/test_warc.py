@@ -1,8 +1,13 @@
 import hashlib
 
+import duckdb
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from marketlens.llm import warc_audit
+from marketlens.llm.queries import OP4_SQL, op4_merkle_fixity
+from marketlens.llm.tables import read
+from tests.llm.common import SMALL
 
 ROWS = [(i, f"http://h/{i}", f"<p>{i}</p>" * (i % 7)) for i in range(3000)] + [(None, None, None), (5, "http://h/5", "<p>5</p>")]
 
@@ -43,3 +48,29 @@ def test_equal_and_empty(spark):
     none = captured(spark, [], copy=F.col("html"))
     got = warc_audit.audit(none.select("page_id", "place", "record.*"), none.select("place", "copy.*"))
     assert got.count() == 0
+
+
+def test_places_do_not_depend_on_splits(spark, tmp_path):
+    """The query on a table of several row groups and files, read in many partitions, against its SQL."""
+    pages = pq.read_table(f"{SMALL}/pages.parquet")
+    folder = tmp_path / "pages.parquet"
+    folder.mkdir()
+    cut = pages.num_rows // 3
+    pq.write_table(pages.slice(0, cut), folder / "part-0.parquet", row_group_size=50)
+    pq.write_table(pages.slice(cut), folder / "part-1.parquet", row_group_size=50)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet(['{folder}/part-0.parquet', '{folder}/part-1.parquet'])")
+    want = con.sql(OP4_SQL).df().sort_values("page_id").reset_index(drop=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        assert read(spark, str(tmp_path), "pages").rdd.getNumPartitions() > 4
+        got = op4_merkle_fixity(spark, str(tmp_path)).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = got.sort_values("page_id").reset_index(drop=True)[list(want)]
+    assert len(got) == pages.num_rows and got.equals(want.astype(got.dtypes))
+
+
+def test_places_are_dense(spark):
+    both = captured(spark)
+    assert sorted(r.place for r in both.select("place").collect()) == list(range(len(ROWS)))
