@@ -19,6 +19,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -129,18 +130,31 @@ def _tokens(text: str) -> Iterator[tuple[int, int, list[str]]]:
         before = [*before[-1:], word]
 
 
+def _seed_words(text: str, listed: list[dict]) -> tuple[dict[int, list[dict]], set[int]]:
+    """The base spans that begin in a word, by the word's number, and the words that only go on with one."""
+    begins: dict[int, list[dict]] = {}
+    inside: set[int] = set()
+    if listed:
+        starts = [m.start() for m in _WORD.finditer(text)]
+        for s in listed:
+            i = bisect_right(starts, s["start"]) - 1
+            begins.setdefault(i, []).append(s)
+            inside.update(range(i + 1, bisect_left(starts, s["end"])))
+    return begins, inside.difference(begins)
+
+
 def _seed_rows(found: DataFrame, text: str) -> DataFrame:
     """(pattern, instance) of every seed occurrence."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pattern, instance = [], []
             for t, listed in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text, "spans")), strict=True):
-                for s in listed:
-                    # two words need the text before up to the third blank; very long words are taken whole
-                    near = max(0, s["start"] - 400)
-                    for p in _patterns(t[near:s["start"]].split()):
-                        pattern.append(p)
-                        instance.append(t[s["start"]:s["end"]].lower())
+                words = t.split()
+                for i, seeds in _seed_words(t, listed)[0].items():
+                    for p in _patterns(words[max(0, i - 2):i]):
+                        for s in seeds:
+                            pattern.append(p)
+                            instance.append(t[s["start"]:s["end"]].lower())
             yield pa.RecordBatch.from_arrays([pa.array(pattern, pa.string()), pa.array(instance, pa.string())],
                                              names=["pattern", "instance"])
 
@@ -159,7 +173,10 @@ def _pattern_blocks(patterns: DataFrame, size: int) -> Iterator[frozenset[str]]:
 
 
 def _count(found: DataFrame, chosen: frozenset[str], text: str) -> DataFrame:
-    """pattern, occurrences before any word, and before identifiers; summed in each task first."""
+    """pattern, occurrences before any word, and before identifiers; summed in each task first.
+
+    A word in which a base span begins is an identifier whatever its shape; a span's further words aren't counted.
+    """
     sent = found.sparkSession.sparkContext.broadcast(chosen)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,12 +185,13 @@ def _count(found: DataFrame, chosen: frozenset[str], text: str) -> DataFrame:
         every: Counter = Counter()
         hits: Counter = Counter()
         for batch in batches:
-            for t in batch.column(0).to_pylist():
+            for t, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = t.split() if t else []
+                begins, inside = _seed_words(t, listed)
                 for i, w in enumerate(words[:-1]):
                     w = w.lower()
-                    if w in last or _normal(w) in last:
-                        shaped = is_identifier(words[i + 1].strip(_EDGE))
+                    if (w in last or _normal(w) in last) and i + 1 not in inside:
+                        shaped = i + 1 in begins or is_identifier(words[i + 1].strip(_EDGE))
                         for p in _patterns(words[max(0, i - 1):i + 1]):
                             if p in wanted:
                                 every[p] += 1
@@ -183,7 +201,7 @@ def _count(found: DataFrame, chosen: frozenset[str], text: str) -> DataFrame:
             [pa.array(names, pa.string()), pa.array([every[p] for p in names], pa.int64()),
              pa.array([hits[p] for p in names], pa.int64())], names=["pattern", "n", "shaped"])
 
-    counted = found.select(text).mapInArrow(run, "pattern string, n bigint, shaped bigint")
+    counted = found.select(text, "spans").mapInArrow(run, "pattern string, n bigint, shaped bigint")
     return counted.groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("shaped").alias("shaped"))
 
 
@@ -202,16 +220,19 @@ def _extract(found: DataFrame, chosen: frozenset[str], text: str, keys: list[str
             rows, out = [], []
             cells = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text, "spans"))
             for r, (t, listed) in enumerate(zip(*cells, strict=True)):
-                for start, end, before in _tokens(t or ""):
-                    if not before or _normal(before[-1]) not in last or not is_identifier(t[start:end]):
+                begins, inside = _seed_words(t, listed)
+                for i, (start, end, before) in enumerate(_tokens(t or "")):
+                    if not before or _normal(before[-1]) not in last or i in inside:
                         continue
                     # a base span may hold more than the word (a phone number); the instance is then the span
-                    own = next((s for s in listed if s["start"] < end and start < s["end"]), None)
-                    a, b = (own["start"], own["end"]) if own else (start, end)
+                    own = [(s["start"], s["end"]) for s in begins.get(i, ())]
+                    if not own and not is_identifier(t[start:end]):
+                        continue
                     for p in _patterns(before):
                         if p in wanted:
-                            rows.append(r)
-                            out.append((a, b, p, t[a:b].lower(), own is not None))
+                            for a, b in own or [(start, end)]:
+                                rows.append(r)
+                                out.append((a, b, p, t[a:b].lower(), bool(own)))
             taken = batch.take(pa.array(rows, pa.int64())).select(keys)
             columns = list(zip(*out, strict=True)) if out else [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_())
@@ -247,7 +268,7 @@ def extract(docs: DataFrame, text: str = "text", key: str = "doc_id", bounds: Bo
     induced = written(seeds, "induced")
     counts = None
     for block in _pattern_blocks(induced, bounds.block):
-        part = written(_count(kept, block, "text"), "counts")
+        part = written(_count(base, block, "text"), "counts")
         counts = part if counts is None else counts.union(part)
     plain = base.select("doc_id", "h", "spans")
     if counts is None:

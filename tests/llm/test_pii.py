@@ -75,3 +75,21 @@ def test_awkward_rows(spark):
     assert pii.extract(spark.createDataFrame([], DOCS)).count() == 0
     twice = spark.createDataFrame(planted() * 2, "doc_id long, text string")
     assert pii.extract(twice).count() == 2 * len(planted())
+
+
+def test_seeds_of_any_shape_discover(spark):
+    """Patterns before phones, spaced cards, digit-free emails and after very long words find the unseen too."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    long = "x" * 900
+    seeds = [(f"+1 (456) 5{i:02d}-2186", "please Ring now: ") for i in range(30)]
+    seeds += [(f"{letters[i % 26]}{letters[i // 26]}.doe@example.com", "please Write to: ") for i in range(30)]
+    seeds += [(f"4111 1111 1111 {n}", "please Charge this: ") for n in range(1000, 1400) if luhn(f"411111111111{n}")]
+    seeds += [(f"({letters[i]}.roe@example.com)", f"please Ask {long} ") for i in range(20)]
+    rows = [(i, f"{before}{seed} and some text") for i, (seed, before) in enumerate(seeds)]
+    hidden = [(1000 + i, f"{before}@id{i:03d} and some text") for i, before in enumerate(dict.fromkeys(b for _, b in seeds))]
+    table = spark.createDataFrame(rows + hidden, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.extract(table).collect()}
+    for d, t in hidden:
+        assert got[d] == [("context", t.index("@"), t.index("@") + 6)], t
+    for d, t in rows:
+        assert got[d] == pii.find(t) and len(got[d]) == 1, t
