@@ -1,12 +1,18 @@
 """Language-model scores by online logistic context mixing, beside a word-count baseline.
 
 Training (one pass): every training text counts the next byte in several
-hashed contexts (the last three and four bytes; the word so far). Spark
-sums the counts of all tasks. Bytes are coded by the bits of a Huffman code of
-the training bytes, which needs about half of the eight plain bits; a
-context's counts become one bit predictor for each inner node of that code's
-tree, stored as a stretched probability (log-odds). The tables have a fixed
-number of slots, so the broadcast is bounded at any corpus size.
+contexts (the last three and four bytes; the word so far). Spark sums the
+counts of all tasks. Bytes are coded by the bits of a Huffman code of the
+training bytes, which needs about half of the eight plain bits; a context's
+counts become one bit predictor for each inner node of that code's tree, kept
+as a stretched probability (log-odds) if it isn't 0. The model is a Spark table
+of one row a context, so it grows with what was read and no context shares a
+row with another.
+
+Shards: texts are dealt to shards of bounded text, tokens and contexts; the
+shard's distinct contexts and tokens are joined to the model and to the corpus
+counts, and what is known of them comes back by shard. So a hot context or
+token has one row a shard, and a task holds what one shard needs.
 
 Scoring: a text is coded bit by bit, after the bits before. The predictors'
 log-odds are combined with the weights of a gate (whether a word is under
@@ -15,9 +21,8 @@ gradient of the coding cost in that text. All texts of a block move in step,
 so the work is array operations; a text's score depends on nothing but the
 text and the model. The score counts an end mark (byte 0).
 
-Baseline: tokens of a shard of texts are numbered in the task, the shard's
-distinct tokens are joined to the corpus counts, and the counts come back by
-shard; so hot tokens have one row a shard and no text is shuffled.
+Baseline: the words of a text and its end, by the corpus counts of the shard's
+tokens.
 
 Defined cases: A-Z are lower-cased; a null text counts as empty and has one
 token, the end; a null id is training data; repeated rows are scored alike and
@@ -33,6 +38,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,13 +49,16 @@ from marketlens.llm.tables import written
 from marketlens.llm.textbatch import NOT_SPACE, Block, blocks, mix
 
 CONTEXTS = ("last3", "last4", "word")
-SLOT_BITS = (15, 17, 18)  # contexts of each kind
+TOKEN = len(CONTEXTS)  # the kind of a shard's tokens, beside those of contexts
+SLOT_BITS = (15, 17, 18)  # slots of each kind in a plain table of hashed contexts, which scoring takes also
 SYMBOLS = 64  # the 63 most frequent bytes of the training texts, and one for all others
-_SALT = [np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64)) for n in range(5)]
-SEGMENT = 256  # contexts of one row of the model
+HELD = 1 << 22  # counts that a task holds before it gives them out
+DENSE = 1 << 16  # contexts whose predictors are spread out at a time
 STEP = 128
 RATE, START, SCALE = 0.006, 0.4, 16
 SHARD_TOKENS = 4 << 20
+SHARD_CONTEXTS = 4 << 20
+SHARD_BYTES = 32 << 20
 END = np.uint64(0x5851F42D4C957F2D)  # the end token's hash
 
 
@@ -127,14 +136,14 @@ def layout(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, begin, size + 1
 
 
-def context_slots(flat: np.ndarray) -> list[np.ndarray]:
-    """For each kind, the slot of the context before each place."""
+def contexts(flat: np.ndarray) -> list[np.ndarray]:
+    """For each kind, the context before each place: the bytes themselves, or 56 bits of the word's hash."""
     wide = flat.astype(np.uint64)
     out, packed = [], np.zeros(len(flat), dtype=np.uint64)
     for n in range(1, 5):
         packed[n:] |= wide[:-n] << np.uint64(8 * (n - 1))
         if n > 2:
-            out.append((mix(packed + _SALT[n]) >> np.uint64(64 - SLOT_BITS[n - 3])).astype(np.int64))
+            out.append(packed.copy())
     # the word so far: a hash of the bytes since the last space or text start
     inside = NOT_SPACE[flat] & (flat != 0)
     place = np.arange(len(flat))
@@ -147,7 +156,7 @@ def context_slots(flat: np.ndarray) -> list[np.ndarray]:
     first = np.zeros(len(flat), dtype=np.int64)  # start of the word that the place before belongs to
     first[1:] = since[:-1] + 1
     word = (total[place] - total[first]) * back[first] + (place - first).astype(np.uint64)
-    out.append((mix(word) >> np.uint64(64 - SLOT_BITS[2])).astype(np.int64))
+    out.append(mix(word) >> np.uint64(8))
     return out
 
 
@@ -171,53 +180,138 @@ def count_bytes(docs: DataFrame, text: str) -> np.ndarray:
     return out
 
 
-def add_counts(block: Block, symbol: np.ndarray, tables: list[np.ndarray]) -> None:
-    """Adds a block's (context, next symbol) pairs to the tables; a context has ``SYMBOLS`` places."""
+def pairs(block: Block, symbol: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each kind, a block's distinct (context * 256 + next symbol) in order, and how often each occurs."""
     flat, begin, size = layout(block)
     place = _coded(begin, size)
-    of = symbol[flat[place]].astype(np.uint32)
-    for table, slot in zip(tables, context_slots(flat), strict=True):
-        at = np.sort(slot[place].astype(np.uint32) * np.uint32(SYMBOLS) + of)
-        edge = np.flatnonzero(np.diff(at, prepend=at[:1] + np.uint32(1)))
-        table[at[edge]] += np.diff(edge, append=len(at)).astype(np.int32)
+    of = symbol[flat[place]].astype(np.uint64)
+    for context in contexts(flat):
+        at = np.sort(context[place] << np.uint64(8) | of)
+        edge = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
+        yield at[edge], np.diff(edge, append=len(at))
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    at, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(at)
+    at = at[order]
+    edge = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
+    return at[edge], np.add.reduceat(n[order], edge) if len(edge) else n
 
 
 def count_contexts(docs: DataFrame, text: str, symbol: np.ndarray) -> DataFrame:
-    """(kind, at, n): how often a symbol follows a context; at = slot * SYMBOLS + symbol. Summed in each task first."""
+    """kind, key and ``next`` (symbol, n): how often each symbol follows a context. Summed in each task first."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros(SYMBOLS << bits, dtype=np.int32) for bits in SLOT_BITS]
+        held: list[list] = [[] for _ in CONTEXTS]
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for kind, parts in enumerate(held):
+                for every, counts in parts:
+                    for low in range(0, len(every), 1 << 17):
+                        at, n = every[low:low + (1 << 17)], counts[low:low + (1 << 17)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(at), kind, dtype=np.int32)), pa.array((at >> np.uint64(8)).astype(np.int64)),
+                             pa.array((at & np.uint64(255)).astype(np.int32)), pa.array(n.astype(np.int64))],
+                            names=["kind", "key", "symbol", "n"])
+                parts.clear()
+
+        size = 0
         for block in blocks(batches, text, lower=True):
-            add_counts(block, symbol, tables)
-        for k, table in enumerate(tables):
-            at = np.flatnonzero(table)
-            for low in range(0, len(at), 1 << 17):
-                part = at[low:low + (1 << 17)]
+            for parts, found in zip(held, pairs(block, symbol), strict=True):
+                parts.append(found)
+                size += len(found[0])
+            if size > HELD:
+                held[:] = [[_merged(parts)] for parts in held]
+                size = sum(len(parts[0][0]) for parts in held)
+                if size > HELD // 2:
+                    yield from out()
+                    size = 0
+        held[:] = [[_merged(parts)] if parts else [] for parts in held]
+        yield from out()
+
+    counted = docs.select(text).mapInArrow(run, "kind int, key bigint, symbol int, n bigint").repartition("kind", "key")
+    return (counted.groupBy("kind", "key", "symbol").agg(F.sum("n").alias("n"))
+            .groupBy("kind", "key").agg(F.collect_list(F.struct("symbol", "n")).alias("next")))
+
+
+def _binary(at: np.ndarray, data: np.ndarray) -> pa.Array:
+    """The bytes ``data[at[r]:at[r + 1]]`` of each row."""
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data.tobytes())])
+
+
+def train(docs: DataFrame, text: str) -> tuple[Code, DataFrame]:
+    """The code, and the model: kind, key, and the nodes whose log-odds aren't 0 with these, a byte each."""
+    code = Code(count_bytes(docs, text))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 2048):
+                rows = batch.slice(low, 2048)
+                listed = rows.column(2)
+                of = np.repeat(np.arange(rows.num_rows), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
+                flat = listed.flatten()
+                counts = np.zeros((rows.num_rows, SYMBOLS))
+                counts[of, flat.field("symbol").to_numpy(zero_copy_only=False)] = flat.field("n").to_numpy(zero_copy_only=False)
+                stretched = code.stretch(counts)
+                row, node = np.nonzero(stretched)
+                at = np.searchsorted(row, np.arange(rows.num_rows + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), k, dtype=np.int32)), pa.array(part.astype(np.int32)),
-                     pa.array(table[part].astype(np.int64))], names=["kind", "at", "n"])
+                    [rows.column(0), rows.column(1), _binary(at, node.astype(np.uint8)), _binary(at, stretched[row, node])],
+                    names=["kind", "key", "nodes", "odds"])
 
-    counted = docs.select(text).mapInArrow(run, "kind int, at int, n bigint")
-    return counted.groupBy("kind", "at").agg(F.sum("n").alias("n"))
+    rows = count_contexts(docs, text, code.symbol).select("kind", "key", "next")
+    return code, written(rows.mapInArrow(run, "kind int, key bigint, nodes binary, odds binary"), "model")
 
 
-def train(docs: DataFrame, text: str) -> tuple[Code, list[np.ndarray]]:
-    """The code, and the tables of stretched probabilities: int8, ``SYMBOLS`` for each context."""
-    code = Code(count_bytes(docs, text))
-    width = SEGMENT * SYMBOLS
+class Rows:
+    """What is known of one kind of contexts: the contexts in order, and the nodes and log-odds of each."""
+
+    def __init__(self, known: pa.Table):
+        key = known["key"].to_numpy()
+        order = np.argsort(key)
+        self.key = key[order]
+        self.at, nodes = self._bytes(known["nodes"], order)
+        _, odds = self._bytes(known["odds"], order)
+        self.node, self.odds = nodes, odds.view(np.int8)
 
-    def segment(key: tuple, rows: pa.Table) -> pa.Table:
-        counts = np.zeros(width)
-        counts[rows["at"].to_numpy() % width] = rows["n"].to_numpy()
-        return pa.table({"kind": pa.array([key[0].as_py()], pa.int32()), "segment": pa.array([key[1].as_py()], pa.int32()),
-                         "model": pa.array([code.stretch(counts.reshape(SEGMENT, SYMBOLS)).tobytes()], pa.binary())})
+    @staticmethod
+    def _bytes(column: pa.ChunkedArray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(order):
+            return np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint8)
+        cells = column.combine_chunks().cast(pa.large_binary()).take(pa.array(order))
+        _, at, data = cells.buffers()
+        at = np.frombuffer(at, dtype=np.int64)[cells.offset:cells.offset + len(cells) + 1]
+        return at, np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+
+    def predictors(self, context: np.ndarray, node: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """The log-odds at each bit's node after its place's context; 0 for contexts never read."""
+        coded = pa.array(context.astype(np.int64)).dictionary_encode()
+        distinct = coded.dictionary.to_numpy()
+        of = np.repeat(coded.indices.to_numpy().astype(np.int64), bits)
+        out = np.zeros(len(node), dtype=np.int8)
+        if not len(self.key):
+            return out
+        have = np.minimum(np.searchsorted(self.key, distinct), len(self.key) - 1)
+        hit = self.key[have] == distinct
+        order = np.argsort(of, kind="stable") if len(distinct) > DENSE else None
+        for low in range(0, len(distinct), DENSE):
+            found = np.flatnonzero(hit[low:low + DENSE])
+            source = have[low + found]
+            step, row = expand(self.at[source], self.at[source + 1])
+            dense = np.zeros(min(DENSE, len(distinct) - low) * SYMBOLS, dtype=np.int8)
+            dense[found[row] * SYMBOLS + self.node[step]] = self.odds[step]
+            if order is None:
+                return dense.take(of * SYMBOLS + node)
+            mine = order[slice(*np.searchsorted(of, [low, low + DENSE], sorter=order))]
+            out[mine] = dense.take((of[mine] - low) * SYMBOLS + node[mine])
+        return out
 
-    parts = count_contexts(docs, text, code.symbol).withColumn("segment", F.expr(f"at div {width}").cast("int"))
-    rows = parts.groupBy("kind", "segment").applyInArrow(segment, "kind int, segment int, model binary")
-    tables = [np.zeros(SYMBOLS << bits, dtype=np.int8) for bits in SLOT_BITS]
-    for row in written(rows, "model").toLocalIterator():  # the tables' fixed size in all
-        low = row["segment"] * width
-        tables[row["kind"]][low:low + width] = np.frombuffer(bytes(row["model"]), dtype=np.int8)
-    return code, tables
+
+def _predictors(table: Rows | np.ndarray, context: np.ndarray, node: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    if isinstance(table, Rows):
+        return table.predictors(context, node, bits)
+    slot = mix(context) >> np.uint64(65 - (len(table) // SYMBOLS).bit_length())
+    return table.take(np.repeat(slot.astype(np.int64) * SYMBOLS, bits) + node)
 
 
 def _step(low: int) -> tuple[int, float]:
@@ -229,7 +323,7 @@ def _step(low: int) -> tuple[int, float]:
     return width, STEP / width
 
 
-def score_block(block: Block, model: tuple[Code, list[np.ndarray]], rate: float = RATE, start: float = START) -> np.ndarray:
+def score_block(block: Block, model: tuple[Code, list[Rows | np.ndarray]], rate: float = RATE, start: float = START) -> np.ndarray:
     """Bits that each text of the block costs."""
     code, tables = model
     flat, begin, size = layout(block)
@@ -248,8 +342,8 @@ def score_block(block: Block, model: tuple[Code, list[np.ndarray]], rate: float
     k = len(tables) + 1
     # eight small numbers for each bit, moved as one: the inputs, a constant, zeros and the sign
     inputs = np.zeros((len(step), 8), dtype=np.int8)
-    for i, (table, slot) in enumerate(zip(tables, context_slots(flat), strict=True)):
-        inputs[:, i] = table.take(np.repeat(slot[place] * SYMBOLS, bits) + node)
+    for i, (table, context) in enumerate(zip(tables, contexts(flat), strict=True)):
+        inputs[:, i] = _predictors(table, context[place], node, bits)
     inputs[:, k - 1] = SCALE
     inputs[:, 7] = code.sign[step]
     packed = inputs.view(np.uint64)[:, 0]
@@ -288,100 +382,113 @@ def score_block(block: Block, model: tuple[Code, list[np.ndarray]], rate: float
     return total.reshape(block.n, 2).sum(axis=1)
 
 
-def _pass(docs: DataFrame, model: tuple[Code, list[np.ndarray]], text: str) -> DataFrame:
-    """A row for each text (its score and the shard's numbers of its tokens), and one for each shard's tokens."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    id_type = docs.schema["doc_id"].dataType
+def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all tokens, each text's words and then its end, and each text's number of them."""
+    row, start, end = block.runs(NOT_SPACE[block.buf])
+    hashes = np.full(len(row) + block.n, END, dtype=np.uint64)
+    hashes[np.arange(len(row)) + row] = block.hashes(start, end)
+    return hashes.view(np.int64), np.bincount(row, minlength=block.n) + 1
+
+
+def _shards(docs: DataFrame) -> DataFrame:
+    """A row for each text, and one for each shard's distinct keys of each kind (with the training counts of tokens)."""
     schema = T.StructType([
-        T.StructField("shard", T.StringType()), T.StructField("doc_id", id_type), T.StructField("held_out", T.BooleanType()),
-        T.StructField("n_bytes", T.LongType()), T.StructField("bits", T.DoubleType()),
-        T.StructField("numbers", T.ArrayType(T.IntegerType())),
-        T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("trained", T.ArrayType(T.LongType()))])
+        T.StructField("shard", T.StringType()), *(T.StructField(c, docs.schema[c].dataType) for c in ("doc_id", "held_out", "text")),
+        T.StructField("kind", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType())),
+        T.StructField("trained", T.ArrayType(T.LongType()))])
+    arrow = to_arrow_schema(schema)
 
-    def flush(parts: list) -> Iterator[pa.RecordBatch]:
+    def flush(texts: list, keys: list[list], trained: list) -> Iterator[pa.RecordBatch]:
         shard = uuid.uuid4().hex  # the rows are written once, so a repeated task's name doesn't matter
-        every = np.concatenate([t for _, _, t, _ in parts])
-        tokens, number = np.unique(every, return_inverse=True)
-        trained = np.concatenate([np.repeat(~rows.column(1).to_numpy(zero_copy_only=False), n) for rows, _, _, n in parts])
-        count = np.bincount(number[trained], minlength=len(tokens))
-        at = 0
-        for rows, bits, hashes, n in parts:
-            ends = np.zeros(rows.num_rows + 1, dtype=np.int32)
-            np.cumsum(n, out=ends[1:])
-            numbers = pa.ListArray.from_arrays(pa.array(ends), pa.array(number[at:at + len(hashes)].astype(np.int32)))
-            at += len(hashes)
-            none = pa.nulls(rows.num_rows, pa.list_(pa.int64()))
+        for rows in texts:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard] * rows.num_rows), *rows.columns, *(pa.nulls(rows.num_rows, arrow.field(i).type) for i in range(4, 7))],
+                names=arrow.names)
+        for kind, parts in enumerate(keys):
+            distinct, counts = np.unique(np.concatenate(parts)), None
+            if kind == TOKEN:
+                learned, n = np.unique(np.concatenate(trained), return_counts=True)
+                counts = np.zeros(len(distinct), dtype=np.int64)
+                counts[np.searchsorted(distinct, learned)] = n
             yield pa.RecordBatch.from_arrays(
-                [pa.array([shard] * rows.num_rows), rows.column(0), rows.column(1), rows.column(2), pa.array(bits),
-                 numbers, none, none], names=schema.names)
-        first = parts[0][0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([shard]), pa.nulls(1, first.column(0).type), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.int64()),
-             pa.nulls(1, pa.float64()), pa.nulls(1, pa.list_(pa.int32())),
-             pa.array([tokens.view(np.int64)], pa.list_(pa.int64())), pa.array([count], pa.list_(pa.int64()))],
-            names=schema.names)
+                [pa.array([shard]), *(pa.nulls(1, arrow.field(i).type) for i in range(1, 4)), pa.array([kind], pa.int32()),
+                 pa.array([distinct], arrow.field(5).type), pa.array([counts], arrow.field(6).type)], names=arrow.names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, n = [], 0
-        for block in blocks(batches, text, lower=True):
-            row, start, end = block.runs(NOT_SPACE[block.buf])
-            words = np.bincount(row, minlength=block.n)
-            # each text's tokens are its words and then the end
-            hashes = np.full(len(row) + block.n, END, dtype=np.uint64)
-            hashes[np.arange(len(row)) + row] = block.hashes(start, end)
-            rows = pa.RecordBatch.from_arrays(
-                [block.rows.column(0), block.rows.column(1), pa.array(np.diff(block.at))], names=["doc_id", "held_out", "n_bytes"])
-            parts.append((rows, score_block(block, sent.value), hashes, words + 1))
-            n += len(hashes)
-            if n >= SHARD_TOKENS:
-                yield from flush(parts)
-                parts, n = [], 0
-        if parts:
-            yield from flush(parts)
-
-    return docs.mapInArrow(run, schema)
-
-
-def _base(key: tuple, texts: pa.Table, known: pa.Table, schema: pa.Schema) -> pa.Table:
-    """Baseline scores of one shard's texts, from the corpus counts of its tokens."""
+        texts: list = []
+        keys: list[list] = [[] for _ in range(TOKEN + 1)]
+        trained: list = []
+        tokens = n_contexts = n_bytes = 0
+        for block in blocks(batches, "text", lower=True):
+            flat, begin, size = layout(block)
+            place = _coded(begin, size)
+            for kind, context in enumerate(contexts(flat)):
+                keys[kind].append(np.unique(context[place]).astype(np.int64))
+                n_contexts += len(keys[kind][-1])
+            hashes, n = _tokens(block)
+            keys[TOKEN].append(hashes)
+            trained.append(hashes[np.repeat(~block.rows.column(1).to_numpy(zero_copy_only=False), n)])
+            texts.append(block.rows)
+            tokens += len(hashes)
+            n_bytes += len(block.buf)
+            if tokens >= SHARD_TOKENS or n_contexts >= SHARD_CONTEXTS or n_bytes >= SHARD_BYTES:
+                yield from flush(texts, keys, trained)
+                texts, keys, trained = [], [[] for _ in range(TOKEN + 1)], []
+                tokens = n_contexts = n_bytes = 0
+        if texts:
+            yield from flush(texts, keys, trained)
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
+
+
+def _score_shard(texts: pa.Table, known: pa.Table, code: Code, schema: pa.Schema) -> pa.Table:
+    """Scores and baseline scores of one shard's texts, from what is known of its contexts and tokens."""
     if not texts.num_rows:
         return schema.empty_table()
     total, kinds = texts["train_tokens"][0].as_py(), texts["kinds"][0].as_py()
-    counts = np.zeros(known.num_rows)
-    counts[known["number"].to_numpy()] = known["n"].to_numpy()
-    with np.errstate(divide="ignore"):
-        logs = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
-    lists = texts["numbers"].combine_chunks()
-    number = lists.flatten().to_numpy()
-    size = lists.value_lengths().to_numpy()
-    first = np.cumsum(size) - size  # every text has its end, so no list is empty
-    base = np.add.reduceat(logs[number], first)
-    seen = np.add.reduceat((counts[number] > 0).astype(np.int64), first)
-    bits = texts["bits"].to_numpy()
-    n_bytes = texts["n_bytes"].to_numpy()
-    return pa.table([texts["doc_id"], texts["held_out"], pa.array(size.astype(np.int64)), pa.array(seen), texts["train_tokens"],
-                     pa.array(base), pa.array(-bits * np.log10(2)), pa.array(bits / np.maximum(n_bytes, 1))], schema=schema)
+    of_kind = [known.filter(pc.equal(known["kind"], kind)) for kind in range(TOKEN + 1)]
+    model = code, [Rows(rows) for rows in of_kind[:TOKEN]]
+    tokens = of_kind[TOKEN].sort_by("key")
+    token, counts = tokens["key"].to_numpy(), tokens["n"].to_numpy()
+    logs = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
+    out = [schema.empty_table()]
+    for block in blocks(texts.select(["doc_id", "held_out", "text"]).to_batches(), "text", lower=True):
+        bits = score_block(block, model)
+        hashes, size = _tokens(block)
+        number = np.searchsorted(token, hashes)
+        first = np.cumsum(size) - size  # every text has its end, so none is without tokens
+        base = np.add.reduceat(logs[number], first)
+        seen = np.add.reduceat((counts[number] > 0).astype(np.int64), first)
+        out.append(pa.table(
+            [block.rows.column(0), block.rows.column(1), pa.array(size.astype(np.int64)), pa.array(seen),
+             pa.array(np.full(block.n, total, dtype=np.int64)), pa.array(base), pa.array(-bits * np.log10(2)),
+             pa.array(bits / np.maximum(np.diff(block.at), 1))], schema=schema))
+    return pa.concat_tables(out)
 
 
 def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of every row."""
     named = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
-    model = train(named.where(~F.col("held_out")), "text")
-    passed = written(_pass(named, model, "text"), "scored")
-    texts = passed.where("numbers is not null").select("shard", "doc_id", "held_out", "n_bytes", "bits", "numbers")
-    tokens = passed.where("tokens is not null").select("shard", F.posexplode(F.arrays_zip("tokens", "trained")))
-    tokens = tokens.select(F.col("shard").alias("shard"), F.col("pos").alias("number"), "col.tokens", "col.trained")
-    counts = written(tokens.groupBy("tokens").agg(F.sum("trained").alias("n")), "counts")
+    code, model = train(named.where(~F.col("held_out")), "text")
+    shards = written(_shards(named), "shards")
+    tokens = shards.where(F.col("kind") == TOKEN).select("shard", F.explode(F.arrays_zip("keys", "trained")).alias("of"))
+    tokens = tokens.select("shard", F.col("of.keys").alias("key"), "of.trained")
+    counts = written(tokens.groupBy("key").agg(F.sum("trained").alias("n")), "counts")
     total, kinds = counts.where("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
-    known = tokens.select("shard", "number", "tokens").join(counts, "tokens").select("shard", "number", "n")
-    texts = texts.withColumns({"train_tokens": F.lit(int(total or 0)).cast("bigint"), "kinds": F.lit(int(kinds)).cast("bigint")})
+    keys = shards.where(F.col("kind") < TOKEN).select("shard", "kind", F.explode("keys").alias("key"))
+    none = F.lit(None)
+    known = keys.join(model, ["kind", "key"]).select("shard", "kind", "key", "nodes", "odds", none.cast("bigint").alias("n"))
+    known = known.unionByName(tokens.join(counts, "key").select(
+        "shard", F.lit(TOKEN).alias("kind"), "key", none.cast("binary").alias("nodes"), none.cast("binary").alias("odds"), "n"))
+    texts = shards.where("kind is null").select(F.col("shard").alias("shard"), "doc_id", "held_out", "text").withColumns(
+        {"train_tokens": F.lit(int(total or 0)).cast("bigint"), "kinds": F.lit(int(kinds)).cast("bigint")})
     out = T.StructType([
         T.StructField("doc_id", named.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
         *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")),
         *(T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "bits_per_byte"))])
     arrow = to_arrow_schema(out)
 
-    def base(of: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _base(of, left, right, arrow)
+    def of_shard(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _score_shard(left, right, code, arrow)
 
-    return texts.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(base, out)
+    return texts.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(of_shard, out)

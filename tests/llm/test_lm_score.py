@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from marketlens.llm import lm_score
 from marketlens.llm.queries import op1_logistic_mixing
@@ -62,3 +63,50 @@ def test_scores_do_not_depend_on_the_block():
     whole = np.concatenate([lm_score.score_block(b, model) for b in blocks([together])])
     alone = [lm_score.score_block(b, model)[0] for t in rows for b in blocks([pa.RecordBatch.from_arrays([pa.array([t])], names=["text"])])]
     assert np.allclose(whole, alone)
+
+
+def counted(spark, rows):
+    table = spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
+    return lm_score.train(table, "text")
+
+
+def test_model_grows_and_contexts_share_nothing(spark):
+    """Every context has a row of its own, with the counts of plain counting."""
+    words = [f"{i * 7919 % 100003:x}{i:x}" for i in range(60_000)]
+    _, model = counted(spark, [" ".join(words[i:i + 500]) for i in range(0, len(words), 500)])
+    sizes = {r.kind: r.n for r in model.groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("key").alias("d")).collect()}
+    flat = ["\0" * 4 + " ".join(words[i:i + 500]) for i in range(0, len(words), 500)]
+    for kind, n in ((0, 3), (1, 4)):
+        assert sizes[kind] == len({t[i - n:i] for t in flat for i in range(4, len(t) + 1)})
+    begun = {w[:i] for w in words for i in range(len(w) + 1)}
+    assert sizes[2] == len(begun) > 1 << 17
+
+
+def test_counts_are_exact(spark):
+    rows = ["abcabcabd", "abcd", None, "", "xabc"]
+    table = spark.createDataFrame([(t,) for t in rows], "text string").repartition(2)
+    got = lm_score.count_contexts(table, "text", np.arange(256)).where("kind = 0").collect()
+    want = Counter()
+    for t in rows:
+        raw = b"\0" * 4 + (t or "").encode() + b"\0"
+        want.update((int.from_bytes(raw[i - 3:i][::-1], "little"), raw[i]) for i in range(4, len(raw)))
+    assert {(r.key, s.symbol): s.n for r in got for s in r.next} == dict(want)
+
+
+def test_rows_in_parts(monkeypatch):
+    """Predictors are the same however many contexts are spread out at a time."""
+    rng = np.random.default_rng(3)
+    key = np.unique(rng.integers(0, 1 << 40, 500))
+    at = np.arange(len(key) + 1) * 3
+    nodes = np.tile([1, 5, 9], len(key)).astype(np.uint8)
+    odds = rng.integers(-127, 128, len(nodes)).astype(np.int8)
+    shuffled = rng.permutation(len(key))
+    rows = lm_score.Rows(pa.table({"key": key, "nodes": lm_score._binary(at, nodes), "odds": lm_score._binary(at, odds)}).take(pa.array(shuffled)))
+    context = np.concatenate([rng.choice(key, 2000), rng.integers(0, 1 << 40, 300)]).astype(np.uint64)
+    bits = rng.integers(1, 5, len(context))
+    node = rng.choice([1, 5, 9, 11], bits.sum())
+    of = {(k, n): odds[3 * i + j] for i, k in enumerate(key.tolist()) for j, n in enumerate((1, 5, 9))}
+    want = [of.get(x, 0) for x in zip(np.repeat(context, bits).tolist(), node.tolist(), strict=True)]
+    for dense in (1 << 16, 64):
+        monkeypatch.setattr(lm_score, "DENSE", dense)
+        assert rows.predictors(context, node, bits).tolist() == want
