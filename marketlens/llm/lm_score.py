@@ -51,7 +51,7 @@ from marketlens.llm.textbatch import NOT_SPACE, Block, blocks, mix
 CONTEXTS = ("last3", "last4", "word")
 TOKEN = len(CONTEXTS)  # the kind of a shard's tokens, beside those of contexts
 SLOT_BITS = (15, 17, 18)  # slots of each kind in a plain table of hashed contexts, which scoring takes also
-SYMBOLS = 64  # the 63 most frequent bytes of the training texts, and one for all others
+SYMBOLS = 256  # every byte; their code's tree has 255 nodes
 HELD = 1 << 22  # counts that a task holds before it gives them out
 DENSE = 1 << 16  # contexts whose predictors are spread out at a time
 STEP = 128
@@ -65,25 +65,16 @@ END = np.uint64(0x5851F42D4C957F2D)  # the end token's hash
 class Code:
     """A Huffman code of bytes: for each byte, the tree nodes on its way and the bits taken there.
 
-    The ``SYMBOLS - 1`` most frequent bytes and one symbol for all others form
-    the tree that contexts predict; below that symbol, the others have a tree
-    of their own whose bits no context predicts (they read the last column,
-    which is 0).
+    Contexts predict every node. Symbols are the bytes by falling frequency.
     """
 
     def __init__(self, counts: np.ndarray):
         weight = counts.astype(np.int64) + 1  # bytes never seen have a code too
         order = np.argsort(-weight, kind="stable")
-        often, rare = order[:SYMBOLS - 1].tolist(), order[SYMBOLS - 1:].tolist()
-        self.symbol = np.full(256, SYMBOLS - 1, dtype=np.int64)
-        self.symbol[often] = np.arange(SYMBOLS - 1)
-        top, self.children = self._tree([*(int(weight[b]) for b in often), int(weight[rare].sum())])
-        below, _ = self._tree([int(weight[b]) for b in rare])
-        ways = [[]] * 256
-        for symbol, b in enumerate(often):
-            ways[b] = top[symbol]
-        for symbol, b in enumerate(rare):
-            ways[b] = [*top[SYMBOLS - 1], *((SYMBOLS - 1, bit) for _, bit in below[symbol])]
+        self.symbol = np.empty(256, dtype=np.int64)
+        self.symbol[order] = np.arange(SYMBOLS)
+        of, self.children = self._tree(weight[order].tolist())
+        ways = [of[symbol] for symbol in self.symbol]
         self.at = np.cumsum([0, *map(len, ways)])
         self.node = np.array([n for way in ways for n, _ in way], dtype=np.int64)
         self.sign = np.array([1 - 2 * b for way in ways for _, b in way], dtype=np.int8)  # 1 for a bit 0

@@ -110,3 +110,17 @@ def test_rows_in_parts(monkeypatch):
     for dense in (1 << 16, 64):
         monkeypatch.setattr(lm_score, "DENSE", dense)
         assert rows.predictors(context, node, bits).tolist() == want
+
+
+def test_every_byte_is_predicted(spark):
+    """In texts of more than 64 different bytes, context tells the next one of each."""
+    rng = np.random.default_rng(5)
+    letters = [chr(c) for c in range(0x430, 0x450)] + [chr(c) for c in range(0x4E00, 0x4E40)] + [chr(c) for c in range(0x627, 0x647)]
+    words = ["".join(rng.choice(letters, 6)) for _ in range(300)]
+    table = [(i, " ".join(rng.choice(words, 200))) for i in range(200)]
+    got = lm_score.score(spark.createDataFrame(table, "doc_id long, text string")).where("held_out").toPandas()
+    assert len(set("".join(t for _, t in table).encode())) > 64
+    # a word is one of 300 (8.2 bits) and has 14 to 19 bytes with its blank
+    assert len(got) and got.bits_per_byte.mean() < 1.2
+    code = lm_score.Code(np.ones(256))
+    assert len(set(code.symbol.tolist())) == 256 and code.node.max() == 254
