@@ -16,9 +16,10 @@ token has one row a shard, and a task holds what one shard needs.
 
 Scoring: a text is coded bit by bit, after the bits before. The predictors'
 log-odds are combined with the weights of a gate (whether a word is under
-way); after ``STEP`` bits of a gate (more, late in a long text) its weights are refined by the
-gradient of the coding cost in that text. All texts of a block move in step,
-so the work is array operations; a text's score depends on nothing but the
+way); after each ``STEP`` bits of a gate its weights are refined by the gradient of
+the coding cost in that text. All texts of a block move in step, so the work
+is array operations; a shard's texts are scored by falling length, so the long
+ones are in blocks of their own. A text's score depends on nothing but the
 text and the model. The score counts an end mark (byte 0).
 
 Baseline: the words of a text and its end, by the corpus counts of the shard's
@@ -305,15 +306,6 @@ def _predictors(table: Rows | np.ndarray, context: np.ndarray, node: np.ndarray,
     return table.take(np.repeat(slot.astype(np.int64) * SYMBOLS, bits) + node)
 
 
-def _step(low: int) -> tuple[int, float]:
-    """How many bits after the place ``low`` of a stream share weights, and the rate of the change after them.
-
-    Long streams take larger steps, so a very long text doesn't hold up its block.
-    """
-    width = STEP if low < 32 * STEP else 8 * STEP if low < 256 * STEP else 64 * STEP
-    return width, STEP / width
-
-
 def score_block(block: Block, model: tuple[Code, list[Rows | np.ndarray]], rate: float = RATE, start: float = START) -> np.ndarray:
     """Bits that each text of the block costs."""
     code, tables = model
@@ -349,13 +341,12 @@ def score_block(block: Block, model: tuple[Code, list[Rows | np.ndarray]], rate:
     scale = np.float32(1 / SCALE)
     low = 0
     while low < length[0]:
-        width, pace = _step(low)
         n = int(np.searchsorted(-length, -low))  # streams longer than ``low``
-        spread = np.arange(low, low + width)
+        spread = np.arange(low, low + STEP)
         at = first[:n, None] + spread
         live = spread < length[:n, None]
         np.minimum(at, len(step) - 1, out=at)
-        small = packed.take(at).view(np.int8).reshape(n, width, 8)
+        small = packed.take(at).view(np.int8).reshape(n, STEP, 8)
         x = small[:, :, :k] * scale
         s = small[:, :, 7]
         margin = np.matmul(x, weights[:n, :, None])[:, :, 0]
@@ -366,8 +357,8 @@ def score_block(block: Block, model: tuple[Code, list[Rows | np.ndarray]], rate:
         cost[:n] += np.log(1 + wrong).sum(axis=1, dtype=np.float64)
         error = wrong / (1 + wrong)
         error *= s
-        weights[:n] -= np.float32(rate * pace) * np.matmul(error[:, None, :], x)[:, 0]
-        low += width
+        weights[:n] -= np.float32(rate) * np.matmul(error[:, None, :], x)[:, 0]
+        low += STEP
     total = np.zeros(len(first))
     total[by_length] = cost / np.log(2)
     return total.reshape(block.n, 2).sum(axis=1)
@@ -443,7 +434,9 @@ def _score_shard(texts: pa.Table, known: pa.Table, code: Code, schema: pa.Schema
     token, counts = tokens["key"].to_numpy(), tokens["n"].to_numpy()
     logs = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
     out = [schema.empty_table()]
-    for block in blocks(texts.select(["doc_id", "held_out", "text"]).to_batches(), "text", lower=True):
+    length = pc.fill_null(pc.binary_length(texts["text"]), 0).to_numpy()
+    texts = texts.select(["doc_id", "held_out", "text"]).take(pa.array(np.argsort(-length, kind="stable")))
+    for block in blocks(texts.to_batches(), "text", lower=True):
         bits = score_block(block, model)
         hashes, size = _tokens(block)
         number = np.searchsorted(token, hashes)

@@ -124,3 +124,33 @@ def test_every_byte_is_predicted(spark):
     assert len(got) and got.bits_per_byte.mean() < 1.2
     code = lm_score.Code(np.ones(256))
     assert len(set(code.symbol.tolist())) == 256 and code.node.max() == 254
+
+
+def test_long_texts_adapt_at_one_rate():
+    """The weights of a long text follow the plain rule, a step of one rate after each ``STEP`` bits of a gate, to its end."""
+    rng = np.random.default_rng(9)
+    code = lm_score.Code(np.ones(256))
+    tables = [rng.integers(-60, 60, lm_score.SYMBOLS << b).astype(np.int8) for b in lm_score.SLOT_BITS]
+    text = bytes(rng.integers(97, 123, 12_000).astype(np.uint8)).decode()  # one word: nearly all bits are of one gate
+    block = next(blocks([pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])]))
+    flat, _, _ = lm_score.layout(block)
+    found = lm_score.contexts(flat)
+    total = 0.0
+    for gate in (0, 1):
+        xs, signs = [], []
+        for place in range(4, len(flat)):
+            if (place > 4) != bool(gate):
+                continue
+            a, b = code.at[flat[place]], code.at[flat[place] + 1]
+            parts = [lm_score._predictors(t, c[place:place + 1], code.node[a:b], np.array([b - a])) for t, c in zip(tables, found, strict=True)]
+            xs.append(np.stack([*parts, np.full(b - a, lm_score.SCALE)], axis=1) / lm_score.SCALE)
+            signs.append(code.sign[a:b])
+        x, s = np.concatenate(xs), np.concatenate(signs)
+        w = np.array([lm_score.START] * 3 + [0])
+        for low in range(0, len(x), lm_score.STEP):
+            part, sign = x[low:low + lm_score.STEP], s[low:low + lm_score.STEP]
+            wrong = np.exp(np.clip(part @ w * sign, -12, 12))
+            total += np.log2(1 + wrong).sum()
+            w = w - lm_score.RATE * (wrong / (1 + wrong) * sign) @ part
+    assert len(x) > 256 * lm_score.STEP
+    assert np.isclose(lm_score.score_block(block, (code, tables))[0], total, rtol=1e-4)
