@@ -82,8 +82,10 @@ def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rotten = F.when(F.col("page_id") % FAULT_EVERY == 0, F.overlay("html", F.lit("#"), F.lit(1), F.lit(1))).otherwise(F.col("html"))
     both = warc_audit.capture(read(spark, sf_dir, "pages"), order=warc_audit.IN_FILES, copy=rotten)
     original = both.select("page_id", "place", "record.*")
-    replica = both.where(f"page_id is null or page_id % {FAULT_EVERY} <> 1").select("place", "copy.*")
-    return warc_audit.audit(original, replica).select("page_id", "segment", "offset", "n_bytes", "sha256", "status")
+    # the replica's offsets come from its own bytes, before its records were lost
+    replica = warc_audit.with_offsets(both.select("page_id", "place", "copy.*")).where(f"page_id is null or page_id % {FAULT_EVERY} <> 1")
+    found = warc_audit.audit(original, replica, extras=True)
+    return found.select("page_id", "segment", "offset", "n_bytes", "sha256", "status")
 
 
 OP4_SQL = """

@@ -130,20 +130,32 @@ def mismatches(levels: list[DataFrame]) -> DataFrame:
     return found.select("place", fault.alias("fault"))
 
 
-def audit(original: DataFrame, other: DataFrame) -> DataFrame:
+def audit(original: DataFrame, other: DataFrame, extras: bool = False) -> DataFrame:
     """page_id, place, segment, offset, n_bytes, sha256 and status of every record of the original.
 
-    ``other`` has place, n_bytes and sha256 of the replica's records; a
-    replica's record keeps its place, so a lost one leaves a gap and its
-    followers' offsets in the segment are those of the original.
+    ``other`` has place, n_bytes and sha256 of the replica's records, and the
+    segment and offset where the replica has them; a record that is elsewhere
+    is changed. A replica's record keeps its place, so a lost one leaves a gap.
+    Without offsets of its own, a replica is compared by place and bytes only.
+    With ``extras`` the records that only the replica has are returned too, as
+    ``extra``, without a page_id and where the replica has them.
     """
     first = written(with_offsets(original), "records")
-    offsets = first.select("place", "segment", "offset")
-    second = other.select("place", "n_bytes", "sha256").join(offsets, "place", "left")
-    second = second.select("place", F.coalesce("segment", F.shiftright("place", SEGMENT_BITS)).alias("segment"),
-                           F.coalesce("offset", F.lit(0)).alias("offset"), "n_bytes", "sha256")
-    both = first.select(F.lit(0).alias("copy"), "place", "segment", "offset", "n_bytes", "sha256").union(
-        second.select(F.lit(1).alias("copy"), "place", "segment", "offset", "n_bytes", "sha256"))
-    faults = mismatches(tree(both)).withColumnRenamed("place", "__place")
-    return first.join(faults, first["place"] == F.col("__place"), "left").select(
-        "page_id", "place", "segment", "offset", "n_bytes", "sha256", F.coalesce("fault", F.lit("intact")).alias("status"))
+    located = ["place", "segment", "offset", "n_bytes", "sha256"]
+    if {"segment", "offset"} <= set(other.columns):
+        second = other.select(located)
+    else:
+        offsets = first.select("place", "segment", "offset")
+        second = other.select("place", "n_bytes", "sha256").join(offsets, "place", "left")
+        second = second.select("place", F.coalesce("segment", F.shiftright("place", SEGMENT_BITS)).alias("segment"),
+                               F.coalesce("offset", F.lit(0)).alias("offset"), "n_bytes", "sha256")
+    second = written(second, "replica")
+    both = first.select(F.lit(0).alias("copy"), *located).union(second.select(F.lit(1).alias("copy"), *located))
+    faults = written(mismatches(tree(both)), "faults").withColumnRenamed("place", "__place")
+    out = first.join(faults, first["place"] == F.col("__place"), "left").select(
+        "page_id", *located, F.coalesce("fault", F.lit("intact")).alias("status"))
+    if not extras:
+        return out
+    extra = faults.where("fault = 'extra'").select(F.col("__place").alias("place"))
+    return out.union(second.join(extra, "place", "left_semi").select(
+        F.lit(None).cast(out.schema["page_id"].dataType).alias("page_id"), *located, F.lit("extra").alias("status")))

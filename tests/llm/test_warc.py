@@ -74,3 +74,17 @@ def test_places_do_not_depend_on_splits(spark, tmp_path):
 def test_places_are_dense(spark):
     both = captured(spark)
     assert sorted(r.place for r in both.select("place").collect()) == list(range(len(ROWS)))
+
+
+def test_moved_and_extra_records_are_found(spark):
+    """A record elsewhere in the replica with the same bytes, and records that only the replica has."""
+    both = captured(spark, copy=F.col("html"))
+    original = both.select("page_id", "place", "record.*")
+    replica = warc_audit.with_offsets(both.select("place", "copy.*"))
+    moved = replica.withColumn("offset", F.when(F.col("place") == 7, F.col("offset") + 5).otherwise(F.col("offset")))
+    extra = spark.createDataFrame([(len(ROWS), 10, "ab", 2, 99)], "place long, n_bytes long, sha256 string, segment long, offset long")
+    got = warc_audit.audit(original, moved.unionByName(extra), extras=True)
+    assert got.count() == len(ROWS) + 1
+    bad = [(r.place, r.status, r.page_id, r.segment, r.offset) for r in got.where("place = 3002 or status = 'extra'").collect()]
+    assert bad == [(len(ROWS), "extra", None, 2, 99)]
+    assert {(r.place, r.status) for r in got.where("status <> 'intact'").collect()} == {(7, "changed"), (len(ROWS), "extra")}
