@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from marketlens.llm import (
     bpe,
     decontaminate,
+    filter_audit,
     lm_score,
     near_dedup,
     pii,
+    prefix_trie,
     quality_rules,
     secret_scan,
+    simhash,
     spans,
     training_order,
     url_filter,
@@ -194,6 +197,102 @@ FROM q JOIN walk w ON w.idx = q.first + q.part AND w.x < w.total
 """
 
 
+def op11_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(read(spark, sf_dir, "documents"), k=4, bits=4)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+OP12_SQL = """
+WITH base AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^ \\x09-\\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM base
+), fails AS (
+  SELECT part, doc_id,
+    (CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN doc_id > least THEN 16 ELSE 0 END) AS bad
+  FROM w
+), mark AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), cell AS (
+  SELECT part, bad, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM fails LEFT JOIN mark USING (doc_id) GROUP BY part, bad
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), step AS (
+  SELECT filter_order, s AS step, bits[s] AS f, CAST(coalesce(list_sum(bits[1:s - 1]), 0) AS INTEGER) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS s)
+), res AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN bad & (f + before) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN bad & f > 0 AND bad & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN bad & f > 0 AND bad & before > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN bad = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN bad & f > 0 AND bad & before = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN bad & f > 0 AND bad & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cell, step GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM res
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark,
+    len(regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(mark || ' ' || words ORDER BY turn NULLS FIRST, mark) AS ts FROM t GROUP BY conv_id
+), bits AS (  -- CRC-32 of the decimal id, bit by bit: -1 is a shift
+  SELECT conv_id, list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))) AS ops FROM own
+), head AS (
+  SELECT conv_id, 3 - list_reduce(ops, lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384)
+    ELSE a >> 1 END) & 3 AS h FROM bits
+), conv AS (
+  SELECT o.conv_id, coalesce(p.ts, [])[1:h] || o.ts[h + 1:] AS ts
+  FROM own o JOIN head USING (conv_id) LEFT JOIN own p ON p.conv_id = o.conv_id - ((o.conv_id % 20) + 20) % 20
+), pre AS (
+  SELECT conv_id, CAST(unnest(range(0, len(ts) + 1)) AS BIGINT) AS depth, ts FROM conv
+), node AS (
+  SELECT depth, array_to_string(ts[1:depth], ',') AS path, any_value(ts[1:depth]) AS ts, min(conv_id) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(pre.ts) = depth), '')) AS ends
+  FROM pre GROUP BY ALL
+), up AS (
+  SELECT n.path, n.depth, n.conv_id, n.n, n.ts, CAST(unnest(range(0, n.depth + 1)) AS BIGINT) AS above FROM node n
+), kids AS (
+  SELECT depth - 1 AS depth, array_to_string(ts[1:depth - 1], ',') AS path, count(*) AS k FROM node WHERE depth > 0 GROUP BY ALL
+), sub AS (
+  SELECT array_to_string(up.ts[1:above], ',') AS path, above AS depth,
+    sum(CASE WHEN k IS NULL THEN 1 ELSE 0 END) AS leaves,
+    sum(CASE WHEN up.depth = 0 THEN 0 ELSE (n - 1) * CAST(string_split(up.ts[up.depth], ' ')[2] AS BIGINT) END) AS saved
+  FROM up LEFT JOIN kids ON kids.path = up.path AND kids.depth = up.depth GROUP BY ALL
+)
+SELECT node.conv_id, node.depth, par.conv_id AS parent_conv_id, CAST(node.n AS BIGINT) AS n_convs,
+  CAST(coalesce(k, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  node.ends AS ends_sha256
+FROM node JOIN sub ON sub.path = node.path AND sub.depth = node.depth
+LEFT JOIN kids ON kids.path = node.path AND kids.depth = node.depth
+LEFT JOIN node par ON node.depth > 0 AND par.depth = node.depth - 1 AND par.path = array_to_string(node.ts[1:node.depth - 1], ',')
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_logistic_mixing": op1_logistic_mixing,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -205,6 +304,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_decision_list": op8_quality_decision_list,
     "op9_url_regression": op9_url_regression,
     "op10_feistel_training_order": op10_feistel_training_order,
+    "op11_simhash_variants": op11_simhash_variants,
+    "op12_filter_interactions": op12_filter_interactions,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -212,4 +314,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_merkle_fixity": OP4_SQL,
     "op10_feistel_training_order": OP10_SQL,
     "op5_fm_index_decontamination": OP5_SQL,
+    "op12_filter_interactions": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }

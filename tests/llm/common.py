@@ -33,7 +33,7 @@ def docs(spark, rows=ROWS):
 
 def duck(sql, folder=SMALL):
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "pages", "labels"):
+    for name in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return con.sql(sql).df()
 
