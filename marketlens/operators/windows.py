@@ -1,13 +1,24 @@
 """Window operators (W1-W9), written to survive hot partition keys.
 
 A plain ``Window.partitionBy(customer)`` sends every row of one customer to
-one task. Where the frame semantics allow it, these operators first reduce
-the rows to one per (partition key, order key) with a partially-aggregated
-``groupBy`` and run the window on that reduced relation (bounded by the
-number of distinct dates per key, not rows), then join the result back.
-Top-1 filters use ``row_number() = 1``, which Spark plans as a partial
-``WindowGroupLimit`` before the shuffle, so each map task forwards at most
-one row per key.
+one task. W3-W6 look for such keys first (``hotkeys.hot_keys``, one pass with
+a heavy-hitter sketch). Without any, the plain window is the best plan: one
+shuffle of the rows. With some, only the hot keys' rows are cut into blocks,
+and the one window is partitioned by (key, block) too:
+
+* W4: a block begins with a carry row, the last row of the key's block before;
+* W3, W6: two-pass prefix scan. The first pass reduces hot keys to one row of
+  sums per (key, order value) and block sums per (key, block); the second puts
+  those rows and the sums of all earlier blocks in front of the block's rows,
+  whose own values no longer count, so a block, and even one (key, order value)
+  with very many rows, can be dealt to several tasks;
+* W5: the first value is a partially aggregated MIN_BY, joined with salts for
+  hot keys only.
+
+Carry rows are united with the rows before the shuffle and dropped after the
+window, so raw rows are never joined back to a window's result. Top-1 filters
+use ``row_number() = 1``, which Spark plans as a partial ``WindowGroupLimit``
+before the shuffle, so each map task forwards at most one row per key.
 """
 
 from __future__ import annotations
@@ -17,6 +28,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlens.operators.hotkeys import Hot, blocks, hot_join, hot_keys
+from marketlens.sources.publish import materialize
+
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep the first row per key under ``order`` (QUALIFY row_number() = 1).
@@ -30,53 +44,41 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def with_transaction_rank(df: DataFrame, part: Sequence[str], date_col: str,
-                          out: str = "transaction_rank") -> DataFrame:
-    """Dense rank of ``date_col`` within ``part`` (same-day rows share a rank).
+                          out: str = "transaction_rank", hot: Hot | None = None) -> DataFrame:
+    """Dense rank of ``date_col`` within ``part`` (same-day rows share a rank; a null day ranks first).
 
-    Ranked over DISTINCT (part, date) then joined back: a hot customer costs
-    one row per distinct date in the window.
+    ``hot`` may give the hot keys of ``part`` if they are known already.
     """
-    days = df.select(*part, date_col).distinct()
-    ranked = days.withColumn(out, F.dense_rank().over(Window.partitionBy(*part).orderBy(date_col)).cast("long"))
-    return _join_back(df, ranked, [*part, date_col])
-
-
-def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = small.select(*[F.col(c).alias(f"__jb_{c}") if c in keys else F.col(c) for c in small.columns])
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(r[f"__jb_{k}"])
-        cond = c if cond is None else cond & c
-    j = df.join(r, cond, "left")
-    return j.select(*[F.col(c) for c in j.columns if not c.startswith("__jb_")])
+    return running(df, part, date_col, {}, hot, rank=out)
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
-                  cols: Mapping[str, str]) -> DataFrame:
+                  cols: Mapping[str, str], hot: Hot | None = None) -> DataFrame:
     """LAG(col, 1) over (partition by keys order by bucket, *order), per ``cols`` (source -> output).
 
-    ``bucket`` is the coarse leading order key (a date). The lag is split in
-    two so that no window is partitioned by ``keys`` alone over raw rows:
-      * inside one (keys, bucket) group, the previous row is a plain lag;
-      * the first row of a group takes the last value of the key's previous
-        bucket, from a window over one pre-aggregated row per (keys, bucket).
-    The result equals the single window exactly; a hot key is spread over
-    its buckets. ``order`` columns (ascending) must make rows unique.
+    ``bucket`` is the leading order key; ``bucket`` and ``order`` (ascending)
+    must make a key's rows unique. A hot key is cut at quantiles of the whole
+    order tuple, so a single hour or instant of one key is split too; each of
+    its blocks starts with a copy of the last row before it.
     """
-    w_in = Window.partitionBy(*keys, bucket).orderBy(*order)
-    rows = df.select("*", F.row_number().over(w_in).alias("__pos"),
-                     *[F.lag(F.col(src), 1).over(w_in).alias(f"__in_{src}") for src in cols])
-    ordering = F.struct(*order)
-    last = df.groupBy(*keys, bucket).agg(
-        *[F.max_by(F.col(src), ordering).alias(f"__last_{src}") for src in cols if src != bucket])
-    w_b = Window.partitionBy(*keys).orderBy(bucket)
-    prev_bucket = last.select(*keys, bucket, *[
-        F.lag(F.col(bucket if src == bucket else f"__last_{src}"), 1).over(w_b).alias(f"__pb_{src}")
-        for src in cols])
-    j = _join_back(rows, prev_bucket, [*keys, bucket])
-    out = j.select("*", *[F.when(F.col("__pos") == 1, F.col(f"__pb_{src}")).otherwise(F.col(f"__in_{src}")).alias(dst)
-                          for src, dst in cols.items()])
-    return out.drop("__pos", *[f"__in_{src}" for src in cols], *[f"__pb_{src}" for src in cols])
+    hot = hot if hot is not None else hot_keys(df, keys)
+    whole = [bucket, *(c for c in order if c != bucket)]
+    lags = {src: dst for src, dst in cols.items()}
+    if not hot.rows:
+        w = Window.partitionBy(*keys).orderBy(*whole)
+        return df.select("*", *[F.lag(F.col(src), 1).over(w).alias(dst) for src, dst in lags.items()])
+    rows = blocks(df, keys, whole, hot)
+    kept = list(dict.fromkeys([*keys, *lags]))
+    last = rows.where("__hot").groupBy(*keys, "__block").agg(
+        F.max_by(F.struct(*[F.col(c) for c in lags]), F.struct(*whole)).alias("__last"))
+    after = last.withColumn("__next", F.lead("__block").over(Window.partitionBy(*keys).orderBy("__block")))
+    values = {**{c: F.col(f"__last.{c}") for c in lags}, **{k: F.col(k) for k in keys}}
+    carry = after.where("__next is not null").select(
+        *[values[c].alias(c) for c in kept], F.col("__next").alias("__block"), F.lit(True).alias("__carry"))
+    both = rows.withColumn("__carry", F.lit(False)).unionByName(carry, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "__block").orderBy(F.desc("__carry"), *whole)
+    out = both.select("*", *[F.lag(F.col(src), 1).over(w).alias(dst) for src, dst in lags.items()])
+    return out.where(~F.col("__carry")).drop("__hot", "__block", "__carry")
 
 
 def last_change(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: str,
@@ -87,52 +89,112 @@ def last_change(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence
     return ch.groupBy(*keys).agg(F.max(bucket).alias(out))
 
 
-def first_by(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str) -> DataFrame:
+def first_by(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str,
+             hot: Hot | None = None) -> DataFrame:
     """FIRST_VALUE(value) over (partition by keys order by order), one row per input row.
 
-    Computed as a partially-aggregated MIN_BY per key joined back (keys may
-    be NULL and then group together, as in a window partition).
+    Keys may be NULL and then group together. With hot keys it is a
+    partially-aggregated MIN_BY per key, joined with the hot keys salted.
     """
+    hot = hot if hot is not None else hot_keys(df, keys)
+    if not hot.rows:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.first(value).over(w))
     firsts = df.groupBy(*keys).agg(F.min_by(F.col(value), F.struct(*order)).alias(out))
-    return _join_back(df, firsts, keys)
+    return hot_join(df, firsts, keys, "left", hot=hot)
 
 
 def running_totals(df: DataFrame, part: Sequence[str], order: str,
-                   exprs: Mapping[str, tuple[str, Column]]) -> DataFrame:
+                   exprs: Mapping[str, tuple[str, Column]], hot: Hot | None = None) -> DataFrame:
     """Running SUM/COUNT/MAX with the default RANGE frame (peers included).
 
     ``exprs`` maps output name -> (kind, column) with kind in sum|count|max.
-    Rows are reduced to one per (part, order) first; a cumulative window
-    over that reduced relation equals the RANGE frame over the rows.
+    Sums of doubles are exact: added as decimals of 6 places, so they don't
+    depend on the rows' placement. ``hot``: see ``with_transaction_rank``.
     """
-    pre = []
-    for name, (kind, c) in exprs.items():
-        if kind == "sum":
-            pre.append(F.sum(c).alias(name))
-        elif kind == "count":
-            pre.append(F.count(c).alias(name))
-        elif kind == "max":
-            pre.append(F.max(c).alias(name))
-        else:
-            raise ValueError(kind)
-    per = df.groupBy(*part, order).agg(*pre)
-    w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = []
-    for name, (kind, _) in exprs.items():
-        fn = F.max if kind == "max" else F.sum
-        cum.append(fn(F.col(name)).over(w).alias(name))
-    per = per.select(*part, order, *cum)
-    return _join_back(df, per, [*part, order])
+    return running(df, part, order, exprs, hot)
+
+
+def running(df: DataFrame, part: Sequence[str], order: str, exprs: Mapping[str, tuple[str, Column]],
+            hot: Hot | None = None, rank: str | None = None) -> DataFrame:
+    """W3 + W6 in one window: ``running_totals`` and, if ``rank`` names it, the dense rank of ``order``."""
+    doubles = {n for n, (kind, c) in exprs.items() if kind == "sum" and dict(df.select(c.alias("c")).dtypes)["c"] in ("double", "float")}
+
+    def value(name: str) -> Column:
+        kind, c = exprs[name]
+        if kind == "count":
+            return F.when(c.isNotNull(), 1).otherwise(0).cast("bigint")
+        if kind in ("sum", "max"):
+            return c.cast("decimal(38,6)") if name in doubles else c
+        raise ValueError(kind)
+
+    def total(name: str, of: str) -> Column:
+        return F.max(of) if exprs[name][0] == "max" else F.sum(of)
+
+    def finish(rows: DataFrame, w, ranks: Column) -> DataFrame:
+        cols = []
+        for n in exprs:
+            c = total(n, f"__v_{n}").over(w)
+            cols.append((c.cast("double") if n in doubles else c).alias(n))
+        return rows.select("*", *cols, *([ranks.cast("bigint").alias(rank)] if rank else [])).drop(*[f"__v_{n}" for n in exprs])
+
+    hot = hot if hot is not None else hot_keys(df, part)
+    rows = df.withColumns({f"__v_{n}": value(n) for n in exprs})
+    if not hot.rows:
+        w = Window.partitionBy(*part).orderBy(order)
+        return finish(rows, w.rangeBetween(Window.unboundedPreceding, Window.currentRow), F.dense_rank().over(w))
+
+    # first pass: one row per order value of a hot key, and sums and tasks per block
+    rows = blocks(rows, part, [order], hot)
+    names = [f"__v_{n}" for n in exprs]
+    sums = [total(n, f"__v_{n}").alias(f"__v_{n}") for n in exprs]
+    each = materialize(rows.where("__hot").groupBy(*part, "__block", order).agg(
+        *sums, F.lit(1).cast("bigint").alias("__days"), F.count(F.lit(1)).alias("__n")))
+    block = each.groupBy(*part, "__block").agg(*sums, F.sum("__days").alias("__days"), F.sum("__n").alias("__n"))
+    salts = F.ceil(F.col("__n") / hot.target)
+    block = materialize(block.withColumn("__salts", salts))
+    w = Window.partitionBy(*part).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = block.select(*part, "__block", "__salts", F.lit(None).cast(dict(df.dtypes)[order]).alias(order),
+                           F.lag("__block").over(Window.partitionBy(*part).orderBy("__block")).alias("__prev"),
+                           *[total(n, f"__v_{n}").over(w).alias(f"__v_{n}") for n in exprs],
+                           F.sum("__days").over(w).alias("__days")).where("__prev is not null").drop("__prev")
+
+    # second pass: the rows behind their block's carries, on as many tasks as the block's rows need
+    def same(left: DataFrame) -> Column:
+        cond = left["__block"] == F.col("__b")
+        for k in part:
+            cond = cond & left[k].eqNullSafe(F.col(f"__k_{k}"))
+        return cond
+
+    few = block.select(*[F.col(k).alias(f"__k_{k}") for k in part], F.col("__block").alias("__b"), "__salts")
+    gone = [*(f"__k_{k}" for k in part), "__b"]
+    days = each.join(F.broadcast(few), same(each)).drop(*gone, "__n")
+    carries = days.unionByName(offsets).select(
+        *part, "__block", order, *names, "__days",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__salts") - 1)).alias("__salt"),
+        F.lit(True).alias("__carry"), F.lit(True).alias("__hot"))
+    spread = rows.join(F.broadcast(few), same(rows), "left")  # one row a block of a hot key: 2,000 or so
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*df.columns), F.col("__salts"))).otherwise(F.lit(0))
+    spread = spread.withColumns({"__salt": salt.cast("bigint"), "__carry": F.lit(False), "__days": F.lit(None).cast("bigint"),
+                                 **{n: F.when(~F.col("__hot"), F.col(n)) for n in names}}).drop(*gone, "__salts")
+    both = spread.unionByName(carries, allowMissingColumns=True)
+    w = Window.partitionBy(*part, "__block", "__salt").orderBy(order)
+    frame = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = F.when(F.col("__hot"), F.sum("__days").over(frame)).otherwise(F.dense_rank().over(w))
+    out = finish(both, frame, ranks)
+    return out.where(~F.col("__carry")).drop("__carry", "__hot", "__block", "__salt", "__days")
+
+
+def mix_flags(is_house: Column) -> dict[str, tuple[str, Column]]:
+    """W7's columns for ``running``: has the part had a 1P row so far, and a 3P one."""
+    return {"mix_has_1p": ("max", F.when(is_house, 1).otherwise(0)), "mix_has_3p": ("max", F.when(is_house, 0).otherwise(1))}
 
 
 def party_mix(df: DataFrame, part: Sequence[str], order: str, is_house: Column) -> DataFrame:
     """Running party mix of ``part`` ordered by ``order`` (RANGE frame), as
     containment flags mix_has_1p / mix_has_3p (the original's '1P,3P' list is only
     ever tested with LIKE). NULL ``is_house`` counts as 3P."""
-    return running_totals(df, part, order, {
-        "mix_has_1p": ("max", F.when(is_house, 1).otherwise(0)),
-        "mix_has_3p": ("max", F.when(is_house, 0).otherwise(1)),
-    })
+    return running_totals(df, part, order, mix_flags(is_house))
 
 
 def top_per_group(df: DataFrame, group: str, measure: str, tiebreak: Sequence[str], k: int) -> DataFrame:

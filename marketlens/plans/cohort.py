@@ -35,6 +35,7 @@ from marketlens.operators import aggregates as A
 from marketlens.operators import filters as Fl
 from marketlens.operators import joins as J
 from marketlens.operators import windows as W
+from marketlens.operators.hotkeys import hot_join, hot_keys
 from marketlens.params import FIRST_SINCE, HOUSE_SELLERS, TRACKED_CATEGORIES, TRACKED_PRODUCTS
 from marketlens.sources.publish import materialize
 from marketlens.sources.tables import Tables
@@ -89,6 +90,19 @@ def _with_product_attrs(t: Tables, op: DataFrame, extra: Sequence[str], key: str
     return op.join(t.product.select(F.col("product_id").alias(key), *extra), key, "left")
 
 
+def days_of_customers(daily: DataFrame, span: DataFrame, skew_salts: int = 1) -> DataFrame:
+    """The daily rows of the customers in ``span``, a hot customer's spread over tasks.
+
+    Hot customers are found with a sketch and only they are salted, whatever
+    the session's adaptive settings; ``skew_salts`` > 1 salts all customers.
+    """
+    salt_from = ["receipt_id", "transaction_date"]
+    if skew_salts > 1:
+        return J.salted_join(daily, span, "customer_id", skew_salts, "inner", salt_from)
+    known = daily.where("customer_id is not null")
+    return hot_join(known, span, "customer_id", "inner", salt_from)
+
+
 # ---- the study --------------------------------------------------------------------
 def basket_flags(op: DataFrame, span: DataFrame, house: Sequence[int] = HOUSE_SELLERS) -> DataFrame:
     """W3 + W7 + W8: rows joined to their customer's first date, with the two
@@ -115,9 +129,8 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     ``wide`` maps a column suffix to a predicate; each adds
     cl_product_revenue_<suffix> and rp_product_revenue_<suffix>.
     ``fix_rp_3p_aov`` divides repeat 3P revenue (instead of all repeat
-    revenue, as the original does) by repeat transactions. ``skew_salts`` > 1
-    salts the join of the daily rows with the customer span (for clusters
-    without adaptive skew-join handling); 1 leaves it to adaptive execution.
+    revenue, as the original does) by repeat transactions. ``skew_salts``: see
+    ``days_of_customers``.
     """
     op = materialize(op)  # read twice: the daily aggregation and the product-level join
     h = X.is_house("seller_key", house)
@@ -139,15 +152,11 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     span = A.customer_span(daily, "customer_id", "transaction_date").join(undated, "customer_id")
     if first_since is not None:
         span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
-    # one row per customer, materialized so that the join's sides are plain
-    # shuffles, which adaptive execution can split at a hot customer
-    span = materialize(span)
+    span = materialize(span)  # one row per customer, read by the join and for the result
     # rows without a date sort first, so where there are some they are the first basket
     first = F.when(F.col("__undated"), F.col("transaction_date").isNull()).otherwise(
         F.col("transaction_date") == F.col("first_transaction_date"))
-    joined = (J.salted_join(daily, span, "customer_id", skew_salts, "inner",
-                            ["receipt_id", "transaction_date"]) if skew_salts > 1
-              else daily.join(span, "customer_id", "inner"))
+    joined = days_of_customers(daily, span, skew_salts)
     days = joined.select(
         "*", F.when(first & (F.col("__has1p") == 1), 1).otherwise(0).alias("first_transaction_contains_1p"),
         F.when(first & (F.col("__has3p") == 0), 1).otherwise(0).alias("first_transaction_1p_only"))
@@ -299,20 +308,21 @@ def running_basket_totals(t: Tables, first_since: dt.date | None = FIRST_SINCE)
     op = J.semi(op, span, "customer_id")
     h = X.is_house("seller_key")
     rev = F.col("product_revenue")
-    per_receipt = W.running_totals(op, ["customer_id", "receipt_id"], "transaction_date", {
+    op = materialize(op)
+    by_receipt, by_customer = ["customer_id", "receipt_id"], ["customer_id"]
+    per_receipt = W.running(op, by_receipt, "transaction_date", {
         "transaction_revenue": ("sum", rev),
         "transaction_products": ("count", F.col("product_id")),
         "transaction_1p_products": ("count", F.when(h, F.col("product_id"))),
         "transaction_3p_products": ("count", F.when(~h, F.col("product_id"))),
         "transaction_revenue_1p_products": ("sum", F.when(h, rev)),
         "transaction_revenue_3p_products": ("sum", F.when(~h, rev)),
-    })
-    per_receipt = W.party_mix(per_receipt, ["customer_id", "receipt_id"], "transaction_date", h)
-    lifetime = W.running_totals(per_receipt, ["customer_id"], "transaction_date", {
+        **W.mix_flags(h),
+    }, hot_keys(op, by_receipt))
+    ranked = W.running(per_receipt, by_customer, "transaction_date", {
         "customer_lifetime_revenue": ("sum", rev),
         "customer_lifetime_transactions": ("count", F.col("receipt_id")),
-    })
-    ranked = W.with_transaction_rank(lifetime, ["customer_id"], "transaction_date")
+    }, hot_keys(op, by_customer), rank="transaction_rank")
     first = F.col("transaction_rank") == 1
     return ranked.select(*GRAIN, "transaction_rank",
                          F.round("transaction_revenue", 2).alias("transaction_revenue"),

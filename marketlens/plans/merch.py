@@ -73,9 +73,8 @@ def last_price_change(t: Tables) -> DataFrame:
     Observations are ordered by (date, ts, event_id): the date is the
     original order key, the rest make ties deterministic.
     """
-    # hour buckets order the same as (date, ts) and split a busy product-day 24 ways
-    h = t.price_history.select("*", F.to_date("ts").alias("date"), F.date_trunc("hour", "ts").alias("hour"))
-    ch = W.with_previous(h, ["product_id", "variant_id"], "hour", ["ts", "event_id"], {"price": "pre_sell_price"})
+    h = t.price_history.withColumn("date", F.to_date("ts"))  # (ts, event_id) orders as (date, ts, event_id) does
+    ch = W.with_previous(h, ["product_id", "variant_id"], "ts", ["event_id"], {"price": "pre_sell_price"})
     ch = ch.filter(Fl.changed("price", "pre_sell_price"))
     return ch.groupBy("product_id", "variant_id").agg(F.max("date").alias("last_price_change_date"))
 

@@ -74,8 +74,8 @@ def w01_dedupe_latest(t: Tables) -> DataFrame:
 
 def w04_previous_price(t: Tables) -> DataFrame:
     """Each price observation with the previous price and date of its key."""
-    h = t.price_history.select("*", F.to_date("ts").alias("date"), F.date_trunc("hour", "ts").alias("hour"))
-    prev = W.with_previous(h, ["product_id", "variant_id"], "hour", ["ts", "event_id"],
+    h = t.price_history.withColumn("date", F.to_date("ts"))
+    prev = W.with_previous(h, ["product_id", "variant_id"], "ts", ["event_id"],
                            {"price": "pre_sell_price", "date": "pre_sell_price_date"})
     return prev.select("event_id", "product_id", "variant_id", "date", "price", "pre_sell_price",
                        "pre_sell_price_date", Fl.changed("price", "pre_sell_price").alias("is_change"))

@@ -71,27 +71,27 @@ def test_lines_without_a_receipt_are_spread(spark):
 
 
 def test_hot_customer_is_split(spark):
-    """One customer with 80 % of the rows: the join with the customers' spans is split by adaptive execution."""
+    """One customer with 80 % of the rows is spread over tasks, whatever the sizes that adaptive execution measures."""
     from pyspark.sql import functions as F
 
-    from marketlens.plans.cohort import first_party_study
+    from marketlens.plans.cohort import days_of_customers, first_party_study
     rows = spark.range(60_000).select(
         F.when(F.col("id") % 5 < 4, F.lit(1)).otherwise(F.col("id")).cast("bigint").alias("customer_id"),
         F.col("id").alias("receipt_id"), F.expr("date_add(date'1996-01-01', int(id % 90))").alias("transaction_date"),
         (F.col("id") % 50).alias("product_id"), (F.col("id") % 7).cast("int").alias("seller_key"),
         F.lit(1.0).alias("product_revenue"))
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
-                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+                "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.marketlens.hotRows": "2000"}
+    before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        out = first_party_study(rows)
-        assert out.count() > 1
-        out.collect()
-        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        span = rows.groupBy("customer_id").agg(F.min("transaction_date").alias("first_transaction_date"))
+        joined = days_of_customers(rows, span)
+        sizes = [r[0] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
+        assert sum(sizes) == 60_000 and max(sizes) < 3 * 60_000 / 16
+        study = first_party_study(rows).collect()
+        assert len(study) > 1 and next(r.cl_transactions for r in study if r.customer_id == 1) == 48_000
     finally:
-        for k in settings:
-            spark.conf.unset(k)
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
