@@ -36,9 +36,9 @@ def order_value_by(df: DataFrame, key: Column, key_name: str, receipt: str = "re
     """A4: per key: distinct transactions, gross sales, average order value."""
     return (df.groupBy(key.alias(key_name))
               .agg(F.count_distinct(F.col(receipt)).alias("total_transactions"),
-                   F.sum(F.col(amount)).alias("__gross"))
+                   X.money_total(amount).alias("__gross"))
               .select(key_name, "total_transactions",
-                      F.round("__gross", 2).alias("gross_sales"),
+                      F.round("__gross", 2).cast("double").alias("gross_sales"),
                       X.safe_ratio("__gross", "total_transactions").alias("aov")))
 
 
@@ -78,10 +78,12 @@ def pivot_sums(df: DataFrame, index: Sequence[str], pivot_col: str, values: Sequ
 
 def order_product_grain(df: DataFrame, keys: Sequence[str], amount: str = "total_amount",
                         out: str = "product_revenue") -> DataFrame:
-    """SUM(amount) per (customer, receipt, date, product, seller, ...)."""
-    return df.groupBy(*keys).agg(F.sum(amount).alias(out))
+    """SUM(amount) per (customer, receipt, date, product, seller, ...), exact (decimal)."""
+    return df.groupBy(*keys).agg(X.money_total(amount).alias(out))
 
 
-def windowed_metrics(df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[Column, Column]]) -> DataFrame:
-    """Many (predicate, value) conditional sums in one pass per key."""
-    return df.groupBy(*keys).agg(*[X.cond_sum(p, v).alias(n) for n, (p, v) in measures.items()])
+def windowed_metrics(df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[Column, Column]],
+                     money: Sequence[str] = ()) -> DataFrame:
+    """Many (predicate, value) conditional sums in one pass per key; those named in ``money`` are exact decimals."""
+    return df.groupBy(*keys).agg(*[
+        X.cond_sum(p, v.cast("decimal(38,6)") if n in money else v).alias(n) for n, (p, v) in measures.items()])

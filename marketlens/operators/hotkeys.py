@@ -90,8 +90,8 @@ def blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: Hot) -
 
 
 def hot_join(big: DataFrame, small: DataFrame, keys: Sequence[str] | str, how: str = "inner",
-             salt_from: Sequence[str] = (), hot: Hot | None = None) -> DataFrame:
-    """Equi-join (null keys match null keys) that spreads the rows of ``big``'s hot keys over several tasks.
+             salt_from: Sequence[str] = (), hot: Hot | None = None, null_safe: bool = True) -> DataFrame:
+    """Equi-join that spreads the rows of ``big``'s hot keys over several tasks; ``null_safe``: null keys match null keys.
 
     Only hot keys are salted: a big row gets one of its key's salts from a
     hash of ``salt_from`` (default: all columns), and the small side's rows of
@@ -104,7 +104,7 @@ def hot_join(big: DataFrame, small: DataFrame, keys: Sequence[str] | str, how: s
     right = small.select(*[F.col(c).alias(names[c]) if c in names else F.col(c) for c in small.columns])
     cond = None
     for k in keys:
-        one = F.col(k).eqNullSafe(F.col(names[k]))
+        one = F.col(k).eqNullSafe(F.col(names[k])) if null_safe else F.col(k) == F.col(names[k])
         cond = one if cond is None else cond & one
     if hot.rows:
         salts = F.broadcast(_lookup(big.sparkSession, hot.pieces(), "__pieces"))

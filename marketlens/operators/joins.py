@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.operators.keyfilter import key_filter
+
 
 def with_receipt(lines: DataFrame, bridge: DataFrame, receipts: DataFrame,
                  cols: Sequence[str] = ("channel",)) -> DataFrame:
@@ -29,7 +31,17 @@ def with_receipt(lines: DataFrame, bridge: DataFrame, receipts: DataFrame,
     them by line, so they don't meet in one task. Both sides are shuffled for
     the two keys by the join itself, so adaptive execution can split a
     receipt with very many lines too.
+
+    The bridge and the header are large, the lines often those of a short
+    window: a run-time filter of the lines' ids goes into the bridge's scan, and
+    one of the receipts found there into the header's, so neither is shuffled
+    for lines of other months.
     """
+    ids = key_filter(lines.select("line_id"), ["line_id"], bridge)
+    if ids:
+        bridge = ids.keep(bridge, ["line_id"])
+        found = key_filter(bridge.select("receipt_id"), ["receipt_id"], receipts)
+        receipts = found.keep(receipts, ["receipt_id"]) if found else receipts
     hdr = receipts.select("receipt_id", *cols).distinct().withColumn("__spread", F.xxhash64("receipt_id"))
     j = lines.join(bridge, "line_id", "left")
     # not a constant where there is a receipt, which the optimizer would fold out of the key
@@ -116,20 +128,30 @@ def lookback(base: DataFrame, snap: DataFrame, date_col: str, days: Sequence[int
              key_cast: str | None = None) -> DataFrame:
     """Value of a daily snapshot as of ``date_col - d`` days, for each d.
 
-    One equality join per offset on (date - d, key, null-safe nullable key).
-    ``snap`` must be unique on its keys; ``key_cast`` casts the base key to
-    the snapshot key's type (J4).
+    The offsets become rows: one equality join on (date - d, key, null-safe
+    nullable key) for all of them, then one aggregation that puts a base row's
+    values side by side (equal base rows stay as many as they are). The
+    snapshot's scan is filtered by the base's keys first (``keyfilter``), where
+    that pays. ``snap`` must be unique on its keys, and every base column must
+    be groupable; ``key_cast`` casts the base key to the snapshot key's type (J4).
     """
-    lbs = {d: lookback_col.format(d=d) for d in days}
-    out_df = base.select("*", *[F.date_sub(F.col(date_col), d).alias(lb) for d, lb in lbs.items()])
-    for d, lb in lbs.items():
-        s = snap.select(F.col(snap_date).alias("__d"), F.col(snap_key).alias("__k"),
-                        F.col(snap_nullable_key).alias("__v"), F.col(value).alias(out.format(d=d)))
-        bk = out_df[key].cast(key_cast) if key_cast else out_df[key]
-        cond = (out_df[lb] == s["__d"]) & (bk == s["__k"]) & out_df[nullable_key].eqNullSafe(s["__v"])
-        joined = out_df.join(s, cond, "left")
-        out_df = joined.select(*[F.col(c) for c in joined.columns if c not in ("__d", "__k", "__v")])
-    return out_df
+    cols = base.columns
+    probe = base.select("*", F.explode(F.array(*[F.lit(d) for d in days])).alias("__back"))
+    k = F.col(key).cast(key_cast) if key_cast else F.col(key)
+    probe = probe.withColumns({"__at": F.date_sub(F.col(date_col), F.col("__back")), "__key": k})
+    s = snap.select(F.col(snap_date).alias("__d"), F.col(snap_key).alias("__k"), F.col(snap_nullable_key).alias("__v"),
+                    F.col(value).alias("__value"))
+    asked = key_filter(probe.select("__at", "__key", nullable_key), ["__at", "__key", nullable_key], snap)
+    if asked:
+        s = asked.keep(s, ["__d", "__k", "__v"])
+    cond = (F.col("__at") == s["__d"]) & (F.col("__key") == s["__k"]) & F.col(nullable_key).eqNullSafe(s["__v"])
+    found = probe.join(s, cond, "left")
+    wide = found.groupBy(*cols).agg(
+        F.count(F.when(F.col("__back") == days[0], 1)).alias("__copies"),
+        *[F.max(F.when(F.col("__back") == d, F.col("__value"))).alias(out.format(d=d)) for d in days])
+    wide = wide.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
+    return wide.select(*cols, *[F.date_sub(F.col(date_col), d).alias(lookback_col.format(d=d)) for d in days],
+                       *[out.format(d=d) for d in days])
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int, how: str = "inner",

@@ -4,9 +4,10 @@ All seven scripts are one pipeline, ``first_party_study``; only the
 order-product source (A13) and the optional wide columns differ.
 
 Plan, per customer c, receipt r, date d (order-product grain rows):
-  1. aggregate once to one row per (c, r, d): party presence and revenue
-     sums (A13 -> daily grain).
-  2. customer span (A8) from those rows; optional HAVING first >= first_since (F9).
+  1. stage the rows once, bucketed by (c, r) (K5): one shuffle for all that follows
+     on (c, r) or (c, r, d).
+  2. one row per (c, r, d): party presence and revenue sums (A13 -> daily grain),
+     and the customer span (A8), optionally HAVING first >= first_since (F9).
   3. first-basket flags (W3 + W7 + W8): a row has rank 1 iff d = first date,
      and its running party list over (c, r) with a RANGE frame then holds
      exactly the parties of (c, r) on the first date -- the (c, r, first date)
@@ -14,12 +15,12 @@ Plan, per customer c, receipt r, date d (order-product grain rows):
      come from a join with the span: no window partitioned by customer, so a
      hot customer never lands in one task.
   4. receipt counts and all revenue statistics (A15, A5, A6, A12): per (c, r)
-     then per customer, from the daily rows; product counts (A17): the
-     order-product rows joined once to the daily flags, per (c, product) then
-     per customer. Customers without a contains_1p row are dropped (J5).
+     then per customer, from the daily rows, after the join with the span by
+     customer without a shuffle of their own unless customers are hot; product
+     counts (A17): the product rows joined to their receipt's flag inside the
+     buckets, per (c, product) then per customer. Customers without a
+     contains_1p row are dropped (J5).
   5. join the customer span back and derive type (P12) and averages (P14).
-The order-product relation is materialized once (``sources.publish.materialize``)
-and read twice.
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ from marketlens.operators import aggregates as A
 from marketlens.operators import filters as Fl
 from marketlens.operators import joins as J
 from marketlens.operators import windows as W
-from marketlens.operators.hotkeys import hot_join, hot_keys
+from marketlens.operators.hotkeys import Hot, hot_join, hot_keys
 from marketlens.params import FIRST_SINCE, HOUSE_SELLERS, TRACKED_CATEGORIES, TRACKED_PRODUCTS
-from marketlens.sources.publish import materialize
+from marketlens.sources.publish import materialize, stage_bucketed
 from marketlens.sources.tables import Tables
 
 GRAIN = ["customer_id", "receipt_id", "transaction_date", "product_id", "seller_key"]
@@ -62,7 +63,7 @@ def channel2_order_products(t: Tables, extra: Sequence[str] = ()) -> DataFrame:
     op = (c2.groupBy(F.col("customer_id"), F.col("order_id").alias("receipt_id"),
                      F.col("order_date").alias("transaction_date"), "product_id", "external_product_id",
                      F.col("l_suppkey").alias("seller_id"))
-            .agg(F.sum("gmv").alias("product_revenue")))
+            .agg(X.money_total("gmv").alias("product_revenue")))
     prod = t.product.select(F.col("product_id").alias("__pid"), F.col("company_id").alias("seller_key"), *extra)
     op = J.cast_join(op, prod, {"external_product_id": "__pid"}, "string")
     return op.drop("__pid")
@@ -76,7 +77,7 @@ def channel3_order_products(t: Tables, extra: Sequence[str] = ()) -> DataFrame:
     op = (c3.groupBy(F.col("customer_id"), F.col("order_id").alias("receipt_id"),
                      F.col("order_date").alias("transaction_date"), F.col("article_id").alias("product_id"),
                      F.expr("try_cast(seller_id as int)").alias("seller_key"))
-            .agg(F.sum("line_total").alias("product_revenue")))
+            .agg(X.money_total("line_total").alias("product_revenue")))
     if not extra:
         return op
     prod = t.product.select(F.col("product_id").alias("__pid"), *extra)
@@ -90,17 +91,17 @@ def _with_product_attrs(t: Tables, op: DataFrame, extra: Sequence[str], key: str
     return op.join(t.product.select(F.col("product_id").alias(key), *extra), key, "left")
 
 
-def days_of_customers(daily: DataFrame, span: DataFrame, skew_salts: int = 1) -> DataFrame:
+def days_of_customers(rows: DataFrame, span: DataFrame, skew_salts: int = 1, hot: Hot | None = None) -> DataFrame:
     """The daily rows of the customers in ``span``, a hot customer's spread over tasks.
 
-    Hot customers are found with a sketch and only they are salted, whatever
-    the session's adaptive settings; ``skew_salts`` > 1 salts all customers.
+    Hot customers are found with a sketch (unless given) and only they are
+    salted, whatever the session's adaptive settings; ``skew_salts`` > 1 salts
+    all customers.
     """
-    salt_from = ["receipt_id", "transaction_date"]
+    salt_from = [c for c in rows.columns if c.endswith("receipt") or c in ("receipt_id", "transaction_date")]
     if skew_salts > 1:
-        return J.salted_join(daily, span, "customer_id", skew_salts, "inner", salt_from)
-    known = daily.where("customer_id is not null")
-    return hot_join(known, span, "customer_id", "inner", salt_from)
+        return J.salted_join(rows, span, "customer_id", skew_salts, "inner", salt_from)
+    return hot_join(rows, span, "customer_id", "inner", salt_from, hot, null_safe=False)
 
 
 # ---- the study --------------------------------------------------------------------
@@ -132,38 +133,45 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     revenue, as the original does) by repeat transactions. ``skew_salts``: see
     ``days_of_customers``.
     """
-    op = materialize(op)  # read twice: the daily aggregation and the product-level join
+    # K5, read by daily rows and product rows. A missing receipt is a receipt of its own per customer: two columns
+    # stand for the id, so that it can be a bucket's and a join's plain key.
+    receipt = ["customer_id", "__no_receipt", "__receipt"]
+    op = stage_bucketed(op.withColumns({
+        "__no_receipt": F.col("receipt_id").isNull(),
+        "__receipt": F.coalesce("receipt_id", F.lit(0).cast(op.schema["receipt_id"].dataType))}), "order_products", receipt)
     h = X.is_house("seller_key", house)
-    rev, rc, pid = F.col("product_revenue"), F.col("receipt_id"), F.col("product_id")
+    rev, pid = F.col("product_revenue").cast("decimal(38,6)"), F.col("product_id")
     wide = dict(wide or {})
+    house_row, other_row = F.when(h, 1).otherwise(0), F.when(h, 0).otherwise(1)
 
     # 1. One row per (customer, receipt, date): party presence and revenue
     #    sums. The first-basket flags are constant within such a group, so
-    #    span, flags and every revenue statistic come from these rows.
+    #    span, flags and every revenue statistic come from these rows. Buckets
+    #    by (customer, receipt) hold whole groups: no shuffle.
     parts = {"__rev": F.lit(True), "__rev1p": h, "__rev3p": ~h}
     for suffix, pred in wide.items():
         parts[f"__w_{suffix}"] = pred
-    daily = op.groupBy("customer_id", "receipt_id", "transaction_date").agg(
-        F.max(F.when(h, 1).otherwise(0)).alias("__has1p"),
-        F.max(F.when(h, 0).otherwise(1)).alias("__has3p"),
+    daily = op.groupBy(*receipt, "transaction_date").agg(
+        F.max(house_row).alias("__has1p"), F.max(other_row).alias("__has3p"),
         *[F.sum(F.when(pred, rev)).alias(name) for name, pred in parts.items()])
-    daily = materialize(daily)  # read for the span and for the join with it
-    undated = daily.groupBy("customer_id").agg(F.max(F.col("transaction_date").isNull()).alias("__undated"))
-    span = A.customer_span(daily, "customer_id", "transaction_date").join(undated, "customer_id")
+    span = op.groupBy("customer_id").agg(
+        F.min("transaction_date").alias("first_transaction_date"), F.max("transaction_date").alias("latest_transaction_date"),
+        F.max(F.col("transaction_date").isNull()).alias("__undated"))
     if first_since is not None:
         span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
     span = materialize(span)  # one row per customer, read by the join and for the result
     # rows without a date sort first, so where there are some they are the first basket
     first = F.when(F.col("__undated"), F.col("transaction_date").isNull()).otherwise(
         F.col("transaction_date") == F.col("first_transaction_date"))
-    joined = days_of_customers(daily, span, skew_salts)
-    days = joined.select(
-        "*", F.when(first & (F.col("__has1p") == 1), 1).otherwise(0).alias("first_transaction_contains_1p"),
+    contains = F.when(first & (F.col("__has1p") == 1), 1).otherwise(0)
+    days = days_of_customers(daily, span, skew_salts).select(
+        "*", contains.alias("first_transaction_contains_1p"),
         F.when(first & (F.col("__has3p") == 0), 1).otherwise(0).alias("first_transaction_1p_only"))
     rp = F.col("first_transaction_contains_1p") != 1
     only = F.col("first_transaction_1p_only") == 1
 
     # 2. Receipt counts and revenue: per (customer, receipt), then per customer.
+    #    Decimal sums on both levels, rounded once, so no order of rows matters.
     sums = {"cl_product_revenue": F.col("__rev"), "cl_1p_product_revenue": F.col("__rev1p"),
             "cl_3p_product_revenue": F.col("__rev3p"),
             "cl_1p_product_revenue_1p_only": F.when(only, F.col("__rev1p")),
@@ -172,25 +180,27 @@ def first_party_study(op: DataFrame, house: Sequence[int] = HOUSE_SELLERS, first
     for suffix in wide:
         sums[f"cl_product_revenue_{suffix}"] = F.col(f"__w_{suffix}")
         sums[f"rp_product_revenue_{suffix}"] = F.when(rp, F.col(f"__w_{suffix}"))
-    per_receipt = days.groupBy("customer_id", "receipt_id").agg(
+    per_receipt = days.groupBy(*receipt).agg(
         F.max(F.col("first_transaction_contains_1p")).alias("__c1p"),
         F.max(F.when(rp, 1).otherwise(0)).alias("__rp"),
         F.max(F.when(only, 1).otherwise(0)).alias("__only"),
         *[F.sum(expr).alias(name) for name, expr in sums.items()])
-    has_receipt = rc.isNotNull()
+    has_receipt = ~F.col("__no_receipt")
     by_receipt = per_receipt.groupBy("customer_id").agg(
         F.max("__c1p").alias("__new1p"), F.max("__rp").alias("__has_rp"),
-        F.count(rc).alias("cl_transactions"),
+        F.count(F.when(has_receipt, 1)).alias("cl_transactions"),
         F.count(F.when(has_receipt & (F.col("__only") == 1), 1)).alias("cl_transactions_1p_only"),
         F.count(F.when(has_receipt & (F.col("__rp") == 1), 1)).alias("rp_transactions"),
-        *[F.round(F.sum(name), 2).alias(name) for name in sums])
-
-    # 3. Product counts need each product row's flag: one join of the rows with
-    #    the (customer, receipt, date) flags, then per (customer, product).
-    flags = days.select(F.col("customer_id").alias("__c"), F.col("receipt_id").alias("__r"),
-                        F.col("transaction_date").alias("__d"), "first_transaction_contains_1p")
-    rows = op.join(flags, (op.customer_id == flags["__c"]) & op.receipt_id.eqNullSafe(flags["__r"])
-                   & op.transaction_date.eqNullSafe(flags["__d"]), "inner")
+        *[F.round(F.sum(name), 2).cast("double").alias(name) for name in sums])
+
+    # 3. Product counts need each product row's flag: its receipt's flag, if the
+    #    row is of the first day. The join by receipt reads the buckets as they
+    #    are; then per (customer, product), combined before the shuffle.
+    flags = days.groupBy(*receipt).agg(
+        F.max("first_transaction_contains_1p").alias("__contains"), F.first("__undated").alias("__undated"),
+        F.first("first_transaction_date").alias("first_transaction_date"))
+    rows = op.join(flags, receipt, "inner").withColumn(
+        "first_transaction_contains_1p", F.when(first & (F.col("__contains") == 1), 1).otherwise(0))
     per_product = rows.groupBy("customer_id", "product_id").agg(
         F.max(F.when(h, 1).otherwise(0)).alias("__p1"), F.max(F.when(~h, 1).otherwise(0)).alias("__p3"),
         F.max(F.when(rp & h, 1).otherwise(0)).alias("__rp1"),
@@ -288,7 +298,7 @@ def top_products_by_brand(t: Tables, first_since: dt.date | None = FIRST_SINCE,
     if first_since is not None:
         span = Fl.having(span, F.col("first_transaction_date") >= F.lit(first_since))
     rows = basket_flags(op, span).filter(F.col("first_transaction_contains_1p") == 1)
-    per = rows.groupBy("brand", "product_id", "product_name").agg(F.round(F.sum("product_revenue"), 2).alias("pr"))
+    per = rows.groupBy("brand", "product_id", "product_name").agg(X.money_sum("product_revenue").alias("pr"))
     return W.top_per_group(per, "brand", "pr", ["product_id"], k)
 
 
@@ -325,11 +335,11 @@ def running_basket_totals(t: Tables, first_since: dt.date | None = FIRST_SINCE)
     }, hot_keys(op, by_customer), rank="transaction_rank")
     first = F.col("transaction_rank") == 1
     return ranked.select(*GRAIN, "transaction_rank",
-                         F.round("transaction_revenue", 2).alias("transaction_revenue"),
+                         F.round("transaction_revenue", 2).cast("double").alias("transaction_revenue"),
                          "transaction_products", "transaction_1p_products", "transaction_3p_products",
-                         F.round("transaction_revenue_1p_products", 2).alias("transaction_revenue_1p_products"),
-                         F.round("transaction_revenue_3p_products", 2).alias("transaction_revenue_3p_products"),
-                         F.round("customer_lifetime_revenue", 2).alias("customer_lifetime_revenue"),
+                         F.round("transaction_revenue_1p_products", 2).cast("double").alias("transaction_revenue_1p_products"),
+                         F.round("transaction_revenue_3p_products", 2).cast("double").alias("transaction_revenue_3p_products"),
+                         F.round("customer_lifetime_revenue", 2).cast("double").alias("customer_lifetime_revenue"),
                          "customer_lifetime_transactions", "mix_has_1p", "mix_has_3p",
                          F.when(first & (F.col("mix_has_1p") == 1), 1).otherwise(0)
                           .alias("first_transaction_contains_1p"),

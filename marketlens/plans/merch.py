@@ -31,7 +31,7 @@ from marketlens.operators import setops as O
 from marketlens.operators import windows as W
 from marketlens.params import AS_OF, CHANNEL_A, CHANNEL_B, URL_PREFIX
 from marketlens.sources.literal import latest_snapshot
-from marketlens.sources.publish import materialize, stage
+from marketlens.sources.publish import materialize
 from marketlens.sources.tables import Tables
 
 
@@ -148,7 +148,8 @@ def windowed_sales_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL_A
         "all_units_l12m": (cal.between(d, win["last_12m"]) & unit_ok, qty),
     }
     base_sales = A.windowed_metrics(
-        sales, ["product_id", "parent_product_id", "variant_id", "parent_variant_id", "company_id"], measures)
+        sales, ["product_id", "parent_product_id", "variant_id", "parent_variant_id", "company_id"], measures,
+        money=[n for n in measures if "gmv" in n])
     return J.add_parent_metrics(base_sales, "product_id", "variant_id", "parent_product_id",
                                 "parent_variant_id", list(measures),
                                 keep=["product_id", "variant_id", "company_id"])
@@ -174,7 +175,7 @@ def catalogue_master_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
         (last_stock_out(t), ["product_id"], ["variant_id"]),
         (mps, ["product_id"], []),
     ])
-    g = [F.round(n, 3).alias(n) for n in measures if "gmv" in n]
+    g = [F.round(n, 3).cast("double").alias(n) for n in measures if "gmv" in n]
     u = [F.col(n) for n in measures if "units" in n]
     return out.select(
         *X.stamp(today, win["last_4w"]),
@@ -201,9 +202,9 @@ def catalogue_master_b(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
     not_prot = F.col("is_protection") == F.lit(False)
     unit_ok = not_prot & (F.col("is_freight") == F.lit(False))
     m = (sales.groupBy("product_id", "variant_id", F.col("company_id").alias("seller_id"))
-         .agg(F.sum(F.when(in_chan & l4w & not_prot, F.col("total_amount"))).alias("chan_gmv_l4w"),
+         .agg(X.money_total(F.when(in_chan & l4w & not_prot, F.col("total_amount"))).alias("chan_gmv_l4w"),
               F.sum(F.when(in_chan & l4w & unit_ok, F.col("qty"))).alias("chan_units_l4w"),
-              F.sum(F.when(l4w & not_prot, F.col("total_amount"))).alias("all_gmv_l4w"),
+              X.money_total(F.when(l4w & not_prot, F.col("total_amount"))).alias("all_gmv_l4w"),
               F.sum(F.when(l4w & unit_ok, F.col("qty"))).alias("all_units_l4w")))
     lk = t.lookup.filter(Fl.ieq("marketplace", channel)).select(
         F.col("product_id").alias("lk_product"), F.col("variant_id").alias("lk_variant"),
@@ -224,7 +225,7 @@ def catalogue_master_b(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
         "product_stock_level", "middleware_subscribed_status", "internal_product_id", "listing_created_date",
         "listing_published", "listing_seller_name", "promotional_price", "commission_percentage",
         "promotion_start_date", "promotion_end_date",
-        *[F.round(c, 3).alias(c) for c in ("chan_gmv_l4w", "chan_units_l4w", "all_gmv_l4w", "all_units_l4w")],
+        *[F.round(c, 3).cast("double").alias(c) for c in ("chan_gmv_l4w", "chan_units_l4w", "all_gmv_l4w", "all_units_l4w")],
         *X.stamp(today, win["last_4w"]))
 
 
@@ -233,7 +234,7 @@ LOOKBACKS = (14, 7, 3)
 
 
 def daily_sell_price(t: Tables) -> DataFrame:
-    """K5 staged relation: first price of each (day, product, variant), and how many history rows the key has."""
+    """The daily price relation: first price of each (day, product, variant), and how many history rows the key has."""
     h = t.price_history.select(F.to_date("ts").alias("run_date"),
                                F.col("product_id").cast("string").alias("product_id"),
                                F.col("variant_id").cast("string").alias("variant_id"),
@@ -261,8 +262,7 @@ def promo_compliance(t: Tables, strict: bool = False, dedupe: bool = False) -> D
                        F.col("promo_price").alias("promotional_price"),
                        F.col("start_date").alias("promotion_start_date"),
                        "last_price_change_date", "last_stock_oos_date")
-    snap = stage(daily_sell_price(t), "sell_price")  # K5: read by the three lookback joins
-    j = J.lookback(base, snap, "promotion_start_date", LOOKBACKS, "product_id", "variant_id",
+    j = J.lookback(base, daily_sell_price(t), "promotion_start_date", LOOKBACKS, "product_id", "variant_id",
                    "run_date", "product_id", "variant_key", "sell",
                    out="__sell{d}", lookback_col="lookback_{d}days", key_cast="string")
     if not dedupe:

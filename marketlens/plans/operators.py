@@ -21,16 +21,16 @@ from marketlens.params import AS_OF, CHANNEL_A
 from marketlens.plans import merch as M
 from marketlens.session import scratch_path
 from marketlens.sources.literal import latest_snapshot
-from marketlens.sources.publish import publish
+from marketlens.sources.publish import publish_version, read_published
 from marketlens.sources.tables import Tables
 
 
 def k2_publish_roundtrip(t: Tables) -> DataFrame:
-    """K2: publish the channel-B master partitioned by run date, clustered by
+    """K2: publish the channel-B master as a version partitioned by run date, clustered by
     product id, into the shared checkpoint folder; return what reads back."""
     path = scratch_path(t.spark, "catalogue_master_b")
-    publish(M.catalogue_master_b(t), path, "report_run_date", "product_id")
-    return t.spark.read.parquet(path)
+    publish_version(M.catalogue_master_b(t), path, "report_run_date", "product_id")
+    return read_published(t.spark, path, "report_run_date")
 
 
 def k4_latest_snapshot(t: Tables) -> DataFrame:
@@ -105,7 +105,7 @@ def p05_state_buckets(t: Tables) -> DataFrame:
 def a14_windowed_sales(t: Tables, today: dt.date = AS_OF) -> DataFrame:
     """A14 + J9: channel-A windowed sales with the parent roll-in (pre-join)."""
     s = M.windowed_sales_a(t, today)
-    return s.select("product_id", "variant_id", "company_id", *[F.round(c, 3).alias(c) for c in M.SALES_A])
+    return s.select("product_id", "variant_id", "company_id", *[F.round(c, 3).cast("double").alias(c) if "gmv" in c else F.col(c) for c in M.SALES_A])
 
 
 def o04_live_promotions(t: Tables, today: dt.date = AS_OF) -> DataFrame:
@@ -119,7 +119,7 @@ def f03_local_windows(t: Tables, today: dt.date = AS_OF) -> DataFrame:
     lines = Fl.completed_sales(t.lines.filter(cal.between("accepted_date", (win["last_12m"][0], today))))
     d = F.col("accepted_date")
     return (lines.groupBy("accepted_date")
-                 .agg(F.round(F.sum("total_amount"), 2).alias("amount"))
+                 .agg(X.money_sum("total_amount").alias("amount"))
                  .select("accepted_date", "amount",
                          *[cal.between(d, win[k]).alias(f"in_{k}") for k in
                            ("this_week", "last_4w", "ytd", "last_12m", "prefilter")]))
@@ -157,7 +157,7 @@ def a13_order_products(t: Tables) -> DataFrame:
     from marketlens.plans.cohort import channel1_order_products
     op = channel1_order_products(t)
     return op.select(*[c for c in op.columns if c != "product_revenue"],
-                     F.round("product_revenue", 2).alias("product_revenue"))
+                     F.round("product_revenue", 2).cast("double").alias("product_revenue"))
 
 
 def p03_catalogue(t: Tables) -> DataFrame:
