@@ -187,7 +187,9 @@ def similar(prints_df: DataFrame, bits: int = 4, slice_rows: int = SLICE) -> Dat
     """
     if not 0 <= bits <= 5:
         raise ValueError("three segments with one wildcard find up to 5 differing bits")
-    index = prints_df.select("print", F.explode(variants()).alias("variant"))
+    # a print becomes 64 rows, so the prints are dealt out before
+    n = int(prints_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = prints_df.select("print").repartition(n, "print").select("print", F.explode(variants()).alias("variant"))
     large = index.groupBy("variant").count().where(F.col("count") > slice_rows)
     large = written(large.select("variant", F.ceil(F.col("count") / slice_rows).alias("slices")), "large-buckets")
     dealt = index.join(maybe_broadcast(large), "variant", "left")
