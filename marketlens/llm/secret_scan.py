@@ -43,7 +43,8 @@ _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # shorter runs fail as a whole, so asking for 18 finds the same
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-_DOTTED = re.compile(r"eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,4}")
+#: Tried once a run of letters, from its first "eyJ": where that has no two further parts, a later one has none either.
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+){2,4}+)")
 _LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++={0,2})+")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _ARMOUR = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
@@ -156,13 +157,13 @@ def is_signed_token(token: str) -> bool:
 def _signed_tokens(text: str) -> Iterator[Span]:
     m = _DOTTED.search(text)
     while m:
-        parts = m[0].split(".")
-        heads = [m[0], *(".".join(parts[:n]) for n in (5, 3) if n < len(parts) and parts[n - 1])]
+        parts = m[1].split(".")
+        heads = [m[1], *(".".join(parts[:n]) for n in (5, 3) if n < len(parts) and parts[n - 1])]
         token = next((t for t in heads if is_signed_token(t)), None)
         if token:
-            yield "jwt", m.start(), m.start() + len(token)
+            yield "jwt", m.start(1), m.start(1) + len(token)
         # a rejected token's later parts may begin one
-        m = _DOTTED.search(text, m.start() + len(token or parts[0]))
+        m = _DOTTED.search(text, m.start(1) + len(token or parts[0]))
 
 
 def _decoded_kind(run: str) -> str | None:

@@ -112,3 +112,25 @@ def test_wrapped_keys():
     # lines of other data are no key
     other = base64.b64encode(bytes(i * 89 & 255 for i in range(600))).decode()
     assert not kinds("\n".join(other[i:i + 64] for i in range(0, len(other), 64))) & {"der", "encoded"}
+
+
+def test_long_adversarial_texts_take_linear_time():
+    """Runs that begin a token at every third letter, and dotted chains that are never one."""
+    import time
+    for text in ("eyJ" * 1_600_000, "eyJ." * 300_000, "eyJa.b.c." * 100_000, "xeyJ-" * 400_000 + ".a"):
+        start = time.time()
+        secret_scan.find(text)
+        assert time.time() - start < 20, text[:9]
+
+
+def test_tokens_inside_longer_runs():
+    import base64
+    import json
+
+    def part(x):
+        return base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+
+    token = f"{part({'alg': 'HS256'})}.{part({'sub': 'a'})}.c2ln"
+    for before, after in (("", ""), ("zz", " x"), ("a.b.", ""), ("eyJx.y.", "."), ("eyJeyJ ", ".z"), ("zzeyJ.", "")):
+        found = [s for s in secret_scan.find(before + token + after) if s[0] == "jwt"]
+        assert found == [("jwt", len(before), len(before) + len(token))], (before, after)
