@@ -188,13 +188,13 @@ def common_counts(doc: np.ndarray, shingle: np.ndarray, m: int) -> np.ndarray:
     doc, shingle = doc[order], shingle[order]
     edge = np.flatnonzero(np.diff(shingle, prepend=shingle[:1] + np.uint64(1)))
     size = np.diff(edge, append=len(shingle))
-    out = np.zeros((m, m), dtype=np.float32)
+    out = np.zeros((m, m), dtype=np.int64)
     often = np.flatnonzero(size > max(8, m // 16))
     for low in range(0, len(often), 4096):  # shingles of many sets: a matrix product
         at, column = expand(edge[often[low:low + 4096]], edge[often[low:low + 4096]] + size[often[low:low + 4096]])
         x = np.zeros((m, min(4096, len(often) - low)), dtype=np.float32)
         x[doc[at], column] = 1
-        out += x @ x.T
+        out += (x @ x.T).astype(np.int64)  # at most 4096 each, which floats hold exactly
     seldom = np.flatnonzero((size > 1) & (size <= max(8, m // 16)))
     for low in range(0, len(seldom), 1 << 11):  # others: the pairs of sets themselves
         part = seldom[low:low + (1 << 11)]
@@ -256,9 +256,9 @@ def _settle(left: DataFrame, docs: DataFrame, percent: int, k: int, text: str) -
 
     def compare(rows: pa.Table) -> pa.Table:
         lists = rows["shingles"].combine_chunks()
-        n = lists.value_lengths().to_numpy().astype(np.float32)
+        n = lists.value_lengths().to_numpy().astype(np.int64)
         node = rows["node"].to_numpy()
-        doc = np.repeat(np.arange(len(n)), n.astype(np.int64))
+        doc = np.repeat(np.arange(len(n)), n)
         both = common_counts(doc, lists.flatten().to_numpy().view(np.uint64), len(n))
         similar = 100 * both >= percent * (n[:, None] + n[None, :] - both)
         links = _forest(similar)

@@ -85,3 +85,18 @@ def test_forest_spans_components():
     for a, b in ((0, 3), (3, 5), (1, 2)):
         similar[a, b] = similar[b, a] = True
     assert sorted(near_dedup._forest(similar)) == [(0, 3), (0, 5), (1, 2)]
+
+
+def test_words_of_one_form_are_different(spark):
+    one, two = "a", "b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    table = spark.createDataFrame([(1, f"{one} x y"), (2, f"{two} x y"), (3, f"{one} x y")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(table).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_counts_of_large_sets_are_whole_numbers():
+    both = near_dedup.common_counts(np.repeat([0, 1], 5000), np.tile(np.arange(5000, dtype=np.uint64), 2), 2)
+    assert both.dtype == np.int64 and both[0, 1] == 5000
+    # 100 * 675,727 < 85 * 794,973, which floats of 24 bits can't tell
+    assert not 100 * np.int64(675_727) >= 85 * (np.int64(697_327) + np.int64(773_373) - np.int64(675_727))
