@@ -33,7 +33,9 @@ from marketlens.llm.fm_index import FMIndex
 from marketlens.llm.tables import written
 from marketlens.llm.textbatch import ALNUM, Block, blocks, one_of_each, windows
 
-SHARD_WORDS = 1 << 20
+#: A shard ends at so many words or bytes of text, whichever comes first, with whole texts.
+SHARD_WORDS = 1 << 18
+SHARD_BYTES = 4 << 20
 LEAK = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("n_hit", T.LongType()),
@@ -213,29 +215,28 @@ def find(docs: DataFrame, items: DataFrame, size: int = 10, text: str = "text",
     return _find_block(docs, Phrases.of([], size), names, False, text, shard_words) if found is None else found
 
 
-def _find_block(docs: DataFrame, phrases: Phrases, names: list[str], merge: bool, text: str, most: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(phrases)
-
+def _finder(sent, names: list[str], merge: bool, text: str, most: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, n = [], 0
+        parts, n, size = [], 0, 0
         for block in blocks(batches, text, lower=True):
             row, start, end = block.runs(ALNUM[block.buf])
             parts.append((block, row, block.hashes(start, end)))
-            block.__dict__.pop("_prefix", None)
-            n += len(row)
-            if n >= most:
+            n, size = n + len(row), size + len(block.buf)
+            if n >= most or size >= SHARD_BYTES:
                 yield from _shard(parts, sent.value, names, merge)
-                parts, n = [], 0
+                parts, n, size = [], 0, 0
         if parts:
             yield from _shard(parts, sent.value, names, merge)
+    return run
 
+
+def _find_block(docs: DataFrame, phrases: Phrases, names: list[str], merge: bool, text: str, most: int) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(phrases)
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("__leak", LEAK)])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(_finder(sent, names, merge, text, most), schema)
 
 
-def cut(found: DataFrame, text: str = "text") -> DataFrame:
-    """``find``'s rows with the hit words taken out of the text, up to the next word; others as they were."""
-    names = [c for c in found.columns if c != "__leak"]
+def _cutter(names: list[str], text: str):
     at = names.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,5 +257,28 @@ def cut(found: DataFrame, text: str = "text") -> DataFrame:
             arrays = list(block.rows.select(names).columns)
             arrays[at] = pa.array(texts, column.type)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+    return run
+
+
+def cut(found: DataFrame, text: str = "text") -> DataFrame:
+    """``find``'s rows with the hit words taken out of the text, up to the next word; others as they were."""
+    names = [c for c in found.columns if c != "__leak"]
+    return found.mapInArrow(_cutter(names, text), T.StructType([found.schema[c] for c in names]))
+
+
+def remove(docs: DataFrame, items: DataFrame, size: int = 10, text: str = "text", item_text: str = "text",
+           item_key: str = "item_id", block_bytes: int = 8 << 20, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """``cut(find(...))``, with the last block of test items searched and cut in one pass of one worker."""
+    names = docs.columns
+    source, waiting, merge = docs, None, False
+    for phrases in _phrase_blocks(items, size, item_text, item_key, block_bytes):
+        if waiting is not None:
+            source, merge = written(_find_block(source, waiting, names, merge, text, shard_words), "leaks"), True
+        waiting = phrases
+    sent = docs.sparkSession.sparkContext.broadcast(Phrases.of([], size) if waiting is None else waiting)
+    search, trim = _finder(sent, names, merge, text, shard_words), _cutter(names, text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from trim(search(batches))
 
-    return found.mapInArrow(run, T.StructType([found.schema[c] for c in names]))
+    return source.mapInArrow(run, T.StructType([docs.schema[c] for c in names]))

@@ -6,7 +6,7 @@ import pytest
 
 from marketlens.llm import decontaminate
 from marketlens.llm.fm_index import FMIndex, WaveletMatrix, suffix_order
-from tests.llm.common import DOCS, docs, plain
+from tests.llm.common import SMALL, DOCS, docs, plain
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -97,3 +97,24 @@ def test_wavelet_matrix():
         assert matrix.rank(np.array([s]), np.array([at]))[0] == (symbols[:at] == s).sum()
     got, before = matrix.get_and_rank(np.arange(700))
     assert (got == symbols).all() and all(before[i] == (symbols[:i] == symbols[i]).sum() for i in range(0, 700, 37))
+
+
+def test_remove_is_find_and_cut(spark):
+    table = spark.read.parquet(f"{SMALL}/documents.parquet")
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    for block in (8 << 20, 400):  # one block of items, and many
+        one = decontaminate.remove(table, items, block_bytes=block)
+        two = decontaminate.cut(decontaminate.find(table, items))
+        assert one.schema == two.schema
+        assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+
+
+def test_words_of_one_form_do_not_collide(spark):
+    """Long words over two letters, whose sums of powers are equal."""
+    one, two = "a", "b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    items = spark.createDataFrame([("i", one)], "item_id string, text string")
+    got = {r.doc_id: r.n_hit for r in decontaminate.find(spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string"), items)
+           .select("doc_id", "__leak.n_hit").collect()}
+    assert got == {1: 1, 2: 0}
