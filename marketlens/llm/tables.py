@@ -22,7 +22,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch that Spark hands to a Python worker, where the session sets none.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds batches by bytes: by Spark's default, 10,000 long texts make one, several times over in memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

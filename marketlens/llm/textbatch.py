@@ -7,15 +7,18 @@ follows the block and the longest single text, never the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from marketlens.llm.spanhash import Spans
+
 BLOCK_BYTES = 1 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, where it has one
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
@@ -28,11 +31,6 @@ ALNUM[0x30:0x3A] = True
 ALNUM[0x61:0x7B] = True
 ALNUM[0x80:] = True
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: a bijection that spreads every input bit."""
     x = x.astype(np.uint64, copy=True)
@@ -44,17 +42,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(of: np.uint64, n: int, name: str) -> np.ndarray:
-    have = _powers.get(name)
-    if have is None or len(have) < n:
-        step = np.full(max(n, BLOCK_BYTES + 1), of, dtype=np.uint64)
-        step[0] = 1
-        have = np.cumprod(step, dtype=np.uint64)
-        if n <= 8 * BLOCK_BYTES:
-            _powers[name] = have
-    return have[:n]
-
-
 @dataclass
 class Block:
     """Texts of a few rows as one byte buffer; row r is ``buf[at[r]:at[r + 1]]``."""
@@ -67,16 +54,9 @@ class Block:
     def n(self) -> int:
         return self.rows.num_rows
 
-    @cached_property
-    def _prefix(self) -> np.ndarray:
-        out = np.zeros(len(self.buf) + 1, dtype=np.uint64)
-        np.cumsum((self.buf.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(self.buf), "up"), out=out[1:])
-        return out
-
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each byte range, equal for equal bytes."""
-        raw = (self._prefix[end] - self._prefix[start]) * _power(_INVERSE, len(self.buf) + 1, "down")[start]
-        return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        """A 64-bit hash of each byte range, equal for equal bytes; every eight bytes are mixed in, so no kind of text collides by its form."""
+        return Spans(self.buf, start, end).keys()
 
     def per_row(self, flags: np.ndarray) -> np.ndarray:
         """How many bytes of each row are flagged."""
@@ -114,6 +94,14 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", lower: bool
             buf = every[at[row]:at[stop]]
             yield Block(batch.slice(row, stop - row), LOWER[buf] if lower else buf, at[row:stop + 1] - at[row])
             row = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the machine: a worker that waits for its next task keeps little."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def one_of_each(key: np.ndarray) -> np.ndarray:
