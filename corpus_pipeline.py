@@ -30,7 +30,7 @@ def _recount(docs: DataFrame) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of benchmark windows."""
-    return _recount(decontaminate.cut(decontaminate.find(docs, read(spark, sf_dir, "benchmark"))))
+    return _recount(decontaminate.remove(docs, read(spark, sf_dir, "benchmark")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
