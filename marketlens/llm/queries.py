@@ -82,12 +82,14 @@ FAULT_EVERY = 97
 
 def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a replica of the whole archive in which some records have one changed byte and some are lost."""
-    rotten = F.when(F.col("page_id") % FAULT_EVERY == 0, F.overlay("html", F.lit("#"), F.lit(1), F.lit(1))).otherwise(F.col("html"))
+    body = F.coalesce("html", F.lit(""))
+    other = F.when(F.startswith(body, F.lit("#")), "!").otherwise("#")  # never the character that is there
+    rotten = F.when(F.col("page_id") % FAULT_EVERY == 0, F.overlay(body, other, F.lit(1), F.lit(1))).otherwise(F.col("html"))
     both = warc_audit.capture(read(spark, sf_dir, "pages"), order=warc_audit.IN_FILES, copy=rotten)
     original = both.select("page_id", "place", "record.*")
     # the replica's offsets come from its own bytes, before its records were lost
     replica = warc_audit.with_offsets(both.select("page_id", "place", "copy.*")).where(f"page_id is null or page_id % {FAULT_EVERY} <> 1")
-    found = warc_audit.audit(original, replica, extras=True)
+    found = warc_audit.audit(original, replica, extras=True, moved=True)
     return found.select("page_id", "segment", "offset", "n_bytes", "sha256", "status")
 
 

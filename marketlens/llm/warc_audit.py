@@ -2,9 +2,11 @@
 
 A replica is a table of records at places of an archive: ``place`` numbers the
 records 0 to n - 1 in capture order; each run of ``SEGMENT`` places is one WARC segment, in which records follow
-each other by byte offset. A leaf hashes a record's bytes with its offset
-range; every further level hashes ``FAN`` neighbouring nodes, in order, with
-the offsets they span. Roots are compared first and only the children of
+each other by byte offset. A leaf hashes a record's size and bytes and the gap
+between it and the record before it (0 in a sound segment), so one of another
+length leaves the leaves after it as they are; every further level hashes
+``FAN`` neighbouring nodes, in order, with the bytes they span, so a node stands for its ordered
+offset ranges relative to its begin. Roots are compared first and only the children of
 mismatching nodes are read further, down to the records.
 
 Places come from each row's number in its file or partition and the counts of
@@ -13,6 +15,10 @@ one task, and a segment is bounded whatever the keys are. All steps are grouped
 DataFrame operations with groups of at most ``FAN`` (nodes) or ``SEGMENT``
 (offsets) rows.
 
+A record with the same bytes counts as moved if its offset isn't what the sizes of
+the replica's records before it in the segment give, with the room of all lost
+ones either kept or closed.
+
 Defined cases: null ids, URLs and contents are empty in the record; repeated
 rows are records of their own; equal replicas and empty tables give no
 mismatch; other columns are ignored.
@@ -85,40 +91,61 @@ def with_offsets(records: DataFrame) -> DataFrame:
 
 
 def _next_level(nodes: DataFrame) -> DataFrame:
-    """Parents of (copy, place, low, high, hash)."""
-    children = F.transform(F.array_sort(F.collect_list(F.struct("place", "hash"))), lambda c: c["hash"])
-    grouped = nodes.groupBy("copy", F.shiftright("place", FAN_BITS).alias("place")).agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), children.alias("children"))
-    return grouped.select("copy", "place", "low", "high", F.sha2(
-        F.concat_ws("|", F.col("low").cast("string"), F.col("high").cast("string"), "children"), 256).alias("hash"))
+    """Parents of (copy, place, span, hash)."""
+    child = F.concat_ws(":", F.col("place").cast("string"), F.col("span").cast("string"), "hash")
+    children = F.transform(F.array_sort(F.collect_list(F.struct("place", child.alias("child")))), lambda c: c["child"])
+    return nodes.groupBy("copy", F.shiftright("place", FAN_BITS).alias("place")).agg(
+        F.sum("span").alias("span"), F.sha2(F.concat_ws("|", children), 256).alias("hash"))
 
 
 def tree(copies: DataFrame) -> list[DataFrame]:
-    """All levels, leaves first, of located records (copy, place, offset, n_bytes, sha256); the last has the roots.
-
-    Offsets in a node are global: a segment's number and the offset in it.
-    """
-    low = F.format_string("%d:%d", F.col("segment"), F.col("offset"))
-    high = F.format_string("%d:%d", F.col("segment"), F.col("offset") + F.col("n_bytes"))
-    leaf = copies.select("copy", "place", low.alias("low"), high.alias("high"),
-                         F.sha2(F.concat_ws("|", low, high, "sha256"), 256).alias("hash"))
+    """All levels, leaves first, of located records (copy, place, segment, offset, n_bytes, sha256); the last has the roots."""
+    before = Window.partitionBy("copy", "segment").orderBy("place", "offset")
+    gap = F.col("offset") - F.coalesce(F.lag(F.col("offset") + F.col("n_bytes")).over(before), F.lit(0))
+    leaf = copies.withColumn("gap", gap).select(
+        "copy", "place", "segment", "gap", "n_bytes", "sha256", (F.col("gap") + F.col("n_bytes")).alias("span"),
+        F.sha2(F.concat_ws("|", F.col("gap").cast("string"), F.col("n_bytes").cast("string"), "sha256"), 256).alias("hash"))
     levels = [written(leaf, "leaves")]
     last = levels[0].agg(F.max("place")).first()[0]
     while last:
-        levels.append(written(_next_level(levels[-1]), "nodes"))
+        levels.append(written(_next_level(levels[-1].select("copy", "place", "span", "hash")), "nodes"))
         last >>= FAN_BITS
     return levels
 
 
 def _differ(nodes: DataFrame) -> DataFrame:
-    """Places whose node isn't the same in both copies, and how often each copy has it."""
+    """Places whose node isn't the same in both copies."""
     return (nodes.groupBy("place").agg(F.min("hash").alias("x"), F.max("hash").alias("y"),
                                        F.count_if(F.col("copy") == 0).alias("left"), F.count_if(F.col("copy") == 1).alias("right"))
-            .where("x <> y or left <> right").select("place", "left", "right"))
+            .where("x <> y or left <> right").select("place"))
+
+
+def _faults(leaves: DataFrame) -> DataFrame:
+    """place and fault of records with differing leaves, and of those that moved along with one."""
+    def of(copy: int, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("copy") == copy, F.col(name))), F.lit(0))
+
+    sides = leaves.groupBy("place").agg(
+        F.count_if(F.col("copy") == 0).alias("left"), F.count_if(F.col("copy") == 1).alias("right"),
+        (F.min("sha256") == F.max("sha256")).alias("same"), (F.min("segment") == F.max("segment")).alias("stays"),
+        (of(1, "gap") - of(0, "gap")).alias("shift"), of(0, "n_bytes").alias("room"))
+    # leaves that are equal in both copies have equal gaps, so the differing ones alone add up to every shift
+    segment = Window.partitionBy(F.shiftright("place", SEGMENT_BITS)).orderBy("place")
+    shift = F.sum("shift").over(segment)
+    lost = F.coalesce(F.sum(F.when(F.col("right") == 0, F.col("room"))).over(segment), F.lit(0))
+    end = F.shiftleft(F.shiftright("place", SEGMENT_BITS) + 1, SEGMENT_BITS)
+    sides = sides.select("*", ((shift != 0) & (shift != lost)).alias("shifted"),
+                         F.coalesce(F.lead("place").over(segment), end).alias("until"))
+    fault = (F.when(F.col("right") == 0, "missing").when(F.col("left") == 0, "extra")
+             .when(~F.col("same") | (F.col("left") != F.col("right")), "changed")
+             .when(F.col("shifted") | ~F.col("stays"), "moved"))
+    along = sides.where(F.col("shifted") & (F.col("until") > F.col("place") + 1)).select(
+        F.explode(F.sequence(F.col("place") + 1, F.col("until") - 1)).alias("place"), F.lit("moved").alias("fault"))
+    return sides.select("place", fault.alias("fault")).where("fault is not null").union(along)
 
 
 def mismatches(levels: list[DataFrame]) -> DataFrame:
-    """place and fault (changed, missing, extra) of the records where copy 1 differs from copy 0.
+    """place and fault (changed, moved, missing, extra) of the records where copy 1 differs from copy 0.
 
     Goes down from the roots; each level reads only the children of nodes that differ.
     """
@@ -126,34 +153,29 @@ def mismatches(levels: list[DataFrame]) -> DataFrame:
     for nodes in reversed(levels[:-1]):
         parent = found.select(F.col("place").alias("parent"))
         found = _differ(nodes.join(parent, F.shiftright("place", FAN_BITS) == F.col("parent"), "left_semi"))
-    fault = F.when(F.col("right") == 0, "missing").when(F.col("left") == 0, "extra").otherwise("changed")
-    return found.select("place", fault.alias("fault"))
+    return _faults(levels[0].join(found, "place", "left_semi"))
 
 
-def audit(original: DataFrame, other: DataFrame, extras: bool = False) -> DataFrame:
+def audit(original: DataFrame, other: DataFrame, extras: bool = False, moved: bool = False) -> DataFrame:
     """page_id, place, segment, offset, n_bytes, sha256 and status of every record of the original.
 
     ``other`` has place, n_bytes and sha256 of the replica's records, and the
     segment and offset where the replica has them; a record that is elsewhere
-    is changed. A replica's record keeps its place, so a lost one leaves a gap.
-    Without offsets of its own, a replica is compared by place and bytes only.
+    is changed, or, with ``moved``, has that status if its bytes are the same. A replica's record keeps its
+    place, so a lost one leaves a gap. Without offsets of its own, a replica is compared by place and bytes only.
     With ``extras`` the records that only the replica has are returned too, as
     ``extra``, without a page_id and where the replica has them.
     """
     first = written(with_offsets(original), "records")
     located = ["place", "segment", "offset", "n_bytes", "sha256"]
-    if {"segment", "offset"} <= set(other.columns):
-        second = other.select(located)
-    else:
-        offsets = first.select("place", "segment", "offset")
-        second = other.select("place", "n_bytes", "sha256").join(offsets, "place", "left")
-        second = second.select("place", F.coalesce("segment", F.shiftright("place", SEGMENT_BITS)).alias("segment"),
-                               F.coalesce("offset", F.lit(0)).alias("offset"), "n_bytes", "sha256")
-    second = written(second, "replica")
+    if not {"segment", "offset"} <= set(other.columns):
+        other = with_offsets(other.select("place", "n_bytes", "sha256"))
+    second = written(other.select(located), "replica")
     both = first.select(F.lit(0).alias("copy"), *located).union(second.select(F.lit(1).alias("copy"), *located))
     faults = written(mismatches(tree(both)), "faults").withColumnRenamed("place", "__place")
-    out = first.join(faults, first["place"] == F.col("__place"), "left").select(
-        "page_id", *located, F.coalesce("fault", F.lit("intact")).alias("status"))
+    # of a run that moved along, only places that the original has
+    status = F.when((F.col("fault") == "moved") & F.lit(not moved), "changed").otherwise(F.coalesce("fault", F.lit("intact")))
+    out = first.join(faults, first["place"] == F.col("__place"), "left").select("page_id", *located, status.alias("status"))
     if not extras:
         return out
     extra = faults.where("fault = 'extra'").select(F.col("__place").alias("place"))

@@ -88,3 +88,54 @@ def test_moved_and_extra_records_are_found(spark):
     bad = [(r.place, r.status, r.page_id, r.segment, r.offset) for r in got.where("place = 3002 or status = 'extra'").collect()]
     assert bad == [(len(ROWS), "extra", None, 2, 99)]
     assert {(r.place, r.status) for r in got.where("status <> 'intact'").collect()} == {(7, "changed"), (len(ROWS), "extra")}
+
+
+def located(spark, longer=(), n=3000):
+    """An archive, and a replica with its own offsets in which the records ``longer`` have a byte more."""
+    copy = F.when(F.col("page_id").isin(*longer), F.concat("html", F.lit("!"))).otherwise(F.col("html"))
+    both = captured(spark, [(i, f"http://h/{i}", f"<p>{i}</p>" * (i % 7)) for i in range(n)], copy=copy)
+    return both.select("page_id", "place", "record.*"), warc_audit.with_offsets(both.select("page_id", "place", "copy.*"))
+
+
+def bad(got):
+    return sorted((r.place, r.status) for r in got.where("status <> 'intact'").collect())
+
+
+def test_a_longer_record_is_one_fault(spark):
+    original, replica = located(spark, [3, 1500])
+    places = sorted(r.place for r in original.where("page_id in (3, 1500)").collect())
+    assert bad(warc_audit.audit(original, replica, moved=True)) == [(p, "changed") for p in places]
+
+
+def test_lost_records_with_and_without_their_room(spark):
+    original, replica = located(spark, [3])
+    changed = original.where("page_id = 3").first().place
+    lost = [p for p in (0, 1, 700, 1023, 1024, 2999) if p != changed]
+    want = sorted([(p, "missing") for p in lost] + [(changed, "changed")])
+    kept = replica.where(~F.col("place").isin(lost))
+    assert bad(warc_audit.audit(original, kept, moved=True)) == want
+    closed = warc_audit.with_offsets(kept.drop("segment", "offset"))
+    assert bad(warc_audit.audit(original, closed, moved=True)) == want
+
+
+def test_a_run_that_moved(spark):
+    original, replica = located(spark)
+    by = F.when(F.col("place").between(100, 140), 9).otherwise(0)
+    got = warc_audit.audit(original, replica.withColumn("offset", F.col("offset") + by), moved=True)
+    assert bad(got) == [(p, "moved") for p in range(100, 141)]
+    away = replica.withColumn("segment", F.when(F.col("place") == 2000, 9).otherwise(F.col("segment")))
+    assert (2000, "moved") in bad(warc_audit.audit(original, away, moved=True))
+
+
+def test_query_on_awkward_contents(spark, tmp_path):
+    """Null, empty, multi-byte and ``#`` contents at changed pages, and columns with the names used inside."""
+    html = {0: None, 97: "", 194: "éa", 291: "#b", 388: "\U0001f600"}
+    table = spark.createDataFrame(
+        [(i, f"http://h/{i}", html.get(i, "x" * (i % 50)), "p", 7, "s", "r") for i in range(1300)],
+        "page_id long, url string, html string, place string, segment int, part string, record string")
+    table.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = con.sql(OP4_SQL).df().sort_values("page_id").reset_index(drop=True)
+    got = op4_merkle_fixity(spark, str(tmp_path)).toPandas().sort_values("page_id").reset_index(drop=True)[list(want)]
+    assert got.equals(want.astype(got.dtypes))
