@@ -164,7 +164,8 @@ def op9_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_feistel_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order.materialise(read(spark, sf_dir, "documents"), scratch_path(spark, "training-order"))
+    return training_order.materialise(read(spark, sf_dir, "documents"), scratch_path(spark, "training-order"),
+                                      order=training_order.IN_FILES)
 
 
 def _feistel_sql(number: str) -> str:

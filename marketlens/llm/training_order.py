@@ -1,8 +1,8 @@
 """Training-order materialisation of token sequences as fixed-stride shards.
 
 Each text's tokens and an end mark are cut into sequences of ``stride``
-tokens. Sequences are counted by partition, which numbers them 0 to N - 1
-without a sort; a keyed Feistel permutation of the next power of four, walked
+tokens. Sequences are counted by run of rows (a split of a file, or a partition), which numbers them 0 to N - 1
+without a sort, in the order of files and of rows in them, whatever the splits; a keyed Feistel permutation of the next power of four, walked
 until it falls below N, gives each its global slot. A task packs its sequences
 by shard (a range of slots) and each pack goes straight to its shard's
 partition, where slot s is put at ``(s - first) * stride`` tokens of the file;
@@ -14,6 +14,9 @@ repeated task puts the same bytes in its place. Should the input's partitions
 change between the count and the write, the task that sees it fails, and both
 are done again on a written copy of the input.
 
+``order`` names the file and the split's begin in it (``IN_FILES``). Rows that aren't read from
+files have none: their runs are Spark's partitions.
+
 Tokens are the UTF-8 bytes of a text (one byte each; the end mark and padding
 are 255, which UTF-8 never has) or the ids of an array column (as little-endian
 numbers of ``width`` bytes; the end mark and padding are the largest number).
@@ -32,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,8 @@ from marketlens.llm.tables import written
 STRIDE = 512
 SHARD_SEQUENCES = 1 << 15
 ROUNDS = 4
+#: The file of a row and the begin of the split it is read in; a split is read by one task, in the file's order.
+IN_FILES = ("_metadata.file_path", "_metadata.file_block_start")
 _LOW32 = np.uint64(0xFFFFFFFF)
 
 
@@ -98,25 +102,39 @@ def _slices(batches: Iterable[pa.RecordBatch], column: int, width: int, limit: i
             yield rows, *_tokens(rows, column, width)
 
 
-def sequences(docs: DataFrame, column: str = "text", key: str = "doc_id", stride: int = STRIDE, width: int = 1,
-              seed: int = 1, per_shard: int = SHARD_SEQUENCES) -> tuple[DataFrame, int]:
-    """Packs of sequences of one shard (slots, ids, parts, token counts, compressed payload), and the sequences' number."""
-    source = docs.select(F.col(key).alias("doc_id"), F.col(column).alias("tokens"))
-    listed = isinstance(source.schema["tokens"].dataType, T.ArrayType)
+def _numbered(named: DataFrame, column: str, stride: int, width: int) -> tuple[DataFrame, dict[int, int], dict[int, int], int]:
+    """The rows with a number for their run; each run's first sequence and number of sequences; and all sequences' number.
+
+    A run's number is a hash of its file and begin; another seed is taken should two runs share one.
+    """
+    listed = isinstance(named.schema["tokens"].dataType, T.ArrayType)
     if not listed and width != 1:
         raise ValueError("texts have tokens of one byte")
     n = F.size("tokens") if listed else F.octet_length("tokens")
     parts = F.when(n > 0, F.ceil((n + 1) / F.lit(stride))).otherwise(0)
-    # a number for each partition, not for each row, comes to the driver
-    counted = {r["p"]: r["n"] for r in source.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(parts).alias("n")).collect()}
+    for seed in range(8):
+        run = F.xxhash64(F.lit(seed), "file", "begin")
+        # a number for each split of a file, not for each row, comes to the driver
+        runs = named.groupBy("file", "begin", run.alias("run")).agg(F.sum(parts).alias("n")).collect()
+        if len({r["run"] for r in runs}) == len(runs):
+            break
     offsets, total = {}, 0
-    for p in sorted(counted):
-        offsets[p] = total
-        total += counted[p]
+    for r in sorted(runs, key=lambda r: (r["file"], r["begin"])):
+        offsets[r["run"]] = total
+        total += r["n"]
+    return named.select("doc_id", "tokens", run.alias("run")), offsets, {r["run"]: r["n"] for r in runs}, total
+
+
+def sequences(docs: DataFrame, column: str = "text", key: str = "doc_id", stride: int = STRIDE, width: int = 1,
+              seed: int = 1, per_shard: int = SHARD_SEQUENCES, order: tuple[str, str] | None = None) -> tuple[DataFrame, int]:
+    """Packs of sequences of one shard (slots, ids, parts, token counts, compressed payload), and the sequences' number."""
+    named = docs.select(F.col(key).alias("doc_id"), F.col(column).alias("tokens"),
+                        *(F.col(c).alias(n) for c, n in zip(order or (), ("file", "begin"), strict=False)))
+    named = named if order else named.select("*", F.lit("").alias("file"), F.spark_partition_id().alias("begin"))
+    source, offsets, counted, total = _numbered(named, column, stride, width)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = TaskContext.get().partitionId()
-        index, end = offsets.get(mine, 0), offsets.get(mine, 0) + counted.get(mine, 0)
+        done: dict[int, int] = {}  # sequences of each run so far
         for rows, raw, counts in _slices(batches, 1, width):
             number = np.where(counts > 0, -(-(counts + 1) // stride), 0)
             row = np.repeat(np.arange(rows.num_rows), number)
@@ -125,10 +143,19 @@ def sequences(docs: DataFrame, column: str = "text", key: str = "doc_id", stride
             first = (np.cumsum(number) - number) * stride
             move = np.repeat((first - (np.cumsum(counts) - counts)) * width, counts * width)
             payload[np.arange(len(raw)) + move] = raw
-            slot = feistel(np.arange(index, index + len(row)), max(total, index + len(row)), seed)
-            index += len(row)
             if not len(row):
                 continue
+            index = np.empty(len(row), dtype=np.int64)
+            runs = rows.column(2).to_numpy()[row]
+            at = np.flatnonzero(np.append(True, runs[1:] != runs[:-1])[:len(runs)])
+            for low, high in zip(at, [*at[1:], len(runs)], strict=True):
+                mine = int(runs[low])
+                have = done.get(mine, 0)
+                done[mine] = have + int(high - low)
+                if done[mine] > counted.get(mine, 0):
+                    raise RuntimeError(CHANGED)
+                index[low:high] = np.arange(high - low) + offsets[mine] + have
+            slot = feistel(index, total, seed)
             shard = slot // per_shard
             order = np.argsort(shard, kind="stable")
             edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
@@ -142,7 +169,7 @@ def sequences(docs: DataFrame, column: str = "text", key: str = "doc_id", stride
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard[order][edges].astype(np.int32)), *(pa.ListArray.from_arrays(at, x) for x in lists),
                  pa.array(packed, pa.binary())], names=schema.names)
-        if index != end:
+        if any(n != counted[mine] for mine, n in done.items()):
             raise RuntimeError(CHANGED)
 
     id_type = source.schema["doc_id"].dataType
@@ -199,24 +226,26 @@ def _write(packs: DataFrame, folder: str, total: int, per_shard: int, size: int)
 
 
 def materialise(docs: DataFrame, folder: str, column: str = "text", key: str = "doc_id", stride: int = STRIDE,
-                width: int = 1, seed: int = 1, per_shard: int = SHARD_SEQUENCES) -> DataFrame:
+                width: int = 1, seed: int = 1, per_shard: int = SHARD_SEQUENCES, order: tuple[str, str] | None = None) -> DataFrame:
     """Writes all shards under ``folder`` (a URI that every executor reaches); returns the written manifest.
 
     The manifest has slot, shard, doc_id, part, n_tokens and the byte offset in the shard's file.
     """
     spark = docs.sparkSession
     for attempt in range(2):
-        rows, total = sequences(docs, column, key, stride, width, seed, per_shard)
+        rows, total = sequences(docs, column, key, stride, width, seed, per_shard, order)
         manifest = _write(rows, folder, total, per_shard, stride * width)
         path = f"{folder.rstrip('/')}/manifest-{attempt}"
         try:
             manifest.write.mode("overwrite").parquet(path)
+            if spark.read.schema(manifest.schema).parquet(path).count() != total:  # a counted run that no task saw
+                raise RuntimeError(CHANGED)
             break
         except Exception as failed:
             if CHANGED not in str(failed) or attempt:
                 raise
             # rows of a shuffle, say, whose partitions are made anew each time: a written table's stay
-            docs = written(docs.select(key, column), "sequences")
+            docs, order = written(docs.select(key, column), "sequences"), IN_FILES
     return spark.read.schema(manifest.schema).parquet(path)
 
 

@@ -1,8 +1,11 @@
+import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from marketlens.llm import training_order as order
-from tests.llm.common import DOCS, ROWS, docs
+from marketlens.llm.queries import OP10_SQL, op10_feistel_training_order
+from tests.llm.common import DOCS, ROWS, SMALL, docs
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 63, 64, 65, 1000, 70_001])
@@ -40,3 +43,24 @@ def test_ids_and_empty_tables(spark, tmp_path):
     assert [(r.slot, r.doc_id, r.n_tokens) for r in manifest.collect()] == [(0, 1, 4)]
     assert order.read(str(tmp_path / "ids"), 0, 5, stride=4, width=4).tolist() == [[5, 6, 70_000, 0xFFFFFFFF]]
     assert order.materialise(spark.createDataFrame([], DOCS), str(tmp_path / "none")).count() == 0
+
+
+def test_the_order_does_not_depend_on_splits(spark, tmp_path):
+    """Two files, the second one larger, of several row groups: default splits and small ones, against the SQL."""
+    table = pq.read_table(f"{SMALL}/documents.parquet")
+    folder = tmp_path / "documents.parquet"
+    folder.mkdir()
+    cut = table.num_rows // 3
+    pq.write_table(table.slice(0, cut), folder / "part-0.parquet", row_group_size=9)
+    pq.write_table(table.slice(cut), folder / "part-1.parquet", row_group_size=9)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet(['{folder}/part-0.parquet', '{folder}/part-1.parquet'])")
+    want = con.sql(OP10_SQL).df().sort_values("slot").reset_index(drop=True)
+    got = []
+    for size in ("128m", "8k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got.append(op10_feistel_training_order(spark, str(tmp_path)).toPandas().sort_values("slot").reset_index(drop=True)[list(want)])
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(want) and all(g.equals(want.astype(g.dtypes)) for g in got)
