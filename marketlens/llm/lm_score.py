@@ -1,18 +1,17 @@
 """Language-model scores by online logistic context mixing, beside a word-count baseline.
 
-Training (one pass): every training text counts the next byte in several
-contexts (the last three and four bytes; the word so far). Spark sums the
-counts of all tasks. Bytes are coded by the bits of a Huffman code of the
+Shards: texts are dealt to shards of bounded text, tokens and contexts. A shard gives out, for each
+of several contexts (the last three and four bytes; the word so far) and for words,
+how often its training texts have each (context, next byte), and the contexts that only its other texts have.
+These are sorted numbers by ranges of hashed contexts, packed as differences.
+
+Training: a range's task adds up the counts of all shards, so the model grows with what was read and no context shares
+a row with another. Bytes are coded by the bits of a Huffman code of the
 training bytes, which needs about half of the eight plain bits; a context's
 counts become one bit predictor for each inner node of that code's tree, kept
-as a stretched probability (log-odds) if it isn't 0. The model is a Spark table
-of one row a context, so it grows with what was read and no context shares a
-row with another.
-
-Shards: texts are dealt to shards of bounded text, tokens and contexts; the
-shard's distinct contexts and tokens are joined to the model and to the corpus
-counts, and what is known of them comes back by shard. So a hot context or
-token has one row a shard, and a task holds what one shard needs.
+as a stretched probability (log-odds) if it isn't 0. The same task answers every shard with what is
+known of the shard's contexts and tokens. A hot context or token has one number a shard; a range is 32 MB of
+the text's contexts, so ranges grow in number, not in size, and a task holds one range or what one shard needs.
 
 Scoring: a text is coded bit by bit, after the bits before. The predictors'
 log-odds are combined with the weights of a gate (whether a word is under
@@ -53,12 +52,11 @@ CONTEXTS = ("last3", "last4", "word")
 TOKEN = len(CONTEXTS)  # the kind of a shard's tokens, beside those of contexts
 SLOT_BITS = (15, 17, 18)  # slots of each kind in a plain table of hashed contexts, which scoring takes also
 SYMBOLS = 256  # every byte; their code's tree has 255 nodes
-HELD = 1 << 22  # counts that a task holds before it gives them out
+RANGE_BYTES = 32 << 20  # training text for each range of contexts
 DENSE = 1 << 16  # contexts whose predictors are spread out at a time
 STEP = 128
 RATE, START, SCALE = 0.006, 0.4, 16
-SHARD_TOKENS = 4 << 20
-SHARD_CONTEXTS = 4 << 20
+SHARD_KEYS = 6 << 20  # counted keys and others, before those of a shard's blocks are merged
 SHARD_BYTES = 32 << 20
 END = np.uint64(0x5851F42D4C957F2D)  # the end token's hash
 
@@ -74,6 +72,7 @@ class Code:
         order = np.argsort(-weight, kind="stable")
         self.symbol = np.empty(256, dtype=np.int64)
         self.symbol[order] = np.arange(SYMBOLS)
+        self.byte = order  # of each symbol
         of, self.children = self._tree(weight[order].tolist())
         ways = [of[symbol] for symbol in self.symbol]
         self.at = np.cumsum([0, *map(len, ways)])
@@ -102,15 +101,28 @@ class Code:
                     todo.append((child - n, [*way, (node, bit)]))
         return ways, children
 
+    def odds(self, row: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, node and scaled log-odds of bit 1, where not 0, from counts ``n`` of a row's symbols; by row and node."""
+        byte = self.byte[symbol]
+        step, of = expand(self.at[byte], self.at[byte + 1])
+        at = row[of] * SYMBOLS + self.node[step]
+        order = np.argsort(at, kind="stable")
+        at, n = at[order], n[of][order]
+        zero = np.where(self.sign[step][order] > 0, n, 0)
+        edge = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
+        if not len(edge):
+            return at, at, np.zeros(0, dtype=np.int8)
+        every, zero = np.add.reduceat(n, edge), np.add.reduceat(zero, edge)
+        odds = np.clip(np.rint(np.log((every - zero + 0.4) / (zero + 0.4)) * SCALE), -127, 127).astype(np.int8)
+        keep = np.flatnonzero(odds)
+        return at[edge[keep]] // SYMBOLS, at[edge[keep]] % SYMBOLS, odds[keep]
+
     def stretch(self, counts: np.ndarray) -> np.ndarray:
         """Scaled log-odds of bit 1 at each node (columns) from the symbol counts of each context (rows)."""
-        total = np.zeros((len(counts), 2 * SYMBOLS - 1))
-        total[:, :SYMBOLS] = counts
+        row, symbol = np.nonzero(counts)
         out = np.zeros((len(counts), SYMBOLS), dtype=np.int8)
-        for node, (zero, one) in enumerate(self.children):
-            total[:, SYMBOLS + node] = total[:, zero] + total[:, one]
-            odds = np.log((total[:, one] + 0.4) / (total[:, zero] + 0.4))
-            out[:, node] = np.clip(np.rint(odds * SCALE), -127, 127)
+        row, node, odds = self.odds(row, symbol, counts[row, symbol])
+        out[row, node] = odds
         return out
 
 
@@ -172,15 +184,10 @@ def count_bytes(docs: DataFrame, text: str) -> np.ndarray:
     return out
 
 
-def pairs(block: Block, symbol: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each kind, a block's distinct (context * 256 + next symbol) in order, and how often each occurs."""
-    flat, begin, size = layout(block)
-    place = _coded(begin, size)
-    of = symbol[flat[place]].astype(np.uint64)
-    for context in contexts(flat):
-        at = np.sort(context[place] << np.uint64(8) | of)
-        edge = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
-        yield at[edge], np.diff(edge, append=len(at))
+def _runs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of a sorted array, and how often each occurs."""
+    edge = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
+    return at[edge], np.diff(edge, append=len(at))
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -191,39 +198,138 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return at[edge], np.add.reduceat(n[order], edge) if len(edge) else n
 
 
-def count_contexts(docs: DataFrame, text: str, symbol: np.ndarray) -> DataFrame:
-    """kind, key and ``next`` (symbol, n): how often each symbol follows a context. Summed in each task first."""
+def _pack(x: np.ndarray, ordered: bool = False) -> bytes:
+    """Whole numbers (as differences if in order) by planes of equal bytes, compressed."""
+    x = x.astype(np.uint64)
+    planes = (np.diff(x, prepend=np.uint64(0)) if ordered else x).view(np.uint8).reshape(-1, 8).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, n: int, ordered: bool = False) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd"), dtype=np.uint8)
+    x = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).reshape(-1)
+    return np.cumsum(x, dtype=np.uint64) if ordered else x
+
+
+def _by_range(key: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each range that has keys, and their indexes in order."""
+    of = (mix(key) >> np.uint64(33)) % np.uint64(ranges)
+    order = np.argsort(of, kind="stable")
+    first, n = _runs(of[order])
+    for r, high, size in zip(first.tolist(), np.cumsum(n).tolist(), n.tolist(), strict=True):
+        yield r, order[high - size:high]
+
+
+def _one_shard(held: dict[int, list], more: dict[int, list], ranges: int) -> Iterator[tuple]:
+    """A shard's (kind, range, number and pack of its counted keys, their counts, number and pack of its other keys)."""
+    for kind, parts in held.items():
+        shift = np.uint64(0 if kind == TOKEN else 8)
+        at, n = _merged(parts)
+        others = np.unique(np.concatenate(more[kind]))
+        others = others[~np.isin(others, at >> shift)]
+        of_range = {r: [i, others[:0]] for r, i in _by_range(at >> shift, ranges)}
+        for r, i in _by_range(others, ranges):
+            of_range.setdefault(r, [slice(0), others[:0]])[1] = others[i]
+        for r, (i, rest) in of_range.items():
+            yield (kind, r, len(at[i]), _pack(at[i], True), _pack(n[i]), len(rest), _pack(rest, True))
+
+
+def _shards(docs: DataFrame, symbol: np.ndarray, ranges: int) -> DataFrame:
+    """A row for each text (``kind`` is null), and one for each shard, kind and range of keys.
+
+    ``keys`` are the training texts' (context * 256 + next symbol), or the hashes of their tokens, with ``counts``;
+    ``others`` are the contexts, or tokens, that only the shard's other texts have.
+    """
+    schema = T.StructType([
+        T.StructField("shard", T.StringType()), *(T.StructField(c, docs.schema[c].dataType) for c in ("doc_id", "held_out", "text")),
+        T.StructField("kind", T.IntegerType()), T.StructField("range", T.IntegerType()),
+        *(T.StructField(c, T.LongType() if c[0] == "n" else T.BinaryType()) for c in ("n_keys", "keys", "counts", "n_others", "others"))])
+    arrow = to_arrow_schema(schema)
+
+    def flush(texts: list, held: dict[int, list], more: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        shard = uuid.uuid4().hex  # the rows are written once, so a repeated task's name doesn't matter
+        for rows in texts:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard] * rows.num_rows), *rows.columns, *(pa.nulls(rows.num_rows, f.type) for f in list(arrow)[4:])],
+                names=arrow.names)
+        for row in _one_shard(held, more, ranges):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], f.type) for v, f in zip((shard, None, None, None, *row), arrow, strict=True)], names=arrow.names)
+
+    def empty() -> tuple[list, dict[int, list], dict[int, list], int]:
+        return [], {k: [] for k in range(TOKEN + 1)}, {k: [] for k in range(TOKEN + 1)}, 0
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[] for _ in CONTEXTS]
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for kind, parts in enumerate(held):
-                for every, counts in parts:
-                    for low in range(0, len(every), 1 << 17):
-                        at, n = every[low:low + (1 << 17)], counts[low:low + (1 << 17)]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(at), kind, dtype=np.int32)), pa.array((at >> np.uint64(8)).astype(np.int64)),
-                             pa.array((at & np.uint64(255)).astype(np.int32)), pa.array(n.astype(np.int64))],
-                            names=["kind", "key", "symbol", "n"])
-                parts.clear()
-
-        size = 0
-        for block in blocks(batches, text, lower=True):
-            for parts, found in zip(held, pairs(block, symbol), strict=True):
-                parts.append(found)
-                size += len(found[0])
-            if size > HELD:
-                held[:] = [[_merged(parts)] for parts in held]
-                size = sum(len(parts[0][0]) for parts in held)
-                if size > HELD // 2:
-                    yield from out()
-                    size = 0
-        held[:] = [[_merged(parts)] if parts else [] for parts in held]
-        yield from out()
-
-    counted = docs.select(text).mapInArrow(run, "kind int, key bigint, symbol int, n bigint").repartition("kind", "key")
-    return (counted.groupBy("kind", "key", "symbol").agg(F.sum("n").alias("n"))
-            .groupBy("kind", "key").agg(F.collect_list(F.struct("symbol", "n")).alias("next")))
+        texts, held, more, size = empty()
+        n_bytes = 0
+        for block in blocks(batches, "text", lower=True):
+            flat, begin, length = layout(block)
+            place = _coded(begin, length)
+            learned = ~block.rows.column(1).to_numpy(zero_copy_only=False)
+            learn = np.repeat(learned, length)
+            of = symbol[flat[place]].astype(np.uint64)[learn]
+            for kind, context in enumerate(contexts(flat)):
+                held[kind].append(_runs(np.sort(context[place[learn]] << np.uint64(8) | of)))
+                more[kind].append(np.unique(context[place[~learn]]))
+                size += len(held[kind][-1][0]) + len(more[kind][-1])
+            hashes, n = _tokens(block)
+            learn = np.repeat(learned, n)
+            held[TOKEN].append(_runs(np.sort(hashes[learn])))
+            more[TOKEN].append(np.unique(hashes[~learn]))
+            size += len(held[TOKEN][-1][0]) + len(more[TOKEN][-1])
+            texts.append(block.rows)
+            n_bytes += len(block.buf)
+            if size >= SHARD_KEYS or n_bytes >= SHARD_BYTES:
+                yield from flush(texts, held, more)
+                texts, held, more, size = empty()
+                n_bytes = 0
+        if texts:
+            yield from flush(texts, held, more)
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
+
+
+def _added(group: pa.Table) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray]]:
+    """The keys and counts of each shard of one kind and range, and those of all."""
+    parts = [(_unpack(r["keys"], r["n_keys"], True), _unpack(r["counts"], r["n_keys"]).astype(np.int64))
+             for r in group.select(["n_keys", "keys", "counts"]).to_pylist()]
+    return parts, _merged(parts)
+
+
+class Known:
+    """The distinct contexts of a range in order, and the nodes and log-odds of each."""
+
+    def __init__(self, at: np.ndarray, n: np.ndarray, code: Code):
+        self.key, symbols = _runs(at >> np.uint64(8))
+        row = np.repeat(np.arange(len(self.key)), symbols)
+        cut = np.searchsorted(row, np.arange(0, len(self.key), DENSE)).tolist()
+        parts = [code.odds(row[low:high], (at[low:high] & np.uint64(255)).astype(np.int64), n[low:high])
+                 for low, high in zip(cut, [*cut[1:], len(row)], strict=False)]  # none of no contexts
+        none = np.zeros(0, dtype=np.int64)
+        row, node, self.odds = (np.concatenate(x) for x in zip(*parts, (none, none, none.astype(np.int8)), strict=True))
+        self.at = np.searchsorted(row, np.arange(len(self.key) + 1))
+        self.node = node.astype(np.uint8)
+
+
+def _ranges(total: int) -> int:
+    return max(8, -(-total // RANGE_BYTES))
+
+
+def _packs(docs: DataFrame, text: str, symbol: np.ndarray, ranges: int) -> DataFrame:
+    """The packs of training texts."""
+    named = docs.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(False).alias("held_out"), F.col(text).alias("text"))
+    return _shards(named, symbol, ranges).where(F.col("kind") < TOKEN).drop("doc_id", "held_out", "text")
+
+
+def count_contexts(docs: DataFrame, text: str, symbol: np.ndarray, ranges: int = 8) -> DataFrame:
+    """kind, key and ``next`` (symbol, n): how often each symbol follows a context."""
+    def add(group: pa.Table) -> pa.Table:
+        _, (at, n) = _added(group)
+        return pa.table([group["kind"].take(pa.array(np.zeros(len(at), dtype=np.int64))), pa.array((at >> np.uint64(8)).astype(np.int64)),
+                         pa.array((at & np.uint64(255)).astype(np.int32)), pa.array(n)], names=["kind", "key", "symbol", "n"])
+
+    added = _packs(docs, text, symbol, ranges).groupBy("kind", "range").applyInArrow(add, "kind int, key bigint, symbol int, n bigint")
+    return added.groupBy("kind", "key").agg(F.collect_list(F.struct("symbol", "n")).alias("next"))
 
 
 def _binary(at: np.ndarray, data: np.ndarray) -> pa.Array:
@@ -233,26 +339,51 @@ def _binary(at: np.ndarray, data: np.ndarray) -> pa.Array:
 
 def train(docs: DataFrame, text: str) -> tuple[Code, DataFrame]:
     """The code, and the model: kind, key, and the nodes whose log-odds aren't 0 with these, a byte each."""
-    code = Code(count_bytes(docs, text))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 2048):
-                rows = batch.slice(low, 2048)
-                listed = rows.column(2)
-                of = np.repeat(np.arange(rows.num_rows), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
-                flat = listed.flatten()
-                counts = np.zeros((rows.num_rows, SYMBOLS))
-                counts[of, flat.field("symbol").to_numpy(zero_copy_only=False)] = flat.field("n").to_numpy(zero_copy_only=False)
-                stretched = code.stretch(counts)
-                row, node = np.nonzero(stretched)
-                at = np.searchsorted(row, np.arange(rows.num_rows + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), _binary(at, node.astype(np.uint8)), _binary(at, stretched[row, node])],
-                    names=["kind", "key", "nodes", "odds"])
-
-    rows = count_contexts(docs, text, code.symbol).select("kind", "key", "next")
-    return code, written(rows.mapInArrow(run, "kind int, key bigint, nodes binary, odds binary"), "model")
+    counts = count_bytes(docs, text)
+    code = Code(counts)
+
+    def model(group: pa.Table) -> pa.Table:
+        known = Known(*_added(group)[1], code)
+        return pa.table([group["kind"].take(pa.array(np.zeros(len(known.key), dtype=np.int64))), pa.array(known.key.astype(np.int64)),
+                         _binary(known.at, known.node), _binary(known.at, known.odds)], names=["kind", "key", "nodes", "odds"])
+
+    packs = _packs(docs, text, code.symbol, _ranges(int(counts.sum())))
+    rows = packs.groupBy("kind", "range").applyInArrow(model, "kind int, key bigint, nodes binary, odds binary")
+    return code, written(rows, "model")
+
+
+#: What a range's task answers to a shard: packs of the keys, and of the sizes (counts, for tokens), nodes and log-odds of each.
+ANSWER = T.StructType([
+    T.StructField("shard", T.StringType()), T.StructField("kind", T.IntegerType()), T.StructField("n", T.LongType()),
+    T.StructField("keys", T.BinaryType()), T.StructField("sizes", T.BinaryType()), T.StructField("n_nodes", T.LongType()),
+    T.StructField("nodes", T.BinaryType()), T.StructField("odds", T.BinaryType())])
+
+
+def _answers(group: pa.Table, code: Code) -> pa.Table:
+    """An answer to each shard of one kind and range; for tokens, one to no shard with the number of distinct training tokens."""
+    parts, (at, n) = _added(group)
+    kind = group["kind"][0].as_py()
+    known = None if kind == TOKEN else Known(at, n, code)
+    model = at if known is None else known.key
+    rows = [] if known is not None else [(None, kind, len(at), None, None, 0, None, None)]
+    for (mine, _), r in zip(parts, group.select(["shard", "n_others", "others"]).to_pylist(), strict=True):
+        mine = mine if known is None else _runs(mine >> np.uint64(8))[0]
+        key = np.sort(np.concatenate([mine, _unpack(r["others"], r["n_others"], True)]))
+        have = np.searchsorted(model, key)
+        hit = have < len(model)
+        hit[hit] = model[have[hit]] == key[hit]
+        if known is None:
+            count = np.zeros(len(key), dtype=np.int64)
+            count[hit] = n[have[hit]]
+            rows.append((r["shard"], kind, len(key), _pack(key, True), _pack(count), 0, None, None))
+            continue
+        key, have = key[hit], have[hit]
+        step, _ = expand(known.at[have], known.at[have + 1])
+        rows.append((r["shard"], kind, len(key), _pack(key, True), _pack(known.at[have + 1] - known.at[have]), len(step),
+                     pa.compress(known.node[step].tobytes(), codec="zstd", asbytes=True),
+                     pa.compress(known.odds[step].tobytes(), codec="zstd", asbytes=True)))
+    arrow = to_arrow_schema(ANSWER)
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
 
 class Rows:
@@ -266,6 +397,27 @@ class Rows:
         _, odds = self._bytes(known["odds"], order)
         self.node, self.odds = nodes, odds.view(np.int8)
 
+    @classmethod
+    def of(cls, answers: list[dict]) -> Rows:
+        """The rows of one shard's answers of one kind."""
+        def joined(parts: list, dtype: type) -> np.ndarray:
+            return np.concatenate([np.zeros(0, dtype=dtype), *parts])
+
+        def plain(name: str, dtype: type) -> np.ndarray:
+            return joined([np.frombuffer(pa.decompress(a[name], decompressed_size=a["n_nodes"], codec="zstd"), dtype=dtype)
+                           for a in answers], dtype)
+
+        key = joined([_unpack(a["keys"], a["n"], True) for a in answers], np.uint64).astype(np.int64)
+        size = joined([_unpack(a["sizes"], a["n"]) for a in answers], np.uint64).astype(np.int64)
+        order = np.argsort(key)
+        end = np.cumsum(size)
+        step, _ = expand((end - size)[order], end[order])
+        out = cls.__new__(cls)
+        out.key = key[order]
+        out.at = np.append(0, np.cumsum(size[order]))
+        out.node, out.odds = plain("nodes", np.uint8)[step], plain("odds", np.int8)[step]
+        return out
+
     @staticmethod
     def _bytes(column: pa.ChunkedArray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(order):
@@ -369,58 +521,7 @@ def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
     row, start, end = block.runs(NOT_SPACE[block.buf])
     hashes = np.full(len(row) + block.n, END, dtype=np.uint64)
     hashes[np.arange(len(row)) + row] = block.hashes(start, end)
-    return hashes.view(np.int64), np.bincount(row, minlength=block.n) + 1
-
-
-def _shards(docs: DataFrame) -> DataFrame:
-    """A row for each text, and one for each shard's distinct keys of each kind (with the training counts of tokens)."""
-    schema = T.StructType([
-        T.StructField("shard", T.StringType()), *(T.StructField(c, docs.schema[c].dataType) for c in ("doc_id", "held_out", "text")),
-        T.StructField("kind", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType())),
-        T.StructField("trained", T.ArrayType(T.LongType()))])
-    arrow = to_arrow_schema(schema)
-
-    def flush(texts: list, keys: list[list], trained: list) -> Iterator[pa.RecordBatch]:
-        shard = uuid.uuid4().hex  # the rows are written once, so a repeated task's name doesn't matter
-        for rows in texts:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard] * rows.num_rows), *rows.columns, *(pa.nulls(rows.num_rows, arrow.field(i).type) for i in range(4, 7))],
-                names=arrow.names)
-        for kind, parts in enumerate(keys):
-            distinct, counts = np.unique(np.concatenate(parts)), None
-            if kind == TOKEN:
-                learned, n = np.unique(np.concatenate(trained), return_counts=True)
-                counts = np.zeros(len(distinct), dtype=np.int64)
-                counts[np.searchsorted(distinct, learned)] = n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard]), *(pa.nulls(1, arrow.field(i).type) for i in range(1, 4)), pa.array([kind], pa.int32()),
-                 pa.array([distinct], arrow.field(5).type), pa.array([counts], arrow.field(6).type)], names=arrow.names)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts: list = []
-        keys: list[list] = [[] for _ in range(TOKEN + 1)]
-        trained: list = []
-        tokens = n_contexts = n_bytes = 0
-        for block in blocks(batches, "text", lower=True):
-            flat, begin, size = layout(block)
-            place = _coded(begin, size)
-            for kind, context in enumerate(contexts(flat)):
-                keys[kind].append(np.unique(context[place]).astype(np.int64))
-                n_contexts += len(keys[kind][-1])
-            hashes, n = _tokens(block)
-            keys[TOKEN].append(hashes)
-            trained.append(hashes[np.repeat(~block.rows.column(1).to_numpy(zero_copy_only=False), n)])
-            texts.append(block.rows)
-            tokens += len(hashes)
-            n_bytes += len(block.buf)
-            if tokens >= SHARD_TOKENS or n_contexts >= SHARD_CONTEXTS or n_bytes >= SHARD_BYTES:
-                yield from flush(texts, keys, trained)
-                texts, keys, trained = [], [[] for _ in range(TOKEN + 1)], []
-                tokens = n_contexts = n_bytes = 0
-        if texts:
-            yield from flush(texts, keys, trained)
-
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
+    return hashes, np.bincount(row, minlength=block.n) + 1
 
 
 def _score_shard(texts: pa.Table, known: pa.Table, code: Code, schema: pa.Schema) -> pa.Table:
@@ -428,10 +529,13 @@ def _score_shard(texts: pa.Table, known: pa.Table, code: Code, schema: pa.Schema
     if not texts.num_rows:
         return schema.empty_table()
     total, kinds = texts["train_tokens"][0].as_py(), texts["kinds"][0].as_py()
-    of_kind = [known.filter(pc.equal(known["kind"], kind)) for kind in range(TOKEN + 1)]
-    model = code, [Rows(rows) for rows in of_kind[:TOKEN]]
-    tokens = of_kind[TOKEN].sort_by("key")
-    token, counts = tokens["key"].to_numpy(), tokens["n"].to_numpy()
+    answers = known.to_pylist()
+    of_kind = [[a for a in answers if a["kind"] == kind] for kind in range(TOKEN + 1)]
+    model = code, [Rows.of(rows) for rows in of_kind[:TOKEN]]
+    token = np.concatenate([_unpack(a["keys"], a["n"], True) for a in of_kind[TOKEN]])
+    counts = np.concatenate([_unpack(a["sizes"], a["n"]) for a in of_kind[TOKEN]]).astype(np.int64)
+    order = np.argsort(token)
+    token, counts = token[order], counts[order]
     logs = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
     out = [schema.empty_table()]
     length = pc.fill_null(pc.binary_length(texts["text"]), 0).to_numpy()
@@ -450,22 +554,34 @@ def _score_shard(texts: pa.Table, known: pa.Table, code: Code, schema: pa.Schema
     return pa.concat_tables(out)
 
 
+def _n_tokens(shards: DataFrame) -> int:
+    """All training tokens."""
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = sum(int(_unpack(r["counts"], r["n_keys"]).sum()) for batch in batches for r in batch.to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    packs = shards.where(F.col("kind") == TOKEN).select("n_keys", "counts")
+    return packs.mapInArrow(add, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of every row."""
     named = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
-    code, model = train(named.where(~F.col("held_out")), "text")
-    shards = written(_shards(named), "shards")
-    tokens = shards.where(F.col("kind") == TOKEN).select("shard", F.explode(F.arrays_zip("keys", "trained")).alias("of"))
-    tokens = tokens.select("shard", F.col("of.keys").alias("key"), "of.trained")
-    counts = written(tokens.groupBy("key").agg(F.sum("trained").alias("n")), "counts")
-    total, kinds = counts.where("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
-    keys = shards.where(F.col("kind") < TOKEN).select("shard", "kind", F.explode("keys").alias("key"))
-    none = F.lit(None)
-    known = keys.join(model, ["kind", "key"]).select("shard", "kind", "key", "nodes", "odds", none.cast("bigint").alias("n"))
-    known = known.unionByName(tokens.join(counts, "key").select(
-        "shard", F.lit(TOKEN).alias("kind"), "key", none.cast("binary").alias("nodes"), none.cast("binary").alias("odds"), "n"))
+    seen = count_bytes(named.where(~F.col("held_out")), "text")
+    code = Code(seen)
+    shards = written(_shards(named, code.symbol, _ranges(int(seen.sum()))), "shards")
+    packs = shards.where("kind is not null").drop("doc_id", "held_out", "text")
+
+    def answer(group: pa.Table) -> pa.Table:
+        return _answers(group, code)
+
+    tokens = written(packs.where(F.col("kind") == TOKEN).groupBy("kind", "range").applyInArrow(answer, ANSWER), "tokens")
+    kinds = tokens.where("shard is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total = _n_tokens(shards)
+    known = packs.where(F.col("kind") < TOKEN).groupBy("kind", "range").applyInArrow(answer, ANSWER)
+    known = known.union(tokens.where("shard is not null"))
     texts = shards.where("kind is null").select(F.col("shard").alias("shard"), "doc_id", "held_out", "text").withColumns(
-        {"train_tokens": F.lit(int(total or 0)).cast("bigint"), "kinds": F.lit(int(kinds)).cast("bigint")})
+        {"train_tokens": F.lit(total).cast("bigint"), "kinds": F.lit(int(kinds)).cast("bigint")})
     out = T.StructType([
         T.StructField("doc_id", named.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
         *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")),

@@ -154,3 +154,62 @@ def test_long_texts_adapt_at_one_rate():
             w = w - lm_score.RATE * (wrong / (1 + wrong) * sign) @ part
     assert len(x) > 256 * lm_score.STEP
     assert np.isclose(lm_score.score_block(block, (code, tables))[0], total, rtol=1e-4)
+
+
+def test_scores_by_plain_counting(spark):
+    """The whole query's scores against counts in dictionaries and a bit-by-bit mixer, in several shards and ranges."""
+    rng = np.random.default_rng(11)
+    words = ["alpha", "Beta", "gam", "d", "été", "x1", "alphabet"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 60)))) for i in range(60)] + [(None, "no id alpha"), (61, None), (62, "")]
+    got = {r.doc_id: r.score for r in lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    raw = {d: plain(t).encode() for d, t in rows}
+    learn = [t for d, t in raw.items() if d is None or zlib.crc32(str(d).encode()) % 5 != 1]
+
+    def before(t, i):
+        start = max([t.rfind(bytes([c]), 0, i) for c in b" \t\n\x0b\x0c\r"]) + 1
+        padded = b"\0" * 4 + t
+        return padded[i + 1:i + 4], padded[i:i + 4], t[start:i]
+
+    count = [{}, {}, {}]
+    for t in learn:
+        for i, b in enumerate(t + b"\0"):
+            for table, c in zip(count, before(t, i), strict=True):
+                table.setdefault(c, Counter())[b] += 1
+    code = lm_score.Code(np.array([sum((t + b"\0").count(b) for t in learn) for b in range(256)]))
+    ways = [list(zip(code.node[a:b].tolist(), code.sign[a:b].tolist(), strict=True)) for a, b in zip(code.at, code.at[1:], strict=False)]
+
+    def odds(seen, node):
+        zero = sum(n for b, n in seen.items() if (node, 1) in ways[b])
+        one = sum(n for b, n in seen.items() if (node, -1) in ways[b])
+        return max(-127, min(127, round(math.log((one + 0.4) / (zero + 0.4)) * lm_score.SCALE))) / lm_score.SCALE
+
+    for d, t in raw.items():
+        bits = ([], [])
+        for i, b in enumerate(t + b"\0"):
+            found = [table.get(c, {}) for table, c in zip(count, before(t, i), strict=True)]
+            gate = int(i > 0 and t[i - 1] not in b" \t\n\x0b\x0c\r")
+            bits[gate].extend(([odds(f, node) for f in found] + [1], sign) for node, sign in ways[b])
+        total = 0
+        for stream in bits:
+            w = np.array([lm_score.START] * 3 + [0])
+            for low in range(0, len(stream), lm_score.STEP):
+                step = np.zeros(4)
+                for x, sign in stream[low:low + lm_score.STEP]:
+                    wrong = math.exp(max(-12, min(12, float(np.dot(x, w)) * sign)))
+                    total += math.log10(1 + wrong)
+                    step += wrong / (1 + wrong) * sign * np.array(x)
+                w = w - lm_score.RATE * step
+        assert math.isclose(got[d], -total, rel_tol=1e-4), d
+
+
+def test_nothing_to_learn_from(spark):
+    """Only held-out texts: no context is known, and the baseline has no counts."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1]
+    got = lm_score.score(spark.createDataFrame([(i, f"text {i} of none") for i in ids], "doc_id long, text string")).collect()
+    assert len(got) == len(ids) and all(r.held_out and r.n_known == 0 and r.train_tokens == 0 and r.score < 0 for r in got)
+
+
+def test_packs_and_unpacks():
+    for x in (np.zeros(0, dtype=np.uint64), np.array([5, 5, 7, 2 ** 64 - 1], dtype=np.uint64), np.arange(9, dtype=np.uint64) << np.uint64(40)):
+        assert lm_score._unpack(lm_score._pack(x, True), len(x), True).tolist() == x.tolist()
+        assert lm_score._unpack(lm_score._pack(x[::-1]), len(x)).tolist() == x[::-1].tolist()
