@@ -32,6 +32,7 @@ it adapts; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import uuid
 from collections.abc import Iterable, Iterator
@@ -50,11 +51,14 @@ from marketlens.llm.textbatch import NOT_SPACE, Block, blocks, mix
 
 CONTEXTS = ("last3", "last4", "word")
 TOKEN = len(CONTEXTS)  # the kind of a shard's tokens, beside those of contexts
+HASHED = {2: 56, TOKEN: 64}  # kinds whose keys are hashes, and their bits
 SLOT_BITS = (15, 17, 18)  # slots of each kind in a plain table of hashed contexts, which scoring takes also
 SYMBOLS = 256  # every byte; their code's tree has 255 nodes
 RANGE_BYTES = 32 << 20  # training text for each range of contexts
-DENSE = 1 << 16  # contexts whose predictors are spread out at a time
+DENSE = 1 << 18  # contexts whose predictors are spread out at a time
+SPREAD = 1 << 16  # contexts whose counts become log-odds at a time
 STEP = 128
+POWERS = 1 << 21  # kept for blocks below this size
 RATE, START, SCALE = 0.006, 0.4, 16
 SHARD_KEYS = 6 << 20  # counted keys and others, before those of a shard's blocks are merged
 SHARD_BYTES = 32 << 20
@@ -106,7 +110,7 @@ class Code:
         byte = self.byte[symbol]
         step, of = expand(self.at[byte], self.at[byte + 1])
         at = row[of] * SYMBOLS + self.node[step]
-        order = np.argsort(at, kind="stable")
+        order = np.argsort(at)
         at, n = at[order], n[of][order]
         zero = np.where(self.sign[step][order] > 0, n, 0)
         edge = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
@@ -140,6 +144,13 @@ def layout(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, begin, size + 1
 
 
+@functools.lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse."""
+    odd = 0x9E3779B97F4A7C15
+    return tuple(np.cumprod(np.full(n, x, dtype=np.uint64)) for x in (odd, pow(odd, -1, 1 << 64)))
+
+
 def contexts(flat: np.ndarray) -> list[np.ndarray]:
     """For each kind, the context before each place: the bytes themselves, or 56 bits of the word's hash."""
     wide = flat.astype(np.uint64)
@@ -152,11 +163,9 @@ def contexts(flat: np.ndarray) -> list[np.ndarray]:
     inside = NOT_SPACE[flat] & (flat != 0)
     place = np.arange(len(flat))
     since = np.maximum.accumulate(np.where(inside, -1, place))
-    power = np.cumprod(np.full(len(flat) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
+    power, back = _powers(POWERS) if len(flat) < POWERS else _powers.__wrapped__(len(flat) + 1)
     total = np.zeros(len(flat) + 1, dtype=np.uint64)
-    np.cumsum((wide + np.uint64(1)) * power[:-1], out=total[1:])
-    inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-    back = np.cumprod(np.full(len(flat) + 1, inverse, dtype=np.uint64))
+    np.cumsum((wide + np.uint64(1)) * power[:len(flat)], out=total[1:])
     first = np.zeros(len(flat), dtype=np.int64)  # start of the word that the place before belongs to
     first[1:] = since[:-1] + 1
     word = (total[place] - total[first]) * back[first] + (place - first).astype(np.uint64)
@@ -211,9 +220,11 @@ def _unpack(data: bytes, n: int, ordered: bool = False) -> np.ndarray:
     return np.cumsum(x, dtype=np.uint64) if ordered else x
 
 
-def _by_range(key: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each range that has keys, and their indexes in order."""
-    of = (mix(key) >> np.uint64(33)) % np.uint64(ranges)
+def _by_range(key: np.ndarray, kind: int, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each range that has keys, and their indexes in order; keys that are hashes are cut by their first bits."""
+    bits = HASHED.get(kind)
+    head = mix(key) >> np.uint64(33) if bits is None else key >> np.uint64(bits - 31)
+    of = head * np.uint64(ranges) >> np.uint64(31)
     order = np.argsort(of, kind="stable")
     first, n = _runs(of[order])
     for r, high, size in zip(first.tolist(), np.cumsum(n).tolist(), n.tolist(), strict=True):
@@ -227,34 +238,38 @@ def _one_shard(held: dict[int, list], more: dict[int, list], ranges: int) -> Ite
         at, n = _merged(parts)
         others = np.unique(np.concatenate(more[kind]))
         others = others[~np.isin(others, at >> shift)]
-        of_range = {r: [i, others[:0]] for r, i in _by_range(at >> shift, ranges)}
-        for r, i in _by_range(others, ranges):
+        of_range = {r: [i, others[:0]] for r, i in _by_range(at >> shift, kind, ranges)}
+        for r, i in _by_range(others, kind, ranges):
             of_range.setdefault(r, [slice(0), others[:0]])[1] = others[i]
         for r, (i, rest) in of_range.items():
             yield (kind, r, len(at[i]), _pack(at[i], True), _pack(n[i]), len(rest), _pack(rest, True))
 
 
+def _closed(rows: pa.RecordBatch) -> bytes:
+    """The rows, compressed."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def _shards(docs: DataFrame, symbol: np.ndarray, ranges: int) -> DataFrame:
-    """A row for each text (``kind`` is null), and one for each shard, kind and range of keys.
+    """A row for each block of whole texts (``kind`` is null; compressed), and one for each shard, kind and range of keys.
 
     ``keys`` are the training texts' (context * 256 + next symbol), or the hashes of their tokens, with ``counts``;
     ``others`` are the contexts, or tokens, that only the shard's other texts have.
     """
     schema = T.StructType([
-        T.StructField("shard", T.StringType()), *(T.StructField(c, docs.schema[c].dataType) for c in ("doc_id", "held_out", "text")),
-        T.StructField("kind", T.IntegerType()), T.StructField("range", T.IntegerType()),
+        T.StructField("shard", T.StringType()), T.StructField("texts", T.BinaryType()), T.StructField("kind", T.IntegerType()), T.StructField("range", T.IntegerType()),
         *(T.StructField(c, T.LongType() if c[0] == "n" else T.BinaryType()) for c in ("n_keys", "keys", "counts", "n_others", "others"))])
     arrow = to_arrow_schema(schema)
 
     def flush(texts: list, held: dict[int, list], more: dict[int, list]) -> Iterator[pa.RecordBatch]:
         shard = uuid.uuid4().hex  # the rows are written once, so a repeated task's name doesn't matter
-        for rows in texts:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard] * rows.num_rows), *rows.columns, *(pa.nulls(rows.num_rows, f.type) for f in list(arrow)[4:])],
-                names=arrow.names)
-        for row in _one_shard(held, more, ranges):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([v], f.type) for v, f in zip((shard, None, None, None, *row), arrow, strict=True)], names=arrow.names)
+        every = [(shard, rows, *[None] * (len(arrow) - 2)) for rows in texts]
+        every.extend((shard, None, *row) for row in _one_shard(held, more, ranges))
+        for row in every:
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], names=arrow.names)
 
     def empty() -> tuple[list, dict[int, list], dict[int, list], int]:
         return [], {k: [] for k in range(TOKEN + 1)}, {k: [] for k in range(TOKEN + 1)}, 0
@@ -277,7 +292,7 @@ def _shards(docs: DataFrame, symbol: np.ndarray, ranges: int) -> DataFrame:
             held[TOKEN].append(_runs(np.sort(hashes[learn])))
             more[TOKEN].append(np.unique(hashes[~learn]))
             size += len(held[TOKEN][-1][0]) + len(more[TOKEN][-1])
-            texts.append(block.rows)
+            texts.append(_closed(block.rows))
             n_bytes += len(block.buf)
             if size >= SHARD_KEYS or n_bytes >= SHARD_BYTES:
                 yield from flush(texts, held, more)
@@ -302,7 +317,7 @@ class Known:
     def __init__(self, at: np.ndarray, n: np.ndarray, code: Code):
         self.key, symbols = _runs(at >> np.uint64(8))
         row = np.repeat(np.arange(len(self.key)), symbols)
-        cut = np.searchsorted(row, np.arange(0, len(self.key), DENSE)).tolist()
+        cut = np.searchsorted(row, np.arange(0, len(self.key), SPREAD)).tolist()
         parts = [code.odds(row[low:high], (at[low:high] & np.uint64(255)).astype(np.int64), n[low:high])
                  for low, high in zip(cut, [*cut[1:], len(row)], strict=False)]  # none of no contexts
         none = np.zeros(0, dtype=np.int64)
@@ -318,7 +333,7 @@ def _ranges(total: int) -> int:
 def _packs(docs: DataFrame, text: str, symbol: np.ndarray, ranges: int) -> DataFrame:
     """The packs of training texts."""
     named = docs.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(False).alias("held_out"), F.col(text).alias("text"))
-    return _shards(named, symbol, ranges).where(F.col("kind") < TOKEN).drop("doc_id", "held_out", "text")
+    return _shards(named, symbol, ranges).where(F.col("kind") < TOKEN).drop("texts")
 
 
 def count_contexts(docs: DataFrame, text: str, symbol: np.ndarray, ranges: int = 8) -> DataFrame:
@@ -352,40 +367,45 @@ def train(docs: DataFrame, text: str) -> tuple[Code, DataFrame]:
     return code, written(rows, "model")
 
 
-#: What a range's task answers to a shard: packs of the keys, and of the sizes (counts, for tokens), nodes and log-odds of each.
+#: What a range's task answers to a shard: packs of the (context * 256 + next symbol), or tokens, and their counts.
 ANSWER = T.StructType([
     T.StructField("shard", T.StringType()), T.StructField("kind", T.IntegerType()), T.StructField("n", T.LongType()),
-    T.StructField("keys", T.BinaryType()), T.StructField("sizes", T.BinaryType()), T.StructField("n_nodes", T.LongType()),
-    T.StructField("nodes", T.BinaryType()), T.StructField("odds", T.BinaryType())])
+    T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
 
-def _answers(group: pa.Table, code: Code) -> pa.Table:
+def _answers(group: pa.Table) -> pa.Table:
     """An answer to each shard of one kind and range; for tokens, one to no shard with the number of distinct training tokens."""
     parts, (at, n) = _added(group)
     kind = group["kind"][0].as_py()
-    known = None if kind == TOKEN else Known(at, n, code)
-    model = at if known is None else known.key
-    rows = [] if known is not None else [(None, kind, len(at), None, None, 0, None, None)]
+    shift = np.uint64(0 if kind == TOKEN else 8)
+    model, sizes = _runs(at >> shift)
+    end = np.cumsum(sizes)
+    rows = [(None, kind, len(at), None, None)] if kind == TOKEN else []
     for (mine, _), r in zip(parts, group.select(["shard", "n_others", "others"]).to_pylist(), strict=True):
-        mine = mine if known is None else _runs(mine >> np.uint64(8))[0]
-        key = np.sort(np.concatenate([mine, _unpack(r["others"], r["n_others"], True)]))
+        key = np.sort(np.concatenate([_runs(mine >> shift)[0], _unpack(r["others"], r["n_others"], True)]))
         have = np.searchsorted(model, key)
         hit = have < len(model)
         hit[hit] = model[have[hit]] == key[hit]
-        if known is None:
-            count = np.zeros(len(key), dtype=np.int64)
-            count[hit] = n[have[hit]]
-            rows.append((r["shard"], kind, len(key), _pack(key, True), _pack(count), 0, None, None))
-            continue
-        key, have = key[hit], have[hit]
-        step, _ = expand(known.at[have], known.at[have + 1])
-        rows.append((r["shard"], kind, len(key), _pack(key, True), _pack(known.at[have + 1] - known.at[have]), len(step),
-                     pa.compress(known.node[step].tobytes(), codec="zstd", asbytes=True),
-                     pa.compress(known.odds[step].tobytes(), codec="zstd", asbytes=True)))
+        have = have[hit]
+        step, _ = expand(end[have] - sizes[have], end[have])
+        pairs, counts = at[step], n[step]
+        if kind == TOKEN and not hit.all():  # the scores need unknown tokens, too
+            order = np.argsort(np.concatenate([pairs, key[~hit]]))
+            pairs = np.concatenate([pairs, key[~hit]])[order]
+            counts = np.concatenate([counts, np.zeros(len(order) - len(counts), dtype=np.int64)])[order]
+        rows.append((r["shard"], kind, len(pairs), _pack(pairs, True), _pack(counts)))
     arrow = to_arrow_schema(ANSWER)
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
 
+def _opened(answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of one shard and kind, in order, and their counts."""
+    at = np.concatenate([np.zeros(0, dtype=np.uint64), *(_unpack(a["keys"], a["n"], True) for a in answers)])
+    n = np.concatenate([np.zeros(0, dtype=np.int64), *(_unpack(a["counts"], a["n"]).astype(np.int64) for a in answers)])
+    order = np.argsort(at)
+    return at[order], n[order]
+
+
 class Rows:
     """What is known of one kind of contexts: the contexts in order, and the nodes and log-odds of each."""
 
@@ -398,24 +418,9 @@ class Rows:
         self.node, self.odds = nodes, odds.view(np.int8)
 
     @classmethod
-    def of(cls, answers: list[dict]) -> Rows:
-        """The rows of one shard's answers of one kind."""
-        def joined(parts: list, dtype: type) -> np.ndarray:
-            return np.concatenate([np.zeros(0, dtype=dtype), *parts])
-
-        def plain(name: str, dtype: type) -> np.ndarray:
-            return joined([np.frombuffer(pa.decompress(a[name], decompressed_size=a["n_nodes"], codec="zstd"), dtype=dtype)
-                           for a in answers], dtype)
-
-        key = joined([_unpack(a["keys"], a["n"], True) for a in answers], np.uint64).astype(np.int64)
-        size = joined([_unpack(a["sizes"], a["n"]) for a in answers], np.uint64).astype(np.int64)
-        order = np.argsort(key)
-        end = np.cumsum(size)
-        step, _ = expand((end - size)[order], end[order])
+    def of(cls, known: Known) -> Rows:
         out = cls.__new__(cls)
-        out.key = key[order]
-        out.at = np.append(0, np.cumsum(size[order]))
-        out.node, out.odds = plain("nodes", np.uint8)[step], plain("odds", np.int8)[step]
+        out.key, out.at, out.node, out.odds = known.key.astype(np.int64), known.at, known.node, known.odds
         return out
 
     @staticmethod
@@ -427,33 +432,38 @@ class Rows:
         at = np.frombuffer(at, dtype=np.int64)[cells.offset:cells.offset + len(cells) + 1]
         return at, np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
 
-    def predictors(self, context: np.ndarray, node: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    def predictors(self, context: np.ndarray, node: np.ndarray, bits: np.ndarray, of: np.ndarray | None = None) -> np.ndarray:
         """The log-odds at each bit's node after its place's context; 0 for contexts never read."""
-        coded = pa.array(context.astype(np.int64)).dictionary_encode()
-        distinct = coded.dictionary.to_numpy()
-        of = np.repeat(coded.indices.to_numpy().astype(np.int64), bits)
-        out = np.zeros(len(node), dtype=np.int8)
         if not len(self.key):
-            return out
+            return np.zeros(len(node), dtype=np.int8)
+        coded = pa.array(context.view(np.int64)).dictionary_encode()
+        distinct = coded.dictionary.to_numpy()
+        number = coded.indices.to_numpy().astype(np.int64)
+        of = np.repeat(np.arange(len(number)), bits) if of is None else of  # each bit's place
         have = np.minimum(np.searchsorted(self.key, distinct), len(self.key) - 1)
         hit = self.key[have] == distinct
-        order = np.argsort(of, kind="stable") if len(distinct) > DENSE else None
+        out = None
         for low in range(0, len(distinct), DENSE):
             found = np.flatnonzero(hit[low:low + DENSE])
             source = have[low + found]
             step, row = expand(self.at[source], self.at[source + 1])
-            dense = np.zeros(min(DENSE, len(distinct) - low) * SYMBOLS, dtype=np.int8)
+            dense = np.zeros((min(DENSE, len(distinct) - low) + 1) * SYMBOLS, dtype=np.int8)  # the last row: other contexts'
             dense[found[row] * SYMBOLS + self.node[step]] = self.odds[step]
-            if order is None:
-                return dense.take(of * SYMBOLS + node)
-            mine = order[slice(*np.searchsorted(of, [low, low + DENSE], sorter=order))]
-            out[mine] = dense.take((of[mine] - low) * SYMBOLS + node[mine])
+            mine = number - low
+            if len(distinct) > DENSE:
+                mine[(mine < 0) | (mine >= DENSE)] = len(dense) // SYMBOLS - 1
+            mine *= SYMBOLS
+            at = mine.take(of)
+            at += node
+            part = dense.take(at)
+            out = part if out is None else out + part
         return out
 
 
-def _predictors(table: Rows | np.ndarray, context: np.ndarray, node: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def _predictors(table: Rows | np.ndarray, context: np.ndarray, node: np.ndarray, bits: np.ndarray,
+                of: np.ndarray | None = None) -> np.ndarray:
     if isinstance(table, Rows):
-        return table.predictors(context, node, bits)
+        return table.predictors(context, node, bits, of)
     slot = mix(context) >> np.uint64(65 - (len(table) // SYMBOLS).bit_length())
     return table.take(np.repeat(slot.astype(np.int64) * SYMBOLS, bits) + node)
 
@@ -472,16 +482,17 @@ def score_block(block: Block, model: tuple[Code, list[Rows | np.ndarray]], rate:
     order = np.argsort(stream.astype(np.int32), kind="stable")
     place = place[order]
     byte = flat[place]
-    step, _ = expand(code.at[byte], code.at[byte + 1])
+    step, of = expand(code.at[byte], code.at[byte + 1])
     node, bits = code.node[step], (code.at[1:] - code.at[:-1])[byte]
     k = len(tables) + 1
-    # eight small numbers for each bit, moved as one: the inputs, a constant, zeros and the sign
-    inputs = np.zeros((len(step), 8), dtype=np.int8)
+    # four (or eight) small numbers for each bit, moved as one: the inputs and a constant, by the bit's sign
+    sign = code.sign[step]
+    width = 4 if k <= 4 else 8
+    inputs = np.zeros((len(step) + STEP, width), dtype=np.int8)
     for i, (table, context) in enumerate(zip(tables, contexts(flat), strict=True)):
-        inputs[:, i] = _predictors(table, context[place], node, bits)
-    inputs[:, k - 1] = SCALE
-    inputs[:, 7] = code.sign[step]
-    packed = inputs.view(np.uint64)[:, 0]
+        inputs[:len(step), i] = _predictors(table, context[place], node, bits, of) * sign
+    inputs[:len(step), k - 1] = SCALE * sign
+    packed = np.lib.stride_tricks.sliding_window_view(inputs.view(np.uint32 if width == 4 else np.uint64)[:, 0], STEP)
     length = np.bincount(stream, weights=(code.at[flat + 1] - code.at[flat])[_coded(begin, size)],
                          minlength=2 * block.n).astype(np.int64)
     first = np.cumsum(length) - length
@@ -490,26 +501,25 @@ def score_block(block: Block, model: tuple[Code, list[Rows | np.ndarray]], rate:
     weights = np.full((len(first), k), start, dtype=np.float32)
     weights[:, -1] = 0
     cost = np.zeros(len(first))
-    scale = np.float32(1 / SCALE)
-    low = 0
+    scale, quarter, spread = np.float32(1 / SCALE), STEP // 4, np.arange(STEP)
+    ends = -length
+    low, n = 0, len(first)
     while low < length[0]:
-        n = int(np.searchsorted(-length, -low))  # streams longer than ``low``
-        spread = np.arange(low, low + STEP)
-        at = first[:n, None] + spread
-        live = spread < length[:n, None]
-        np.minimum(at, len(step) - 1, out=at)
-        small = packed.take(at).view(np.int8).reshape(n, STEP, 8)
-        x = small[:, :, :k] * scale
-        s = small[:, :, 7]
-        margin = np.matmul(x, weights[:n, :, None])[:, :, 0]
-        margin *= s
-        np.clip(margin, -12, 12, out=margin)
-        wrong = np.exp(margin, out=margin)
-        wrong *= live
-        cost[:n] += np.log(1 + wrong).sum(axis=1, dtype=np.float64)
-        error = wrong / (1 + wrong)
-        error *= s
-        weights[:n] -= np.float32(rate) * np.matmul(error[:, None, :], x)[:, 0]
+        n = int(np.searchsorted(ends[:n], -low))  # streams longer than ``low``
+        whole = int(np.searchsorted(ends[:n], -low - STEP, side="right"))  # those that have all bits of this step
+        x = packed[first[:n] + low].view(np.int8).reshape(n, STEP, width)[:, :, :k].astype(np.float32)
+        wrong = np.matmul(x, (weights[:n] * scale)[:, :, None])[:, :, 0]
+        np.clip(wrong, -12, 12, out=wrong)
+        np.exp(wrong, out=wrong)
+        if whole < n:
+            wrong[whole:] *= spread < (length[whole:n] - low)[:, None]
+        both = wrong + np.float32(1)  # at most e^12 + 1, so a product of four is exact enough
+        wrong /= both
+        product = both[:, :quarter] * both[:, quarter:2 * quarter]
+        product *= both[:, 2 * quarter:3 * quarter]
+        product *= both[:, 3 * quarter:]
+        cost[:n] += np.log(product).sum(axis=1, dtype=np.float64)
+        weights[:n] -= np.float32(rate) * scale * np.matmul(wrong[:, None, :], x)[:, 0]
         low += STEP
     total = np.zeros(len(first))
     total[by_length] = cost / np.log(2)
@@ -524,18 +534,15 @@ def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.bincount(row, minlength=block.n) + 1
 
 
-def _score_shard(texts: pa.Table, known: pa.Table, code: Code, schema: pa.Schema) -> pa.Table:
+def _score_shard(packed: pa.Table, known: pa.Table, code: Code, total: int, kinds: int, schema: pa.Schema) -> pa.Table:
     """Scores and baseline scores of one shard's texts, from what is known of its contexts and tokens."""
-    if not texts.num_rows:
+    if not packed.num_rows:
         return schema.empty_table()
-    total, kinds = texts["train_tokens"][0].as_py(), texts["kinds"][0].as_py()
+    texts = pa.concat_tables([pa.ipc.open_stream(rows.as_buffer()).read_all() for rows in packed["texts"]])
     answers = known.to_pylist()
-    of_kind = [[a for a in answers if a["kind"] == kind] for kind in range(TOKEN + 1)]
-    model = code, [Rows.of(rows) for rows in of_kind[:TOKEN]]
-    token = np.concatenate([_unpack(a["keys"], a["n"], True) for a in of_kind[TOKEN]])
-    counts = np.concatenate([_unpack(a["sizes"], a["n"]) for a in of_kind[TOKEN]]).astype(np.int64)
-    order = np.argsort(token)
-    token, counts = token[order], counts[order]
+    of_kind = [_opened([a for a in answers if a["kind"] == kind]) for kind in range(TOKEN + 1)]
+    model = code, [Rows.of(Known(*of_kind[kind], code)) for kind in range(TOKEN)]
+    token, counts = of_kind[TOKEN]
     logs = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
     out = [schema.empty_table()]
     length = pc.fill_null(pc.binary_length(texts["text"]), 0).to_numpy()
@@ -570,18 +577,13 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     seen = count_bytes(named.where(~F.col("held_out")), "text")
     code = Code(seen)
     shards = written(_shards(named, code.symbol, _ranges(int(seen.sum()))), "shards")
-    packs = shards.where("kind is not null").drop("doc_id", "held_out", "text")
-
-    def answer(group: pa.Table) -> pa.Table:
-        return _answers(group, code)
-
-    tokens = written(packs.where(F.col("kind") == TOKEN).groupBy("kind", "range").applyInArrow(answer, ANSWER), "tokens")
+    packs = shards.where("kind is not null").drop("texts")
+    tokens = written(packs.where(F.col("kind") == TOKEN).groupBy("kind", "range").applyInArrow(_answers, ANSWER), "tokens")
     kinds = tokens.where("shard is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     total = _n_tokens(shards)
-    known = packs.where(F.col("kind") < TOKEN).groupBy("kind", "range").applyInArrow(answer, ANSWER)
+    known = packs.where(F.col("kind") < TOKEN).groupBy("kind", "range").applyInArrow(_answers, ANSWER)
     known = known.union(tokens.where("shard is not null"))
-    texts = shards.where("kind is null").select(F.col("shard").alias("shard"), "doc_id", "held_out", "text").withColumns(
-        {"train_tokens": F.lit(total).cast("bigint"), "kinds": F.lit(int(kinds)).cast("bigint")})
+    texts = shards.where("kind is null").select("shard", "texts")
     out = T.StructType([
         T.StructField("doc_id", named.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
         *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")),
@@ -589,6 +591,6 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     arrow = to_arrow_schema(out)
 
     def of_shard(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score_shard(left, right, code, arrow)
+        return _score_shard(left, right, code, total, kinds, arrow)
 
     return texts.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(of_shard, out)
