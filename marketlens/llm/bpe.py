@@ -23,24 +23,26 @@ import base64
 import heapq
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.llm.decontaminate import expand
-from marketlens.llm.textbatch import blocks
+from marketlens.llm.textbatch import blocks, give_back
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 REPLAY_BYTES = 1 << 20  # of new words, and
 SHARD_BYTES = 4 << 20  # of text: what a replay gathers at most
 CACHE_WORDS = 500_000
+CACHE_PAIRS = 500_000  # merged pairs that are remembered between replays
 MANY = 48  # positions of a rank that are merged as arrays
 
 
@@ -273,21 +275,34 @@ class Encoder:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
+        self.waiting: list[str] = []  # the last words with a number, not replayed yet
         self.ids, self.at = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
-    def learn(self, words: list[str]) -> None:
-        """Adds words that aren't known yet."""
-        ids, at = self.replay.encode([w.encode() for w in words])
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Each word's number; new words get the next ones and wait for the replay."""
+        for word in set(words).difference(self.number):
+            self.number[word] = len(self.number)
+            self.waiting.append(word)
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int32, count=len(words))
+
+    def learn(self) -> None:
+        """Replays the words that wait."""
+        ids, at = self.replay.encode([w.encode() for w in self.waiting])
+        self.waiting.clear()
         self.at = np.concatenate([self.at, at[1:] + self.at[-1]])
         self.ids = np.concatenate([self.ids, ids])
+        if len(self.replay.merged) > CACHE_PAIRS:
+            self.replay.merged.clear()
 
     def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts given as words, and where each text's begin."""
-        every = [w for words in texts for w in words]
-        if new := set(every).difference(self.number):
-            self.learn(list(new))
-        word = np.fromiter(map(self.number.__getitem__, every), dtype=np.int64, count=len(every))
+        numbered = [self.numbers(words) for words in texts]
+        self.learn()
+        return self.look_up(numbered)
+
+    def look_up(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as numbers of replayed words, and where each text's begin."""
+        word = np.concatenate([np.zeros(0, dtype=np.int32), *texts])
         sizes = np.array([len(words) for words in texts], dtype=np.int64)
         low, high = self.at[word], self.at[word + 1]
         total = np.zeros(len(word) + 1, dtype=np.int64)
@@ -301,61 +316,51 @@ def _vocabulary(path: str | None) -> dict[bytes, int]:
     return read_ranks(path or public_tokenizers.path(RANKS))
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None,
-           column: str = "ids") -> DataFrame:
-    """The rows with their whole text's token ids, an array of int."""
-    sent = docs.sparkSession.sparkContext.broadcast((_vocabulary(path), pattern or public_tokenizers.PATTERN))
-    names = [c for c in docs.columns if c != column]
+Pass = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 
+def _encoding(sent: Broadcast, names: list[str], text: str, column: str) -> Pass:
+    """Batches with ``names`` and the ids of their texts; ``sent`` has the ranks and the pattern."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*sent.value)
-        held: list[tuple[pa.RecordBatch, list[list[str]]]] = []
-        unseen: set[str] = set()
+        held: list[tuple[pa.RecordBatch, list[np.ndarray]]] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if unseen:
-                encoder.learn(list(unseen))
+            if encoder.waiting:
+                encoder.learn()
             for rows, texts in held:
-                ids, at = encoder.encode(texts)
+                ids, at = encoder.look_up(texts)
                 listed = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*rows.select(names).columns, listed], names=[*names, column])
             held.clear()
-            unseen.clear()
             if len(encoder.number) > encoder.cache_words:
                 encoder.clear()
+            give_back()
 
         for block in blocks(batches, text):
-            cells = block.rows.column(block.rows.schema.get_field_index(text)).to_pylist()
-            texts = [encoder.find(t) if t else [] for t in cells]
-            held.append((block.rows, texts))
+            cells = block.rows.column(block.rows.schema.get_field_index(text))
+            held.append((block.rows, [encoder.numbers(encoder.find(t.as_py() or "")) for t in cells]))
             size += len(block.buf)
-            for words in texts:
-                unseen.update(set(words).difference(encoder.number))
-            new = sum(map(len, unseen))
-            if new >= REPLAY_BYTES or size >= SHARD_BYTES:
+            if sum(map(len, encoder.waiting)) >= REPLAY_BYTES or size >= SHARD_BYTES:
                 yield from flush()
                 size = 0
         yield from flush()
 
-    return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in names),
-                                              T.StructField(column, T.ArrayType(T.IntegerType()))]))
+    return run
 
 
-def decode(coded: DataFrame, ids: str = "ids", path: str | None = None, column: str = "decoded") -> DataFrame:
-    """The rows with the bytes that their ids stand for; a null list counts as empty, an unknown id is an error."""
-    ranks = _vocabulary(path)
-    tokens = sorted((rank, token) for token, rank in ranks.items())
-    sent = coded.sparkSession.sparkContext.broadcast(tokens)
-    names = [c for c in coded.columns if c != column]
+def _decoding(sent: Broadcast, names: list[str], ids: str, column: str) -> Pass:
+    """Batches with ``names`` and the bytes of their ids; ``sent`` has the ranks first."""
     limit = 1 << 19
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = np.zeros(sent.value[-1][0] + 1, dtype=np.int64)
-        for rank, token in sent.value:
+        tokens = sorted((rank, token) for token, rank in sent.value[0].items())
+        size = np.zeros(tokens[-1][0] + 1, dtype=np.int64)
+        for rank, token in tokens:
             size[rank] = len(token)
         start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(token for _, token in sent.value), dtype=np.uint8)
+        flat = np.frombuffer(b"".join(token for _, token in tokens), dtype=np.uint8)
         for batch in batches:
             row = 0
             lists = batch.column(batch.schema.get_field_index(ids))
@@ -376,7 +381,41 @@ def decode(coded: DataFrame, ids: str = "ids", path: str | None = None, column:
                 yield pa.RecordBatch.from_arrays([*rows.columns, decoded], names=[*names, column])
                 row = stop
 
-    return coded.mapInArrow(run, T.StructType([*(coded.schema[c] for c in names), T.StructField(column, T.BinaryType())]))
+    return run
+
+
+def _sent(docs: DataFrame, path: str | None, pattern: str | None) -> Broadcast:
+    """The vocabulary, a file of fixed size, and the pattern."""
+    return docs.sparkSession.sparkContext.broadcast((_vocabulary(path), pattern or public_tokenizers.PATTERN))
+
+
+def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None,
+           column: str = "ids") -> DataFrame:
+    """The rows with their whole text's token ids, an array of int."""
+    names = [c for c in docs.columns if c != column]
+    return docs.mapInArrow(_encoding(_sent(docs, path, pattern), names, text, column), T.StructType([
+        *(docs.schema[c] for c in names), T.StructField(column, T.ArrayType(T.IntegerType()))]))
+
+
+def decode(coded: DataFrame, ids: str = "ids", path: str | None = None, column: str = "decoded") -> DataFrame:
+    """The rows with the bytes that their ids stand for; a null list counts as empty, an unknown id is an error."""
+    names = [c for c in coded.columns if c != column]
+    return coded.mapInArrow(_decoding(_sent(coded, path, None), names, ids, column), T.StructType([
+        *(coded.schema[c] for c in names), T.StructField(column, T.BinaryType())]))
+
+
+def round_trip(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None,
+               ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """The rows as ``decode(encode(docs))`` gives them, in one pass of one worker a task."""
+    sent = _sent(docs, path, pattern)
+    names = [c for c in docs.columns if c not in (ids, decoded)]
+    first, then = _encoding(sent, names, text, ids), _decoding(sent, [*names, ids], ids, decoded)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return then(first(batches))
+
+    return docs.mapInArrow(run, T.StructType([
+        *(docs.schema[c] for c in names), T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.BinaryType())]))
 
 
 def ids_digest(ids: str = "ids"):

@@ -144,7 +144,7 @@ LEFT JOIN words ON words.id = w.id LEFT JOIN items ON items.id = w.id
 
 
 def op6_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids"))
+    coded = bpe.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest().alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
