@@ -40,7 +40,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents' token ids, and whether decoding them gives the text again."""
-    coded = bpe.decode(bpe.encode(docs))
+    coded = bpe.round_trip(docs)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
                         same.alias("round_trip"))
