@@ -14,12 +14,21 @@ import re
 VIEWS: dict[str, str] = {
     "b_company": """select s_suppkey company_id, s_name description, s_suppkey % 2 = 0 gst_registered,
   s_suppkey % 10 = 9 soft_deleted from supplier""",
-    "b_product": """select p_partkey product_id, p_name product_name, p_brand brand, p_type level1,
+    "b_product": """select p_partkey product_id, p_name product_name, p_brand brand,
+  case when p_partkey % 13 <> 0 then cast(regexp_extract(p_brand, '([0-9]+)$', 1) as bigint) end brand_id, p_type level1,
   p_partkey % 10 company_id, 'P-' || p_partkey sku, p_retailprice sell_price, p_retailprice * 1.2 rrp,
   p_size stock, date '1995-01-01' + cast(p_partkey % 365 as int) created from part""",
-    "b_variant": """select p_partkey product_id, p_partkey % 4 variant_id,
+    "b_item": "select p_partkey product_id, p_partkey + 500000 item_id from part",
+    "b_variant": """select p_partkey + 500000 item_id, p_partkey % 4 variant_id,
   case when p_size % 3 = 0 then null else 'V-' || p_partkey end sku,
-  case when p_size % 5 = 0 then null else p_retailprice * 0.95 end sell_price from part where p_partkey % 4 <> 0""",
+  case when p_size % 5 = 0 then null else p_retailprice * 0.95 end sell_price,
+  case when p_size % 4 <> 0 then p_retailprice * 1.1 end rrp, case when p_size % 6 <> 0 then p_size + 7 end stock,
+  case when p_size % 2 <> 0 then date '1995-10-01' + cast(p_partkey % 400 as int) end created
+  from part where p_partkey % 4 <> 0""",
+    "b_brand": """select distinct cast(regexp_extract(p_brand, '([0-9]+)$', 1) as bigint) brand_id, p_brand brand_name from part""",
+    "b_category": """select p_partkey product_id, p_partkey % 50 + 1 tag_id, p_type level1, p_type || '/' || p_size % 4 level2,
+  case when p_size % 2 = 0 then p_brand end level3, case when p_size % 5 = 0 then 'S' || p_size end level4
+  from part where p_partkey % 9 <> 0""",
     "b_line": """select l.l_orderkey line_id, o.o_custkey customer_id, l.l_partkey product_id,
   case when l.l_partkey % 4 = 0 then null else l.l_partkey % 4 end variant_id, l.l_partkey % 10 company_id,
   case o.o_orderstatus when 'F' then 3 when 'O' then 4 else 1 end status,
@@ -43,13 +52,25 @@ VIEWS: dict[str, str] = {
   cast(substr(o_orderpriority, 1, 1) as int) - 1 client_type,
   case o_orderpriority when '4-NOT SPECIFIED' then 'partner_a' when '5-LOW' then 'partner_b' end channel from orders""",
     "b_subscription": """select p_partkey product_id, case p_size % 3 when 1 then 'partner_a' else 'partner_b' end channel,
-  p_size < 25 subscribed from part where p_size % 3 <> 0""",
+  p_size < 25 subscribed, case when p_size >= 25 then 'reason ' || p_size % 3 end unsubscribed_reason,
+  case when p_size % 4 = 0 then 'note ' || p_size % 5 end banner_note,
+  date '1996-01-01' + cast(p_partkey % 190 as int) last_updated from part where p_size % 3 <> 0""",
     "b_secondary": """select p_partkey + 1 product_id,
   case when (p_partkey + 1) % 4 = 0 then null else (p_partkey + 1) % 4 end variant_id,
   p_partkey secondary_id from part where p_partkey % 10 = 3""",
     "b_snapshot": """select d.d last_updated_date, p_partkey product_id,
-  case when p_partkey % 4 = 0 then null else p_partkey % 4 end variant_id, p_retailprice + d.k price
+  case when p_partkey % 4 = 0 then null else p_partkey % 4 end variant_id, p_retailprice + d.k price,
+  p_partkey + 900000 listing_id, date '1995-03-01' + cast(p_partkey % 300 as int) created_date, 'Listing ' || p_name "name",
+  'https://listing.example/' || p_partkey link, 'L-' || p_partkey sku, p_size * 2 stock, p_type level1, p_brand level2,
+  'S' || p_size % 5 level3, case when p_size % 2 = 1 then 'T' || p_size % 3 end level4,
+  case when p_size % 2 = 0 then 'Active' else 'Inactive' end active_status, p_retailprice * 1.3 rrp,
+  'Seller ' || p_partkey % 10 seller_name, case when p_partkey % 10 <= 2 then '1P' else '3P' end seller_type
   from part, (values (date '1996-07-13', 0), (date '1996-07-14', 1)) d(d, k) where p_partkey % 7 <> 0""",
+    "b_daily_price": """select date '1996-06-18' + cast(k as int) run_date, row_no, cast(p_partkey as varchar) product_id,
+  case when p_partkey % 4 = 0 then null else cast(p_partkey % 4 as varchar) end variant_id,
+  p_retailprice - k % 5 * 30 + row_no price, case when p_partkey % 8 = 0 then 'partner_b' else 'Own' end marketplace
+  from part, range(31) days(k), range(2) again(row_no)
+  where k % (p_size % 3 + 1) = 0 and (row_no = 0 or p_size % 4 = 0)""",
     "b_promo": """select p_partkey product_id, case when p_partkey % 4 = 0 then null else p_partkey % 4 end variant_id,
   p_partkey % 10 company_id, p_retailprice * 0.9 promo_price, p_size commission,
   date '1996-07-01' + p_size start_date, date '1996-07-15' + p_size - 5 end_date,

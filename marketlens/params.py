@@ -22,6 +22,8 @@ TAX = 1.1
 # Sales channels of the receipt header; NULL means the own site.
 CHANNEL_A = "partner_a"
 CHANNEL_B = "partner_b"
+# Name of the own site in the marketplaces' daily price table.
+CHANNEL_OWN = "own"
 # Local time zone of the catalogue masters.
 LOCAL_TZ = "Australia/Melbourne"
 # URL prefix of product pages.

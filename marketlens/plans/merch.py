@@ -17,6 +17,7 @@ into broadcasts only when the measured size is under the threshold.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ from marketlens.operators import filters as Fl
 from marketlens.operators import joins as J
 from marketlens.operators import setops as O
 from marketlens.operators import windows as W
-from marketlens.params import AS_OF, CHANNEL_A, CHANNEL_B, URL_PREFIX
+from marketlens.operators.keyfilter import key_filter
+from marketlens.params import AS_OF, CHANNEL_A, CHANNEL_B, CHANNEL_OWN, URL_PREFIX
 from marketlens.sources.literal import latest_snapshot
 from marketlens.sources.publish import materialize
 from marketlens.sources.tables import Tables
@@ -39,24 +41,37 @@ def subscription_status(t: Tables, channel: str) -> DataFrame:
     """Middleware subscription rows of one marketplace."""
     s = t.subscription.filter(Fl.ieq("channel", channel))
     return s.select("product_id", F.col("channel").alias("marketplace_name"),
-                    F.col("subscribed").alias("middleware_subscribed_status"))
+                    F.col("subscribed").alias("middleware_subscribed_status"),
+                    F.col("unsubscribed_reason").alias("product_unsubscribed_reason"), "banner_note",
+                    F.col("last_updated").alias("last_middleware_updated"))
+
+
+#: Fields that a variant has before its product (P3), and their names in the catalogue.
+CATALOGUE_FIELDS = {"sku": "product_sku", "sell_price": "product_sell_price", "rrp": "product_retail_price",
+                    "stock": "product_stock_level", "created": "product_created_date"}
 
 
 def catalogue(t: Tables, subscribed: DataFrame) -> DataFrame:
-    """Subscribed products x variants with seller, brand, category."""
-    p = J.semi(t.product, subscribed, "product_id")
-    v = t.variant.select("product_id", "variant_id", F.col("sku").alias("v_sku"),
-                         F.col("sell_price").alias("v_sell_price"))
+    """Subscribed products x variants with seller, brand, category.
+
+    Products reach their variants through the item bridge. A product without
+    an item, variants, brand or category keeps its row with nulls; one whose
+    seller is unknown or deleted is left out.
+    """
+    p = J.semi(t.product, subscribed, "product_id").drop("level1")
+    own = {f: f"v_{f}" for f in ("sku", "sell_price", "rrp", "stock", "created")}
+    v = t.variant.select("item_id", "variant_id", *[F.col(f).alias(n) for f, n in own.items()])
     sellers = Fl.active_sellers(t.company).select("company_id", F.col("description").alias("seller_name"))
-    j = p.join(v, "product_id", "left").join(sellers, "company_id", "inner")
-    j = X.fallback(j, {"product_sku": ("v_sku", "sku"), "product_sell_price": ("v_sell_price", "sell_price")})
+    j = (p.join(sellers, "company_id", "inner")
+          .join(t.item.select("product_id", "item_id"), "product_id", "left").join(v, "item_id", "left")
+          .join(t.category.withColumnRenamed("tag_id", "category_id"), "product_id", "left")
+          .join(t.brand, "brand_id", "left"))
+    j = X.fallback(j, {name: (own[f], f) for f, name in CATALOGUE_FIELDS.items()})
     return j.select(
         F.col("company_id").alias("seller_id"), "seller_name", "product_id", "product_name",
         F.concat(F.lit(URL_PREFIX), F.col("sku")).alias("product_url"),
-        "variant_id", F.col("brand").alias("brand_name"), F.col("level1").alias("category"),
-        "product_sku", "product_sell_price",
-        F.col("rrp").alias("product_retail_price"), F.col("stock").alias("product_stock_level"),
-        F.col("created").alias("product_created_date"))
+        "variant_id", "brand_id", "brand_name", "category_id", "level1", "level2", "level3", "level4",
+        *CATALOGUE_FIELDS.values())
 
 
 def with_parents(df: DataFrame, secondary: DataFrame, key: str = "product_id") -> DataFrame:
@@ -67,21 +82,29 @@ def with_parents(df: DataFrame, secondary: DataFrame, key: str = "product_id") -
     return j
 
 
-def last_price_change(t: Tables) -> DataFrame:
+def asked_for(history: DataFrame, products: DataFrame | None) -> DataFrame:
+    """A history without most rows of products that are not in ``products`` (a run-time key filter, where that pays)."""
+    asked = key_filter(products.select("product_id"), ["product_id"], history) if products is not None else None
+    return asked.keep(history, ["product_id"]) if asked else history
+
+
+def last_price_change(t: Tables, products: DataFrame | None = None) -> DataFrame:
     """W4 + F13 + W2: latest date whose price differs from the previous observation.
 
     Observations are ordered by (date, ts, event_id): the date is the
-    original order key, the rest make ties deterministic.
+    original order key, the rest make ties deterministic. With ``products``,
+    rows of other products may be missing.
     """
-    h = t.price_history.withColumn("date", F.to_date("ts"))  # (ts, event_id) orders as (date, ts, event_id) does
+    h = asked_for(t.price_history, products)
+    h = h.withColumn("date", F.to_date("ts"))  # (ts, event_id) orders as (date, ts, event_id) does
     ch = W.with_previous(h, ["product_id", "variant_id"], "ts", ["event_id"], {"price": "pre_sell_price"})
     ch = ch.filter(Fl.changed("price", "pre_sell_price"))
     return ch.groupBy("product_id", "variant_id").agg(F.max("date").alias("last_price_change_date"))
 
 
-def last_stock_out(t: Tables) -> DataFrame:
-    """Latest stock-out date per (product, variant); NULL variant is its own group."""
-    return t.stock_out.groupBy("product_id", "variant_id").agg(F.max("oos_date").alias("last_stock_oos_date"))
+def last_stock_out(t: Tables, products: DataFrame | None = None) -> DataFrame:
+    """Latest stock-out date per (product, variant); NULL variant is its own group. ``products`` as above."""
+    return asked_for(t.stock_out, products).groupBy("product_id", "variant_id").agg(F.max("oos_date").alias("last_stock_oos_date"))
 
 
 def live_promotions(t: Tables, today: dt.date, with_secondary: bool = True) -> DataFrame:
@@ -103,18 +126,27 @@ def live_promotions(t: Tables, today: dt.date, with_secondary: bool = True) -> D
     return O.union_typed([primary, inherited])
 
 
+STATUS_FIELDS = ("middleware_subscribed_status", "product_unsubscribed_reason", "banner_note", "last_middleware_updated")
 SALES_A = ("chan_gmv_tw", "chan_gmv_l4w", "chan_gmv_ytd", "all_gmv_l12m",
            "chan_units_tw", "chan_units_l4w", "chan_units_ytd", "all_units_l12m")
 
 
+#: Fields of the marketplace's own listing of a product, and their names in the master.
+LISTING_FIELDS = {"listing_id": "listing_id", "created_date": "listing_created_date", "name": "listing_name",
+                  "link": "listing_url", "sku": "listing_sku", "price": "marketplace_price", "stock": "listing_stock",
+                  "level1": "listing_level1", "level2": "listing_level2", "level3": "listing_level3",
+                  "level4": "listing_level4", "active_status": "listing_active_status", "rrp": "listing_rrp",
+                  "seller_name": "listing_seller_name", "seller_type": "listing_seller_type"}
+
+
 def catalogue_a(t: Tables, channel: str = CHANNEL_A) -> DataFrame:
-    """Channel-A catalogue with parent ids (*_mod) and the latest marketplace price."""
+    """Channel-A catalogue with parent ids (*_mod) and the latest marketplace listing."""
     mps = subscription_status(t, channel)
     cat = with_parents(catalogue(t, mps), t.secondary)
     cat = (cat.withColumn("product_id_mod", F.coalesce("parent_product_id", "product_id"))
               .withColumn("variant_id_mod", F.coalesce("parent_variant_id", "variant_id")))
     snap = latest_snapshot(t.snapshot, "last_updated_date").select(
-        "product_id", "variant_id", F.col("price").alias("marketplace_price"))
+        "product_id", "variant_id", *[F.col(f).alias(n) for f, n in LISTING_FIELDS.items()])
     return J.null_safe_join(cat, snap, ["product_id"], ["variant_id"])
 
 
@@ -171,21 +203,20 @@ def catalogue_master_a(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
     out = J.assemble(cat, [
         (live_promotions(t, today, with_secondary=True), ["product_id", "seller_id"], ["variant_id"]),
         (consolidated.withColumnRenamed("company_id", "seller_id"), ["product_id", "seller_id"], ["variant_id"]),
-        (last_price_change(t), ["product_id"], ["variant_id"]),
-        (last_stock_out(t), ["product_id"], ["variant_id"]),
+        (last_price_change(t, cat), ["product_id"], ["variant_id"]),
+        (last_stock_out(t, cat), ["product_id"], ["variant_id"]),
         (mps, ["product_id"], []),
     ])
     g = [F.round(n, 3).cast("double").alias(n) for n in measures if "gmv" in n]
     u = [F.col(n) for n in measures if "units" in n]
     return out.select(
         *X.stamp(today, win["last_4w"]),
-        "seller_id", "seller_name", "product_id", "product_name", "product_url", "variant_id", "brand_name",
-        "category", "product_sku", "product_sell_price", "product_retail_price", "product_stock_level",
-        "product_created_date", "parent_product_id", "parent_variant_id", "product_id_mod", "variant_id_mod",
-        "marketplace_price", "promotional_price", "commission_percentage", "promotion_start_date",
+        "seller_id", "seller_name", "product_id", "product_name", "product_url", "variant_id", "brand_id", "brand_name",
+        "category_id", "level1", "level2", "level3", "level4", *CATALOGUE_FIELDS.values(),
+        "parent_product_id", "parent_variant_id", "product_id_mod", "variant_id_mod", *LISTING_FIELDS.values(),
+        "promotional_price", "commission_percentage", "promotion_start_date",
         "promotion_end_date", *g, *u, "last_price_change_date", "last_stock_oos_date",
-        F.col("promotion_start_date").isNotNull().alias("is_promo_product"),
-        "middleware_subscribed_status")
+        F.col("promotion_start_date").isNotNull().alias("is_promo_product"), *STATUS_FIELDS)
 
 
 def catalogue_master_b(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL_B) -> DataFrame:
@@ -221,8 +252,9 @@ def catalogue_master_b(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
     out = J.null_safe_join(out, m, ["product_id", "seller_id"], ["variant_id"])
     return out.select(
         "product_created_date", "product_sku", "product_id", "product_name", "variant_id", "product_url",
-        "seller_id", "seller_name", "category", "brand_name", "product_sell_price", "product_retail_price",
-        "product_stock_level", "middleware_subscribed_status", "internal_product_id", "listing_created_date",
+        "seller_id", "seller_name", "category_id", "level1", "level2", "level3", "level4", "brand_id", "brand_name",
+        "product_sell_price", "product_retail_price", "product_stock_level", *STATUS_FIELDS,
+        "internal_product_id", "listing_created_date",
         "listing_published", "listing_seller_name", "promotional_price", "commission_percentage",
         "promotion_start_date", "promotion_end_date",
         *[F.round(c, 3).cast("double").alias(c) for c in ("chan_gmv_l4w", "chan_units_l4w", "all_gmv_l4w", "all_units_l4w")],
@@ -233,27 +265,30 @@ def catalogue_master_b(t: Tables, today: dt.date = AS_OF, channel: str = CHANNEL
 LOOKBACKS = (14, 7, 3)
 
 
-def daily_sell_price(t: Tables) -> DataFrame:
+def daily_first(history: DataFrame, order: Sequence[str]) -> DataFrame:
     """The daily price relation: first price of each (day, product, variant), and how many history rows the key has."""
+    first = history.groupBy("run_date", "product_id", "variant_id").agg(
+        F.struct(F.min_by(F.col("price").cast("double"), F.struct(*order)).alias("price"),
+                 F.count(F.lit(1)).alias("copies")).alias("sell"))
+    return first.withColumn("variant_key", F.expr("try_cast(variant_id as bigint)"))
+
+
+def daily_sell_price(t: Tables) -> DataFrame:
+    """Daily prices from the price history's observations."""
     h = t.price_history.select(F.to_date("ts").alias("run_date"),
                                F.col("product_id").cast("string").alias("product_id"),
                                F.col("variant_id").cast("string").alias("variant_id"),
                                "price", "ts", "event_id")
-    first = h.groupBy("run_date", "product_id", "variant_id").agg(
-        F.struct(F.min_by(F.col("price").cast("double"), F.struct("ts", "event_id")).alias("price"),
-                 F.count(F.lit(1)).alias("copies")).alias("sell"))
-    return first.withColumn("variant_key", F.expr("try_cast(variant_id as bigint)"))
+    return daily_first(h, ["ts", "event_id"])
 
 
-def promo_compliance(t: Tables, strict: bool = False, dedupe: bool = False) -> DataFrame:
-    """Per promoted product row: lookback prices, five checks per lookback, flags.
+def daily_listed_price(t: Tables, marketplace: str = CHANNEL_OWN) -> DataFrame:
+    """Daily prices from the marketplaces' daily price table (F10: one marketplace's rows)."""
+    return daily_first(t.daily_price.filter(Fl.ieq("marketplace", marketplace)), ["row_no"])
 
-    The daily price relation of the original keeps every history row of a day
-    with that day's first price, so each lookback repeats a promoted row as
-    often; ``dedupe`` gives one row for each promoted row instead. The joins
-    move one row per (day, product, variant) either way; copies are made after
-    them.
-    """
+
+def promo_compliance(t: Tables, strict: bool = False, dedupe: bool = False) -> DataFrame:
+    """R19 over promotion events: lookback prices, five checks per lookback, flags (``compliance``)."""
     base = t.promo_check
     base = base.join(t.created, "product_id", "left")
     base = J.null_safe_join(base, last_price_change(t), ["product_id"], ["variant_id"])
@@ -262,7 +297,31 @@ def promo_compliance(t: Tables, strict: bool = False, dedupe: bool = False) -> D
                        F.col("promo_price").alias("promotional_price"),
                        F.col("start_date").alias("promotion_start_date"),
                        "last_price_change_date", "last_stock_oos_date")
-    j = J.lookback(base, daily_sell_price(t), "promotion_start_date", LOOKBACKS, "product_id", "variant_id",
+    return compliance(base, daily_sell_price(t), strict, dedupe)
+
+
+#: Columns of the catalogue master that the compliance report keeps, in its order.
+CHECKED_FIELDS = ("product_created_date", "product_id", "product_name", "product_url", "listing_url", "variant_id",
+                  "product_sku", "product_sell_price", "product_retail_price", "product_stock_level",
+                  "promotional_price", "promotion_start_date", "promotion_end_date", "last_price_change_date",
+                  "last_stock_oos_date")
+
+
+def published_compliance(master: DataFrame, daily: DataFrame, strict: bool = False, dedupe: bool = False) -> DataFrame:
+    """R19 over a catalogue master (R17) as it was published (K2): its promoted rows, all 28 columns."""
+    return compliance(master.filter("is_promo_product").select(*CHECKED_FIELDS), daily, strict, dedupe)
+
+
+def compliance(base: DataFrame, daily: DataFrame, strict: bool = False, dedupe: bool = False) -> DataFrame:
+    """Per promoted product row: lookback prices, five checks per lookback, flags; all columns of ``base`` first.
+
+    The daily price relation of the original keeps every history row of a day
+    with that day's first price, so each lookback repeats a promoted row as
+    often; ``dedupe`` gives one row for each promoted row instead. The joins
+    move one row per (day, product, variant) either way; copies are made after
+    them.
+    """
+    j = J.lookback(base, daily, "promotion_start_date", LOOKBACKS, "product_id", "variant_id",
                    "run_date", "product_id", "variant_key", "sell",
                    out="__sell{d}", lookback_col="lookback_{d}days", key_cast="string")
     if not dedupe:
@@ -283,7 +342,6 @@ def promo_compliance(t: Tables, strict: bool = False, dedupe: bool = False) -> D
         out_cols += [F.col(f"__f{d}.complaint_flag").alias(f"complaint_flag_lb{d}"),
                      F.col(f"__f{d}.complaince_text").alias(f"complaint_text_lb{d}")]
     return j.select(
-        "event_id", "product_created_date", "product_id", "variant_id", "promotional_price",
-        "promotion_start_date", "last_price_change_date", "last_stock_oos_date",
+        *base.columns,
         *[f"lookback_{d}days" for d in LOOKBACKS], *[f"sell_price_lb{d}" for d in LOOKBACKS], *out_cols,
         C.overall_flag(F.col("__f7.complaint_flag"), F.col("__f3.complaint_flag"), strict).alias("complaint_flag"))

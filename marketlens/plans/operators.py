@@ -33,6 +33,13 @@ def k2_publish_roundtrip(t: Tables) -> DataFrame:
     return read_published(t.spark, path, "report_run_date")
 
 
+def published_compliance(t: Tables) -> DataFrame:
+    """R17 -> K2 -> R19: the channel-A master is published as a version; the compliance report reads that version."""
+    path = scratch_path(t.spark, "catalogue_master_a")
+    publish_version(M.catalogue_master_a(t), path, "report_run_date", "product_id")
+    return M.published_compliance(read_published(t.spark, path, "report_run_date"), M.daily_listed_price(t))
+
+
 def k4_latest_snapshot(t: Tables) -> DataFrame:
     """K4: snapshot rows at the table's latest date."""
     return latest_snapshot(t.snapshot, "last_updated_date")

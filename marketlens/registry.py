@@ -47,6 +47,7 @@ REPORTS: dict[str, QueryFn] = {
     "r17_catalogue_master_a": _report(mer.catalogue_master_a),
     "r18_catalogue_master_b": _report(mer.catalogue_master_b),
     "r19_promo_compliance": _report(mer.promo_compliance),
+    "r19_published_compliance": _report(ops.published_compliance),
     "r20_study_channel1": _report(coh.study_channel1),
     "r21_study_channel2": _report(coh.study_channel2),
     "r22_study_channel3": _report(coh.study_channel3),

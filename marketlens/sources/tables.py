@@ -49,6 +49,11 @@ def _opt_variant(key) -> F.Column:
     return F.when(key % 4 == 0, F.lit(None).cast("long")).otherwise(key % 4)
 
 
+def _brand_id(brand: F.Column) -> F.Column:
+    """The number in a brand's name."""
+    return F.regexp_extract(brand, "([0-9]+)$", 1).cast("long")
+
+
 def _day(d: dt.date) -> F.Column:
     return F.lit(d)
 
@@ -85,6 +90,7 @@ class Tables:
             p.p_partkey.alias("product_id"),
             p.p_name.alias("product_name"),
             p.p_brand.alias("brand"),
+            F.when(p.p_partkey % 13 != 0, _brand_id(p.p_brand)).alias("brand_id"),
             p.p_type.alias("level1"),
             (p.p_partkey % 10).alias("company_id"),
             F.concat(F.lit("P-"), p.p_partkey.cast("string")).alias("sku"),
@@ -98,12 +104,39 @@ class Tables:
     def variant(self) -> DataFrame:
         p = self.raw("part")
         return p.filter(p.p_partkey % 4 != 0).select(
-            p.p_partkey.alias("product_id"),
+            (p.p_partkey + 500000).alias("item_id"),
             (p.p_partkey % 4).alias("variant_id"),
             F.when(p.p_size % 3 == 0, F.lit(None).cast("string"))
              .otherwise(F.concat(F.lit("V-"), p.p_partkey.cast("string"))).alias("sku"),
             F.when(p.p_size % 5 == 0, F.lit(None).cast("double"))
              .otherwise(p.p_retailprice * 0.95).alias("sell_price"),
+            F.when(p.p_size % 4 != 0, p.p_retailprice * 1.1).alias("rrp"),
+            F.when(p.p_size % 6 != 0, p.p_size + 7).alias("stock"),
+            F.when(p.p_size % 2 != 0, F.date_add(_day(dt.date(1995, 10, 1)), (p.p_partkey % 400).cast("int"))).alias("created"),
+        )
+
+    @cached_property
+    def item(self) -> DataFrame:
+        """Bridge of a product to the item that its variants belong to."""
+        p = self.raw("part")
+        return p.select(p.p_partkey.alias("product_id"), (p.p_partkey + 500000).alias("item_id"))
+
+    @cached_property
+    def brand(self) -> DataFrame:
+        b = self.raw("part").select("p_brand").distinct()
+        return b.select(_brand_id(b.p_brand).alias("brand_id"), b.p_brand.alias("brand_name"))
+
+    @cached_property
+    def category(self) -> DataFrame:
+        """A product's tag and its four category levels; some products have none."""
+        p = self.raw("part")
+        return p.filter(p.p_partkey % 9 != 0).select(
+            p.p_partkey.alias("product_id"),
+            (p.p_partkey % 50 + 1).alias("tag_id"),
+            p.p_type.alias("level1"),
+            F.concat(p.p_type, F.lit("/"), (p.p_size % 4).cast("string")).alias("level2"),
+            F.when(p.p_size % 2 == 0, p.p_brand).alias("level3"),
+            F.when(p.p_size % 5 == 0, F.concat(F.lit("S"), p.p_size.cast("string"))).alias("level4"),
         )
 
     # ---- order lines, bridge, receipts ------------------------------------------
@@ -175,6 +208,9 @@ class Tables:
             p.p_partkey.alias("product_id"),
             F.when(p.p_size % 3 == 1, "partner_a").otherwise("partner_b").alias("channel"),
             (p.p_size < 25).alias("subscribed"),
+            F.when(p.p_size >= 25, F.concat(F.lit("reason "), (p.p_size % 3).cast("string"))).alias("unsubscribed_reason"),
+            F.when(p.p_size % 4 == 0, F.concat(F.lit("note "), (p.p_size % 5).cast("string"))).alias("banner_note"),
+            F.date_add(_day(dt.date(1996, 1, 1)), (p.p_partkey % 190).cast("int")).alias("last_updated"),
         )
 
     @cached_property
@@ -191,12 +227,27 @@ class Tables:
         days = F.inline(F.array(
             F.struct(_day(dt.date(1996, 7, 13)).alias("d"), F.lit(0).alias("k")),
             F.struct(_day(dt.date(1996, 7, 14)).alias("d"), F.lit(1).alias("k"))))
-        e = p.select("p_partkey", "p_retailprice", days)
+        e = p.select("p_partkey", "p_retailprice", "p_name", "p_type", "p_brand", "p_size", days)
+        key, size = F.col("p_partkey"), F.col("p_size")
         return e.select(
             F.col("d").alias("last_updated_date"),
-            F.col("p_partkey").alias("product_id"),
-            _opt_variant(F.col("p_partkey")).alias("variant_id"),
-            (F.col("p_retailprice") + F.col("k")).alias("price"))
+            key.alias("product_id"),
+            _opt_variant(key).alias("variant_id"),
+            (F.col("p_retailprice") + F.col("k")).alias("price"),
+            (key + 900000).alias("listing_id"),
+            F.date_add(_day(dt.date(1995, 3, 1)), (key % 300).cast("int")).alias("created_date"),
+            F.concat(F.lit("Listing "), F.col("p_name")).alias("name"),
+            F.concat(F.lit("https://listing.example/"), key.cast("string")).alias("link"),
+            F.concat(F.lit("L-"), key.cast("string")).alias("sku"),
+            (size * 2).alias("stock"),
+            F.col("p_type").alias("level1"),
+            F.col("p_brand").alias("level2"),
+            F.concat(F.lit("S"), (size % 5).cast("string")).alias("level3"),
+            F.when(size % 2 == 1, F.concat(F.lit("T"), (size % 3).cast("string"))).alias("level4"),
+            F.when(size % 2 == 0, "Active").otherwise("Inactive").alias("active_status"),
+            (F.col("p_retailprice") * 1.3).alias("rrp"),
+            F.concat(F.lit("Seller "), (key % 10).cast("string")).alias("seller_name"),
+            F.when(key % 10 <= 2, "1P").otherwise("3P").alias("seller_type"))
 
     @cached_property
     def promo(self) -> DataFrame:
@@ -229,6 +280,20 @@ class Tables:
             F.when(p.p_size % 3 == 1, "partner_a").otherwise("partner_b").alias("marketplace"),
         )
 
+    @cached_property
+    def daily_price(self) -> DataFrame:
+        """Daily price history of the marketplaces (ids as strings): some days are missing, some have two rows."""
+        p, first = self.raw("part"), _day(dt.date(1996, 6, 18))
+        days = p.select("*", F.explode(F.sequence(F.lit(0), F.lit(30))).alias("k"))
+        days = days.filter(F.col("k") % (F.col("p_size") % 3 + 1) == 0)
+        again = F.when(F.col("p_size") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        key, k = F.col("p_partkey"), F.col("k")
+        return days.select("*", F.explode(again).alias("n")).select(
+            F.date_add(first, k).alias("run_date"), F.col("n").cast("long").alias("row_no"),
+            key.cast("string").alias("product_id"), _opt_variant(key).cast("string").alias("variant_id"),
+            (F.col("p_retailprice") - k % 5 * 30 + F.col("n")).alias("price"),
+            F.when(key % 8 == 0, "partner_b").otherwise("Own").alias("marketplace"))
+
     def _events(self, kind: str) -> DataFrame:
         e = self.raw("events")
         return e.filter(e.event_type == kind)

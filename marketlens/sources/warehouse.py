@@ -23,9 +23,12 @@ from marketlens.sources.tables import Tables
 #: Columns of every canonical view.
 CANONICAL: dict[str, str] = {
     "company": "company_id bigint, description string, gst_registered boolean, soft_deleted boolean",
-    "product": "product_id bigint, product_name string, brand string, level1 string, company_id bigint, sku string, "
-               "sell_price double, rrp double, stock bigint, created date",
-    "variant": "product_id bigint, variant_id bigint, sku string, sell_price double",
+    "product": "product_id bigint, product_name string, brand string, brand_id bigint, level1 string, company_id bigint, "
+               "sku string, sell_price double, rrp double, stock bigint, created date",
+    "item": "product_id bigint, item_id bigint",
+    "variant": "item_id bigint, variant_id bigint, sku string, sell_price double, rrp double, stock bigint, created date",
+    "brand": "brand_id bigint, brand_name string",
+    "category": "product_id bigint, tag_id bigint, level1 string, level2 string, level3 string, level4 string",
     "lines": "line_id bigint, customer_id bigint, product_id bigint, variant_id bigint, company_id bigint, status int, "
              "order_type int, refund_type int, total_amount double, qty double, customer_price double, "
              "company_pay_price double, accepted_date date, is_freight boolean, is_protection boolean, sku string, "
@@ -33,9 +36,13 @@ CANONICAL: dict[str, str] = {
     "bridge": "line_id bigint, receipt_id bigint",
     "receipts": "receipt_id bigint, customer_id bigint, transaction_date date, amount double, approved boolean, "
                 "receipt_type bigint, client_type int, channel string",
-    "subscription": "product_id bigint, channel string, subscribed boolean",
+    "subscription": "product_id bigint, channel string, subscribed boolean, unsubscribed_reason string, banner_note string, "
+                    "last_updated date",
     "secondary": "product_id bigint, variant_id bigint, secondary_id bigint",
-    "snapshot": "last_updated_date date, product_id bigint, variant_id bigint, price double",
+    "snapshot": "last_updated_date date, product_id bigint, variant_id bigint, price double, listing_id bigint, "
+                "created_date date, name string, link string, sku string, stock bigint, level1 string, level2 string, "
+                "level3 string, level4 string, active_status string, rrp double, seller_name string, seller_type string",
+    "daily_price": "run_date date, row_no bigint, product_id string, variant_id string, price double, marketplace string",
     "promo": "product_id bigint, variant_id bigint, company_id bigint, promo_price double, commission bigint, "
              "start_date date, end_date date, is_deleted boolean, is_archived boolean",
     "lookup": "product_id string, variant_id string, internal_product_id bigint, seller_id string, published_date date, "
