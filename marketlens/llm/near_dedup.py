@@ -276,16 +276,17 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, rows: int =
     classes = written(with_set.groupBy(*print_of).agg(F.min("doc_id").alias("node")), "classes")
     carrier = with_set.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", *print_of], "left_semi")
     carrier = written(carrier.select(F.col("doc_id").cast("bigint").alias("node"), "f1", "n", "bands"), "carriers")
-    slim = carrier.select(F.col("node").alias("a"), F.col("f1").alias("a1"), "n")
 
     bucketed = carrier.select("node", "f1", "n", F.explode("bands").alias("bucket"))
-    centres = written(bucketed.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z"))
-                      .where("a <> z").select("bucket", "a"), "centres")
+    # a bucket's centre comes with its size and fingerprint, so its edges need no join with the centres
+    centres = written(bucketed.groupBy("bucket").agg(F.min(F.struct("node", "f1", "n")).alias("c"), F.max("node").alias("z"))
+                      .where("c.node <> z").select("bucket", F.col("c.node").alias("a"), F.col("c.f1").alias("a1"),
+                                                   F.col("c.n").alias("size")), "centres")
     members = written(bucketed.join(centres, "bucket"), "members")
-    star = members.where("node <> a").select("a", F.col("node").alias("b"), F.col("f1").alias("b1"),
-                                             F.col("n").alias("m")).distinct()
+    star = members.where("node <> a").select("a", "a1", F.col("size").alias("n"), F.col("node").alias("b"),
+                                             F.col("f1").alias("b1"), F.col("n").alias("m"))
     named = docs.select(F.col(key).cast("bigint").alias("node"), F.col(text).alias(text))
-    pairs = written(_pairs(star.join(slim, "a"), percent), "pairs")
+    pairs = written(_pairs(star, percent), "pairs")
     groups = connected(confirm(pairs, named, percent, k, text))
 
     left = written(_unsettled(members.select("bucket", "node", "f1", "n"), groups), "unsettled")
