@@ -4,9 +4,9 @@ Base matches (email, ip, card, phone) are the seeds. The one and two words
 before seeds are lexical patterns. Patterns that enough different seeds
 induce are counted over the whole corpus; those that mostly precede
 identifiers form a bipartite graph with the tokens they extract. Spark scores
-it in rounds: a pattern's confidence is the mean score of its different
-instances, an instance's score is the noisy-or of its patterns' confidences
-(seeds are 1). Patterns of high confidence then give spans of kind
+it in rounds until no confidence moves: a pattern's confidence is the mean
+score of its different instances, an instance's score is the noisy-or of its
+patterns' confidences (seeds are 1). Scores only rise, so they settle. Patterns of high confidence then give spans of kind
 ``context`` to identifier-like tokens that no base kind covers.
 
 Defined cases: a null or empty text has no spans; repeated rows (same id and
@@ -92,13 +92,14 @@ def find(text: str) -> list[Span]:
 @dataclass(frozen=True)
 class Bounds:
     """What a pattern needs: ``seeds`` different seeds; the share ``selective`` of its occurrences before
-    identifiers; the confidence to extract; an instance the score to be reported; ``rounds`` of scoring."""
+    identifiers; the confidence to extract; an instance the score to be reported. Scoring ends when no
+    confidence moves by more than ``settled``."""
 
     seeds: int = 5
     selective: float = 0.5
     confidence: float = 0.6
     score: float = 0.6
-    rounds: int = 3
+    settled: float = 1e-6
     block: int = 100_000  # patterns sent to the tasks at a time
 
 
@@ -143,22 +144,26 @@ def _seed_words(text: str, listed: list[dict]) -> tuple[dict[int, list[dict]], s
     return begins, inside.difference(begins)
 
 
-def _seed_rows(found: DataFrame, text: str) -> DataFrame:
-    """(pattern, instance) of every seed occurrence."""
+_SEED = T.StructType([T.StructField("pattern", T.StringType()), T.StructField("instance", T.StringType())])
+_SEEDS = pa.list_(pa.struct([("pattern", pa.string()), ("instance", pa.string())]))
+
+
+def _with_seeds(found: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """keys, spans and the (pattern, instance) of every seed occurrence, for every row."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pattern, instance = [], []
+            out = []
             for t, listed in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text, "spans")), strict=True):
-                words = t.split()
-                for i, seeds in _seed_words(t, listed)[0].items():
-                    for p in _patterns(words[max(0, i - 2):i]):
-                        for s in seeds:
-                            pattern.append(p)
-                            instance.append(t[s["start"]:s["end"]].lower())
-            yield pa.RecordBatch.from_arrays([pa.array(pattern, pa.string()), pa.array(instance, pa.string())],
-                                             names=["pattern", "instance"])
+                words = t.split() if listed else []
+                out.append([{"pattern": p, "instance": t[s["start"]:s["end"]].lower()}
+                            for i, seeds in (_seed_words(t, listed)[0].items() if listed else ())
+                            for p in _patterns(words[max(0, i - 2):i]) for s in seeds])
+            yield pa.RecordBatch.from_arrays([*batch.select([*keys, "spans"]).columns, pa.array(out, _SEEDS)],
+                                             names=[*keys, "spans", "seeds"])
 
-    return found.where(F.size("spans") > 0).select(text, "spans").mapInArrow(run, "pattern string, instance string")
+    needed = found.select(*keys, F.when(F.size("spans") > 0, F.col(text)).alias(text), "spans")
+    return needed.mapInArrow(run, T.StructType([*(found.schema[k] for k in keys), found.schema["spans"],
+                                                T.StructField("seeds", T.ArrayType(_SEED))]))
 
 
 def _pattern_blocks(patterns: DataFrame, size: int) -> Iterator[frozenset[str]]:
@@ -172,30 +177,65 @@ def _pattern_blocks(patterns: DataFrame, size: int) -> Iterator[frozenset[str]]:
         yield frozenset(held)
 
 
+_HELD = 300_000  # words, and triples of words, that a counting task holds
+
+
+class _Words(dict):
+    """What ``make`` says of a word, for the words met lately."""
+
+    def __init__(self, make):
+        super().__init__()
+        self._make = make
+
+    def __missing__(self, word: str):
+        if len(self) >= _HELD:
+            self.clear()
+        made = self[word] = self._make(word)
+        return made
+
+
 def _count(found: DataFrame, chosen: frozenset[str], text: str) -> DataFrame:
     """pattern, occurrences before any word, and before identifiers; summed in each task first.
 
     A word in which a base span begins is an identifier whatever its shape; a span's further words aren't counted.
+    Texts are counted as (word, next word, shape of the one after) first, and patterns looked up once for each of these.
     """
     sent = found.sparkSession.sparkContext.broadcast(chosen)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = sent.value
-        last = {p.rpartition(" ")[2] for p in wanted}
         every: Counter = Counter()
         hits: Counter = Counter()
+        held: Counter = Counter()
+        normal, shape = _Words(_normal), _Words(lambda w: is_identifier(w.strip(_EDGE)))
+
+        def settle() -> None:
+            for (two, one, shaped), n in held.items():
+                if shaped is None:
+                    continue
+                for p in (one, f"{two} {one}") if two is not None else (one,):
+                    if p in wanted:
+                        every[p] += n
+                        hits[p] += n * shaped
+            held.clear()
+
         for batch in batches:
             for t, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = t.split() if t else []
-                begins, inside = _seed_words(t, listed)
-                for i, w in enumerate(words[:-1]):
-                    w = w.lower()
-                    if (w in last or _normal(w) in last) and i + 1 not in inside:
-                        shaped = i + 1 in begins or is_identifier(words[i + 1].strip(_EDGE))
-                        for p in _patterns(words[max(0, i - 1):i + 1]):
-                            if p in wanted:
-                                every[p] += 1
-                                hits[p] += shaped
+                if len(words) < 2:
+                    continue
+                shapes = [shape[w] for w in words]
+                if listed:
+                    begins, inside = _seed_words(t, listed)
+                    for i in begins:
+                        shapes[i] = True
+                    for i in inside:
+                        shapes[i] = None
+                names = [normal[w] for w in words]
+                held.update(zip([None, *names[:-2]], names[:-1], shapes[1:], strict=True))
+                if len(held) > _HELD:
+                    settle()
+        settle()
         names = list(every)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([every[p] for p in names], pa.int64()),
@@ -243,11 +283,11 @@ def _extract(found: DataFrame, chosen: frozenset[str], text: str, keys: list[str
 
 
 def score(edges: DataFrame, bounds: Bounds) -> tuple[DataFrame, DataFrame]:
-    """(pattern, confidence) and (instance, score) of distinct edges (pattern, instance, seed), scored in rounds."""
+    """(pattern, confidence) and (instance, score) of distinct edges (pattern, instance, seed), scored until they settle."""
     seeds = written(edges.where("seed").select("instance").distinct().withColumn("score", F.lit(1.0)), "seeds")
     scores = seeds
-    confidence = None
-    for _ in range(bounds.rounds):
+    before = None
+    while True:
         held = edges.join(scores, "instance", "left").select("pattern", F.coalesce("score", F.lit(0.0)).alias("score"), "seed")
         confidence = written(held.groupBy("pattern").agg(
             F.avg("score").alias("confidence"), F.count_if("seed").alias("support"))
@@ -256,6 +296,12 @@ def score(edges: DataFrame, bounds: Bounds) -> tuple[DataFrame, DataFrame]:
         missed = F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))))
         found = edges.join(trusted, "pattern").groupBy("instance").agg((1 - missed).alias("score"))
         scores = written(found.join(seeds.select("instance"), "instance", "left_anti").unionByName(seeds), "scores")
+        if before is not None:  # every round has the same patterns
+            moved = confidence.join(before.withColumnRenamed("confidence", "old"), "pattern").agg(
+                F.max(F.abs(F.col("confidence") - F.col("old")))).first()[0]
+            if (moved or 0.0) <= bounds.settled:
+                break
+        before = confidence
     return confidence.where(F.col("confidence") >= bounds.confidence), scores.where(F.col("score") >= bounds.score)
 
 
@@ -263,14 +309,15 @@ def extract(docs: DataFrame, text: str = "text", key: str = "doc_id", bounds: Bo
     """key and ``spans`` (base and context) of every row."""
     kept = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     base = spans.annotate(kept.withColumn("h", F.xxhash64("text")), lambda: find)
-    seeds = (_seed_rows(base, "text").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds"))
+    noted = written(_with_seeds(base, "text", ["doc_id", "h"]), "base")
+    seeds = (noted.select(F.inline("seeds")).distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds"))
              .where(F.col("seeds") >= bounds.seeds))
     induced = written(seeds, "induced")
     counts = None
     for block in _pattern_blocks(induced, bounds.block):
         part = written(_count(base, block, "text"), "counts")
         counts = part if counts is None else counts.union(part)
-    plain = base.select("doc_id", "h", "spans")
+    plain = noted.select("doc_id", "h", "spans")
     if counts is None:
         return plain.select("doc_id", "spans")
     lexical = written(counts.where(F.col("shaped") >= bounds.selective * F.col("n")), "lexical")

@@ -69,6 +69,71 @@ def test_patterns_find_unseen_identifiers(spark):
         assert got[d] == want, t
 
 
+def test_scores_settle_as_in_plain_python(spark):
+    """A chain in which each pattern is trusted only after the one before it, longer than a few rounds."""
+    links = 6
+    edges = {(f"p{k}", f"s{k}-{i}", True) for k in range(links) for i in range(5)}
+    for k in range(links):
+        edges |= {(f"p{k}", f"x{j}-{i}", False) for j in (k, k + 1) for i in range(2) if j}
+    edges |= {("few", f"s0-{i}", True) for i in range(3)} | {("loose", f"s1-{i}", True) for i in range(5)}
+    edges |= {("loose", f"y{i}", False) for i in range(9)}
+
+    bounds = pii.Bounds()
+    scores = {i: 1.0 for _, i, seed in edges if seed}
+    fixed = set(scores)
+    for _ in range(300):
+        confidence = {}
+        for p in {p for p, _, _ in edges}:
+            mine = [(i, seed) for q, i, seed in edges if q == p]
+            if sum(seed for _, seed in mine) >= bounds.seeds:
+                confidence[p] = sum(scores.get(i, 0.0) for i, _ in mine) / len(mine)
+        for i in {i for _, i, _ in edges} - fixed:
+            missed = 1.0
+            for p in {p for p, j, _ in edges if j == i and confidence.get(p, 0) >= bounds.confidence}:
+                missed *= 1 - confidence[p]
+            if missed < 1.0:
+                scores[i] = 1 - missed
+    want = {p: c for p, c in confidence.items() if c >= bounds.confidence}
+    assert {f"p{k}" for k in range(links)} == set(want)
+
+    table = spark.createDataFrame(sorted(edges), "pattern string, instance string, seed boolean")
+    patterns, instances = pii.score(table, bounds)
+    got = {r.pattern: r.confidence for r in patterns.collect()}
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-4 for p in want)
+    seen = {r.instance: r.score for r in instances.collect()}
+    kept = {i: s for i, s in scores.items() if s >= bounds.score}
+    assert set(seen) == set(kept) and all(abs(seen[i] - kept[i]) < 1e-4 for i in kept)
+
+
+def test_pattern_counts_equal_plain_counting(spark):
+    """Occurrences and shaped followers, counted word by word; long texts, repeats, spans of several words, nulls."""
+    import random
+    rng = random.Random(3)
+    pool = ["a", "B", "b2", "id77x", "(id88y)", "x@y.org", "+1 (456) 555-2186", "4111 1111 1111 1111", "10.0.0.1", "\n", "é9", "2024"]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(40)))) for i in range(200)]
+    rows += [(900, " ".join(rng.choice(pool) for _ in range(20000))), (901, None), (902, ""), (903, "a"), rows[0]]
+    every, hits = {}, {}
+    for _, t in rows:
+        t = t or ""
+        words = [(m.start(), m.end(), m[0]) for m in re.finditer(r"\S+", t)]
+        base_of = pii.find(t)
+        for n, (start, end, word) in enumerate(words):
+            begins = any(start <= s < end for _, s, _ in base_of)
+            if not n or (not begins and any(s < end and start < e for _, s, e in base_of)):
+                continue
+            bare = word.strip("\"'()[]{}<>.,;:!?")
+            shaped = begins or (len(bare) >= 5 and sum(c.isdigit() for c in bare) >= 2)
+            before = [re.sub("[0-9]+", "0", w.lower()) for _, _, w in words[max(0, n - 2):n]]
+            for p in {before[-1], " ".join(before)} if len(before) == 2 else {before[-1]}:
+                every[p] = every.get(p, 0) + 1
+                hits[p] = hits.get(p, 0) + shaped
+    chosen = frozenset(sorted(every)[::2])
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = pii.spans.annotate(table, lambda: pii.find)
+    got = {r.pattern: (r.n, r.shaped) for r in pii._count(found, chosen, "text").collect()}
+    assert got == {p: (every[p], hits[p]) for p in chosen}
+
+
 def test_awkward_rows(spark):
     got = pii.extract(docs(spark)).collect()
     assert len(got) == 18 and all(r.spans == [] for r in got if r.doc_id in (1, 2, 3))
