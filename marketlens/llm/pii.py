@@ -20,10 +20,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -177,69 +177,91 @@ def _pattern_blocks(patterns: DataFrame, size: int) -> Iterator[frozenset[str]]:
         yield frozenset(held)
 
 
-_HELD = 300_000  # words, and triples of words, that a counting task holds
-
-
-class _Words(dict):
-    """What ``make`` says of a word, for the words met lately."""
-
-    def __init__(self, make):
-        super().__init__()
-        self._make = make
-
-    def __missing__(self, word: str):
-        if len(self) >= _HELD:
-            self.clear()
-        made = self[word] = self._make(word)
+_HELD = 300_000  # words that a task remembers
+_END = ""  # what follows a text's last word
+
+
+class _Matcher:
+    """Finds patterns in many texts at once: words become numbers, and pairs of numbers are looked up in an ordered table."""
+
+    def __init__(self, wanted: frozenset[str]):
+        self.names = sorted(wanted)
+        parts = [p.split(" ") for p in self.names]
+        self._number = {w: n for n, w in enumerate(sorted({w for ws in parts for w in ws}), 1)}
+        self._base = len(self._number) + 1
+        self._one = np.full(self._base, -1, dtype=np.int64)
+        pairs = []
+        for at, ws in enumerate(parts):
+            if len(ws) == 1:
+                self._one[self._number[ws[0]]] = at
+            else:
+                pairs.append((self._number[ws[0]] * self._base + self._number[ws[1]], at))
+        pairs.sort()
+        self._code = np.array([c for c, _ in pairs], dtype=np.int64)
+        self._pair = np.array([at for _, at in pairs], dtype=np.int64)
+        self._known: dict[str, int] = {_END: 0}
+
+    def _look(self, word: str) -> int:
+        """Twice the word's number (0: in no pattern), plus one if it is shaped like an identifier."""
+        if len(self._known) >= _HELD:
+            self._known = {_END: 0}
+        made = self._known[word] = 2 * self._number.get(_normal(word), 0) + is_identifier(word.strip(_EDGE))
         return made
 
+    def find(self, texts: list[str | None], spans_of: list[list[dict]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each occurrence before a counted word: the text's number, the pattern's, and whether the word is an identifier."""
+        seen: list[int] = []
+        ends, fixed, dropped = [], [], []
+        for t, listed in zip(texts, spans_of, strict=True):
+            words = t.split() if t else []
+            if listed:
+                begins, inside = _seed_words(t, listed)
+                fixed += [len(seen) + i for i in begins]
+                dropped += [len(seen) + i for i in inside]
+            for w in words:
+                n = self._known.get(w)
+                seen.append(self._look(w) if n is None else n)
+            seen.append(0)
+            ends.append(len(seen) - 1)
+        number = np.array(seen, dtype=np.int64)
+        shaped = (number & 1).astype(bool)
+        shaped[fixed] = True
+        counted = np.ones(len(number), dtype=bool)
+        counted[dropped] = False
+        counted[ends] = False
+        number >>= 1
+        at = np.flatnonzero((number[:-1] > 0) & counted[1:])  # the last word of a pattern, before a counted word
+        one = self._one[number[at]]
+        two = np.full(len(at), -1, dtype=np.int64)
+        if len(self._code):
+            code = np.where(at > 0, number[at - 1], 0) * self._base + number[at]
+            place = np.minimum(np.searchsorted(self._code, code), len(self._code) - 1)
+            two = np.where(self._code[place] == code, self._pair[place], -1)
+        of = np.searchsorted(np.array(ends, dtype=np.int64), at)
+        which = np.concatenate([one, two])
+        ok = which >= 0
+        return np.tile(of, 2)[ok], which[ok], np.tile(shaped[at + 1], 2)[ok]
+
 
 def _count(found: DataFrame, chosen: frozenset[str], text: str) -> DataFrame:
     """pattern, occurrences before any word, and before identifiers; summed in each task first.
 
     A word in which a base span begins is an identifier whatever its shape; a span's further words aren't counted.
-    Texts are counted as (word, next word, shape of the one after) first, and patterns looked up once for each of these.
     """
     sent = found.sparkSession.sparkContext.broadcast(chosen)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = sent.value
-        every: Counter = Counter()
-        hits: Counter = Counter()
-        held: Counter = Counter()
-        normal, shape = _Words(_normal), _Words(lambda w: is_identifier(w.strip(_EDGE)))
-
-        def settle() -> None:
-            for (two, one, shaped), n in held.items():
-                if shaped is None:
-                    continue
-                for p in (one, f"{two} {one}") if two is not None else (one,):
-                    if p in wanted:
-                        every[p] += n
-                        hits[p] += n * shaped
-            held.clear()
-
+        matcher = _Matcher(sent.value)
+        every = np.zeros(len(matcher.names), dtype=np.int64)
+        hits = np.zeros(len(matcher.names), dtype=np.int64)
         for batch in batches:
-            for t, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = t.split() if t else []
-                if len(words) < 2:
-                    continue
-                shapes = [shape[w] for w in words]
-                if listed:
-                    begins, inside = _seed_words(t, listed)
-                    for i in begins:
-                        shapes[i] = True
-                    for i in inside:
-                        shapes[i] = None
-                names = [normal[w] for w in words]
-                held.update(zip([None, *names[:-2]], names[:-1], shapes[1:], strict=True))
-                if len(held) > _HELD:
-                    settle()
-        settle()
-        names = list(every)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([every[p] for p in names], pa.int64()),
-             pa.array([hits[p] for p in names], pa.int64())], names=["pattern", "n", "shaped"])
+            for low in range(0, batch.num_rows, spans.ROWS):
+                _, which, shaped = matcher.find(*(c.to_pylist() for c in batch.slice(low, spans.ROWS).columns))
+                every += np.bincount(which, minlength=len(every))
+                hits += np.bincount(which[shaped], minlength=len(hits))
+        met = np.flatnonzero(every)
+        yield pa.RecordBatch.from_arrays([pa.array([matcher.names[i] for i in met], pa.string()), pa.array(every[met]),
+                                          pa.array(hits[met])], names=["pattern", "n", "shaped"])
 
     counted = found.select(text, "spans").mapInArrow(run, "pattern string, n bigint, shaped bigint")
     return counted.groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("shaped").alias("shaped"))
@@ -255,11 +277,17 @@ def _extract(found: DataFrame, chosen: frozenset[str], text: str, keys: list[str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = sent.value
+        matcher = _Matcher(wanted)
         last = {p.rpartition(" ")[2] for p in wanted}
         for batch in batches:
             rows, out = [], []
-            cells = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text, "spans"))
-            for r, (t, listed) in enumerate(zip(*cells, strict=True)):
+            texts, lists = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text, "spans"))
+            holds: set[int] = set()
+            for low in range(0, len(texts), spans.ROWS):
+                of, _, shaped = matcher.find(texts[low:low + spans.ROWS], lists[low:low + spans.ROWS])
+                holds.update((low + of[shaped]).tolist())
+            for r in sorted(holds):  # the texts in which a chosen pattern precedes an identifier
+                t, listed = texts[r], lists[r]
                 begins, inside = _seed_words(t, listed)
                 for i, (start, end, before) in enumerate(_tokens(t or "")):
                     if not before or _normal(before[-1]) not in last or i in inside:
