@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.operators.hotkeys import tasks_for
 from marketlens.sources.tables import Tables
 
 #: Columns of every canonical view.
@@ -115,12 +116,22 @@ class WarehouseTables(Tables):
         super().__init__(spark, "")
         self.bindings = dict(bindings)
         self._views: dict[str, DataFrame] = {}
+        self._tasks: dict[str, int] = {}
 
     def __getattribute__(self, name: str):
         if name in CANONICAL:
             return object.__getattribute__(self, "_view")(name)
         return object.__getattribute__(self, name)
 
+    def line_tasks(self, view: str) -> int:
+        if view not in self._tasks:
+            self._tasks[view] = tasks_for(self.spark, self._view(view).count())
+        return self._tasks[view]
+
+    def dealt(self, view: str) -> DataFrame:
+        keys = {"channel2": ("order_id", "order_line_id"), "channel3": ("order_id", "article_id")}[view]
+        return self._view(view).repartition(self.line_tasks(view), *keys)
+
     def _view(self, name: str) -> DataFrame:
         if name not in self._views:
             binding = self.bindings.get(name)
