@@ -31,6 +31,9 @@ def shop(spark, tmp_path_factory):
         i.alias("p_partkey"), F.concat(F.lit("part "), i).alias("p_name"), F.concat(F.lit("Brand#"), i % 5).alias("p_brand"),
         F.when(i % 2 == 0, "ECONOMY").otherwise("PROMO").alias("p_type"), (i % 50).cast("int").alias("p_size"),
         i.cast("double").alias("p_retailprice")).write.parquet(f"{d}/part.parquet")
+    spark.range(10).select(
+        i.alias("s_suppkey"), F.concat(F.lit("seller "), i).alias("s_name"), F.lit(1).alias("s_nationkey"),
+        F.lit(1.0).alias("s_acctbal")).write.parquet(f"{d}/supplier.parquet")
     return d
 
 
@@ -43,7 +46,8 @@ def staged_tasks(spark, monkeypatch, shop, source, study, rows_each):
     return dealt, len(spark.table("order_products").inputFiles()), out
 
 
-@pytest.mark.parametrize("source, study", [(cohort.channel2_order_products, cohort.category_study_channel2)])
+@pytest.mark.parametrize("source, study", [(cohort.channel2_order_products, cohort.category_study_channel2),
+                                           (cohort.channel3_order_products, cohort.category_study_channel3)])
 def test_study_tasks_grow_with_the_lines(spark, monkeypatch, shop, source, study):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     _, few_buckets, whole = staged_tasks(spark, monkeypatch, shop, source, study, 1 << 30)
