@@ -78,3 +78,35 @@ def test_named_tables_are_dealt_too(spark, monkeypatch, shop, tmp_path):
     for study in (cohort.study_channel2, cohort.study_channel3):
         assert sorted(map(tuple, study(named).collect())) == sorted(map(tuple, study(plain).collect()))
         assert len(spark.table("order_products").inputFiles()) >= 30
+
+
+def test_snapshot_of_exploded_rows_is_not_broadcast(spark):
+    """Made by exploding a few rows, so its estimate is far below its size."""
+    from marketlens.operators.joins import lookback
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 1 << 20
+    day = dt.date(1996, 1, 1)
+    snap = spark.range(20).select("id", (F.col("id") % 3).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(40))).alias("k")).select(
+        "id", "v", F.date_add(F.lit(day), F.col("k")).alias("d"), F.col("k").alias("price"))
+    base = spark.range(30).select(F.col("id").alias("p"), (F.col("id") % 3).alias("pv"), F.lit(dt.date(1996, 1, 20)).alias("at"))
+    out = lookback(base, snap, "at", (14, 3), "p", "pv", "d", "id", "v", "price")
+    rows = out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert sorted((r.p, r.value_lb14, r.value_lb3) for r in rows) == [(p, 5, 16) if p < 20 else (p, None, None) for p in range(30)]
+
+
+def test_catalogue_broadcasts_nothing_of_a_row_per_product(spark, shop):
+    from marketlens.plans.merch import catalogue, subscription_status
+    t = Tables(spark, shop)
+    out = catalogue(t, subscription_status(t, "partner_a"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [product_id" not in plan and "BroadcastHashJoin [item_id" not in plan
+
+
+def test_daily_prices_are_dealt_out_before_they_are_added_up(spark, shop):
+    from marketlens.plans.merch import daily_listed_price
+    plan = daily_listed_price(Tables(spark, shop))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    added = [i for i, line in enumerate(lines) if "Aggregate" in line]
+    dealt = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 1 and dealt[0] > max(added)  # printed top-down
