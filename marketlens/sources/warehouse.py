@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.operators.hotkeys import tasks_for
+from marketlens.operators.hotkeys import Hot, hot_keys, tasks_for
 from marketlens.sources.tables import Tables
 
 #: Columns of every canonical view.
@@ -128,6 +128,10 @@ class WarehouseTables(Tables):
             self._tasks[view] = tasks_for(self.spark, self._view(view).count())
         return self._tasks[view]
 
+    def hot_products(self, view: str) -> Hot:
+        key = {"lines": "product_id", "channel2": "external_product_id", "channel3": "article_id"}[view]
+        return hot_keys(self._view(view), [key])
+
     def dealt(self, view: str) -> DataFrame:
         keys = {"channel2": ("order_id", "order_line_id"), "channel3": ("order_id", "article_id")}[view]
         return self._view(view).repartition(self.line_tasks(view), *keys)

@@ -1,6 +1,7 @@
 """What one task holds doesn't grow with the input: tasks are as many as the rows need, and large relations aren't broadcast."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +111,28 @@ def test_daily_prices_are_dealt_out_before_they_are_added_up(spark, shop):
     added = [i for i, line in enumerate(lines) if "Aggregate" in line]
     dealt = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
     assert len(dealt) == 1 and dealt[0] > max(added)  # printed top-down
+
+
+@pytest.mark.parametrize("source, view, key", [
+    (cohort.channel1_order_products, "lines", "product_id"), (cohort.channel2_order_products, "channel2", "external_product_id"),
+    (cohort.channel3_order_products, "channel3", "product_id")])
+def test_product_join_is_dealt_by_the_lines(spark, monkeypatch, shop, source, view, key):
+    """Not to the session's shuffle partitions, and a hot product's rows not to one task."""
+    t = Tables(spark, shop)
+    whole = sorted(map(repr, source(t, ["level1"]).collect()))
+    monkeypatch.setattr(hotkeys, "TASK_ROWS", 100)
+    assert not t.hot_products(view).rows
+    spark.conf.set("spark.marketlens.hotRows", "60")
+    try:
+        t = Tables(spark, shop)
+        assert len(t.hot_products(view).rows) > 0
+        salted = source(t, ["level1"])
+    finally:
+        spark.conf.unset("spark.marketlens.hotRows")
+    for op in (source(Tables(spark, shop), ["level1"]), salted):
+        assert sorted(map(repr, op.collect())) == whole and len(whole) > 0
+        plan = op._jdf.queryExecution().executedPlan().toString()
+        dealt = [int(n) for n in re.findall(r"hashpartitioning\(__pid#\d+L?(?:, __salt#\d+L?)?, (\d+)\)", plan)]
+        assert dealt and min(dealt) >= 30 and "LeftOuter" in plan
+        assert not re.search(r"BroadcastHashJoin \[__pid", plan)
+    assert "__salt" in plan
