@@ -1,16 +1,17 @@
 """Language-model scores by online logistic context mixing, beside a word-count baseline.
 
-Shards: texts are dealt to shards of bounded text, tokens and contexts. A shard gives out, for each
-of several contexts (the last three and four bytes; the word so far) and for words,
+Shards: texts are dealt to shards of bounded text, tokens and contexts, and written once, compressed, in buckets of
+shards. A shard gives out, for each of several contexts (the last three and four bytes; the word so far) and for words,
 how often its training texts have each (context, next byte), and the contexts that only its other texts have.
-These are sorted numbers by ranges of hashed contexts, packed as differences.
+These are sorted numbers by ranges of hashed contexts, packed as differences; they are shuffled once and not written.
 
 Training: a range's task adds up the counts of all shards, so the model grows with what was read and no context shares
 a row with another. Bytes are coded by the bits of a Huffman code of the
 training bytes, which needs about half of the eight plain bits; a context's
 counts become one bit predictor for each inner node of that code's tree, kept
 as a stretched probability (log-odds) if it isn't 0. The same task answers every shard with what is
-known of the shard's contexts and tokens. A hot context or token has one number a shard; a range is 32 MB of
+known of the shard's contexts and tokens, in their order: a shard has them in its texts, so they aren't sent back, and
+the answers come to the texts' buckets. A hot context or token has one number a shard; a range is 32 MB of
 the text's contexts, so ranges grow in number, not in size, and a task holds one range or what one shard needs.
 
 Scoring: a text is coded bit by bit, after the bits before. The predictors'
@@ -22,7 +23,7 @@ ones are in blocks of their own. A text's score depends on nothing but the
 text and the model. The score counts an end mark (byte 0).
 
 Baseline: the words of a text and its end, by the corpus counts of the shard's
-tokens.
+tokens. Every range answers every shard with its number of tokens and of distinct ones; a shard adds these up.
 
 Defined cases: A-Z are lower-cased; a null text counts as empty and has one
 token, the end; a null id is training data; repeated rows are scored alike and
@@ -46,7 +47,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from marketlens.llm.decontaminate import expand
-from marketlens.llm.tables import written
+from marketlens.llm.tables import bucketed, written
 from marketlens.llm.textbatch import NOT_SPACE, Block, blocks, mix
 
 CONTEXTS = ("last3", "last4", "word")
@@ -60,8 +61,11 @@ SPREAD = 1 << 16  # contexts whose counts become log-odds at a time
 STEP = 128
 POWERS = 1 << 21  # kept for blocks below this size
 RATE, START, SCALE = 0.006, 0.4, 16
-SHARD_KEYS = 6 << 20  # counted keys and others, before those of a shard's blocks are merged
+SHARD_KEYS = 12 << 20  # keys, as estimated from samples of a shard's blocks
 SHARD_BYTES = 32 << 20
+SAMPLE = 32, 1 << 10  # slices of a block, and bytes of each, that its keys are estimated from
+BUCKET_BYTES = 4 << 20  # training text for each bucket of shards
+MOST_BUCKETS = 50_000  # a bucket then has more shards, one after the other
 END = np.uint64(0x5851F42D4C957F2D)  # the end token's hash
 
 
@@ -199,24 +203,34 @@ def _runs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[edge], np.diff(edge, append=len(at))
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct numbers in order; np.unique hashes them first, which takes longer than sorting."""
+    return _runs(np.sort(x))[0]
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     at, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(at)
+    order = np.argsort(at, kind="stable")  # the parts are in order, so they are merged
     at = at[order]
     edge = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
     return at[edge], np.add.reduceat(n[order], edge) if len(edge) else n
 
 
 def _pack(x: np.ndarray, ordered: bool = False) -> bytes:
-    """Whole numbers (as differences if in order) by planes of equal bytes, compressed."""
+    """Whole numbers (as differences if in order) by planes of equal bytes, as many as the largest needs, compressed."""
     x = x.astype(np.uint64)
-    planes = (np.diff(x, prepend=np.uint64(0)) if ordered else x).view(np.uint8).reshape(-1, 8).T
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    x = np.diff(x, prepend=np.uint64(0)) if ordered else x
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    planes = x.view(np.uint8).reshape(-1, 8).T[:width]
+    return bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes, n: int, ordered: bool = False) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd"), dtype=np.uint8)
-    x = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).reshape(-1)
+    width = data[0]
+    planes = np.frombuffer(pa.decompress(memoryview(data)[1:], decompressed_size=width * n, codec="zstd"), dtype=np.uint8)
+    x = np.zeros((n, 8), dtype=np.uint8)
+    x[:, :width] = planes.reshape(width, n).T
+    x = x.view(np.uint64).reshape(-1)
     return np.cumsum(x, dtype=np.uint64) if ordered else x
 
 
@@ -231,53 +245,82 @@ def _by_range(key: np.ndarray, kind: int, ranges: int) -> Iterator[tuple[int, np
         yield r, order[high - size:high]
 
 
+def _within(key: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each ``x`` is one of the sorted ``key``, and where."""
+    have = np.searchsorted(key, x)
+    hit = have < len(key)
+    hit[hit] = key[have[hit]] == x[hit]
+    return hit, have
+
+
 def _one_shard(held: dict[int, list], more: dict[int, list], ranges: int) -> Iterator[tuple]:
-    """A shard's (kind, range, number and pack of its counted keys, their counts, number and pack of its other keys)."""
+    """A shard's (kind, range, number and pack of its counted keys, their counts, number and pack of its other keys); every range of tokens."""
     for kind, parts in held.items():
         shift = np.uint64(0 if kind == TOKEN else 8)
         at, n = _merged(parts)
-        others = np.unique(np.concatenate(more[kind]))
-        others = others[~np.isin(others, at >> shift)]
-        of_range = {r: [i, others[:0]] for r, i in _by_range(at >> shift, kind, ranges)}
+        others = _distinct(np.concatenate(more[kind]))
+        others = others[~_within(at >> shift, others)[0]]
+        of_range = {r: [slice(0), others[:0]] for r in range(ranges)} if kind == TOKEN else {}
+        of_range |= {r: [i, others[:0]] for r, i in _by_range(at >> shift, kind, ranges)}
         for r, i in _by_range(others, kind, ranges):
             of_range.setdefault(r, [slice(0), others[:0]])[1] = others[i]
         for r, (i, rest) in of_range.items():
             yield (kind, r, len(at[i]), _pack(at[i], True), _pack(n[i]), len(rest), _pack(rest, True))
 
 
-def _closed(rows: pa.RecordBatch) -> bytes:
+def _closed(rows: list[pa.RecordBatch]) -> bytes:
     """The rows, compressed."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-        stream.write_batch(rows)
+    with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        for batch in rows:
+            stream.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def _shards(docs: DataFrame, symbol: np.ndarray, ranges: int) -> DataFrame:
-    """A row for each block of whole texts (``kind`` is null; compressed), and one for each shard, kind and range of keys.
+def _n_keys(block: Block) -> float:
+    """About how many distinct keys a block has, by slices of it."""
+    slices, size = SAMPLE
+    step = max(size, len(block.buf) // slices)
+    part = np.concatenate([np.zeros(5, dtype=np.uint8), *(block.buf[i:i + size] for i in range(0, len(block.buf), step))])
+    keys = sum(len(_distinct(c[5:] << np.uint64(8) | part[5:])) for c in contexts(part))
+    return keys * len(block.buf) / max(1, len(part) - 5)
+
+
+def _shards(docs: DataFrame) -> DataFrame:
+    """A row for each shard: its name and whole texts (doc_id, held_out, text), compressed."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            shard = uuid.uuid4().hex  # the rows are written once, so a repeated task's name doesn't matter
+            return pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([_closed(texts)], pa.binary())], names=["shard", "texts"])
+
+        texts, size, n_bytes = [], 0, 0
+        for block in blocks(batches, "text"):
+            texts.append(block.rows)
+            size += _n_keys(block)
+            n_bytes += len(block.buf) + block.n
+            if size >= SHARD_KEYS or n_bytes >= SHARD_BYTES:
+                yield flush()
+                texts, size, n_bytes = [], 0, 0
+        if texts:
+            yield flush()
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, "shard string, texts binary")
+
+
+def _packs(shards: DataFrame, symbol: np.ndarray, ranges: int) -> DataFrame:
+    """A row for each shard, kind and range of keys.
 
     ``keys`` are the training texts' (context * 256 + next symbol), or the hashes of their tokens, with ``counts``;
     ``others`` are the contexts, or tokens, that only the shard's other texts have.
     """
     schema = T.StructType([
-        T.StructField("shard", T.StringType()), T.StructField("texts", T.BinaryType()), T.StructField("kind", T.IntegerType()), T.StructField("range", T.IntegerType()),
+        T.StructField("shard", T.StringType()), T.StructField("kind", T.IntegerType()), T.StructField("range", T.IntegerType()),
         *(T.StructField(c, T.LongType() if c[0] == "n" else T.BinaryType()) for c in ("n_keys", "keys", "counts", "n_others", "others"))])
     arrow = to_arrow_schema(schema)
 
-    def flush(texts: list, held: dict[int, list], more: dict[int, list]) -> Iterator[pa.RecordBatch]:
-        shard = uuid.uuid4().hex  # the rows are written once, so a repeated task's name doesn't matter
-        every = [(shard, rows, *[None] * (len(arrow) - 2)) for rows in texts]
-        every.extend((shard, None, *row) for row in _one_shard(held, more, ranges))
-        for row in every:
-            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], names=arrow.names)
-
-    def empty() -> tuple[list, dict[int, list], dict[int, list], int]:
-        return [], {k: [] for k in range(TOKEN + 1)}, {k: [] for k in range(TOKEN + 1)}, 0
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, held, more, size = empty()
-        n_bytes = 0
-        for block in blocks(batches, "text", lower=True):
+    def keys(texts: pa.Scalar) -> tuple[dict[int, list], dict[int, list]]:
+        held, more = ({k: [] for k in range(TOKEN + 1)} for _ in range(2))
+        for block in blocks(pa.ipc.open_stream(texts.as_buffer()), "text", lower=True):
             flat, begin, length = layout(block)
             place = _coded(begin, length)
             learned = ~block.rows.column(1).to_numpy(zero_copy_only=False)
@@ -285,23 +328,20 @@ def _shards(docs: DataFrame, symbol: np.ndarray, ranges: int) -> DataFrame:
             of = symbol[flat[place]].astype(np.uint64)[learn]
             for kind, context in enumerate(contexts(flat)):
                 held[kind].append(_runs(np.sort(context[place[learn]] << np.uint64(8) | of)))
-                more[kind].append(np.unique(context[place[~learn]]))
-                size += len(held[kind][-1][0]) + len(more[kind][-1])
+                more[kind].append(_distinct(context[place[~learn]]))
             hashes, n = _tokens(block)
             learn = np.repeat(learned, n)
             held[TOKEN].append(_runs(np.sort(hashes[learn])))
-            more[TOKEN].append(np.unique(hashes[~learn]))
-            size += len(held[TOKEN][-1][0]) + len(more[TOKEN][-1])
-            texts.append(_closed(block.rows))
-            n_bytes += len(block.buf)
-            if size >= SHARD_KEYS or n_bytes >= SHARD_BYTES:
-                yield from flush(texts, held, more)
-                texts, held, more, size = empty()
-                n_bytes = 0
-        if texts:
-            yield from flush(texts, held, more)
+            more[TOKEN].append(_distinct(hashes[~learn]))
+        return held, more
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, texts in zip(*batch.columns, strict=True):
+                for row in _one_shard(*keys(texts), ranges):
+                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((shard.as_py(), *row), arrow, strict=True)], names=arrow.names)
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
+    return shards.select("shard", "texts").mapInArrow(run, schema)
 
 
 def _added(group: pa.Table) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray]]:
@@ -330,10 +370,10 @@ def _ranges(total: int) -> int:
     return max(8, -(-total // RANGE_BYTES))
 
 
-def _packs(docs: DataFrame, text: str, symbol: np.ndarray, ranges: int) -> DataFrame:
+def _training(docs: DataFrame, text: str, symbol: np.ndarray, ranges: int) -> DataFrame:
     """The packs of training texts."""
     named = docs.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(False).alias("held_out"), F.col(text).alias("text"))
-    return _shards(named, symbol, ranges).where(F.col("kind") < TOKEN).drop("texts")
+    return _packs(_shards(named), symbol, ranges).where(F.col("kind") < TOKEN)
 
 
 def count_contexts(docs: DataFrame, text: str, symbol: np.ndarray, ranges: int = 8) -> DataFrame:
@@ -343,7 +383,7 @@ def count_contexts(docs: DataFrame, text: str, symbol: np.ndarray, ranges: int =
         return pa.table([group["kind"].take(pa.array(np.zeros(len(at), dtype=np.int64))), pa.array((at >> np.uint64(8)).astype(np.int64)),
                          pa.array((at & np.uint64(255)).astype(np.int32)), pa.array(n)], names=["kind", "key", "symbol", "n"])
 
-    added = _packs(docs, text, symbol, ranges).groupBy("kind", "range").applyInArrow(add, "kind int, key bigint, symbol int, n bigint")
+    added = _training(docs, text, symbol, ranges).groupBy("kind", "range").applyInArrow(add, "kind int, key bigint, symbol int, n bigint")
     return added.groupBy("kind", "key").agg(F.collect_list(F.struct("symbol", "n")).alias("next"))
 
 
@@ -362,47 +402,72 @@ def train(docs: DataFrame, text: str) -> tuple[Code, DataFrame]:
         return pa.table([group["kind"].take(pa.array(np.zeros(len(known.key), dtype=np.int64))), pa.array(known.key.astype(np.int64)),
                          _binary(known.at, known.node), _binary(known.at, known.odds)], names=["kind", "key", "nodes", "odds"])
 
-    packs = _packs(docs, text, code.symbol, _ranges(int(counts.sum())))
+    packs = _training(docs, text, code.symbol, _ranges(int(counts.sum())))
     rows = packs.groupBy("kind", "range").applyInArrow(model, "kind int, key bigint, nodes binary, odds binary")
     return code, written(rows, "model")
 
 
-#: What a range's task answers to a shard: packs of the (context * 256 + next symbol), or tokens, and their counts.
+#: What a range's task answers to a shard, for each of its contexts there, in order: how many symbols were seen after it, these
+#: and their counts; of its tokens only the counts, with the number of all training tokens of the range and of distinct ones.
 ANSWER = T.StructType([
-    T.StructField("shard", T.StringType()), T.StructField("kind", T.IntegerType()), T.StructField("n", T.LongType()),
-    T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+    T.StructField("shard", T.StringType()), T.StructField("kind", T.IntegerType()), T.StructField("range", T.IntegerType()),
+    *(T.StructField(c, T.LongType() if c[0] == "n" else T.BinaryType()) for c in ("n", "sizes", "n_counts", "symbols", "counts", "n_all", "n_distinct"))])
 
 
 def _answers(group: pa.Table) -> pa.Table:
-    """An answer to each shard of one kind and range; for tokens, one to no shard with the number of distinct training tokens."""
+    """An answer to each shard of one kind and range."""
     parts, (at, n) = _added(group)
     kind = group["kind"][0].as_py()
     shift = np.uint64(0 if kind == TOKEN else 8)
     model, sizes = _runs(at >> shift)
     end = np.cumsum(sizes)
-    rows = [(None, kind, len(at), None, None)] if kind == TOKEN else []
-    for (mine, _), r in zip(parts, group.select(["shard", "n_others", "others"]).to_pylist(), strict=True):
+    rows = []
+    for (mine, _), r in zip(parts, group.select(["shard", "range", "n_others", "others"]).to_pylist(), strict=True):
         key = np.sort(np.concatenate([_runs(mine >> shift)[0], _unpack(r["others"], r["n_others"], True)]))
-        have = np.searchsorted(model, key)
-        hit = have < len(model)
-        hit[hit] = model[have[hit]] == key[hit]
+        hit, have = _within(model, key)
         have = have[hit]
-        step, _ = expand(end[have] - sizes[have], end[have])
-        pairs, counts = at[step], n[step]
-        if kind == TOKEN and not hit.all():  # the scores need unknown tokens, too
-            order = np.argsort(np.concatenate([pairs, key[~hit]]))
-            pairs = np.concatenate([pairs, key[~hit]])[order]
-            counts = np.concatenate([counts, np.zeros(len(order) - len(counts), dtype=np.int64)])[order]
-        rows.append((r["shard"], kind, len(pairs), _pack(pairs, True), _pack(counts)))
+        own = np.zeros(len(key), dtype=np.int64)
+        own[hit] = n[have] if kind == TOKEN else sizes[have]
+        row = r["shard"], kind, r["range"], len(key)
+        if kind == TOKEN:  # the scores need unknown tokens, too
+            rows.append((*row, None, len(own), None, _pack(own), int(n.sum()), len(at)))
+        else:
+            step, _ = expand(end[have] - sizes[have], end[have])
+            rows.append((*row, _pack(own), len(step), _pack(at[step] & np.uint64(255)), _pack(n[step]), None, None))
     arrow = to_arrow_schema(ANSWER)
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
 
-def _opened(answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of one shard and kind, in order, and their counts."""
-    at = np.concatenate([np.zeros(0, dtype=np.uint64), *(_unpack(a["keys"], a["n"], True) for a in answers)])
-    n = np.concatenate([np.zeros(0, dtype=np.int64), *(_unpack(a["counts"], a["n"]).astype(np.int64) for a in answers)])
-    order = np.argsort(at)
+def _own(texts: pa.Table) -> list[np.ndarray]:
+    """The distinct contexts of each kind, and the tokens, of a shard's texts, in order: what it was answered for."""
+    own: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.uint64)] for _ in range(TOKEN + 1)]
+    for block in blocks(texts.to_batches(), "text", lower=True):
+        flat, begin, size = layout(block)
+        place = _coded(begin, size)
+        for kind, context in enumerate(contexts(flat)):
+            own[kind].append(_distinct(context[place]))
+        own[TOKEN].append(_distinct(_tokens(block)[0]))
+    return [_distinct(np.concatenate(x)) for x in own]
+
+
+def _opened(answers: list[dict], kind: int, own: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The (context * 256 + next symbol) known for one kind of a shard's contexts, or its tokens, in order, and their counts."""
+    of_range = {a["range"]: a for a in answers}
+    parts = []
+    for r, i in _by_range(own, kind, ranges):
+        a = of_range.pop(r)
+        if a["n"] != len(i):
+            raise ValueError(f"range {r} of kind {kind} answers {a['n']} keys of a shard's {len(i)}")
+        at, counts = own[i], _unpack(a["counts"], a["n_counts"]).astype(np.int64)
+        if kind < TOKEN:
+            at = np.repeat(at, _unpack(a["sizes"], a["n"]).astype(np.int64)) << np.uint64(8) | _unpack(a["symbols"], a["n_counts"])
+        parts.append((at, counts))
+    if not parts:
+        return own, np.zeros(0, dtype=np.int64)
+    at, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if kind in HASHED:  # ranges are in their keys' order
+        return at, n
+    order = np.argsort(at, kind="stable")
     return at[order], n[order]
 
 
@@ -534,13 +599,14 @@ def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.bincount(row, minlength=block.n) + 1
 
 
-def _score_shard(packed: pa.Table, known: pa.Table, code: Code, total: int, kinds: int, schema: pa.Schema) -> pa.Table:
+def _score_shard(packed: pa.Table, known: pa.Table, code: Code, ranges: int, schema: pa.Schema) -> pa.Table:
     """Scores and baseline scores of one shard's texts, from what is known of its contexts and tokens."""
     if not packed.num_rows:
         return schema.empty_table()
     texts = pa.concat_tables([pa.ipc.open_stream(rows.as_buffer()).read_all() for rows in packed["texts"]])
     answers = known.to_pylist()
-    of_kind = [_opened([a for a in answers if a["kind"] == kind]) for kind in range(TOKEN + 1)]
+    total, kinds = (sum(a[c] for a in answers if a["kind"] == TOKEN) for c in ("n_all", "n_distinct"))
+    of_kind = [_opened([a for a in answers if a["kind"] == kind], kind, own, ranges) for kind, own in enumerate(_own(texts))]
     model = code, [Rows.of(Known(*of_kind[kind], code)) for kind in range(TOKEN)]
     token, counts = of_kind[TOKEN]
     logs = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
@@ -561,29 +627,15 @@ def _score_shard(packed: pa.Table, known: pa.Table, code: Code, total: int, kind
     return pa.concat_tables(out)
 
 
-def _n_tokens(shards: DataFrame) -> int:
-    """All training tokens."""
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(int(_unpack(r["counts"], r["n_keys"]).sum()) for batch in batches for r in batch.to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
-
-    packs = shards.where(F.col("kind") == TOKEN).select("n_keys", "counts")
-    return packs.mapInArrow(add, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-
-
 def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of every row."""
     named = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
     seen = count_bytes(named.where(~F.col("held_out")), "text")
     code = Code(seen)
-    shards = written(_shards(named, code.symbol, _ranges(int(seen.sum()))), "shards")
-    packs = shards.where("kind is not null").drop("texts")
-    tokens = written(packs.where(F.col("kind") == TOKEN).groupBy("kind", "range").applyInArrow(_answers, ANSWER), "tokens")
-    kinds = tokens.where("shard is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    total = _n_tokens(shards)
-    known = packs.where(F.col("kind") < TOKEN).groupBy("kind", "range").applyInArrow(_answers, ANSWER)
-    known = known.union(tokens.where("shard is not null"))
-    texts = shards.where("kind is null").select("shard", "texts")
+    ranges = _ranges(int(seen.sum()))
+    buckets = min(MOST_BUCKETS, max(8, -(-int(seen.sum()) // BUCKET_BYTES)))
+    shards = bucketed(_shards(named), "shards", "shard", buckets)
+    known = _packs(shards, code.symbol, ranges).groupBy("kind", "range").applyInArrow(_answers, ANSWER)
     out = T.StructType([
         T.StructField("doc_id", named.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
         *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")),
@@ -591,6 +643,6 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     arrow = to_arrow_schema(out)
 
     def of_shard(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score_shard(left, right, code, total, kinds, arrow)
+        return _score_shard(left, right, code, ranges, arrow)
 
-    return texts.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(of_shard, out)
+    return shards.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(of_shard, out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like ``written``, each task's rows in files by bucket of ``key``: what groups or joins by it reads them without a shuffle."""
+    spark = df.sparkSession
+    table = f"marketlens_{name}_{os.urandom(6).hex()}"
+    df.write.option("path", scratch_path(spark, name)).bucketBy(buckets, key).saveAsTable(table)
+    return spark.table(table)
+
+
 #: Bytes of a batch that Spark hands to a Python worker, where the session sets none.
 BATCH_BYTES = 4 << 20
 

@@ -2,9 +2,11 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from marketlens.llm import lm_score
@@ -213,3 +215,49 @@ def test_packs_and_unpacks():
     for x in (np.zeros(0, dtype=np.uint64), np.array([5, 5, 7, 2 ** 64 - 1], dtype=np.uint64), np.arange(9, dtype=np.uint64) << np.uint64(40)):
         assert lm_score._unpack(lm_score._pack(x, True), len(x), True).tolist() == x.tolist()
         assert lm_score._unpack(lm_score._pack(x[::-1]), len(x)).tolist() == x[::-1].tolist()
+
+
+def test_texts_and_packs_are_on_disk_once(spark):
+    """Only the shards' texts are written; their buckets are read without a shuffle, and packs and answers are shuffled once each."""
+    words = [f"{i * 7919 % 100003:x}" for i in range(20_000)]
+    rows = [(i, " ".join(words[i * 100:i * 100 + 300])) for i in range(200)]
+    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange ") == 2
+    files = [f.split("file:")[-1] for f in got.inputFiles()]
+    assert files and {n for f in files for n in pq.read_schema(f).names} == {"shard", "texts"}
+    text = sum(len(t) for _, t in rows)
+    assert sum(Path(f).stat().st_size for f in files) < text
+    assert got.count() == len(rows)
+
+
+def test_answers_are_in_the_contexts_order(spark, monkeypatch):
+    """Any number of ranges, more than a shard has tokens too, gives the same scores; texts that nothing was learned from as well."""
+    rng = np.random.default_rng(13)
+    words = ["alpha", "Beta", "d", "été", "x1", "alphabet"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 30)))) for i in range(40)] + [(None, None), (41, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    few = sorted(map(str, lm_score.score(table).collect()))
+    monkeypatch.setattr(lm_score, "_ranges", lambda total: 61)
+    assert sorted(map(str, lm_score.score(table).collect())) == few
+    unseen = [(d, t) for d, t in rows if d is not None and zlib.crc32(str(d).encode()) % 5 == 1]
+    alone = lm_score.score(spark.createDataFrame(unseen, "doc_id long, text string")).collect()
+    assert len(alone) == len(unseen) and {(r.train_tokens, r.n_known) for r in alone} == {(0, 0)}
+    assert lm_score.score(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_answers_hold_no_keys():
+    """A shard gets back the counts of its contexts in their order, not the contexts."""
+    rng = np.random.default_rng(17)
+    own = np.unique(rng.integers(0, 1 << 56, 3000, dtype=np.uint64))
+    mine, others = own[::2], own[1::2]
+    row = {"shard": "a", "kind": 2, "range": 0, "n_keys": len(mine), "keys": lm_score._pack(mine << np.uint64(8) | np.uint64(7), True),
+           "counts": lm_score._pack(np.full(len(mine), 300)), "n_others": len(others), "others": lm_score._pack(others, True)}
+    both = np.sort(np.concatenate([mine[:5], others[:5]])) << np.uint64(8) | np.uint64(9)
+    more = row | {"shard": "b", "n_keys": len(both), "keys": lm_score._pack(both, True), "counts": lm_score._pack(np.ones(len(both))), "n_others": 0,
+                  "others": lm_score._pack(own[:0], True)}
+    answer = lm_score._answers(pa.Table.from_pylist([row, more])).to_pylist()[0]
+    assert sum(len(answer[c]) for c in ("sizes", "symbols", "counts")) < 2 * len(own)  # the keys alone would take six bytes each
+    at, n = lm_score._opened([answer], 2, own, 1)
+    want = {(c << 8) | 7: 300 for c in mine.tolist()} | {b: 1 for b in both.tolist()}
+    assert dict(zip(at.tolist(), n.tolist(), strict=True)) == want and at.tolist() == sorted(want)
