@@ -14,7 +14,8 @@ known of the shard's contexts and tokens, in their order: a shard has them in it
 the answers come to the texts' buckets. A hot context or token has one number a shard; a range is 32 MB of
 the text's contexts, so ranges grow in number, not in size, and a task holds one range or what one shard needs.
 
-Scoring: a text is coded bit by bit, after the bits before. The predictors'
+Scoring: a text is coded bit by bit, after the bits before. A shard's distinct (contexts, next byte) are
+looked up once, and their bits are put in a row for each text. The predictors'
 log-odds are combined with the weights of a gate (whether a word is under
 way); after each ``STEP`` bits of a gate its weights are refined by the gradient of
 the coding cost in that text. All texts of a block move in step, so the work
@@ -59,16 +60,27 @@ RANGE_BYTES = 32 << 20  # training text for each range of contexts
 DENSE = 1 << 18  # contexts whose predictors are spread out at a time
 SPREAD = 1 << 16  # contexts whose counts become log-odds at a time
 STEP = 128
+PLACES, FEW_PLACES = 1 << 17, 1 << 14  # distinct places whose bits are coded at a time, and places whose bits are put in a row
 POWERS = 1 << 21  # kept for blocks below this size
 RATE, START, SCALE = 0.006, 0.4, 16
 SHARD_KEYS = 12 << 20  # keys, as estimated from samples of a shard's blocks
 SHARD_BYTES = 32 << 20
+MIXED_BYTES = 15 << 17  # text of a block that is scored; with its zeros it is below POWERS
+STREAMS = 1 << 9  # mixed in step
 SAMPLE = 32, 1 << 10  # slices of a block, and bytes of each, that its keys are estimated from
 BUCKET_BYTES = 4 << 20  # training text for each bucket of shards
 MOST_BUCKETS = 50_000  # a bucket then has more shards, one after the other
 END = np.uint64(0x5851F42D4C957F2D)  # the end token's hash
 
 
+def _order(x: np.ndarray) -> np.ndarray:
+    """The stable order of whole numbers from 0; sorting numbers with their places takes a third of np.argsort's time."""
+    n = max(1, len(x) - 1).bit_length()
+    if int(x.max(initial=0)) >> (63 - n):
+        return np.argsort(x, kind="stable")
+    return np.sort(x << n | np.arange(len(x))) & ((1 << n) - 1)
+
+
 class Code:
     """A Huffman code of bytes: for each byte, the tree nodes on its way and the bits taken there.
 
@@ -114,7 +126,7 @@ class Code:
         byte = self.byte[symbol]
         step, of = expand(self.at[byte], self.at[byte + 1])
         at = row[of] * SYMBOLS + self.node[step]
-        order = np.argsort(at)
+        order = _order(at)
         at, n = at[order], n[of][order]
         zero = np.where(self.sign[step][order] > 0, n, 0)
         edge = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
@@ -123,7 +135,8 @@ class Code:
         every, zero = np.add.reduceat(n, edge), np.add.reduceat(zero, edge)
         odds = np.clip(np.rint(np.log((every - zero + 0.4) / (zero + 0.4)) * SCALE), -127, 127).astype(np.int8)
         keep = np.flatnonzero(odds)
-        return at[edge[keep]] // SYMBOLS, at[edge[keep]] % SYMBOLS, odds[keep]
+        at = at[edge[keep]]
+        return at >> 8, at & 255, odds[keep]
 
     def stretch(self, counts: np.ndarray) -> np.ndarray:
         """Scaled log-odds of bit 1 at each node (columns) from the symbol counts of each context (rows)."""
@@ -155,26 +168,40 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.cumprod(np.full(n, x, dtype=np.uint64)) for x in (odd, pow(odd, -1, 1 << 64)))
 
 
+class Before:
+    """What is before each place of a block: the last four bytes, and the word so far (since the last space or text start)."""
+
+    def __init__(self, flat: np.ndarray):
+        n = len(flat)
+        self.last4 = np.zeros(n, dtype=np.uint64)
+        self.last4[4:] = np.ndarray(max(0, n - 4), ">u4", flat, strides=(1,))
+        self.inside = NOT_SPACE[flat] & (flat != 0)
+        power, self.back = _powers(POWERS) if n < POWERS else _powers.__wrapped__(n + 1)
+        self.total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[:n], out=self.total[1:])
+
+    def word(self, first: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """56 bits of the hash of the word so far, from its first place."""
+        word = (self.total[place] - self.total[first]) * self.back[first] + (place - first).astype(np.uint64)
+        return mix(word) >> np.uint64(8)
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """First place and end of every whole word of four bytes or more; a zero is before and after the texts."""
+        edge = np.flatnonzero(self.inside[1:] != self.inside[:-1]) + 1
+        long = np.flatnonzero(edge[1::2] - edge[::2] >= 4)
+        return edge[::2][long], edge[1::2][long]
+
+
 def contexts(flat: np.ndarray) -> list[np.ndarray]:
     """For each kind, the context before each place: the bytes themselves, or 56 bits of the word's hash."""
-    wide = flat.astype(np.uint64)
-    out, packed = [], np.zeros(len(flat), dtype=np.uint64)
-    for n in range(1, 5):
-        packed[n:] |= wide[:-n] << np.uint64(8 * (n - 1))
-        if n > 2:
-            out.append(packed.copy())
-    # the word so far: a hash of the bytes since the last space or text start
-    inside = NOT_SPACE[flat] & (flat != 0)
-    place = np.arange(len(flat))
-    since = np.maximum.accumulate(np.where(inside, -1, place))
-    power, back = _powers(POWERS) if len(flat) < POWERS else _powers.__wrapped__(len(flat) + 1)
-    total = np.zeros(len(flat) + 1, dtype=np.uint64)
-    np.cumsum((wide + np.uint64(1)) * power[:len(flat)], out=total[1:])
+    before, place = Before(flat), np.arange(len(flat))
     first = np.zeros(len(flat), dtype=np.int64)  # start of the word that the place before belongs to
-    first[1:] = since[:-1] + 1
-    word = (total[place] - total[first]) * back[first] + (place - first).astype(np.uint64)
-    out.append(mix(word) >> np.uint64(8))
-    return out
+    first[1:] = np.maximum.accumulate(np.where(before.inside, -1, place))[:-1] + 1
+    return _of_kinds(before.last4, before.word(first, place))
+
+
+def _of_kinds(last4: np.ndarray, word: np.ndarray) -> list[np.ndarray]:
+    return [last4 & np.uint64((1 << 24) - 1), last4, word]
 
 
 def _coded(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -182,6 +209,94 @@ def _coded(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
+def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys as they come, and the number of each key's."""
+    coded = pa.array(key).dictionary_encode()
+    return coded.dictionary.to_numpy(), coded.indices.to_numpy()
+
+
+class Places:
+    """The distinct (contexts, next byte) of a shard's places, and the number of each place's.
+
+    A word so far of four bytes or more tells the last four bytes, and these tell a shorter word; so all that depends
+    on a place's contexts is found once for all places alike. Places after four bytes of a word are numbered by whole words,
+    each with the byte after it; the others by the last four bytes.
+    """
+
+    def __init__(self, texts: Iterable[Block]):
+        #: Each block's texts' numbers of places, and these places' numbers in the block.
+        self.size: list[np.ndarray] = []
+        self.number: list[np.ndarray] = []
+        none = np.zeros(0, dtype=np.uint64)
+        parts = [(none, none, none, none.astype(np.int64), none.astype(np.uint8)), *map(self._block, texts)]
+        short, word, tail, size, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
+        short, of_short = _numbered(short)
+        self.word = np.zeros(len(short), dtype=np.uint64)
+        self.word[of_short] = word
+        # the distinct words in one text; a word's number here is that of its fifth place
+        tail, of_tail = _numbered(tail)
+        one = np.empty(len(tail), dtype=np.int64)
+        one[of_tail] = np.arange(len(of_tail))
+        flat = np.append(np.zeros(4, dtype=np.uint8), flat[expand((np.cumsum(size) - size)[one], np.cumsum(size)[one])[0]])
+        before, stop = Before(flat), np.cumsum(size[one]) + 4
+        place, of = expand(stop - size[one] + 4, stop)
+        begin = np.cumsum(size[one] - 4) - (size[one] - 4)
+        long, of_long = _numbered(before.word((stop - size[one])[of], place) << np.uint64(8) | flat[place])
+        at = np.empty(len(long), dtype=np.int64)
+        at[of_long] = place  # any of those alike
+        key = np.concatenate([short, long])
+        self.n = len(key)
+        self.byte = (key & np.uint64(255)).astype(np.uint8)
+        self.last4 = np.concatenate([short >> np.uint64(8), before.last4[at]])
+        self.word = np.concatenate([self.word, long >> np.uint64(8)])
+        last = (self.last4 & np.uint64(255)).astype(np.uint8)
+        self.under_way = NOT_SPACE[last] & (last != 0)
+        #: Each block's distinct places among the shard's.
+        self.of: list[np.ndarray] = []
+        i = j = 0
+        for low, _, high, n, _ in parts[1:]:
+            first = begin[of_tail[j:j + len(high)]]
+            self.of.append(np.concatenate([of_short[i:i + len(low)], of_long[expand(first, first + n - 4)[0]] + np.int32(len(short))]))
+            i, j = i + len(low), j + len(high)
+
+    def _block(self, block: Block) -> tuple[np.ndarray, ...]:
+        """A block's distinct last four bytes with the next one, the words so far; its distinct words as numbers, their lengths and bytes, with the next."""
+        flat, begin, size = layout(block)
+        before = Before(flat)
+        first, stop = before.words()
+        tail, of_tail = _numbered(before.word(first, stop) << np.uint64(8) | flat[stop])
+        one = np.empty(len(tail), dtype=np.int64)
+        one[of_tail] = np.arange(len(of_tail))
+        length = stop[one] - first[one] + 1
+        coded = np.ones(len(flat), dtype=bool)
+        for i in range(1, 5):
+            coded[begin - i] = False
+        n = stop - first - 3
+        long = np.repeat(first + 4 - np.cumsum(n) + n, n)
+        long += np.arange(len(long))
+        is_short = coded.copy()
+        is_short[long] = False
+        short = np.flatnonzero(is_short)
+        low, of_low = _numbered(before.last4[short] << np.uint64(8) | flat[short])
+        number = np.empty(len(flat), dtype=np.int32)
+        number[short] = of_low
+        at = len(low) + np.cumsum(length - 4) - (length - 4)
+        number[long] = long + np.repeat(at[of_tail] - first - 4, n)
+        number = number[coded]
+        place = np.empty(len(low), dtype=np.int64)
+        place[of_low] = short  # any of those alike
+        so_far, under_way = np.zeros(len(low), dtype=np.int64), np.ones(len(low), dtype=bool)
+        for i in range(1, 4):
+            under_way &= before.inside[place - i]
+            so_far += under_way
+        self.size.append(size)
+        self.number.append(number)
+        return low, before.word(place - so_far, place), tail, length, flat[expand(first[one], stop[one] + 1)[0]]
+
+    def contexts(self) -> list[np.ndarray]:
+        return _of_kinds(self.last4, self.word)
+
+
 def count_bytes(docs: DataFrame, text: str) -> np.ndarray:
     """How often each byte is coded; 256 numbers, whatever the corpus."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,6 +331,13 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return at[edge], np.add.reduceat(n[order], edge) if len(edge) else n
 
 
+def _counted(at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in order, and the sum of each one's counts."""
+    at, of = _numbered(at)
+    order = np.argsort(at)
+    return at[order], np.bincount(of, weights=n, minlength=len(at)).astype(np.int64)[order]  # exact below 2^53
+
+
 def _pack(x: np.ndarray, ordered: bool = False) -> bytes:
     """Whole numbers (as differences if in order) by planes of equal bytes, as many as the largest needs, compressed."""
     x = x.astype(np.uint64)
@@ -325,10 +447,15 @@ def _packs(shards: DataFrame, symbol: np.ndarray, ranges: int) -> DataFrame:
             place = _coded(begin, length)
             learned = ~block.rows.column(1).to_numpy(zero_copy_only=False)
             learn = np.repeat(learned, length)
-            of = symbol[flat[place]].astype(np.uint64)[learn]
-            for kind, context in enumerate(contexts(flat)):
-                held[kind].append(_runs(np.sort(context[place[learn]] << np.uint64(8) | of)))
-                more[kind].append(_distinct(context[place[~learn]]))
+            seen, other = place[learn], place[~learn]
+            of = symbol[flat[seen]].astype(np.uint64)
+            _, *wide = contexts(flat)
+            for kind, context in enumerate(wide, 1):
+                held[kind].append(_runs(np.sort(context[seen] << np.uint64(8) | of)))
+                more[kind].append(_distinct(context[other]))
+            at, n = held[1][-1]  # the last four bytes and the next one hold the last three
+            held[0].append(_counted(at & np.uint64(2 ** 32 - 1), n))
+            more[0].append(_distinct(more[1][-1] & np.uint64(2 ** 24 - 1)))
             hashes, n = _tokens(block)
             learn = np.repeat(learned, n)
             held[TOKEN].append(_runs(np.sort(hashes[learn])))
@@ -357,13 +484,25 @@ class Known:
     def __init__(self, at: np.ndarray, n: np.ndarray, code: Code):
         self.key, symbols = _runs(at >> np.uint64(8))
         row = np.repeat(np.arange(len(self.key)), symbols)
-        cut = np.searchsorted(row, np.arange(0, len(self.key), SPREAD)).tolist()
-        parts = [code.odds(row[low:high], (at[low:high] & np.uint64(255)).astype(np.int64), n[low:high])
-                 for low, high in zip(cut, [*cut[1:], len(row)], strict=False)]  # none of no contexts
+        symbol = (at & np.uint64(255)).astype(np.int64)
+        one = np.repeat(symbols == 1, symbols)
+        some = np.flatnonzero(~one)
+        cut = np.searchsorted(row[some], np.arange(0, len(self.key), SPREAD)).tolist()
+        parts = [code.odds(row[i], symbol[i], n[i])
+                 for i in (some[low:high] for low, high in zip(cut, [*cut[1:], len(some)], strict=False))]  # none of no contexts
         none = np.zeros(0, dtype=np.int64)
-        row, node, self.odds = (np.concatenate(x) for x in zip(*parts, (none, none, none.astype(np.int8)), strict=True))
-        self.at = np.searchsorted(row, np.arange(len(self.key) + 1))
-        self.node = node.astype(np.uint8)
+        several, node, odds = (np.concatenate(x) for x in zip(*parts, (none, none, none.astype(np.int8)), strict=True))
+        # after the other contexts is always the same byte, so the odds are alike at all its nodes
+        byte, always = code.byte[symbol[one]], n[one]
+        step, of = expand(code.at[byte], code.at[byte + 1])
+        sure = np.minimum(np.rint(np.log((always + 0.4) / 0.4) * SCALE), 127).astype(np.int8)
+        length = np.bincount(several, minlength=len(self.key))
+        length[row[one]] = np.diff(code.at)[byte]
+        self.at = np.append(0, np.cumsum(length))
+        alone = np.repeat(symbols == 1, length)
+        self.node, self.odds = np.empty(len(alone), dtype=np.uint8), np.empty(len(alone), dtype=np.int8)
+        self.node[~alone], self.odds[~alone] = node, odds
+        self.node[alone], self.odds[alone] = code.node[step], sure[of] * -code.sign[step]
 
 
 def _ranges(total: int) -> int:
@@ -438,18 +577,6 @@ def _answers(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
 
-def _own(texts: pa.Table) -> list[np.ndarray]:
-    """The distinct contexts of each kind, and the tokens, of a shard's texts, in order: what it was answered for."""
-    own: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.uint64)] for _ in range(TOKEN + 1)]
-    for block in blocks(texts.to_batches(), "text", lower=True):
-        flat, begin, size = layout(block)
-        place = _coded(begin, size)
-        for kind, context in enumerate(contexts(flat)):
-            own[kind].append(_distinct(context[place]))
-        own[TOKEN].append(_distinct(_tokens(block)[0]))
-    return [_distinct(np.concatenate(x)) for x in own]
-
-
 def _opened(answers: list[dict], kind: int, own: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
     """The (context * 256 + next symbol) known for one kind of a shard's contexts, or its tokens, in order, and their counts."""
     of_range = {a["range"]: a for a in answers}
@@ -533,47 +660,81 @@ def _predictors(table: Rows | np.ndarray, context: np.ndarray, node: np.ndarray,
     return table.take(np.repeat(slot.astype(np.int64) * SYMBOLS, bits) + node)
 
 
+class Coded:
+    """The bits of each distinct place, one after the other: four small numbers for each, the inputs and a constant, by the bit's sign, moved as one."""
+
+    def __init__(self, places: Places, code: Code, tables: list[Rows | np.ndarray]):
+        n_bits = (code.at[1:] - code.at[:-1])[places.byte]
+        first = np.cumsum(n_bits) - n_bits
+        #: Each one's first bit, gate and number of bits (at most 255), read as one.
+        self.at = first << 9 | places.under_way.astype(np.int64) << 8 | n_bits
+        self.inputs = np.empty(int(n_bits.sum()), dtype=np.uint32)
+        found = places.contexts()
+        order = _order((places.word >> np.uint64(24)).astype(np.int64))  # what is known of words is read about in its order
+        for low in range(0, places.n, PLACES):
+            some = order[low:low + PLACES]
+            byte, bits = places.byte[some].astype(np.int64), n_bits[some]
+            step, of = expand(code.at[byte], code.at[byte + 1])
+            node, sign = code.node[step], code.sign[step]
+            inputs = np.empty((len(step), 4), dtype=np.int8)
+            for i, (table, context) in enumerate(zip(tables, found, strict=True)):
+                inputs[:, i] = _predictors(table, context[some], node, bits, of) * sign
+            inputs[:, 3] = SCALE * sign
+            step += np.repeat(first[some] - code.at[byte], bits)
+            self.inputs[step] = inputs.view(np.uint32)[:, 0]
+
+
 def score_block(block: Block, model: tuple[Code, list[Rows | np.ndarray]], rate: float = RATE, start: float = START) -> np.ndarray:
     """Bits that each text of the block costs."""
     code, tables = model
-    flat, begin, size = layout(block)
     if not block.n:
         return np.zeros(0)
+    places = Places([block])
+    return mixed(places.of[0][places.number[0]], places.size[0], Coded(places, code, tables), rate, start)
+
+
+def mixed(number: np.ndarray, size: np.ndarray, coded: Coded, rate: float = RATE, start: float = START) -> np.ndarray:
+    """Bits that texts cost, from their numbers of places and the numbers of these."""
+    texts = len(size)
     # a stream is a text's places with the same gate: each has weights of its own
-    place = _coded(begin, size)
-    under_way = np.zeros(len(flat), dtype=np.int64)
-    under_way[1:] = NOT_SPACE[flat[:-1]] & (flat[:-1] != 0)
-    stream = 2 * np.repeat(np.arange(block.n), size) + under_way[place]
-    order = np.argsort(stream.astype(np.int32), kind="stable")
-    place = place[order]
-    byte = flat[place]
-    step, of = expand(code.at[byte], code.at[byte + 1])
-    node, bits = code.node[step], (code.at[1:] - code.at[:-1])[byte]
-    k = len(tables) + 1
-    # four (or eight) small numbers for each bit, moved as one: the inputs and a constant, by the bit's sign
-    sign = code.sign[step]
-    width = 4 if k <= 4 else 8
-    inputs = np.zeros((len(step) + STEP, width), dtype=np.int8)
-    for i, (table, context) in enumerate(zip(tables, contexts(flat), strict=True)):
-        inputs[:len(step), i] = _predictors(table, context[place], node, bits, of) * sign
-    inputs[:len(step), k - 1] = SCALE * sign
-    packed = np.lib.stride_tricks.sliding_window_view(inputs.view(np.uint32 if width == 4 else np.uint64)[:, 0], STEP)
-    length = np.bincount(stream, weights=(code.at[flat + 1] - code.at[flat])[_coded(begin, size)],
-                         minlength=2 * block.n).astype(np.int64)
+    at = coded.at[number]
+    gate = at & 256 != 0
+    at = np.concatenate([at[~gate], at[gate]])
+    gated = np.add.reduceat(gate, np.cumsum(size) - size, dtype=np.int64)  # every text has its end, so none is without places
+    stop = np.append(0, np.cumsum(at & 255))
+    length = np.diff(stop[np.cumsum(np.concatenate([size - gated, gated]))], prepend=0)
+    inputs = np.empty(int(stop[-1]) + STEP, dtype=np.uint32)
+    inputs[stop[-1]:] = 0
+    for low in range(0, len(at), FEW_PLACES):
+        some = at[low:low + FEW_PLACES]
+        begin, end = stop[low], stop[low + len(some)]
+        bit = np.repeat((some >> 9) - stop[low:low + len(some)], some & 255)
+        bit += np.arange(begin, end)
+        coded.inputs.take(bit, out=inputs[begin:end], mode="clip")
     first = np.cumsum(length) - length
-    by_length = np.argsort(-length, kind="stable")  # longest first, so the streams still going are a prefix
-    first, length = first[by_length], length[by_length]
-    weights = np.full((len(first), k), start, dtype=np.float32)
+    total = np.zeros(2 * texts)
+    by_length = np.argsort(-length, kind="stable")  # streams of one group are about as long
+    for low in range(0, len(by_length), STREAMS):
+        some = by_length[low:low + STREAMS]
+        total[some] = _cost(inputs, first[some], length[some], rate, start)
+    return total[:texts] + total[texts:]
+
+
+def _cost(inputs: np.ndarray, first: np.ndarray, length: np.ndarray, rate: float, start: float) -> np.ndarray:
+    """Bits that streams cost; the longest first, so those still going are a prefix."""
+    weights = np.full((len(first), 4), start, dtype=np.float32)
     weights[:, -1] = 0
     cost = np.zeros(len(first))
     scale, quarter, spread = np.float32(1 / SCALE), STEP // 4, np.arange(STEP)
+    packed = np.lib.stride_tricks.sliding_window_view(inputs, STEP)
     ends = -length
     low, n = 0, len(first)
-    while low < length[0]:
+    while n and low < length[0]:
         n = int(np.searchsorted(ends[:n], -low))  # streams longer than ``low``
         whole = int(np.searchsorted(ends[:n], -low - STEP, side="right"))  # those that have all bits of this step
-        x = packed[first[:n] + low].view(np.int8).reshape(n, STEP, width)[:, :, :k].astype(np.float32)
-        wrong = np.matmul(x, (weights[:n] * scale)[:, :, None])[:, :, 0]
+        x = packed[first[:n] + low].view(np.int8).reshape(n, STEP, 4)
+        x = np.ascontiguousarray(x.transpose(0, 2, 1)).astype(np.float32)  # products of whole rows take half the time
+        wrong = np.matmul((weights[:n] * scale)[:, None, :], x)[:, 0]
         np.clip(wrong, -12, 12, out=wrong)
         np.exp(wrong, out=wrong)
         if whole < n:
@@ -584,11 +745,9 @@ def score_block(block: Block, model: tuple[Code, list[Rows | np.ndarray]], rate:
         product *= both[:, 2 * quarter:3 * quarter]
         product *= both[:, 3 * quarter:]
         cost[:n] += np.log(product).sum(axis=1, dtype=np.float64)
-        weights[:n] -= np.float32(rate) * scale * np.matmul(wrong[:, None, :], x)[:, 0]
+        weights[:n] -= np.float32(rate) * scale * np.matmul(x, wrong[:, :, None])[:, :, 0]
         low += STEP
-    total = np.zeros(len(first))
-    total[by_length] = cost / np.log(2)
-    return total.reshape(block.n, 2).sum(axis=1)
+    return cost / np.log(2)
 
 
 def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -599,31 +758,46 @@ def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.bincount(row, minlength=block.n) + 1
 
 
-def _score_shard(packed: pa.Table, known: pa.Table, code: Code, ranges: int, schema: pa.Schema) -> pa.Table:
+def _score_shard(packed: pa.Table, answered: pa.Table, code: Code, ranges: int, schema: pa.Schema) -> pa.Table:
     """Scores and baseline scores of one shard's texts, from what is known of its contexts and tokens."""
     if not packed.num_rows:
         return schema.empty_table()
     texts = pa.concat_tables([pa.ipc.open_stream(rows.as_buffer()).read_all() for rows in packed["texts"]])
-    answers = known.to_pylist()
+    answers = answered.to_pylist()
     total, kinds = (sum(a[c] for a in answers if a["kind"] == TOKEN) for c in ("n_all", "n_distinct"))
-    of_kind = [_opened([a for a in answers if a["kind"] == kind], kind, own, ranges) for kind, own in enumerate(_own(texts))]
-    model = code, [Rows.of(Known(*of_kind[kind], code)) for kind in range(TOKEN)]
-    token, counts = of_kind[TOKEN]
-    logs = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
-    out = [schema.empty_table()]
     length = pc.fill_null(pc.binary_length(texts["text"]), 0).to_numpy()
     texts = texts.select(["doc_id", "held_out", "text"]).take(pa.array(np.argsort(-length, kind="stable")))
-    for block in blocks(texts.to_batches(), "text", lower=True):
-        bits = score_block(block, model)
-        hashes, size = _tokens(block)
-        number = np.searchsorted(token, hashes)
+    rows, tokens = [], []
+
+    def each() -> Iterator[Block]:
+        for block in blocks(texts.combine_chunks().to_batches(), "text", lower=True, limit=MIXED_BYTES):
+            rows.append((block.rows, np.diff(block.at)))
+            tokens.append(_tokens(block))
+            yield block
+
+    places = Places(each())
+    token, number = _numbered(np.concatenate([hashes for hashes, _ in tokens]))
+    tokens = [size for _, size in tokens]
+    order = np.argsort(token)
+    own = [*map(_distinct, places.contexts()), token[order]]
+    of_kind = [_opened([a for a in answers if a["kind"] == kind], kind, x, ranges) for kind, x in enumerate(own)]
+    coded = Coded(places, code, [Rows.of(Known(*x, code)) for x in of_kind[:TOKEN]])
+    counts = np.empty(len(token), dtype=np.int64)
+    counts[order] = of_kind[TOKEN][1]
+    del of_kind, own, order, answers
+    logs, known = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1))), (counts > 0).astype(np.int64)
+    out, done = [schema.empty_table()], 0
+    for (row, n_bytes), size, of, place, n_places in zip(rows, tokens, places.of, places.number, places.size, strict=True):
+        bits = mixed(of[place], n_places, coded)
+        mine = number[done:done + int(size.sum())]
+        done += len(mine)
         first = np.cumsum(size) - size  # every text has its end, so none is without tokens
-        base = np.add.reduceat(logs[number], first)
-        seen = np.add.reduceat((counts[number] > 0).astype(np.int64), first)
+        base = np.add.reduceat(logs[mine], first)
+        seen = np.add.reduceat(known[mine], first)
         out.append(pa.table(
-            [block.rows.column(0), block.rows.column(1), pa.array(size.astype(np.int64)), pa.array(seen),
-             pa.array(np.full(block.n, total, dtype=np.int64)), pa.array(base), pa.array(-bits * np.log10(2)),
-             pa.array(bits / np.maximum(np.diff(block.at), 1))], schema=schema))
+            [row.column(0), row.column(1), pa.array(size.astype(np.int64)), pa.array(seen),
+             pa.array(np.full(len(size), total, dtype=np.int64)), pa.array(base), pa.array(-bits * np.log10(2)),
+             pa.array(bits / np.maximum(n_bytes, 1))], schema=schema))
     return pa.concat_tables(out)
 
 

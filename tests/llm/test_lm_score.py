@@ -261,3 +261,55 @@ def test_answers_hold_no_keys():
     at, n = lm_score._opened([answer], 2, own, 1)
     want = {(c << 8) | 7: 300 for c in mine.tolist()} | {b: 1 for b in both.tolist()}
     assert dict(zip(at.tolist(), n.tolist(), strict=True)) == want and at.tolist() == sorted(want)
+
+
+def awkward_blocks():
+    texts = ["The cat, the catalogue; the cat", "", None, "\0nul\0inside nulls\0", "  two  blanks\n\nlines\t", "étéété été naïveté", "abc", "abcd", "abcde abcd abcdef", "x"]
+    for rows in (texts, texts[::-1] + ["catalogues catalogue"], [""]):
+        yield from blocks([pa.RecordBatch.from_arrays([pa.array(rows)], names=["text"])], lower=True, limit=40)
+
+
+def test_places_have_their_contexts():
+    """Each place's number in its shard stands for its own contexts, next byte and gate, and no two numbers stand for the same."""
+    every = list(awkward_blocks())
+    places = lm_score.Places(every)
+    for block, size, number, of in zip(every, places.size, places.number, places.of, strict=True):
+        flat, begin, length = lm_score.layout(block)
+        at = lm_score._coded(begin, length)
+        assert size.tolist() == length.tolist()
+        for got, want in zip(places.contexts(), lm_score.contexts(flat), strict=True):
+            assert got[of[number]].tolist() == want[at].tolist()
+        assert places.byte[of[number]].tolist() == flat[at].tolist()
+        before = flat[at - 1]
+        assert places.under_way[of[number]].tolist() == (~np.isin(before, [0, 9, 10, 11, 12, 13, 32])).tolist()
+    assert len(set(zip(places.last4.tolist(), places.word.tolist(), places.byte.tolist(), strict=True))) == places.n
+
+
+def test_places_alike_are_predicted_once(monkeypatch):
+    """What a model says of a context and next byte is looked up once, however often a text has them; scores are those of the texts alone."""
+    asked = []
+    predictors = lm_score._predictors
+    monkeypatch.setattr(lm_score, "_predictors", lambda table, context, node, *more: asked.append(len(node)) or predictors(table, context, node, *more))
+    rng = np.random.default_rng(23)
+    code = lm_score.Code(np.ones(256))
+    model = code, [rng.integers(-60, 60, lm_score.SYMBOLS << b).astype(np.int8) for b in lm_score.SLOT_BITS]
+    text = "a word or another word of some text " * 40
+    scores = [lm_score.score_block(b, model) for rows in ([text], [text] * 50)
+              for b in blocks([pa.RecordBatch.from_arrays([pa.array(rows)], names=["text"])])]
+    one, many = sum(asked[:3]), sum(asked[3:])
+    assert many == one < 3 * 8 * len(text) / 10
+    assert np.allclose(scores[1], scores[0][0])
+
+
+def test_known_of_one_symbol():
+    """Contexts that always have the same byte after them have the odds of plain counting, too."""
+    code = lm_score.Code(np.arange(256))
+    at = np.array([3 << 8 | 7, 5 << 8 | 1, 5 << 8 | 200, 9 << 8 | 255], dtype=np.uint64)
+    n = np.array([1, 4, 2, 10 ** 9])
+    known = lm_score.Known(at, n, code)
+    counts = np.zeros((3, 256), dtype=np.int64)
+    counts[[0, 1, 1, 2], [7, 1, 200, 255]] = n
+    want = code.stretch(counts)
+    got = np.zeros_like(want)
+    got[np.repeat(np.arange(3), np.diff(known.at)), known.node] = known.odds
+    assert known.key.tolist() == [3, 5, 9] and np.array_equal(got, want)
