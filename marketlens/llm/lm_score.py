@@ -733,8 +733,9 @@ def _cost(inputs: np.ndarray, first: np.ndarray, length: np.ndarray, rate: float
         n = int(np.searchsorted(ends[:n], -low))  # streams longer than ``low``
         whole = int(np.searchsorted(ends[:n], -low - STEP, side="right"))  # those that have all bits of this step
         x = packed[first[:n] + low].view(np.int8).reshape(n, STEP, 4)
-        x = np.ascontiguousarray(x.transpose(0, 2, 1)).astype(np.float32)  # products of whole rows take half the time
-        wrong = np.matmul((weights[:n] * scale)[:, None, :], x)[:, 0]
+        rows = np.ascontiguousarray(x.transpose(0, 2, 1)).astype(np.float32)  # these products take half the time by rows
+        wrong = np.matmul((weights[:n] * scale)[:, None, :], rows)[:, 0]
+        x = x.astype(np.float32)
         np.clip(wrong, -12, 12, out=wrong)
         np.exp(wrong, out=wrong)
         if whole < n:
@@ -745,7 +746,7 @@ def _cost(inputs: np.ndarray, first: np.ndarray, length: np.ndarray, rate: float
         product *= both[:, 2 * quarter:3 * quarter]
         product *= both[:, 3 * quarter:]
         cost[:n] += np.log(product).sum(axis=1, dtype=np.float64)
-        weights[:n] -= np.float32(rate) * scale * np.matmul(x, wrong[:, :, None])[:, :, 0]
+        weights[:n] -= np.float32(rate) * scale * np.matmul(wrong[:, None, :], x)[:, 0]
         low += STEP
     return cost / np.log(2)
 
